@@ -3,7 +3,8 @@
 Every card first sums the fact per join key. Map-side that leaves one row per key and
 task, so a key holding a third of all facts costs no more than any other, and the join
 sees one row per key instead of the facts. The sums arrive already partitioned by the
-join key. No side is hinted as broadcast: Spark decides by the measured sizes.
+join key. Spark picks the join by the measured sizes; only the calendar, which cannot
+outgrow the days of four-digit years, is ever hinted as broadcast.
 """
 
 from __future__ import annotations
@@ -88,7 +89,9 @@ def area_grouping_sets(fact: DataFrame, calendar: DataFrame, locations: DataFram
         F.grouping(LOCATION_KEY).alias("no_city"),
     )
     is_day, is_city = F.col("no_day") == 0, F.col("no_city") == 0
-    days = calendar.select("data", "ano")
+    # Broadcast, because the city and species sums have no day: shuffled by day they would
+    # all meet in one task.
+    days = F.broadcast(calendar.select("data", "ano"))
     cities = one_row_per_key(locations).select(
         F.col(LOCATION_KEY).alias("known_city"), "regiao", "sigla_uf"
     )
