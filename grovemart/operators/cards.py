@@ -45,8 +45,8 @@ def area_total(fact: DataFrame) -> DataFrame:
 
 
 def area_by_year(fact: DataFrame, calendar: DataFrame) -> DataFrame:
-    daily = area_per(fact, "data_base")
-    return area_per(daily.join(calendar, daily["data_base"] == calendar["data"]), "ano")
+    days = calendar.select(F.col("data").alias("data_base"), "ano")
+    return area_per(area_per(fact, "data_base").join(days, "data_base"), "ano")
 
 
 def area_by_state(fact: DataFrame, locations: DataFrame) -> DataFrame:
@@ -59,10 +59,9 @@ def area_by_region(fact: DataFrame, locations: DataFrame) -> DataFrame:
 
 def area_by_species(fact: DataFrame, species: DataFrame) -> DataFrame:
     """Null-safe join: facts without a species keep their own row."""
+    known = species.select(F.col(SPECIES_KEY).alias("known"))
     sums = area_per(fact, SPECIES_KEY)
-    return sums.join(species, sums[SPECIES_KEY].eqNullSafe(species[SPECIES_KEY])).select(
-        species[SPECIES_KEY], "area_ha"
-    )
+    return sums.join(known, F.col(SPECIES_KEY).eqNullSafe(F.col("known"))).drop("known")
 
 
 def top_cities(fact: DataFrame, locations: DataFrame, n: int = 10) -> DataFrame:
@@ -96,8 +95,8 @@ def area_grouping_sets(fact: DataFrame, calendar: DataFrame, locations: DataFram
         F.col(LOCATION_KEY).alias("known_city"), "regiao", "sigla_uf"
     )
     joined = (
-        sums.join(days, sums["data_base"] == days["data"], "left")
-        .join(cities, sums[LOCATION_KEY] == cities["known_city"], "left")
+        sums.join(days, F.col("data_base") == F.col("data"), "left")
+        .join(cities, F.col(LOCATION_KEY) == F.col("known_city"), "left")
         .where(~is_day | F.col("data").isNotNull())
         .where(~is_city | F.col("known_city").isNotNull())
     )

@@ -7,7 +7,6 @@ broke off is simply started again.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -19,7 +18,7 @@ from grovemart.operators import star
 from grovemart.operators.cleaning import clean, typed
 from grovemart.schema import CLEAN_SCHEMA, STAR_TABLES, TYPED_SCHEMA
 from grovemart.sources.delimited import read_raw, write_stage
-from grovemart.sources.history import SNAPSHOT, latest_snapshot, write_snapshots
+from grovemart.sources.history import SNAPSHOT, latest_snapshot, replace_snapshot
 from grovemart.sources.jdbc import Database, replace_jdbc_table
 from grovemart.sources.landing import (
     MANIFEST_SCHEMA,
@@ -29,7 +28,6 @@ from grovemart.sources.landing import (
     read_manifest,
 )
 from grovemart.sources.tables import create_if_absent, read_table, replace_table
-from grovemart.streaming.ingest import DELIVERY_DATE, delivery_date
 
 PUBLISHED_SCHEMA = T.StructType(
     [
@@ -82,25 +80,25 @@ def take_in(spark: SparkSession, lake: Lake, run: str) -> dict[str, int]:
     """Read all pending deliveries; returns the current row count of each dataset touched.
 
     The pending list is written down first, so that exactly the files in it are marked as
-    done later even if more arrive meanwhile. A day with any pending file is read as a
-    whole and replaces its own history partition. Stage and analytics hold the newest
-    delivery.
+    done later even if more arrive meanwhile. A delivery with any pending file is read as
+    a whole, by its own header, and replaces its own day of the history. Stage and
+    analytics hold the newest delivery.
     """
     replace_table(
         pending_files(list_files(spark, lake.landing), read_manifest(spark, lake.manifest)),
         lake.pending(run),
     )
-    # One entry per dataset and delivery day, however many files a delivery has.
-    deliveries = defaultdict(list)
     pending = read_table(spark, lake.pending(run), MANIFEST_SCHEMA)
-    for row in pending.select("dataset", "delivery").distinct().orderBy("delivery").toLocalIterator():
-        deliveries[row["dataset"]].append(row["delivery"])
+    # One row per dataset and day, however many files a delivery has.
+    deliveries = pending.select("dataset", SNAPSHOT, "delivery").distinct().orderBy("dataset", SNAPSHOT)
+    touched = []
+    for dataset, day, path in deliveries.toLocalIterator():
+        replace_snapshot(clean(read_raw(spark, path)), lake.history(dataset), day)
+        if dataset not in touched:
+            touched.append(dataset)
 
     counts = {}
-    for dataset, folders in deliveries.items():
-        raw = read_raw(spark, folders, base_path=lake.landing, partitions=DELIVERY_DATE)
-        dated = raw.withColumn(SNAPSHOT, delivery_date()).drop(*DELIVERY_DATE.fieldNames())
-        write_snapshots(clean(dated), lake.history(dataset))
+    for dataset in touched:
         current = latest_snapshot(spark, lake.history(dataset)).drop(SNAPSHOT)
         counts[dataset] = replace_table(current, lake.analytics(dataset))
         write_stage(read_table(spark, lake.analytics(dataset), CLEAN_SCHEMA), lake.stage(dataset))

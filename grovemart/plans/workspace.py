@@ -39,7 +39,7 @@ def source_state(spark: SparkSession, sf_dir: str) -> int:
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]) -> object:
-    key = (spark.sparkContext.applicationId, sf_dir, name, source_state(spark, sf_dir))
+    key = (spark.conf.get("spark.app.id"), sf_dir, name, source_state(spark, sf_dir))
     if key not in _made:
         _made[key] = make()
     return _made[key]

@@ -13,7 +13,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Dated writes keep a few files open per task instead of sorting every row by date.
+    # Partitioned writes keep a few files open per task instead of sorting every row.
     "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
 
@@ -31,16 +31,15 @@ def get_session(app_name: str = "grovemart", conf: dict[str, str] | None = None)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names in spark.checkpoint.dir.
 
-    Only a session on a local master, where driver and executors are one process, may
+    Only a session on a local master, where driver and executors share a machine, may
     fall back to a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.conf.get("spark.master").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = context.applicationId
+    app = spark.conf.get("spark.app.id")
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="grovemart-")
     return _local_dirs[app]
@@ -48,5 +47,5 @@ def shared_dir(spark: SparkSession) -> str:
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing else ever writes there."""
-    app = spark.sparkContext.applicationId
+    app = spark.conf.get("spark.app.id")
     return f"{shared_dir(spark)}/grovemart/{app}/{name}-{uuid.uuid4().hex[:12]}"

@@ -34,33 +34,28 @@ def raw_schema(spark: SparkSession, paths: str | list[str]) -> T.StructType:
 
 
 def read_raw(
-    spark: SparkSession,
-    paths: str | list[str],
-    base_path: str | None = None,
-    partitions: T.StructType | None = None,
-    keep_corrupt: bool = False,
+    spark: SparkSession, paths: str | list[str], keep_corrupt: bool = False
 ) -> DataFrame:
-    """Raw deliveries as strings, in contract order.
+    """Raw deliveries as strings, in contract order whatever the order in the file.
 
     `enforceSchema=false` makes Spark compare every file's own header with the schema,
     so a file whose columns differ fails instead of being mapped by position. Lines are
     never joined, so large files are split. Ragged rows are padded or cut; with
-    `keep_corrupt` their text is kept beside them. `partitions` names directory columns
-    below `base_path`.
+    `keep_corrupt` their text is kept beside them.
     """
     schema = raw_schema(spark, paths)
-    directory_columns = [] if partitions is None else partitions.fieldNames()
+    columns = list(RAW_HEADERS)
     if keep_corrupt:
         schema = schema.add(CORRUPT_RECORD, T.StringType())
-    if partitions is not None:
-        schema = T.StructType(schema.fields + partitions.fields)
-    reader = spark.read.schema(schema).options(**RAW_OPTIONS).option("enforceSchema", "false")
-    if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-    if base_path is not None:
-        reader = reader.option("basePath", base_path)
-    extra = directory_columns + ([CORRUPT_RECORD] if keep_corrupt else [])
-    return reader.csv(paths).select(*[f"`{name}`" for name in RAW_HEADERS + extra])
+        columns.append(CORRUPT_RECORD)
+    return (
+        spark.read.schema(schema)
+        .options(**RAW_OPTIONS)
+        .option("enforceSchema", "false")
+        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
+        .csv(paths)
+        .select(*[f"`{name}`" for name in columns])
+    )
 
 
 def write_raw(df: DataFrame, path: str) -> None:

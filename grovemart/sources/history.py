@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,14 +14,9 @@ SNAPSHOT = "snapshot_date"
 HISTORY_SCHEMA = T.StructType(CLEAN_SCHEMA.fields + [T.StructField(SNAPSHOT, T.DateType())])
 
 
-def write_snapshots(df: DataFrame, path: str) -> None:
-    """Replace the partitions of the dates in `df`; all other dates stay as they are."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SNAPSHOT)
-        .parquet(path)
-    )
+def replace_snapshot(df: DataFrame, path: str, day: date) -> None:
+    """Replace the partition of one day, also by no rows at all; other days stay as they are."""
+    df.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={day.isoformat()}")
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:

@@ -39,9 +39,15 @@ def range_options(
     }
 
 
-def write_options(num_partitions: int, batch_size: int = 10_000) -> dict[str, str]:
-    """Options of a table replacement that keeps the table's definition and bounds connections."""
-    return {"truncate": "true", "numPartitions": str(num_partitions), "batchsize": str(batch_size)}
+def write_options(
+    num_partitions: int, batch_size: int = 10_000, keep_definition: bool = True
+) -> dict[str, str]:
+    """Options of a table replacement: how many connections, and whether to empty or drop it."""
+    return {
+        "truncate": str(keep_definition).lower(),
+        "numPartitions": str(num_partitions),
+        "batchsize": str(batch_size),
+    }
 
 
 def read_query(spark: SparkSession, database: Database, sql: str) -> DataFrame:
@@ -55,10 +61,18 @@ def read_bounds(spark: SparkSession, database: Database, table: str, column: str
 
 
 def read_jdbc_table(
-    spark: SparkSession, database: Database, table: str, column: str, num_partitions: int
+    spark: SparkSession,
+    database: Database,
+    table: str,
+    column: str,
+    num_partitions: int,
+    bounds: tuple[object, object] | None = None,
 ) -> DataFrame:
-    """A whole table, read by `num_partitions` tasks over ranges of `column`."""
-    lower, upper = read_bounds(spark, database, table, column).first()
+    """A whole table, read by `num_partitions` tasks over ranges of `column`.
+
+    Without `bounds` the database is asked for them; an empty table needs no ranges.
+    """
+    lower, upper = bounds or read_bounds(spark, database, table, column).first()
     reader = spark.read.format("jdbc").options(**database.options()).option("dbtable", table)
     if lower is not None:
         reader = reader.options(**range_options(column, lower, upper, num_partitions))
@@ -66,13 +80,18 @@ def read_jdbc_table(
 
 
 def replace_jdbc_table(
-    df: DataFrame, database: Database, table: str, num_partitions: int = 8, batch_size: int = 10_000
+    df: DataFrame,
+    database: Database,
+    table: str,
+    num_partitions: int = 8,
+    batch_size: int = 10_000,
+    keep_definition: bool = True,
 ) -> None:
     """Replace the rows of a table. A failed task can leave part of them; run it again."""
     (
         df.write.format("jdbc")
         .options(**database.options())
-        .options(**write_options(num_partitions, batch_size))
+        .options(**write_options(num_partitions, batch_size, keep_definition))
         .option("dbtable", table)
         .mode("overwrite")
         .save()

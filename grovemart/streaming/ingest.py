@@ -17,24 +17,31 @@ DELIVERY_DATE = T.StructType(
 )
 
 
-def delivery_date() -> F.Column:
-    return F.make_date("year", "month", "day")
-
-
 def stream_deliveries(
-    spark: SparkSession, root: str, dataset: str, max_files: int = 10_000
+    spark: SparkSession,
+    root: str,
+    dataset: str,
+    schema: T.StructType = RAW_SCHEMA,
+    max_files: int = 10_000,
+    archive: str | None = None,
 ) -> DataFrame:
-    """Cleaned rows of every downloaded file of a dataset, with the delivery date."""
+    """Cleaned rows of every downloaded file of a dataset, with the delivery date.
+
+    `schema` names the raw columns in file order; every file's header must agree with it.
+    With `archive`, a file moves there once a later batch has been committed.
+    """
     raw = (
-        spark.readStream.schema(T.StructType(RAW_SCHEMA.fields + DELIVERY_DATE.fields))
+        spark.readStream.schema(T.StructType(schema.fields + DELIVERY_DATE.fields))
         .options(**RAW_OPTIONS)
         .option("enforceSchema", "false")
         .option("basePath", root)
         .option("maxFilesPerTrigger", max_files)
-        .csv(f"{root}/year=*/month=*/day=*/{STATE_DOWNLOADED}/{dataset}{FILE_SUFFIX}")
     )
+    if archive is not None:
+        raw = raw.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    rows = raw.csv(f"{root}/year=*/month=*/day=*/{STATE_DOWNLOADED}/{dataset}{FILE_SUFFIX}")
     columns = [f"`{name}`" for name in RAW_HEADERS]
-    return clean(raw.select(*columns, delivery_date().alias(SNAPSHOT)))
+    return clean(rows.select(*columns, F.make_date("year", "month", "day").alias(SNAPSHOT)))
 
 
 def ingest_available(deliveries: DataFrame, history_path: str, checkpoint: str) -> StreamingQuery:

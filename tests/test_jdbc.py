@@ -1,0 +1,88 @@
+"""Options only: nothing here opens a database."""
+
+from datetime import date
+
+import pytest
+
+from grovemart.sources import jdbc
+
+DATABASE = jdbc.Database("jdbc:x://host/db", "org.x.Driver", "user", "secret", {"ssl": "true"})
+
+
+class Recorder:
+    """Stands in for a reader or writer and keeps what it is told."""
+
+    def __init__(self):
+        self.told = {}
+
+    def format(self, name):
+        self.told["format"] = name
+        return self
+
+    def options(self, **options):
+        self.told.update(options)
+        return self
+
+    def option(self, key, value):
+        self.told[key] = value
+        return self
+
+    def mode(self, mode):
+        self.told["mode"] = mode
+        return self
+
+    def load(self):
+        return self
+
+    def save(self):
+        self.told["saved"] = True
+
+
+class FakeSession:
+    @property
+    def read(self):
+        return Recorder()
+
+
+class FakeFrame:
+    def __init__(self):
+        self.write = Recorder()
+
+
+def test_credentials_stay_out_of_sight():
+    assert "secret" not in repr(DATABASE)
+    assert DATABASE.options() == {
+        "url": "jdbc:x://host/db",
+        "driver": "org.x.Driver",
+        "user": "user",
+        "password": "secret",
+        "ssl": "true",
+    }
+    assert "user" not in jdbc.Database("u", "d").options()
+
+
+def test_query():
+    told = jdbc.read_query(FakeSession(), DATABASE, "select 1").told
+    assert told["format"] == "jdbc" and told["query"] == "select 1" and "dbtable" not in told
+
+
+def test_ranged_read():
+    bounds = (date(2013, 1, 1), date(2020, 1, 1))
+    told = jdbc.read_jdbc_table(FakeSession(), DATABASE, "t", "data_base", 4, bounds).told
+    assert told["dbtable"] == "t" and "query" not in told
+    assert (told["partitionColumn"], told["numPartitions"]) == ("data_base", "4")
+    assert (told["lowerBound"], told["upperBound"]) == ("2013-01-01", "2020-01-01")
+
+
+def test_an_empty_table_is_read_without_ranges():
+    told = jdbc.read_jdbc_table(FakeSession(), DATABASE, "t", "data_base", 4, (None, None)).told
+    assert "partitionColumn" not in told
+
+
+@pytest.mark.parametrize(("keep", "truncate"), [(True, "true"), (False, "false")])
+def test_replace(keep, truncate):
+    frame = FakeFrame()
+    jdbc.replace_jdbc_table(frame, DATABASE, "t", num_partitions=3, keep_definition=keep)
+    told = frame.write.told
+    assert told["mode"] == "overwrite" and told["dbtable"] == "t" and told["saved"]
+    assert told["truncate"] == truncate and told["numPartitions"] == "3"

@@ -1,0 +1,98 @@
+"""The plans Spark makes: what is read, what is shuffled, and what must never show up."""
+
+import re
+
+import pytest
+
+from grovemart.operators import cards, quality, star
+from grovemart.plans import workspace
+from grovemart.plans.queries import QUERIES
+from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, DIM_SPECIES, FACT_AREA
+
+SF_DIR = "/root/testdata/sf0.001"
+UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas"]
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return workspace.star_tables(spark, SF_DIR)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def read_columns(plan, column):
+    """Columns of the scans that read `column`."""
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    return [sorted(f.split(":")[0] for f in s.split(",")) for s in schemas if f"{column}:" in s]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cross_join_and_no_python(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert not [node for node in UNWANTED if node in plan]
+
+
+def test_cards_read_only_their_fact_columns(tables):
+    fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
+    expected = [
+        (cards.area_total(fact), ["area_ha"]),
+        (cards.area_by_year(fact, tables[DIM_CALENDAR]), ["area_ha", "data_base"]),
+        (cards.area_by_region(fact, locations), ["area_ha", "codigo_municipio"]),
+        (cards.area_by_species(fact, tables[DIM_SPECIES]), ["area_ha", "especie_florestal"]),
+    ]
+    for card, columns in expected:
+        assert read_columns(plan_of(card), "area_ha") == [columns]
+
+
+def test_grouping_sets_scan_the_fact_once(tables):
+    sets = cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], tables[DIM_LOCATION])
+    assert len(read_columns(plan_of(sets), "area_ha")) == 1
+
+
+def test_top_cities_never_sorts_everything(tables):
+    assert "TakeOrderedAndProject" in plan_of(cards.top_cities(tables[FACT_AREA], tables[DIM_LOCATION]))
+
+
+def test_facts_are_summed_before_they_are_shuffled(tables, no_broadcast):
+    """Between the scan of the fact and its first exchange stands a partial sum."""
+    fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
+    for df in (
+        cards.area_by_state(fact, locations),
+        cards.area_by_year(fact, tables[DIM_CALENDAR]),
+        cards.area_by_species(fact, tables[DIM_SPECIES]),
+        cards.top_cities(fact, locations),
+        cards.area_grouping_sets(fact, tables[DIM_CALENDAR], locations),
+        quality.orphan_keys(fact, locations),
+    ):
+        lines = plan_of(df).splitlines()
+        scan = next(i for i, line in enumerate(lines) if "area_ha" in line and "FileScan" in line)
+        exchange = max(i for i, line in enumerate(lines[:scan]) if "Exchange" in line)
+        assert any("partial_sum" in line for line in lines[exchange:scan])
+
+
+def test_sums_and_dimension_meet_without_another_shuffle(tables, no_broadcast):
+    plan = plan_of(cards.area_by_state(tables[FACT_AREA], tables[DIM_LOCATION]))
+    assert plan.count("Exchange hashpartitioning(codigo_municipio") == 2
+    assert plan.count("Exchange") == 3
+
+
+def test_null_days_are_never_shuffled_by_day(tables, no_broadcast):
+    sets = cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], tables[DIM_LOCATION])
+    assert not re.search(r"Exchange hashpartitioning\(data_base#\d+, \d+\)", plan_of(sets))
+
+
+def test_dimensions_are_distinct_in_two_steps(spark):
+    plan = plan_of(star.dim_location(workspace.typed_registry(spark, SF_DIR)))
+    assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 1
