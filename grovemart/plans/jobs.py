@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from grovemart.operators import star
 from grovemart.operators.cleaning import clean, typed
-from grovemart.schema import CLEAN_SCHEMA, STAR_TABLES, TYPED_SCHEMA
+from grovemart.schema import CLEAN_COLUMNS, STAR_TABLES, TYPED_SCHEMA
 from grovemart.sources.delimited import read_raw, write_stage
 from grovemart.sources.history import SNAPSHOT, latest_snapshot, replace_snapshot
 from grovemart.sources.jdbc import Database, replace_jdbc_table
@@ -56,15 +56,13 @@ class Lake:
     def pending(self, run: str) -> str:
         return f"{self.root}/pending/run={run}"
 
-    def history(self, dataset: str) -> str:
-        return f"{self.root}/history/{dataset}"
+    def analytics(self, dataset: str) -> str:
+        """Parquet history: a partition per delivery, the newest being the current table."""
+        return f"{self.root}/analytics/{dataset}"
 
     def stage(self, dataset: str) -> str:
         return f"{self.root}/stage/{dataset}"
 
-    def analytics(self, dataset: str) -> str:
-        return f"{self.root}/analytics/{dataset}"
-
     def typed(self, dataset: str) -> str:
         return f"{self.root}/typed/{dataset}"
 
@@ -76,13 +74,18 @@ def new_run() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
 
+def current(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
+    """The clean rows of the newest delivery, read in place: there is no copy to keep up."""
+    return latest_snapshot(spark, lake.analytics(dataset)).select(*CLEAN_COLUMNS)
+
+
 def take_in(spark: SparkSession, lake: Lake, run: str) -> dict[str, int]:
     """Read all pending deliveries; returns the current row count of each dataset touched.
 
     The pending list is written down first, so that exactly the files in it are marked as
     done later even if more arrive meanwhile. A delivery with any pending file is read as
-    a whole, by its own header, and replaces its own day of the history. Stage and
-    analytics hold the newest delivery.
+    a whole, by its own header, and replaces its own day of the history. The stage copy
+    holds the newest delivery.
     """
     replace_table(
         pending_files(list_files(spark, lake.landing), read_manifest(spark, lake.manifest)),
@@ -91,18 +94,11 @@ def take_in(spark: SparkSession, lake: Lake, run: str) -> dict[str, int]:
     pending = read_table(spark, lake.pending(run), MANIFEST_SCHEMA)
     # One row per dataset and day, however many files a delivery has.
     deliveries = pending.select("dataset", SNAPSHOT, "delivery").distinct().orderBy("dataset", SNAPSHOT)
-    touched = []
+    touched = {}
     for dataset, day, path in deliveries.toLocalIterator():
-        replace_snapshot(clean(read_raw(spark, path)), lake.history(dataset), day)
-        if dataset not in touched:
-            touched.append(dataset)
-
-    counts = {}
-    for dataset in touched:
-        current = latest_snapshot(spark, lake.history(dataset)).drop(SNAPSHOT)
-        counts[dataset] = replace_table(current, lake.analytics(dataset))
-        write_stage(read_table(spark, lake.analytics(dataset), CLEAN_SCHEMA), lake.stage(dataset))
-    return counts
+        replace_snapshot(clean(read_raw(spark, path)), lake.analytics(dataset), day)
+        touched[dataset] = None
+    return {name: write_stage(current(spark, lake, name), lake.stage(name)) for name in touched}
 
 
 def finish(spark: SparkSession, lake: Lake, run: str) -> None:
@@ -119,9 +115,8 @@ def convert(spark: SparkSession, lake: Lake, run: str) -> dict[str, int]:
 
 
 def load_typed(spark: SparkSession, lake: Lake, dataset: str) -> int:
-    """Analytics table to typed registry."""
-    registry = typed(read_table(spark, lake.analytics(dataset), CLEAN_SCHEMA))
-    return replace_table(registry, lake.typed(dataset))
+    """Newest delivery to typed registry."""
+    return replace_table(typed(current(spark, lake, dataset)), lake.typed(dataset))
 
 
 def build_star(spark: SparkSession, lake: Lake, dataset: str, run: str) -> dict[str, int]:
@@ -166,7 +161,7 @@ def run_all(spark: SparkSession, lake: Lake, run: str | None = None) -> dict[str
     report = {}
     for dataset, rows in take_in(spark, lake, run).items():
         report[dataset] = {
-            "analytics": rows,
+            "clean": rows,
             "typed": load_typed(spark, lake, dataset),
             **build_star(spark, lake, dataset, run),
         }

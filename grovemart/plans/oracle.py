@@ -189,7 +189,7 @@ ORACLE_SQL: dict[str, str] = {
     "delivered_star_cards": _GROUPING_SETS,
     "stage_counts": f"""
         with {_STAR}
-        select 'analytics' as etapa, count(*) as registros from clean
+        select 'clean' as etapa, count(*) as registros from clean
         union all select 'typed', count(*) from registry
         union all select 'dim_localizacao', count(*) from dim_localizacao
         union all select 'dim_tempo', count(*) from dim_tempo

@@ -175,7 +175,7 @@ def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = workspace.yearly_lake(spark, sf_dir)
-    history = cleaning.typed(read_history(spark, lake.history(workspace.DATASET)))
+    history = cleaning.typed(read_history(spark, lake.analytics(workspace.DATASET)))
     return history.groupBy(SNAPSHOT).agg(
         F.count(F.lit(1)).alias("registros"),
         F.min("data_base").alias("data_inicial"),
@@ -186,7 +186,7 @@ def history_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def newest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = workspace.yearly_lake(spark, sf_dir)
-    return latest_snapshot(spark, lake.history(workspace.DATASET))
+    return latest_snapshot(spark, lake.analytics(workspace.DATASET))
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +214,7 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     dataset = workspace.DATASET
     return quality.count_report(
         {
-            "analytics": read_table(spark, lake.analytics(dataset), CLEAN_SCHEMA),
+            "clean": jobs.current(spark, lake, dataset),
             "typed": read_table(spark, lake.typed(dataset), TYPED_SCHEMA),
             **jobs.read_star(spark, lake, dataset),
         }

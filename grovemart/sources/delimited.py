@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grovemart.schema import (
@@ -64,8 +65,12 @@ def write_raw(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def write_stage(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**STAGE_OPTIONS).csv(path)
+def write_stage(df: DataFrame, path: str) -> int:
+    """Write `df` over `path` and return its row count, observed during that one write."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").options(**STAGE_OPTIONS).csv(path)
+    return seen.get["rows"]
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from grovemart.__main__ import main
 from grovemart.operators import cards
 from grovemart.plans import jobs
-from grovemart.schema import CLEAN_SCHEMA, DIM_CALENDAR, DIM_LOCATION, FACT_AREA, TYPED_SCHEMA
+from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, FACT_AREA, TYPED_SCHEMA
 from grovemart.sources.delimited import read_stage, write_raw
 from grovemart.sources.history import read_history
 from grovemart.sources.landing import land
@@ -25,9 +25,9 @@ def lake(tmp_path):
 
 def _state(spark, lake, dataset="areas"):
     return {
-        "history": rows_of(read_history(spark, lake.history(dataset))),
+        "history": rows_of(read_history(spark, lake.analytics(dataset))),
         "stage": rows_of(read_stage(spark, lake.stage(dataset))),
-        "analytics": rows_of(read_table(spark, lake.analytics(dataset), CLEAN_SCHEMA)),
+        "current": rows_of(jobs.current(spark, lake, dataset)),
         "typed": rows_of(read_table(spark, lake.typed(dataset), TYPED_SCHEMA)),
         **{name: rows_of(df) for name, df in jobs.read_star(spark, lake, dataset).items()},
     }
@@ -42,7 +42,7 @@ def test_two_pending_deliveries_the_latest_wins(spark, lake):
     land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
     report = jobs.run_all(spark, lake)
     assert report["areas"] == {
-        "analytics": 3,
+        "clean": 3,
         "typed": 3,
         "dim_localizacao": 2,
         "dim_tempo": 4,
@@ -51,7 +51,7 @@ def test_two_pending_deliveries_the_latest_wins(spark, lake):
     }
     state = _state(spark, lake)
     assert len(state["history"]) == 5
-    assert state["stage"] == state["analytics"]
+    assert state["stage"] == state["current"]
     assert sorted(row[-1] or -1 for row in state["typed"]) == [-1, 5, 12]
     assert len(state["typed"]) == len(state["fat_area"]) == 3
 
@@ -69,8 +69,8 @@ def test_a_day_delivered_again_is_replaced(spark, lake):
     land(raw_frame(spark, ROWS1), lake.landing, DAY2, "areas")
     jobs.run_all(spark, lake)
     land(raw_frame(spark, ROWS2), lake.landing, DAY2, "areas")
-    assert jobs.run_all(spark, lake)["areas"]["analytics"] == 3
-    days = {row["snapshot_date"]: row["count"] for row in read_history(spark, lake.history("areas")).groupBy("snapshot_date").count().collect()}
+    assert jobs.run_all(spark, lake)["areas"]["clean"] == 3
+    days = {row["snapshot_date"]: row["count"] for row in read_history(spark, lake.analytics("areas")).groupBy("snapshot_date").count().collect()}
     assert days == {DAY1: 2, DAY2: 3}
 
 
@@ -83,7 +83,7 @@ def test_deliveries_with_their_own_column_order(spark, lake):
     turned = raw_frame(spark, ROWS1).select(*[f"`{name}`" for name in reversed(RAW_HEADERS)])
     turned.write.options(**RAW_OPTIONS).csv(delivery_path(lake.landing, DAY2, "areas"))
     jobs.convert(spark, lake, "r1")
-    history = read_history(spark, lake.history("areas"))
+    history = read_history(spark, lake.analytics("areas"))
     one, two = (rows_of(history.where(history.snapshot_date == d).drop("snapshot_date")) for d in (DAY1, DAY2))
     assert one == two
 
@@ -128,7 +128,7 @@ def test_files_landing_during_a_run_are_pending_in_the_next(spark, lake, monkeyp
     monkeypatch.setattr(jobs, "finish", late)
     jobs.run_all(spark, lake)
     monkeypatch.undo()
-    assert jobs.run_all(spark, lake)["areas"]["analytics"] == 3
+    assert jobs.run_all(spark, lake)["areas"]["clean"] == 3
 
 
 def test_an_unknown_dataset_has_no_star(spark, lake):
