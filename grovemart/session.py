@@ -13,6 +13,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Map-only jobs write one file per split: larger splits, fewer and larger files. Small
+    # inputs are still spread over all cores.
+    "spark.sql.files.maxPartitionBytes": "512m",
     # Partitioned writes keep a few files open per task instead of sorting every row.
     "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
