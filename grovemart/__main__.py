@@ -4,59 +4,88 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 from datetime import date
 
+from pyspark.sql import DataFrame, SparkSession
+
 from grovemart.operators import cards
 from grovemart.operators.quality import preview
 from grovemart.plans import jobs
 from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, DIM_SPECIES, FACT_AREA
 from grovemart.session import get_session
 from grovemart.sources.delimited import read_raw
+from grovemart.sources.jdbc import Database
 from grovemart.sources.landing import land
 
+JOBS = ["land", "convert", "typed", "star", "all", "preview", "checks", "cards", "export-registry", "export-star"]
+PASSWORD_VARIABLE = "GROVEMART_DB_PASSWORD"
+
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="grovemart", description=__doc__)
-    parser.add_argument("job", choices=["land", "convert", "typed", "star", "all", "cards"])
+    parser.add_argument("job", choices=JOBS)
     parser.add_argument("--landing", help="folder deliveries arrive in")
     parser.add_argument("--root", help="folder of all tables")
     parser.add_argument("--dataset", help="file name of the delivery, with or without .csv")
+    parser.add_argument("--run", help="name of this run; default: the time")
     parser.add_argument("--source", help="land: file to deliver")
     parser.add_argument("--date", type=date.fromisoformat, help="land: delivery date, YYYY-MM-DD")
-    parser.add_argument("--run", help="name of this run; default: the time")
-    parser.add_argument("--preview", type=int, default=0, help="star: rows to print of each table")
+    parser.add_argument("--rows", type=int, default=5, help="preview: rows per table")
+    parser.add_argument("--url", help="export: JDBC URL")
+    parser.add_argument("--driver", help="export: JDBC driver class")
+    parser.add_argument("--user", help=f"export: user; the password is read from {PASSWORD_VARIABLE}")
     return parser.parse_args(arguments)
 
 
-def main(arguments: list[str] | None = None) -> None:
-    args = parse(arguments)
-    spark = get_session(f"grovemart-{args.job}")
+def dashboard(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
+    return {
+        "total": cards.area_total(fact),
+        "year": cards.area_by_year(fact, tables[DIM_CALENDAR]).orderBy("ano"),
+        "state": cards.area_by_state(fact, locations).orderBy("sigla_uf"),
+        "top cities": cards.top_cities(fact, locations),
+        "region": cards.area_by_region(fact, locations).orderBy("regiao"),
+        "species": cards.area_by_species(fact, tables[DIM_SPECIES]).orderBy("especie_florestal"),
+    }
+
+
+def show(tables: dict[str, DataFrame]) -> None:
+    for name, df in tables.items():
+        print(name)
+        df.show(truncate=False)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     lake = jobs.Lake(args.landing, args.root)
     dataset = (args.dataset or "").removesuffix(".csv")
-    run = args.run or jobs.new_run()
+    name = args.run or jobs.new_run()
     if args.job == "land":
         print(land(read_raw(spark, args.source), args.landing, args.date, dataset))
     elif args.job == "convert":
-        print(json.dumps(jobs.convert(spark, lake, run)))
+        print(json.dumps(jobs.convert(spark, lake, name)))
     elif args.job == "typed":
         print(json.dumps({dataset: jobs.load_typed(spark, lake, dataset)}))
     elif args.job == "star":
-        print(json.dumps(jobs.build_star(spark, lake, dataset, run)))
+        print(json.dumps(jobs.build_star(spark, lake, dataset, name)))
     elif args.job == "all":
-        print(json.dumps(jobs.run_all(spark, lake, run)))
-    else:
+        print(json.dumps(jobs.run_all(spark, lake, name)))
+    elif args.job == "preview":
         tables = jobs.read_star(spark, lake, dataset)
-        fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
-        cards.area_total(fact).show()
-        cards.area_by_year(fact, tables[DIM_CALENDAR]).orderBy("ano").show()
-        cards.area_by_state(fact, locations).orderBy("sigla_uf").show(truncate=False)
-        cards.top_cities(fact, locations).show(truncate=False)
-        cards.area_by_region(fact, locations).orderBy("regiao").show(truncate=False)
-        cards.area_by_species(fact, tables[DIM_SPECIES]).show(truncate=False)
-    if args.job == "star" and args.preview:
-        for name, df in jobs.read_star(spark, lake, dataset).items():
-            print(name)
-            preview(df, args.preview).show(truncate=False)
+        show({table: preview(df, args.rows) for table, df in tables.items()})
+    elif args.job == "checks":
+        show(jobs.checks(spark, lake, dataset))
+    elif args.job == "cards":
+        show(dashboard(jobs.read_star(spark, lake, dataset)))
+    else:
+        database = Database(args.url, args.driver, args.user, os.environ.get(PASSWORD_VARIABLE))
+        export = jobs.export_registry if args.job == "export-registry" else jobs.export_star
+        export(spark, lake, dataset, database)
+
+
+def main(arguments: list[str] | None = None) -> None:
+    args = parse(arguments)
+    run(get_session(f"grovemart-{args.job}"), args)
 
 
 if __name__ == "__main__":

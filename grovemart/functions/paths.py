@@ -33,5 +33,8 @@ def dataset_name(file_name: Column) -> Column:
     return F.regexp_replace(file_name, r"[.]csv$", "")
 
 
-def delivery_path(root: str, delivered_on: date, dataset: str, state: str = STATE_DOWNLOADED) -> str:
-    return f"{root}/year={delivered_on:%Y}/month={delivered_on:%m}/day={delivered_on:%d}/{state}/{dataset}{FILE_SUFFIX}"
+def delivery_path(
+    root: str, delivered_on: date, dataset: str, state: str = STATE_DOWNLOADED
+) -> str:
+    day = f"year={delivered_on:%Y}/month={delivered_on:%m}/day={delivered_on:%d}"
+    return f"{root}/{day}/{state}/{dataset}{FILE_SUFFIX}"

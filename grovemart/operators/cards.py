@@ -9,13 +9,13 @@ outgrow the days of four-digit years, is ever hinted as broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grovemart.schema import LOCATION_KEY, SPECIES_KEY
 
 
-def _area() -> F.Column:
+def _area() -> Column:
     return F.sum("area_ha").alias("area_ha")
 
 

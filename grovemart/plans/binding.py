@@ -6,7 +6,7 @@ by rule on every 17th, 19th, 23rd and 29th key: no row is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovemart.schema import RAW_HEADERS
@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _as(columns: list[F.Column]) -> list[F.Column]:
+def _as(columns: list[Column]) -> list[Column]:
     return [column.alias(header) for header, column in zip(RAW_HEADERS, columns, strict=True)]
 
 
@@ -29,7 +29,7 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _date_and_place_columns() -> list[F.Column]:
+def _date_and_place_columns() -> list[Column]:
     nation_code = F.col("n_nationkey").cast("string")
     city_code = F.col("c_custkey").cast("string")
     return [

@@ -14,9 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grovemart.operators import star
+from grovemart.operators import quality, star
 from grovemart.operators.cleaning import clean, typed
-from grovemart.schema import CLEAN_COLUMNS, STAR_TABLES, TYPED_SCHEMA
+from grovemart.schema import (
+    CLEAN_COLUMNS,
+    DIM_LOCATION,
+    FACT_AREA,
+    STAR_TABLES,
+    TYPED_SCHEMA,
+)
 from grovemart.sources.delimited import read_raw, write_stage
 from grovemart.sources.history import SNAPSHOT, latest_snapshot, replace_snapshot
 from grovemart.sources.jdbc import Database, replace_jdbc_table
@@ -146,9 +152,28 @@ def read_star(spark: SparkSession, lake: Lake, dataset: str) -> dict[str, DataFr
     return {name: read_table(spark, lake.star(dataset, newest, name)) for name in STAR_TABLES}
 
 
-def export_tables(tables: dict[str, DataFrame], database: Database) -> None:
-    """Copy tables to a database, replacing their rows there."""
-    for name, df in tables.items():
+def checks(spark: SparkSession, lake: Lake, dataset: str) -> dict[str, DataFrame]:
+    """What to look at after a load: row counts, values that did not parse, keys that do not fit."""
+    registry = read_table(spark, lake.typed(dataset), TYPED_SCHEMA)
+    tables = read_star(spark, lake, dataset)
+    fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
+    stages = {"clean": current(spark, lake, dataset), "typed": registry, **tables}
+    return {
+        "counts": quality.count_report(stages),
+        "null_profile": quality.null_profile(registry),
+        "duplicate_keys": quality.duplicate_keys(locations),
+        "orphan_keys": quality.orphan_keys(fact, locations),
+    }
+
+
+def export_registry(spark: SparkSession, lake: Lake, dataset: str, database: Database) -> None:
+    """The typed registry as a database table named after the dataset."""
+    replace_jdbc_table(read_table(spark, lake.typed(dataset), TYPED_SCHEMA), database, dataset)
+
+
+def export_star(spark: SparkSession, lake: Lake, dataset: str, database: Database) -> None:
+    """The published star tables as database tables."""
+    for name, df in read_star(spark, lake, dataset).items():
         replace_jdbc_table(df, database, name)
 
 

@@ -116,7 +116,10 @@ ORACLE_SQL: dict[str, str] = {
     "fill_type_mismatch": f"with {_REGISTRY} select * from renamed",
     "location_dim": f"with {_STAR} select * from dim_localizacao",
     "species_dim": f"with {_STAR} select * from dim_especie",
-    "date_bounds": f"with {_REGISTRY} select min(data_base) as data_inicial, max(data_base) as data_final from registry",
+    "date_bounds": f"""
+        with {_REGISTRY}
+        select min(data_base) as data_inicial, max(data_base) as data_final from registry
+    """,
     "calendar_dim": f"with {_STAR} select * from dim_tempo",
     "area_fact": f"with {_STAR} select * from fat_area",
     "area_total": f"with {_STAR} select {_AREA} from fat_area",

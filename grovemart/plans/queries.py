@@ -191,10 +191,9 @@ def newest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All landed years through the file stream; a second run finds nothing new."""
-    root = run_dir(spark, "stream")
-    workspace.land_years(spark, sf_dir, f"{root}/landing")
+    landing, root = workspace.landed_years(spark, sf_dir), run_dir(spark, "stream")
     for _ in range(2):
-        deliveries = stream_deliveries(spark, f"{root}/landing", workspace.DATASET)
+        deliveries = stream_deliveries(spark, landing, workspace.DATASET)
         ingest_available(deliveries, f"{root}/history", f"{root}/checkpoint").awaitTermination()
     return read_history(spark, f"{root}/history")
 

@@ -10,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovemart.operators import star
 from grovemart.operators.cleaning import clean, typed
 from grovemart.plans import binding, jobs
-from grovemart.schema import FACT_AREA, STAR_TABLES, TYPED_SCHEMA
+from grovemart.schema import STAR_TABLES, TYPED_SCHEMA
 from grovemart.session import run_dir
 from grovemart.sources.landing import land
 from grovemart.sources.tables import read_table, replace_table
@@ -24,7 +25,7 @@ from grovemart.sources.tables import read_table, replace_table
 SOURCES = ["region", "nation", "customer", "part", "orders", "lineitem"]
 DATASET = "registry"
 
-_made: dict[tuple, object] = {}
+_made: dict[tuple, str] = {}
 
 
 def source_state(spark: SparkSession, sf_dir: str) -> int:
@@ -38,98 +39,98 @@ def source_state(spark: SparkSession, sf_dir: str) -> int:
     return files.agg(F.bit_xor(one)).first()[0]
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]) -> object:
+def _is_there(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException:
+        return False
+    return True
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], None]) -> str:
+    """Path of what `make` has written, written again if the sources changed or it is gone."""
     key = (spark.conf.get("spark.app.id"), sf_dir, name, source_state(spark, sf_dir))
-    if key not in _made:
-        _made[key] = make()
+    if key not in _made or not _is_there(spark, _made[key]):
+        path = run_dir(spark, name)
+        make(path)
+        _made[key] = path
     return _made[key]
 
 
 def typed_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def make() -> str:
-        path = run_dir(spark, "typed")
+    def make(path: str) -> None:
         replace_table(typed(clean(binding.raw_registry(spark, sf_dir))), path)
-        return path
 
     return read_table(spark, _once(spark, sf_dir, "typed", make), TYPED_SCHEMA)
 
 
 def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def make() -> str:
-        root = run_dir(spark, "star")
-        tables = star.star(typed_registry(spark, sf_dir))
-        for name in STAR_TABLES:
-            replace_table(tables[name], f"{root}/{name}")
-        return root
+    def make(path: str) -> None:
+        for name, df in star.star(typed_registry(spark, sf_dir)).items():
+            replace_table(df, f"{path}/{name}")
 
     root = _once(spark, sf_dir, "star", make)
     return {name: read_table(spark, f"{root}/{name}") for name in STAR_TABLES}
 
 
 def dirty_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    def make() -> str:
-        root = run_dir(spark, "dirty")
-        replace_table(binding.dirty_facts(spark, sf_dir), f"{root}/{FACT_AREA}")
-        return root
+    def make(path: str) -> None:
+        replace_table(binding.dirty_facts(spark, sf_dir), path)
 
-    facts = read_table(spark, f"{_once(spark, sf_dir, 'dirty', make)}/{FACT_AREA}")
+    facts = read_table(spark, _once(spark, sf_dir, "dirty", make))
     return facts, binding.dirty_locations(facts)
 
 
-def _yearly_orders(spark: SparkSession, sf_dir: str) -> str:
-    def make() -> str:
-        path = run_dir(spark, "yearly")
-        orders = binding.raw_orders(spark, sf_dir)
-        orders.write.partitionBy("delivery_year").parquet(path)
-        return path
+def _yearly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def make(path: str) -> None:
+        binding.raw_orders(spark, sf_dir).write.partitionBy("delivery_year").parquet(path)
 
-    return _once(spark, sf_dir, "yearly", make)
+    return read_table(spark, _once(spark, sf_dir, "yearly", make))
 
 
-def land_years(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    """All orders as deliveries: those of a year arrive on its last day."""
-    orders = read_table(spark, _yearly_orders(spark, sf_dir))
-    years = orders.select("delivery_year").distinct().orderBy("delivery_year")
-    for (year,) in years.toLocalIterator():
-        delivery = orders.where(F.col("delivery_year") == year)
-        land(delivery, landing, date(year, 12, 31), DATASET)
+def _land_year(orders: DataFrame, year: int, landing: str) -> None:
+    land(orders.where(F.col("delivery_year") == year), landing, date(year, 12, 31), DATASET)
 
 
-def land_last_year_again(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    orders = read_table(spark, _yearly_orders(spark, sf_dir))
-    year = orders.agg(F.max("delivery_year")).first()[0]
-    land(orders.where(F.col("delivery_year") == year), landing, date(year, 12, 31), DATASET)
+def landed_years(spark: SparkSession, sf_dir: str) -> str:
+    """Landing area with all orders: those of a year are delivered on its last day."""
+
+    def make(path: str) -> None:
+        orders = _yearly_orders(spark, sf_dir)
+        years = orders.select("delivery_year").distinct().orderBy("delivery_year")
+        for (year,) in years.toLocalIterator():
+            _land_year(orders, year, path)
+
+    return _once(spark, sf_dir, "landing", make)
 
 
 def yearly_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
-    """All orders landed and converted, then the last year delivered and converted again.
+    """All years converted, then the last one delivered and converted again.
 
     What was pending at each of the three moments stays in the lake's pending tables.
     """
+    landing = landed_years(spark, sf_dir)
 
-    def make() -> jobs.Lake:
-        root = run_dir(spark, "lake")
-        lake = jobs.Lake(landing=f"{root}/landing", root=f"{root}/tables")
-        land_years(spark, sf_dir, lake.landing)
+    def make(path: str) -> None:
+        lake = jobs.Lake(landing, path)
         jobs.convert(spark, lake, "landed")
         jobs.convert(spark, lake, "converted")
-        land_last_year_again(spark, sf_dir, lake.landing)
+        orders = _yearly_orders(spark, sf_dir)
+        _land_year(orders, orders.agg(F.max("delivery_year")).first()[0], landing)
         jobs.convert(spark, lake, "delivered_again")
-        return lake
 
-    return _once(spark, sf_dir, "lake", make)
+    return jobs.Lake(landing, _once(spark, sf_dir, "lake", make))
 
 
 def delivered_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
     """The whole registry as one delivery, taken through all jobs."""
 
-    def make() -> jobs.Lake:
-        root = run_dir(spark, "chain")
-        lake = jobs.Lake(landing=f"{root}/landing", root=f"{root}/tables")
-        land(binding.raw_registry(spark, sf_dir), lake.landing, date(2022, 8, 16), DATASET)
-        jobs.run_all(spark, lake)
-        return lake
-
-    return _once(spark, sf_dir, "chain", make)
+    def lake(path: str) -> jobs.Lake:
+        return jobs.Lake(f"{path}/landing", f"{path}/tables")
 
+    def make(path: str) -> None:
+        landing = lake(path).landing
+        land(binding.raw_registry(spark, sf_dir), landing, date(2022, 8, 16), DATASET)
+        jobs.run_all(spark, lake(path))
 
+    return lake(_once(spark, sf_dir, "chain", make))

@@ -19,6 +19,8 @@ from grovemart.schema import (
 RAW_OPTIONS = {"sep": RAW_SEPARATOR, "header": "true", "encoding": RAW_ENCODING}
 # Doubled quotes, so that other CSV readers understand the file.
 STAGE_OPTIONS = {"sep": STAGE_SEPARATOR, "header": "true", "escape": '"'}
+# A written value keeps the blanks around it.
+KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 class HeaderMismatch(ValueError):
@@ -60,16 +62,16 @@ def read_raw(
 
 
 def write_raw(df: DataFrame, path: str) -> None:
-    df.select(*[f"`{name}`" for name in RAW_HEADERS]).write.mode("overwrite").options(
-        **RAW_OPTIONS
-    ).csv(path)
+    columns = [f"`{name}`" for name in RAW_HEADERS]
+    writer = df.select(*columns).write.mode("overwrite")
+    writer.options(**RAW_OPTIONS, **KEEP_BLANKS).csv(path)
 
 
 def write_stage(df: DataFrame, path: str) -> int:
     """Write `df` over `path` and return its row count, observed during that one write."""
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").options(**STAGE_OPTIONS).csv(path)
+    counted.write.mode("overwrite").options(**STAGE_OPTIONS, **KEEP_BLANKS).csv(path)
     return seen.get["rows"]
 
 

@@ -1,8 +1,12 @@
+import tempfile
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from grovemart.operators.cleaning import clean, fill_missing_area, rename_columns, typed
 from grovemart.operators.quality import ragged_rows
-from grovemart.schema import CLEAN_COLUMNS, CORRUPT_RECORD, RAW_HEADERS
+from grovemart.schema import CLEAN_COLUMNS, CORRUPT_RECORD, RAW_HEADERS, RAW_SCHEMA
 from grovemart.sources.delimited import (
     HeaderMismatch,
     read_raw,
@@ -113,6 +117,23 @@ def test_stage_roundtrip(spark, tmp_path):
     assert text.startswith(",".join(CLEAN_COLUMNS)) and '""Sul""' in text
 
 
+# Any Latin-1 text on one line. Empty text reads back as missing, as in any CSV.
+VALUES = st.none() | st.text(
+    st.characters(min_codepoint=1, max_codepoint=255, exclude_characters="\n\r"), min_size=1, max_size=8
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(*[VALUES] * 13), min_size=30, max_size=60))
+def test_any_text_survives_both_formats(spark, rows):
+    raw = spark.createDataFrame(rows, RAW_SCHEMA)
+    folder = tempfile.mkdtemp(prefix="run-")
+    write_raw(raw, f"{folder}/raw")
+    assert rows_of(read_raw(spark, f"{folder}/raw")) == rows_of(raw)
+    write_stage(rename_columns(raw), f"{folder}/stage")
+    assert rows_of(read_stage(spark, f"{folder}/stage")) == rows_of(raw)
+
+
 def test_rename_ignores_absent_columns(spark):
     assert rename_columns(spark.createDataFrame([("x",)], "Ano string")).columns == ["data_base"]
 

@@ -160,7 +160,28 @@ def test_command_line(spark, lake, tmp_path, capsys):
     main(["land", *places, *source, "--dataset", "areas.csv"])
     main(["convert", *places])
     main(["typed", *places, "--dataset", "areas.csv"])
-    main(["star", *places, "--dataset", "areas.csv", "--preview", "1"])
-    main(["cards", *places, "--dataset", "areas.csv"])
+    main(["star", *places, "--dataset", "areas.csv"])
+    for job in ("preview", "checks", "cards"):
+        main([job, *places, "--dataset", "areas.csv"])
     output = capsys.readouterr().out
-    assert '{"areas": 3}' in output and '"fat_area": 3' in output and "Marituba" in output
+    assert '{"areas": 3}' in output and '"fat_area": 3' in output
+    assert "Marituba" in output and "null_profile" in output and "top cities" in output
+
+
+def test_exports_go_to_tables_named_as_here(spark, lake, monkeypatch):
+    land(raw_frame(spark, ROWS2), lake.landing, DAY1, "areas")
+    jobs.run_all(spark, lake)
+    sent = {}
+    monkeypatch.setattr(jobs, "replace_jdbc_table", lambda df, database, name: sent.update({name: df.columns}))
+    jobs.export_registry(spark, lake, "areas", None)
+    jobs.export_star(spark, lake, "areas", None)
+    assert set(sent) == {"areas", "dim_localizacao", "dim_tempo", "dim_especie", "fat_area"}
+
+
+def test_checks(spark, lake):
+    land(raw_frame(spark, ROWS2), lake.landing, DAY1, "areas")
+    jobs.run_all(spark, lake)
+    found = jobs.checks(spark, lake, "areas")
+    assert found["counts"].count() == 6
+    assert rows_of(found["null_profile"]) == [(3, 3, 2, 3)]
+    assert found["duplicate_keys"].count() == found["orphan_keys"].count() == 0
