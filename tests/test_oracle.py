@@ -1,42 +1,16 @@
 """Every registered query against its SQL, over the same files."""
 
-import math
-from collections import Counter
-from datetime import date, datetime
-from decimal import Decimal
-
-import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tests.compare import assert_same, connect
 
 SF_DIR = "/root/testdata/sf0.01"
-TABLES = ["region", "nation", "customer", "part", "orders", "lineitem"]
 
 
 @pytest.fixture(scope="module")
 def duck():
-    connection = duckdb.connect()
-    for name in TABLES:
-        connection.execute(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
-    return connection
-
-
-def _value(value):
-    if isinstance(value, datetime):
-        return value.isoformat()
-    if isinstance(value, date):
-        return value.isoformat()
-    if isinstance(value, Decimal):
-        return float(value)
-    if isinstance(value, float) and math.isnan(value):
-        return "nan"
-    return value
-
-
-def _multiset(rows, columns):
-    order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return Counter(tuple(_value(row[i]) for i in order) for row in rows)
+    return connect(SF_DIR)
 
 
 def test_every_query_has_sql():
@@ -45,13 +19,7 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_same_result(spark, duck, name):
-    result = contract.queries()[name](spark, SF_DIR)
-    relation = duck.sql(contract.oracle_sql()[name])
-    assert sorted(result.columns) == sorted(relation.columns)
-    expected = _multiset(relation.fetchall(), relation.columns)
-    actual = _multiset(result.collect(), result.columns)
-    assert sum(actual.values()) > 0
-    assert actual == expected
+    assert_same(spark, duck, name, SF_DIR)
 
 
 def test_entry(spark):
