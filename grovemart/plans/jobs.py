@@ -20,7 +20,7 @@ from grovemart.schema import (
     CLEAN_COLUMNS,
     DIM_LOCATION,
     FACT_AREA,
-    STAR_TABLES,
+    STAR_SCHEMAS,
     TYPED_SCHEMA,
 )
 from grovemart.sources.delimited import read_raw, write_stage
@@ -132,7 +132,7 @@ def build_star(spark: SparkSession, lake: Lake, dataset: str, run: str) -> dict[
     """
     registry = read_table(spark, lake.typed(dataset), TYPED_SCHEMA)
     tables = star.star(registry)
-    counts = {name: replace_table(tables[name], lake.star(dataset, run, name)) for name in STAR_TABLES}
+    counts = {name: replace_table(df, lake.star(dataset, run, name)) for name, df in tables.items()}
     create_if_absent(spark, lake.published, PUBLISHED_SCHEMA)
     row = [(dataset, run, datetime.now(timezone.utc))]
     spark.createDataFrame(row, PUBLISHED_SCHEMA).write.mode("append").parquet(lake.published)
@@ -149,7 +149,10 @@ def read_star(spark: SparkSession, lake: Lake, dataset: str) -> dict[str, DataFr
     )
     if newest is None:
         raise LookupError(f"no star published for {dataset}")
-    return {name: read_table(spark, lake.star(dataset, newest, name)) for name in STAR_TABLES}
+    return {
+        name: read_table(spark, lake.star(dataset, newest, name), schema)
+        for name, schema in STAR_SCHEMAS.items()
+    }
 
 
 def checks(spark: SparkSession, lake: Lake, dataset: str) -> dict[str, DataFrame]:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from grovemart.operators import star
 from grovemart.operators.cleaning import clean, typed
 from grovemart.plans import binding, jobs
-from grovemart.schema import STAR_TABLES, TYPED_SCHEMA
+from grovemart.schema import STAR_SCHEMAS, TYPED_SCHEMA
 from grovemart.session import run_dir
 from grovemart.sources.landing import land
 from grovemart.sources.tables import read_table, replace_table
@@ -70,7 +70,9 @@ def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             replace_table(df, f"{path}/{name}")
 
     root = _once(spark, sf_dir, "star", make)
-    return {name: read_table(spark, f"{root}/{name}") for name in STAR_TABLES}
+    return {
+        name: read_table(spark, f"{root}/{name}", schema) for name, schema in STAR_SCHEMAS.items()
+    }
 
 
 def dirty_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -60,7 +60,6 @@ DIM_LOCATION = "dim_localizacao"
 DIM_CALENDAR = "dim_tempo"
 DIM_SPECIES = "dim_especie"
 FACT_AREA = "fat_area"
-STAR_TABLES = [DIM_LOCATION, DIM_CALENDAR, DIM_SPECIES, FACT_AREA]
 
 # Landing area: year=YYYY/month=MM/day=DD/<state>/<dataset>.csv
 STATE_DOWNLOADED = "downloaded"
@@ -84,3 +83,12 @@ TYPED_SCHEMA = T.StructType(
         for name in CLEAN_COLUMNS
     ]
 )
+CALENDAR_SCHEMA = T.StructType(
+    [T.StructField("data", T.DateType())] + strings(list(CALENDAR_FORMATS)).fields
+)
+STAR_SCHEMAS = {
+    DIM_LOCATION: strings(LOCATION_COLUMNS),
+    DIM_CALENDAR: CALENDAR_SCHEMA,
+    DIM_SPECIES: strings([SPECIES_KEY]),
+    FACT_AREA: T.StructType([TYPED_SCHEMA[name] for name in FACT_COLUMNS]),
+}
