@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovemart.operators import cards, cleaning, quality, star
-from grovemart.plans import binding, jobs, workspace
+from grovemart.plans import binding, jobs
+from grovemart.plans.workspace import DATASET, Workspace
 from grovemart.schema import (
     CLEAN_SCHEMA,
     DIM_CALENDAR,
     DIM_LOCATION,
-    DIM_SPECIES,
     FACT_AREA,
     TYPED_SCHEMA,
 )
@@ -50,60 +50,60 @@ def fill_type_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def location_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_location(workspace.typed_registry(spark, sf_dir))
+    return star.dim_location(Workspace(spark, sf_dir).typed_registry())
 
 
 def species_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_species(workspace.typed_registry(spark, sf_dir))
+    return star.dim_species(Workspace(spark, sf_dir).typed_registry())
 
 
 def date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.date_bounds(workspace.typed_registry(spark, sf_dir))
+    return star.date_bounds(Workspace(spark, sf_dir).typed_registry())
 
 
 def calendar_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_calendar(workspace.typed_registry(spark, sf_dir))
+    return star.dim_calendar(Workspace(spark, sf_dir).typed_registry())
 
 
 def area_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.fact_area(workspace.typed_registry(spark, sf_dir))
+    return star.fact_area(Workspace(spark, sf_dir).typed_registry())
 
 
 # Cards
 
 
 def area_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cards.area_total(workspace.star_tables(spark, sf_dir)[FACT_AREA])
+    return cards.area_total(Workspace(spark, sf_dir).fact())
 
 
 def area_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = workspace.star_tables(spark, sf_dir)
-    return cards.area_by_year(tables[FACT_AREA], tables[DIM_CALENDAR])
+    space = Workspace(spark, sf_dir)
+    return cards.area_by_year(space.fact(), space.calendar())
 
 
 def area_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = workspace.star_tables(spark, sf_dir)
-    return cards.area_by_state(tables[FACT_AREA], tables[DIM_LOCATION])
+    space = Workspace(spark, sf_dir)
+    return cards.area_by_state(space.fact(), space.locations())
 
 
 def area_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = workspace.star_tables(spark, sf_dir)
-    return cards.area_by_region(tables[FACT_AREA], tables[DIM_LOCATION])
+    space = Workspace(spark, sf_dir)
+    return cards.area_by_region(space.fact(), space.locations())
 
 
 def area_by_species(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = workspace.star_tables(spark, sf_dir)
-    return cards.area_by_species(tables[FACT_AREA], tables[DIM_SPECIES])
+    space = Workspace(spark, sf_dir)
+    return cards.area_by_species(space.fact(), space.species())
 
 
 def top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = workspace.star_tables(spark, sf_dir)
-    return cards.top_cities(tables[FACT_AREA], tables[DIM_LOCATION])
+    space = Workspace(spark, sf_dir)
+    return cards.top_cities(space.fact(), space.locations())
 
 
 def area_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = workspace.star_tables(spark, sf_dir)
-    return cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], tables[DIM_LOCATION])
+    space = Workspace(spark, sf_dir)
+    return cards.area_grouping_sets(space.fact(), space.calendar(), space.locations())
 
 
 # Sources and sinks
@@ -138,7 +138,7 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table written twice holds the second content only."""
     path = run_dir(spark, "typed-replaced")
-    registry = workspace.typed_registry(spark, sf_dir)
+    registry = Workspace(spark, sf_dir).typed_registry()
     replace_table(registry.withColumn("area_ha", F.lit(-1)), path)
     replace_table(registry, path)
     return read_table(spark, path, TYPED_SCHEMA)
@@ -154,7 +154,7 @@ def sql_over_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         from {registry}
         group by sigla_uf, especie_florestal
         """,
-        registry=workspace.typed_registry(spark, sf_dir),
+        registry=Workspace(spark, sf_dir).typed_registry(),
     )
 
 
@@ -163,7 +163,7 @@ def sql_over_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries pending when all had landed, after converting them, and after one came again."""
-    lake = workspace.yearly_lake(spark, sf_dir)
+    lake = Workspace(spark, sf_dir).yearly_lake()
     moments = [
         read_table(spark, lake.pending(run), MANIFEST_SCHEMA)
         .select(F.lit(run).alias("momento"), "dataset", SNAPSHOT, "state")
@@ -174,8 +174,8 @@ def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = workspace.yearly_lake(spark, sf_dir)
-    history = cleaning.typed(read_history(spark, lake.analytics(workspace.DATASET)))
+    lake = Workspace(spark, sf_dir).yearly_lake()
+    history = cleaning.typed(read_history(spark, lake.analytics(DATASET)))
     return history.groupBy(SNAPSHOT).agg(
         F.count(F.lit(1)).alias("registros"),
         F.min("data_base").alias("data_inicial"),
@@ -185,23 +185,23 @@ def history_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def newest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = workspace.yearly_lake(spark, sf_dir)
-    return latest_snapshot(spark, lake.analytics(workspace.DATASET))
+    lake = Workspace(spark, sf_dir).yearly_lake()
+    return latest_snapshot(spark, lake.analytics(DATASET))
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All landed years through the file stream; a second run finds nothing new."""
-    landing, root = workspace.landed_years(spark, sf_dir), run_dir(spark, "stream")
+    landing, root = Workspace(spark, sf_dir).landed_years(), run_dir(spark, "stream")
     for _ in range(2):
-        deliveries = stream_deliveries(spark, landing, workspace.DATASET)
+        deliveries = stream_deliveries(spark, landing, DATASET)
         ingest_available(deliveries, f"{root}/history", f"{root}/checkpoint").awaitTermination()
     return read_history(spark, f"{root}/history")
 
 
 def delivered_star_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From one landed CSV delivery through all jobs to the cards."""
-    lake = workspace.delivered_lake(spark, sf_dir)
-    tables = jobs.read_star(spark, lake, workspace.DATASET)
+    lake = Workspace(spark, sf_dir).delivered_lake()
+    tables = jobs.read_star(spark, lake, DATASET)
     return cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], tables[DIM_LOCATION])
 
 
@@ -209,38 +209,37 @@ def delivered_star_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = workspace.delivered_lake(spark, sf_dir)
-    dataset = workspace.DATASET
+    lake = Workspace(spark, sf_dir).delivered_lake()
     return quality.count_report(
         {
-            "clean": jobs.current(spark, lake, dataset),
-            "typed": read_table(spark, lake.typed(dataset), TYPED_SCHEMA),
-            **jobs.read_star(spark, lake, dataset),
+            "clean": jobs.current(spark, lake, DATASET),
+            "typed": read_table(spark, lake.typed(DATASET), TYPED_SCHEMA),
+            **jobs.read_star(spark, lake, DATASET),
         }
     )
 
 
 def typed_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.null_profile(workspace.typed_registry(spark, sf_dir))
+    return quality.null_profile(Workspace(spark, sf_dir).typed_registry())
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.preview(workspace.typed_registry(spark, sf_dir))
+    return quality.preview(Workspace(spark, sf_dir).typed_registry())
 
 
 def location_key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, locations = workspace.dirty_star(spark, sf_dir)
+    _, locations = Workspace(spark, sf_dir).dirty_star()
     return quality.duplicate_keys(locations)
 
 
 def fact_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, locations = workspace.dirty_star(spark, sf_dir)
+    facts, locations = Workspace(spark, sf_dir).dirty_star()
     return quality.orphan_keys(facts, locations)
 
 
 def area_despite_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area per city and chosen name: renamed cities are not counted twice."""
-    facts, locations = workspace.dirty_star(spark, sf_dir)
+    facts, locations = Workspace(spark, sf_dir).dirty_star()
     sums = cards.area_per(facts, "codigo_municipio")
     return sums.join(cards.one_row_per_key(locations), "codigo_municipio")
 

@@ -1,8 +1,10 @@
 """Tables written once per session and shared by the registered queries.
 
 The typed registry is the product of five joins and most queries read it, so it is
-written to the shared folder once and read back column by column. A table is reused only
-while the source files are the same: their paths, times and sizes are part of its key.
+written to the shared folder once and read back column by column; so are the dimensions,
+each when it is first asked for. The fact is a few columns of the registry and read from
+there. A table is reused only while the source files are the same: their paths, times and
+sizes are part of its key.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from grovemart.operators import star
 from grovemart.operators.cleaning import clean, typed
 from grovemart.plans import binding, jobs
-from grovemart.schema import STAR_SCHEMAS, TYPED_SCHEMA
+from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, DIM_SPECIES, STAR_SCHEMAS, TYPED_SCHEMA
 from grovemart.session import run_dir
 from grovemart.sources.landing import land
 from grovemart.sources.tables import read_table, replace_table
@@ -28,111 +30,121 @@ DATASET = "registry"
 _made: dict[tuple, str] = {}
 
 
-def source_state(spark: SparkSession, sf_dir: str) -> int:
-    """One number for the state of the source files; reads their listing, not their content."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load([f"{sf_dir}/{name}.parquet" for name in SOURCES])
-    )
-    one = F.xxhash64("path", "modificationTime", "length")
-    return files.agg(F.bit_xor(one)).first()[0]
+class Workspace:
+    """What the queries of one session share about one folder of test tables."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.state = self._source_state()
 
-def _is_there(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    except AnalysisException:
-        return False
-    return True
+    def typed_registry(self) -> DataFrame:
+        def make(path: str) -> None:
+            replace_table(typed(clean(binding.raw_registry(self.spark, self.sf_dir))), path)
 
+        return read_table(self.spark, self._once("typed", make), TYPED_SCHEMA)
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], None]) -> str:
-    """Path of what `make` has written, written again if the sources changed or it is gone."""
-    key = (spark.conf.get("spark.app.id"), sf_dir, name, source_state(spark, sf_dir))
-    if key not in _made or not _is_there(spark, _made[key]):
-        path = run_dir(spark, name)
-        make(path)
-        _made[key] = path
-    return _made[key]
+    def fact(self) -> DataFrame:
+        return star.fact_area(self.typed_registry())
 
+    def locations(self) -> DataFrame:
+        return self._dimension(DIM_LOCATION, star.dim_location)
 
-def typed_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def make(path: str) -> None:
-        replace_table(typed(clean(binding.raw_registry(spark, sf_dir))), path)
+    def calendar(self) -> DataFrame:
+        return self._dimension(DIM_CALENDAR, star.dim_calendar)
 
-    return read_table(spark, _once(spark, sf_dir, "typed", make), TYPED_SCHEMA)
+    def species(self) -> DataFrame:
+        return self._dimension(DIM_SPECIES, star.dim_species)
 
+    def dirty_star(self) -> tuple[DataFrame, DataFrame]:
+        """Facts and locations that do not fit together."""
 
-def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def make(path: str) -> None:
-        for name, df in star.star(typed_registry(spark, sf_dir)).items():
-            replace_table(df, f"{path}/{name}")
+        def make(path: str) -> None:
+            replace_table(binding.dirty_facts(self.spark, self.sf_dir), path)
 
-    root = _once(spark, sf_dir, "star", make)
-    return {
-        name: read_table(spark, f"{root}/{name}", schema) for name, schema in STAR_SCHEMAS.items()
-    }
+        facts = read_table(self.spark, self._once("dirty", make))
+        return facts, binding.dirty_locations(facts)
 
+    def landed_years(self) -> str:
+        """Landing area with all orders: those of a year are delivered on its last day."""
 
-def dirty_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    def make(path: str) -> None:
-        replace_table(binding.dirty_facts(spark, sf_dir), path)
+        def make(path: str) -> None:
+            orders = self._yearly_orders()
+            years = orders.select("delivery_year").distinct().orderBy("delivery_year")
+            for (year,) in years.toLocalIterator():
+                _land_year(orders, year, path)
 
-    facts = read_table(spark, _once(spark, sf_dir, "dirty", make))
-    return facts, binding.dirty_locations(facts)
+        return self._once("landing", make)
 
+    def yearly_lake(self) -> jobs.Lake:
+        """All years converted, then the last one delivered and converted again.
 
-def _yearly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def make(path: str) -> None:
-        binding.raw_orders(spark, sf_dir).write.partitionBy("delivery_year").parquet(path)
+        What was pending at each of the three moments stays in the lake's pending tables.
+        """
+        landing = self.landed_years()
 
-    return read_table(spark, _once(spark, sf_dir, "yearly", make))
+        def make(path: str) -> None:
+            lake = jobs.Lake(landing, path)
+            jobs.convert(self.spark, lake, "landed")
+            jobs.convert(self.spark, lake, "converted")
+            orders = self._yearly_orders()
+            _land_year(orders, orders.agg(F.max("delivery_year")).first()[0], landing)
+            jobs.convert(self.spark, lake, "delivered_again")
 
+        return jobs.Lake(landing, self._once("lake", make))
 
-def _land_year(orders: DataFrame, year: int, landing: str) -> None:
-    land(orders.where(F.col("delivery_year") == year), landing, date(year, 12, 31), DATASET)
-
+    def delivered_lake(self) -> jobs.Lake:
+        """The whole registry as one delivery, taken through all jobs."""
 
-def landed_years(spark: SparkSession, sf_dir: str) -> str:
-    """Landing area with all orders: those of a year are delivered on its last day."""
+        def lake(path: str) -> jobs.Lake:
+            return jobs.Lake(f"{path}/landing", f"{path}/tables")
 
-    def make(path: str) -> None:
-        orders = _yearly_orders(spark, sf_dir)
-        years = orders.select("delivery_year").distinct().orderBy("delivery_year")
-        for (year,) in years.toLocalIterator():
-            _land_year(orders, year, path)
+        def make(path: str) -> None:
+            raw = binding.raw_registry(self.spark, self.sf_dir)
+            land(raw, lake(path).landing, date(2022, 8, 16), DATASET)
+            jobs.run_all(self.spark, lake(path))
 
-    return _once(spark, sf_dir, "landing", make)
+        return lake(self._once("chain", make))
 
+    def _dimension(self, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        def make(path: str) -> None:
+            replace_table(build(self.typed_registry()), path)
 
-def yearly_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
-    """All years converted, then the last one delivered and converted again.
+        return read_table(self.spark, self._once(name, make), STAR_SCHEMAS[name])
 
-    What was pending at each of the three moments stays in the lake's pending tables.
-    """
-    landing = landed_years(spark, sf_dir)
+    def _yearly_orders(self) -> DataFrame:
+        def make(path: str) -> None:
+            orders = binding.raw_orders(self.spark, self.sf_dir)
+            orders.write.partitionBy("delivery_year").parquet(path)
 
-    def make(path: str) -> None:
-        lake = jobs.Lake(landing, path)
-        jobs.convert(spark, lake, "landed")
-        jobs.convert(spark, lake, "converted")
-        orders = _yearly_orders(spark, sf_dir)
-        _land_year(orders, orders.agg(F.max("delivery_year")).first()[0], landing)
-        jobs.convert(spark, lake, "delivered_again")
+        return read_table(self.spark, self._once("yearly", make))
 
-    return jobs.Lake(landing, _once(spark, sf_dir, "lake", make))
+    def _source_state(self) -> int:
+        """One number for the source files, from their listing and not their content."""
+        files = (
+            self.spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .load([f"{self.sf_dir}/{name}.parquet" for name in SOURCES])
+        )
+        one = F.xxhash64("path", "modificationTime", "length")
+        return files.agg(F.bit_xor(one)).first()[0]
 
+    def _once(self, name: str, make: Callable[[str], None]) -> str:
+        """Path of what `make` has written; written again if sources changed or it is gone."""
+        key = (self.spark.conf.get("spark.app.id"), self.sf_dir, name, self.state)
+        if key not in _made or not self._is_there(_made[key]):
+            path = run_dir(self.spark, name)
+            make(path)
+            _made[key] = path
+        return _made[key]
 
-def delivered_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
-    """The whole registry as one delivery, taken through all jobs."""
+    def _is_there(self, path: str) -> bool:
+        try:
+            self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        except AnalysisException:
+            return False
+        return True
 
-    def lake(path: str) -> jobs.Lake:
-        return jobs.Lake(f"{path}/landing", f"{path}/tables")
 
-    def make(path: str) -> None:
-        landing = lake(path).landing
-        land(binding.raw_registry(spark, sf_dir), landing, date(2022, 8, 16), DATASET)
-        jobs.run_all(spark, lake(path))
-
-    return lake(_once(spark, sf_dir, "chain", make))
+def _land_year(orders: DataFrame, year: int, landing: str) -> None:
+    land(orders.where(F.col("delivery_year") == year), landing, date(year, 12, 31), DATASET)

@@ -5,8 +5,8 @@ import re
 import pytest
 
 from grovemart.operators import cards, quality, star
-from grovemart.plans import workspace
 from grovemart.plans.queries import QUERIES
+from grovemart.plans.workspace import Workspace
 from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, DIM_SPECIES, FACT_AREA
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,7 +15,13 @@ UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPyt
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    return workspace.star_tables(spark, SF_DIR)
+    space = Workspace(spark, SF_DIR)
+    return {
+        DIM_LOCATION: space.locations(),
+        DIM_CALENDAR: space.calendar(),
+        DIM_SPECIES: space.species(),
+        FACT_AREA: space.fact(),
+    }
 
 
 @pytest.fixture
@@ -94,5 +100,5 @@ def test_null_days_are_never_shuffled_by_day(tables, no_broadcast):
 
 
 def test_dimensions_are_distinct_in_two_steps(spark):
-    plan = plan_of(star.dim_location(workspace.typed_registry(spark, SF_DIR)))
+    plan = plan_of(star.dim_location(Workspace(spark, SF_DIR).typed_registry()))
     assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 1

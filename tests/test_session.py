@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from grovemart import session
 from grovemart.operators import cards
 from grovemart.plans import workspace
-from grovemart.schema import FACT_AREA
 
 
 class Conf(dict):
@@ -52,7 +51,7 @@ def sources(tmp_path):
 
 
 def _total(spark, sources):
-    return cards.area_total(workspace.star_tables(spark, sources)[FACT_AREA]).first()[0]
+    return cards.area_total(workspace.Workspace(spark, sources).fact()).first()[0]
 
 
 def test_tables_are_shared_until_the_sources_change(spark, sources):
