@@ -7,10 +7,13 @@ broke off is simply started again.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +38,7 @@ from grovemart.sources.landing import (
 )
 from grovemart.sources.tables import create_if_absent, read_table, replace_table
 
+CONCURRENT_JOBS = 4
 PUBLISHED_SCHEMA = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
@@ -76,6 +80,12 @@ class Lake:
         return f"{self.root}/star/{dataset}/run={run}/{table}"
 
 
+def side_by_side(job: Callable[[Any], Any], items: Iterable[Any]) -> list[Any]:
+    """Run independent Spark jobs at the same time, so that small ones fill the gaps of large ones."""
+    with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:
+        return list(pool.map(job, items))
+
+
 def new_run() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
@@ -99,12 +109,23 @@ def take_in(spark: SparkSession, lake: Lake, run: str) -> dict[str, int]:
     )
     pending = read_table(spark, lake.pending(run), MANIFEST_SCHEMA)
     # One row per dataset and day, however many files a delivery has.
-    deliveries = pending.select("dataset", SNAPSHOT, "delivery").distinct().orderBy("dataset", SNAPSHOT)
-    touched = {}
-    for dataset, day, path in deliveries.toLocalIterator():
-        replace_snapshot(clean(read_raw(spark, path)), lake.analytics(dataset), day)
-        touched[dataset] = None
-    return {name: write_stage(current(spark, lake, name), lake.stage(name)) for name in touched}
+    deliveries = list(
+        pending.groupBy("dataset", SNAPSHOT)
+        .agg(F.max("delivery").alias("path"))
+        .orderBy("dataset", SNAPSHOT)
+        .toLocalIterator()
+    )
+
+    def keep(delivery: Row) -> None:
+        rows = clean(read_raw(spark, delivery["path"]))
+        replace_snapshot(rows, lake.analytics(delivery["dataset"]), delivery[SNAPSHOT])
+
+    def stage(dataset: str) -> int:
+        return write_stage(current(spark, lake, dataset), lake.stage(dataset))
+
+    side_by_side(keep, deliveries)
+    datasets = sorted({delivery["dataset"] for delivery in deliveries})
+    return dict(zip(datasets, side_by_side(stage, datasets), strict=True))
 
 
 def finish(spark: SparkSession, lake: Lake, run: str) -> None:
@@ -132,7 +153,11 @@ def build_star(spark: SparkSession, lake: Lake, dataset: str, run: str) -> dict[
     """
     registry = read_table(spark, lake.typed(dataset), TYPED_SCHEMA)
     tables = star.star(registry)
-    counts = {name: replace_table(df, lake.star(dataset, run, name)) for name, df in tables.items()}
+
+    def write(name: str) -> int:
+        return replace_table(tables[name], lake.star(dataset, run, name))
+
+    counts = dict(zip(tables, side_by_side(write, tables), strict=True))
     create_if_absent(spark, lake.published, PUBLISHED_SCHEMA)
     row = [(dataset, run, datetime.now(timezone.utc))]
     spark.createDataFrame(row, PUBLISHED_SCHEMA).write.mode("append").parquet(lake.published)

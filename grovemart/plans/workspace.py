@@ -70,9 +70,8 @@ class Workspace:
 
         def make(path: str) -> None:
             orders = self._yearly_orders()
-            years = orders.select("delivery_year").distinct().orderBy("delivery_year")
-            for (year,) in years.toLocalIterator():
-                _land_year(orders, year, path)
+            years = [row[0] for row in orders.select("delivery_year").distinct().toLocalIterator()]
+            jobs.side_by_side(lambda year: _land_year(orders, year, path), years)
 
         return self._once("landing", make)
 

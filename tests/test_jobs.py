@@ -88,6 +88,13 @@ def test_deliveries_with_their_own_column_order(spark, lake):
     assert one == two
 
 
+def test_two_deliveries_of_one_day_the_last_path_wins(spark, lake):
+    write_raw(raw_frame(spark, ROWS1), f"{lake.landing}/year=2020/month=1/day=5/downloaded/areas.csv")
+    land(raw_frame(spark, ROWS2), lake.landing, DAY1, "areas")
+    assert jobs.convert(spark, lake, "r1") == {"areas": 2}
+    assert jobs.convert(spark, lake, "r2") == {}
+
+
 def test_datasets_are_kept_apart(spark, lake):
     land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
     land(raw_frame(spark, ROWS2), lake.landing, DAY1, "more_downloaded")
