@@ -1,14 +1,11 @@
-"""Columns, types and names of every stage.
-
-Everything here is a fixed value of the data contract: file headers, the names they
-get, formats and table names.
-"""
+"""Columns, types and names of every stage."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Raw file: header of each column and the name it gets after cleaning.
+# Fixed values of the data contract: raw header of each column and its clean name,
+# separators, charset, formats, and the names of the star tables.
 COLUMN_NAMES = {
     "Ano": "data_base",
     "Ano_PEVS": "ano_data_base",

@@ -3,14 +3,15 @@ from datetime import date
 import pytest
 
 from grovemart.__main__ import main
+from grovemart.functions.paths import delivery_path
 from grovemart.operators import cards
 from grovemart.plans import jobs
-from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, FACT_AREA, TYPED_SCHEMA
-from grovemart.sources.delimited import read_stage, write_raw
+from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, FACT_AREA, RAW_HEADERS, TYPED_SCHEMA
+from grovemart.sources.delimited import RAW_OPTIONS, read_stage, write_raw
 from grovemart.sources.history import read_history
 from grovemart.sources.landing import land
 from grovemart.sources.tables import read_table
-from tests.helpers import raw_frame, rows_of
+from tests.helpers import raw_frame, raw_row, rows_of
 
 DAY1, DAY2 = date(2020, 1, 5), date(2020, 2, 5)
 ROWS1 = [("01/02/2013", "3", "Pinus", "10"), ("03/02/2013", "1", None, None)]
@@ -56,6 +57,16 @@ def test_two_pending_deliveries_the_latest_wins(spark, lake):
     assert len(state["typed"]) == len(state["fat_area"]) == 3
 
 
+def test_a_plain_downloaded_file(spark, lake, tmp_path):
+    day = tmp_path / "landing/year=2020/month=01/day=05/downloaded"
+    day.mkdir(parents=True)
+    lines = [";".join(RAW_HEADERS)] + [";".join("" if v is None else v for v in raw_row(*row)) for row in ROWS2[1:]]
+    (day / "areas.csv").write_bytes("\r\n".join(lines).encode("iso-8859-1"))
+    assert jobs.run_all(spark, lake)["areas"]["fat_area"] == 2
+    found = rows_of(jobs.read_star(spark, lake, "areas")[FACT_AREA])
+    assert found == [(date(2014, 2, 3), "2", "Açaí", None), (date(2014, 2, 4), "2", "Açaí", 5)]
+
+
 def test_running_again_changes_nothing(spark, lake):
     land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
     jobs.run_all(spark, lake)
@@ -75,10 +86,6 @@ def test_a_day_delivered_again_is_replaced(spark, lake):
 
 
 def test_deliveries_with_their_own_column_order(spark, lake):
-    from grovemart.functions.paths import delivery_path
-    from grovemart.schema import RAW_HEADERS
-    from grovemart.sources.delimited import RAW_OPTIONS
-
     land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
     turned = raw_frame(spark, ROWS1).select(*[f"`{name}`" for name in reversed(RAW_HEADERS)])
     turned.write.options(**RAW_OPTIONS).csv(delivery_path(lake.landing, DAY2, "areas"))
