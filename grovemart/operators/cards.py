@@ -68,14 +68,14 @@ def top_cities(fact: DataFrame, locations: DataFrame, n: int = 10) -> DataFrame:
     """The n cities with most area; ties go to the lower code, unknown areas come last.
 
     Only the keys of the dimension decide who is in; names are looked up for the n winners,
-    so the wide dimension is scanned but never shuffled.
+    few enough for Spark to broadcast, so the wide dimension is scanned but not shuffled.
     """
     order = [F.desc_nulls_last("area_ha"), F.col(LOCATION_KEY)]
     known = locations.select(LOCATION_KEY).distinct()
     winners = area_per(fact, LOCATION_KEY).join(known, LOCATION_KEY).orderBy(*order).limit(n)
     attributes = [name for name in locations.columns if name != LOCATION_KEY]
     return (
-        locations.join(F.broadcast(winners), LOCATION_KEY)
+        locations.join(winners, LOCATION_KEY)
         .groupBy(LOCATION_KEY, "area_ha")
         .agg(F.max(F.struct(*attributes)).alias("chosen"))
         .select(LOCATION_KEY, "chosen.municipio", "area_ha")

@@ -102,3 +102,15 @@ def test_null_days_are_never_shuffled_by_day(tables, no_broadcast):
 def test_dimensions_are_distinct_in_two_steps(spark):
     plan = plan_of(star.dim_location(Workspace(spark, SF_DIR).typed_registry()))
     assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 1
+
+
+def test_top_cities_broadcasts_the_winners_and_not_the_dimension(spark, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "512")
+    try:
+        plan = plan_of(cards.top_cities(tables[FACT_AREA], tables[DIM_LOCATION]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = [line.strip(" :+-") for line in plan.splitlines()]
+    broadcast = [i for i, line in enumerate(lines) if line.startswith("BroadcastExchange")]
+    assert len(broadcast) == 1 and lines[broadcast[0] + 1].startswith("TakeOrderedAndProject")
+    assert ["codigo_municipio"] in read_columns(plan, "codigo_municipio")
