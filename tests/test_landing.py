@@ -54,6 +54,16 @@ def test_pending_until_marked_and_again_after_redelivery(spark, root, tmp_path):
     assert _days(_pending(spark, root, manifest)) == [("areas", DAY1)]
 
 
+def test_listing_only_a_part_of_the_landing_area(spark, root, tmp_path):
+    manifest = str(tmp_path / "manifest")
+    land(raw_frame(spark, ROWS1), root, date(2019, 12, 31), "areas")
+    land(raw_frame(spark, ROWS2), root, DAY1, "areas")
+    recent = _pending(spark, f"{root}/year=2020", manifest)
+    assert _days(recent) == [("areas", DAY1)]
+    mark_done(recent, manifest)
+    assert _days(_pending(spark, root, manifest)) == [("areas", date(2019, 12, 31))]
+
+
 def test_same_path_with_new_time_or_size_is_pending(spark, root, tmp_path):
     manifest = str(tmp_path / "manifest")
     file = tmp_path / "landing/year=2020/month=01/day=05/downloaded/areas.csv"

@@ -5,9 +5,12 @@ import re
 import pytest
 
 from grovemart.operators import cards, quality, star
+from grovemart.operators.cleaning import clean, typed
+from grovemart.plans import binding
 from grovemart.plans.queries import QUERIES
 from grovemart.plans.workspace import Workspace
 from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, DIM_SPECIES, FACT_AREA
+from grovemart.sources.delimited import read_raw, write_raw
 
 SF_DIR = "/root/testdata/sf0.001"
 UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas"]
@@ -114,3 +117,11 @@ def test_top_cities_broadcasts_the_winners_and_not_the_dimension(spark, tables):
     broadcast = [i for i, line in enumerate(lines) if line.startswith("BroadcastExchange")]
     assert len(broadcast) == 1 and lines[broadcast[0] + 1].startswith("TakeOrderedAndProject")
     assert ["codigo_municipio"] in read_columns(plan, "codigo_municipio")
+
+
+def test_conversion_and_typing_never_shuffle(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    write_raw(binding.raw_registry(spark, SF_DIR), path)
+    plan = plan_of(typed(clean(read_raw(spark, path))))
+    assert "Exchange" not in plan and "Sort" not in plan
+    assert "WholeStageCodegen" in plan or "*(1) Project" in plan
