@@ -4,6 +4,7 @@ import pytest
 
 from grovemart.functions.paths import delivery_path
 from grovemart.operators.cleaning import clean
+from grovemart.sources.delimited import write_stage
 from grovemart.sources.history import latest_snapshot, read_history, replace_snapshot, snapshot_dates
 from grovemart.sources.landing import (
     land,
@@ -12,6 +13,7 @@ from grovemart.sources.landing import (
     pending_files,
     read_manifest,
 )
+from grovemart.sources.tables import replace_table
 from grovemart.streaming.ingest import ingest_available, stream_deliveries
 from tests.helpers import raw_frame, rows_of
 
@@ -153,3 +155,13 @@ def test_stream_archives_files_of_earlier_batches(spark, root, tmp_path):
         streamed = _ingest(spark, root, tmp_path, archive=archive)
     assert streamed.count() == 8
     assert list((tmp_path / "archive").rglob("*.csv"))
+
+
+def test_row_counts_of_empty_writes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    empty = spark.createDataFrame([], "a int")
+    grouped = spark.range(5).where("false").groupBy("id").count()
+    for df in (empty, spark.range(5).limit(0), spark.range(5).where("id > 9"), grouped, grouped.join(spark.range(3), "id")):
+        assert replace_table(df, path) == 0
+        assert write_stage(df, path) == 0
+    assert replace_table(spark.range(5), path) == write_stage(spark.range(5), path) == 5
