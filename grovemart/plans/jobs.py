@@ -20,14 +20,13 @@ from pyspark.sql import types as T
 from grovemart.operators import quality, star
 from grovemart.operators.cleaning import clean, typed
 from grovemart.schema import (
-    CLEAN_COLUMNS,
     DIM_LOCATION,
     FACT_AREA,
     STAR_SCHEMAS,
     TYPED_SCHEMA,
 )
 from grovemart.sources.delimited import read_raw, write_stage
-from grovemart.sources.history import SNAPSHOT, latest_snapshot, replace_snapshot
+from grovemart.sources.history import SNAPSHOT, read_snapshot, replace_snapshot
 from grovemart.sources.jdbc import Database, replace_jdbc_table
 from grovemart.sources.landing import (
     MANIFEST_SCHEMA,
@@ -39,6 +38,14 @@ from grovemart.sources.landing import (
 from grovemart.sources.tables import create_if_absent, read_table, replace_table
 
 CONCURRENT_JOBS = 4
+SNAPSHOTS_SCHEMA = T.StructType(
+    [
+        T.StructField("dataset", T.StringType()),
+        T.StructField(SNAPSHOT, T.DateType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("run", T.StringType()),
+    ]
+)
 PUBLISHED_SCHEMA = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
@@ -63,6 +70,11 @@ class Lake:
     def published(self) -> str:
         return f"{self.root}/published"
 
+    @property
+    def snapshots(self) -> str:
+        """Log of the deliveries kept, so that nobody has to search the history for dates."""
+        return f"{self.root}/snapshots"
+
     def pending(self, run: str) -> str:
         return f"{self.root}/pending/run={run}"
 
@@ -90,9 +102,17 @@ def new_run() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
 
+def snapshots(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
+    """Dates, row counts and runs of the deliveries kept of a dataset."""
+    return read_table(spark, lake.snapshots, SNAPSHOTS_SCHEMA).where(F.col("dataset") == dataset)
+
+
 def current(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
     """The clean rows of the newest delivery, read in place: there is no copy to keep up."""
-    return latest_snapshot(spark, lake.analytics(dataset)).select(*CLEAN_COLUMNS)
+    newest = snapshots(spark, lake, dataset).agg(F.max(SNAPSHOT)).first()[0]
+    if newest is None:
+        raise LookupError(f"no delivery of {dataset}")
+    return read_snapshot(spark, lake.analytics(dataset), newest)
 
 
 def take_in(spark: SparkSession, lake: Lake, run: str) -> dict[str, int]:
@@ -116,15 +136,19 @@ def take_in(spark: SparkSession, lake: Lake, run: str) -> dict[str, int]:
         .toLocalIterator()
     )
 
-    def keep(delivery: Row) -> None:
-        rows = clean(read_raw(spark, delivery["path"]))
-        replace_snapshot(rows, lake.analytics(delivery["dataset"]), delivery[SNAPSHOT])
+    def keep(delivery: Row) -> tuple:
+        dataset, day, path = delivery
+        rows = replace_snapshot(clean(read_raw(spark, path)), lake.analytics(dataset), day)
+        return dataset, day, rows, run
 
     def stage(dataset: str) -> int:
         return write_stage(current(spark, lake, dataset), lake.stage(dataset))
 
-    side_by_side(keep, deliveries)
-    datasets = sorted({delivery["dataset"] for delivery in deliveries})
+    kept = side_by_side(keep, deliveries)
+    if kept:
+        log = spark.createDataFrame(kept, SNAPSHOTS_SCHEMA).coalesce(1)
+        log.write.mode("append").parquet(lake.snapshots)
+    datasets = sorted({dataset for dataset, *_ in kept})
     return dict(zip(datasets, side_by_side(stage, datasets), strict=True))
 
 

@@ -186,7 +186,8 @@ def history_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def newest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Workspace(spark, sf_dir).yearly_lake()
-    return latest_snapshot(spark, lake.analytics(DATASET))
+    history = read_history(spark, lake.analytics(DATASET))
+    return latest_snapshot(history, jobs.snapshots(spark, lake, DATASET))
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from grovemart.plans import binding, jobs
 from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, DIM_SPECIES, STAR_SCHEMAS, TYPED_SCHEMA
 from grovemart.session import run_dir
 from grovemart.sources.landing import land
-from grovemart.sources.tables import read_table, replace_table
+from grovemart.sources.tables import list_paths, read_table, replace_table
 
 SOURCES = ["region", "nation", "customer", "part", "orders", "lineitem"]
 DATASET = "registry"
@@ -120,11 +120,7 @@ class Workspace:
 
     def _source_state(self) -> int:
         """One number for the source files, from their listing and not their content."""
-        files = (
-            self.spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load([f"{self.sf_dir}/{name}.parquet" for name in SOURCES])
-        )
+        files = list_paths(self.spark, [f"{self.sf_dir}/{name}.parquet" for name in SOURCES])
         one = F.xxhash64("path", "modificationTime", "length")
         return files.agg(F.bit_xor(one)).first()[0]
 

@@ -9,14 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grovemart.schema import CLEAN_SCHEMA
+from grovemart.sources.tables import list_paths, read_table, replace_table
 
 SNAPSHOT = "snapshot_date"
 HISTORY_SCHEMA = T.StructType(CLEAN_SCHEMA.fields + [T.StructField(SNAPSHOT, T.DateType())])
 
 
-def replace_snapshot(df: DataFrame, path: str, day: date) -> None:
+def snapshot_path(path: str, day: date) -> str:
+    return f"{path}/{SNAPSHOT}={day.isoformat()}"
+
+
+def replace_snapshot(df: DataFrame, path: str, day: date) -> int:
     """Replace the partition of one day, also by no rows at all; other days stay as they are."""
-    df.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={day.isoformat()}")
+    return replace_table(df, snapshot_path(path, day))
+
+
+def read_snapshot(spark: SparkSession, path: str, day: date) -> DataFrame:
+    """The clean rows of one day; only that day's folder is listed."""
+    return read_table(spark, snapshot_path(path, day), CLEAN_SCHEMA)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
@@ -24,18 +34,12 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def snapshot_dates(spark: SparkSession, path: str) -> DataFrame:
-    """Dates in the history, from its file names: one row per file instead of per record."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-    )
+    """Dates in a history without a log, from its file names: a row per file, none per record."""
     text = F.regexp_extract("path", rf"/{SNAPSHOT}=([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})/", 1)
+    files = list_paths(spark, path, "*.parquet")
     return files.select(text.try_cast("date").alias(SNAPSHOT)).where(f"{SNAPSHOT} is not null").distinct()
 
 
-def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the newest delivery. The date comes from a subquery, so only its files are read."""
-    newest = snapshot_dates(spark, path).agg(F.max(SNAPSHOT)).scalar()
-    return read_history(spark, path).where(F.col(SNAPSHOT) == newest)
+def latest_snapshot(history: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rows of the newest of some dates. The date is a subquery, so only its files are read."""
+    return history.where(F.col(SNAPSHOT) == dates.agg(F.max(SNAPSHOT)).scalar())

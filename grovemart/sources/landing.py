@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from grovemart.functions.paths import delivery_parts, delivery_path
 from grovemart.schema import FILE_SUFFIX, STATE_DOWNLOADED
 from grovemart.sources.delimited import write_raw
-from grovemart.sources.tables import create_if_absent, read_table
+from grovemart.sources.tables import create_if_absent, list_paths, read_table
 
 FILE_IDENTITY = ["path", "modificationTime", "length"]
 MANIFEST_SCHEMA = T.StructType(
@@ -35,14 +35,8 @@ def land(raw: DataFrame, root: str, delivered_on: date, dataset: str) -> str:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every delivered file with its path, time and size; contents are not read."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{FILE_SUFFIX}")
-        .load(root)
-        .select(*FILE_IDENTITY)
-    )
+    """Every delivered file with what its path says about it."""
+    listing = list_paths(spark, root, f"*{FILE_SUFFIX}")
     return listing.withColumns(delivery_parts(F.col("path"))).select(*MANIFEST_SCHEMA.fieldNames())
 
 

@@ -22,3 +22,20 @@ def replace_table(df: DataFrame, path: str) -> int:
 
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+
+
+def list_paths(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
+    """Files below some folders with path, time and size; contents are not read.
+
+    Spark would plan a task per half gigabyte of files that nobody opens; as many tasks as
+    there are cores will do.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", pattern)
+        .load(paths)
+    )
+    return files.select("path", "modificationTime", "length").coalesce(
+        spark.sparkContext.defaultParallelism
+    )

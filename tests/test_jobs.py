@@ -6,9 +6,9 @@ from grovemart.__main__ import main
 from grovemart.functions.paths import delivery_path
 from grovemart.operators import cards
 from grovemart.plans import jobs
-from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, FACT_AREA, RAW_HEADERS, TYPED_SCHEMA
+from grovemart.schema import CLEAN_COLUMNS, DIM_CALENDAR, DIM_LOCATION, FACT_AREA, RAW_HEADERS, TYPED_SCHEMA
 from grovemart.sources.delimited import RAW_OPTIONS, read_stage, write_raw
-from grovemart.sources.history import read_history
+from grovemart.sources.history import latest_snapshot, read_history
 from grovemart.sources.landing import land
 from grovemart.sources.tables import read_table
 from tests.helpers import raw_frame, raw_row, rows_of
@@ -150,6 +150,21 @@ def test_an_unknown_dataset_has_no_star(spark, lake):
     jobs.run_all(spark, lake)
     with pytest.raises(LookupError):
         jobs.read_star(spark, lake, "other")
+    with pytest.raises(LookupError):
+        jobs.load_typed(spark, lake, "other")
+
+
+def test_the_log_of_deliveries(spark, lake):
+    land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
+    land(raw_frame(spark, ROWS2), lake.landing, DAY2, "areas")
+    jobs.convert(spark, lake, "r1")
+    land(raw_frame(spark, []), lake.landing, DAY1, "areas")
+    jobs.convert(spark, lake, "r2")
+    log = jobs.snapshots(spark, lake, "areas")
+    assert rows_of(log) == [("areas", DAY1, 0, "r2"), ("areas", DAY1, 2, "r1"), ("areas", DAY2, 3, "r1")]
+    history = read_history(spark, lake.analytics("areas"))
+    assert rows_of(latest_snapshot(history, log).select(*CLEAN_COLUMNS)) == rows_of(jobs.current(spark, lake, "areas"))
+    assert history.where(history.snapshot_date == DAY1).count() == 0
 
 
 def test_every_card_adds_up_to_the_total(spark, lake):

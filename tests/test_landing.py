@@ -32,6 +32,10 @@ def _pending(spark, root, manifest):
     return pending_files(list_files(spark, root), read_manifest(spark, manifest))
 
 
+def _latest(spark, path):
+    return latest_snapshot(read_history(spark, path), snapshot_dates(spark, path))
+
+
 def _days(df):
     return sorted({(row["dataset"], row["snapshot_date"]) for row in df.collect()})
 
@@ -107,7 +111,7 @@ def test_a_day_is_replaced_and_other_days_stay(spark, tmp_path):
     replace_snapshot(two, path, DAY2)
     history = read_history(spark, path)
     assert history.groupBy("snapshot_date").count().count() == 2
-    assert rows_of(latest_snapshot(spark, path).drop("snapshot_date")) == rows_of(two)
+    assert rows_of(_latest(spark, path).drop("snapshot_date")) == rows_of(two)
     assert rows_of(history.where(history.snapshot_date == DAY1).drop("snapshot_date")) == rows_of(one)
 
 
@@ -116,14 +120,14 @@ def test_an_empty_delivery_is_a_snapshot(spark, tmp_path):
     replace_snapshot(clean(raw_frame(spark, ROWS1)), path, DAY1)
     replace_snapshot(clean(raw_frame(spark, [])), path, DAY2)
     assert snapshot_dates(spark, path).count() == 2
-    assert latest_snapshot(spark, path).count() == 0
+    assert _latest(spark, path).count() == 0
 
 
 def test_only_the_newest_snapshot_is_read(spark, tmp_path):
     path = str(tmp_path / "history")
     replace_snapshot(clean(raw_frame(spark, ROWS1)), path, DAY1)
     replace_snapshot(clean(raw_frame(spark, ROWS2)), path, DAY2)
-    plan = latest_snapshot(spark, path)._jdf.queryExecution().executedPlan().toString()
+    plan = _latest(spark, path)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan
 
 
@@ -145,7 +149,7 @@ def test_stream_takes_each_file_once(spark, root, tmp_path):
     replace_snapshot(clean(raw_frame(spark, ROWS1)), batch, DAY1)
     replace_snapshot(clean(raw_frame(spark, ROWS2)), batch, DAY2)
     assert rows_of(streamed) == rows_of(read_history(spark, batch))
-    assert rows_of(latest_snapshot(spark, str(tmp_path / "streamed"))) == rows_of(latest_snapshot(spark, batch))
+    assert rows_of(_latest(spark, str(tmp_path / "streamed"))) == rows_of(_latest(spark, batch))
 
 
 def test_stream_archives_files_of_earlier_batches(spark, root, tmp_path):
