@@ -45,7 +45,11 @@ def stream_deliveries(
 
 
 def ingest_available(deliveries: DataFrame, history_path: str, checkpoint: str) -> StreamingQuery:
-    """Ingest what has landed since the last run, then stop."""
+    """Ingest what has landed since the last run, then stop.
+
+    The history is the stream's own: Spark reads it by the stream's commit log, so files a
+    batch job puts there would not be seen.
+    """
     return (
         deliveries.writeStream.format("parquet")
         .partitionBy(SNAPSHOT)
