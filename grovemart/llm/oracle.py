@@ -49,4 +49,55 @@ select doc_id, size, source_size, target, taken::bigint as taken,
 from x
 """
 
-ORACLE_SQL = {"op1_mixing": OP1}
+OP2 = """
+with d as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), b as (
+  select doc_id, h, unnest(range((length(h) // 2)::bigint)) as i from d
+), w as (
+  select doc_id, i, substring(h, 2 * i + 1, 100) as s from b where 2 * i + 100 <= length(h)
+), k as (
+  select s, min(doc_id) as least from w group by s having min(doc_id) < max(doc_id)
+), f as (
+  select w.doc_id, w.i, true as again from w join k using (s) where k.least < w.doc_id
+), m as (
+  select b.doc_id, b.i, substring(b.h, 2 * b.i + 1, 2) as x,
+         coalesce(max(f.again::int) over (partition by b.doc_id order by b.i rows between 49 preceding and current row), 0) as gone
+  from b left join f using (doc_id, i)
+), r as (
+  select *, gone = 1 and coalesce(lag(gone) over (partition by doc_id order by i), 0) = 0 as head from m
+), g as (
+  select doc_id, sum(gone)::bigint as n_removed, sum(head::int)::bigint as n_spans,
+         string_agg(x, '' order by i) filter (gone = 0) as kept
+  from r group by doc_id
+)
+select d.doc_id, length(d.h) // 2 as n_bytes, coalesce(g.n_removed, 0) as n_removed,
+       coalesce(g.n_spans, 0) as n_spans, sha256(unhex(coalesce(g.kept, ''))) as kept_sha256
+from d left join g using (doc_id)
+"""
+
+OP9 = r"""
+with d as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), b as (
+  select doc_id, words, unnest(range(len(words))) as i from d
+), w as (
+  select doc_id, i, array_to_string(words[i + 1 : i + 13], ' ') as s from b where i + 13 <= len(words)
+), k as (
+  select s, min(doc_id) as least from w group by s having min(doc_id) < max(doc_id)
+), f as (
+  select w.doc_id, w.i, true as again from w join k using (s) where k.least < w.doc_id
+), m as (
+  select b.doc_id, b.i, b.words[b.i + 1] as x,
+         coalesce(max(f.again::int) over (partition by b.doc_id order by b.i rows between 12 preceding and current row), 0) as gone
+  from b left join f using (doc_id, i)
+), g as (
+  select doc_id, sum(gone)::bigint as n_removed, string_agg(x, ' ' order by i) filter (gone = 0) as kept
+  from m group by doc_id
+)
+select d.doc_id, len(d.words) as n_words, coalesce(g.n_removed, 0) as n_removed,
+       sha256(coalesce(g.kept, '')) as kept_sha256
+from d left join g using (doc_id)
+"""
+
+ORACLE_SQL = {"op1_mixing": OP1, "op2_suffix_dedup": OP2, "op9_substring_dedup": OP9}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovemart.llm import mixing, packing, sharding, urls
+from grovemart.llm import automata, mixing, packing, sharding, suffixes, urls
 from grovemart.llm.common import n_bytes, table
 
 WINDOW = 2048
@@ -29,6 +29,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", *mixing.PLAN_COLUMNS)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.dedup(docs).select(
+        "doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), WINDOW, END_ID)
 
@@ -50,9 +57,18 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return automata.dedup(docs).select(
+        "doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
     "op5_sharding": op5_sharding,
     "op7_url_filter": op7_url_filter,
+    "op9_substring_dedup": op9_substring_dedup,
 }
