@@ -100,4 +100,20 @@ select d.doc_id, len(d.words) as n_words, coalesce(g.n_removed, 0) as n_removed,
 from d left join g using (doc_id)
 """
 
-ORACLE_SQL = {"op1_mixing": OP1, "op2_suffix_dedup": OP2, "op9_substring_dedup": OP9}
+OP8 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024.0::double * x::double)::bigint) as e, len(embedding) as n
+  from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), p as (
+  select q.vec_id as query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.e, c.e), lambda x: x[1] * x[2]))::bigint as score
+  from v q join v c on q.n = c.n and q.vec_id <> c.vec_id and q.vec_id % 100 = 0
+), r as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from p
+)
+select query_id, rank, vec_id, score from r where rank <= 10
+"""
+
+ORACLE_SQL = {"op1_mixing": OP1, "op2_suffix_dedup": OP2, "op8_top_k": OP8, "op9_substring_dedup": OP9}

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovemart.llm import automata, mixing, packing, sharding, suffixes, urls
+from grovemart.llm import automata, mixing, nearvectors, packing, search, sharding, suffixes, toxicity, urls
 from grovemart.llm.common import n_bytes, table
 
 WINDOW = 2048
 END_ID = 1
 SHARDS = 40
+TOP = 10
+COSINE = 0.93
 
 
 def vocabulary() -> tuple[str, str, str]:
@@ -40,6 +42,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), WINDOW, END_ID)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     docs = table(spark, sf_dir, "documents").select(
@@ -53,10 +62,21 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("vector"))
+    found = nearvectors.near_duplicates(vectors, COSINE)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return search.top_k(vectors, F.col("id") % 100 == 0, TOP).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return automata.dedup(docs).select(
@@ -68,7 +88,10 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
+    "op6_near_vectors": op6_near_vectors,
     "op7_url_filter": op7_url_filter,
+    "op8_top_k": op8_top_k,
     "op9_substring_dedup": op9_substring_dedup,
 }
