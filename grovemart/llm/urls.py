@@ -94,32 +94,36 @@ def windows(urls: DataFrame, order: int) -> DataFrame:
     return urls.withColumn("gram", F.explode(grams))
 
 
-def _log_ratio(model: DataFrame, order: int) -> DataFrame:
-    """Adds `ratio_all` and `ratio_fit` to distinct windows with counts: log p(allow) / p(block)."""
-    probability = {name: F.lit(1.0 / ALPHABET) for name in COUNTS}
+def _log_ratio(grams: DataFrame, order: int) -> DataFrame:
+    """`ratio_all` and `ratio_fit` of distinct windows with counts: log p(allow) / p(block).
+
+    The model of order k comes from that of order k - 1, one row per event of k + 1 characters.
+    """
+    model = None
     for k in range(order + 1):
-        # At order k: the last k characters before the one to be foretold.
-        gram = F.col("gram").substr(F.lit(order + 1 - k), F.lit(k + 1))
-        events = model.groupBy(gram.alias("_event")).agg(*[F.sum(c).alias(f"_n{k}_{c}") for c in COUNTS])
-        context = F.col("_event").substr(F.lit(1), F.lit(k))
-        contexts = events.groupBy(context.alias("_context")).agg(
-            *[F.sum(f"_n{k}_{c}").alias(f"_s{k}_{c}") for c in COUNTS],
-            *[F.sum((F.col(f"_n{k}_{c}") > 0).cast("long")).alias(f"_t{k}_{c}") for c in COUNTS],
+        event = F.col("gram").substr(F.lit(order + 1 - k), F.lit(k + 1))
+        events = grams.groupBy(event.alias("event")).agg(*[F.sum(c).alias(c) for c in COUNTS])
+        events = events.withColumn("context", F.col("event").substr(F.lit(1), F.lit(k)))
+        contexts = events.groupBy("context").agg(
+            *[F.sum(c).alias(f"total_{c}") for c in COUNTS],
+            *[F.sum((F.col(c) > 0).cast("long")).alias(f"kinds_{c}") for c in COUNTS],
         )
-        counted = events.withColumn("_context", context).join(contexts, "_context").drop("_context")
-        model = model.withColumn("_event", gram).join(counted, "_event").drop("_event")
+        model_k = events.join(contexts, "context")
+        if model is None:
+            shorter = {c: F.lit(1.0 / ALPHABET) for c in COUNTS}
+        else:
+            model_k = model_k.withColumn("shorter", F.col("event").substr(F.lit(2), F.lit(k))).join(model, "shorter")
+            shorter = {c: F.col(f"p_{c}") for c in COUNTS}
+        probability = []
         for c in COUNTS:
-            seen, total, kinds = (F.col(f"_{x}{k}_{c}") for x in "nst")
-            mixed = (seen + kinds * probability[c]) / (total + kinds)
-            probability[c] = F.when(total > 0, mixed).otherwise(probability[c])
-        model = model.select(
-            "gram", *COUNTS, *[probability[c].alias(f"_p_{c}") for c in COUNTS]
-        )
-        probability = {c: F.col(f"_p_{c}") for c in COUNTS}
+            total, kinds = F.col(f"total_{c}"), F.col(f"kinds_{c}")
+            blended = (F.col(c) + kinds * shorter[c]) / (total + kinds)
+            probability.append(F.when(total > 0, blended).otherwise(shorter[c]).alias(f"p_{c}"))
+        model = model_k.select(F.col("event").alias("shorter"), *probability)
     return model.select(
-        "gram",
-        (F.log("_p_allow_all") - F.log("_p_block_all")).alias("ratio_all"),
-        (F.log("_p_allow_fit") - F.log("_p_block_fit")).alias("ratio_fit"),
+        F.col("shorter").alias("gram"),
+        (F.log("p_allow_all") - F.log("p_block_all")).alias("ratio_all"),
+        (F.log("p_allow_fit") - F.log("p_block_fit")).alias("ratio_fit"),
     )
 
 
@@ -157,12 +161,10 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = PRODUCTION_RULES, order: i
     """Per page: page_id, host, path, rule, verdict, and the score (null where a rule decides)."""
     parsed = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     ruled = parsed.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    # Only distinct texts count as evidence once per row, but are cut and scored once.
+    # Equal URLs are cut and scored once, and go by a number from here on.
     fold = F.pmod(F.xxhash64("url"), F.lit(FOLDS))
-    texts = written(
-        ruled.groupBy("url", F.col("_rule.verdict").alias("ruled")).agg(F.count("*").alias("rows")).withColumn("held", fold == 0),
-        "urls",
-    )
+    distinct = ruled.groupBy("url", F.col("_rule.verdict").alias("ruled")).agg(F.count("*").alias("rows"))
+    texts = written(distinct.withColumn("held", fold == 0).withColumn("text_id", F.monotonically_increasing_id()), "urls")
     cut = windows(texts, order)
     counts = {
         f"{verdict}_{kind}": (F.col("ruled") == verdict) & (F.lit(kind == "all") | ~F.col("held"))
@@ -173,9 +175,10 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = PRODUCTION_RULES, order: i
         *[F.sum(F.when(counts[c], F.col("rows")).otherwise(0)).alias(c) for c in COUNTS]
     )
     ratios = written(_log_ratio(written(model, "grams"), order), "ratios")
-    judged = cut.where("ruled is null or held").join(ratios, "gram")
-    ratio = F.when(F.col("ruled").isNull(), F.col("ratio_all")).otherwise(F.col("ratio_fit"))
-    scores = written(judged.groupBy("url", "ruled", "rows").agg(F.avg(ratio).alias("score")), "scores")
+    asked = cut.where("ruled is null or held").select("text_id", "gram", F.col("ruled").isNull().alias("free"))
+    ratio = F.when(F.col("free"), F.col("ratio_all")).otherwise(F.col("ratio_fit"))
+    sums = asked.join(ratios, "gram").groupBy("text_id").agg(F.avg(ratio).alias("score"))
+    scores = written(texts.drop("held").join(sums, "text_id"), "scores")
     least = threshold(scores.where("ruled is not null").select("ruled", "score"))
     free = scores.where("ruled is null").select(F.coalesce("url", F.lit("")).alias("_url"), F.col("url").isNull().alias("_none"), "score")
     method = F.when(F.col("score") >= least, "allow").otherwise("block")
