@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovemart.llm import automata, mixing, nearvectors, packing, search, sharding, suffixes, toxicity, urls
+from grovemart.llm import automata, mixing, nearvectors, ngrams, packing, search, sharding, suffixes, toxicity, urls
 from grovemart.llm.common import n_bytes, table
 
 WINDOW = 2048
@@ -84,6 +84,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -94,4 +98,5 @@ QUERIES = {
     "op7_url_filter": op7_url_filter,
     "op8_top_k": op8_top_k,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
