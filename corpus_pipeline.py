@@ -2,19 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from grovemart.llm import mixing, packing
+from grovemart.llm import automata, mixing, ngrams, packing, toxicity
 from grovemart.llm.common import table, written
 from grovemart.llm.queries import END_ID, WINDOW, vocabulary
 
-#: Learned scores and hash-keyed order: no SQL gives these rows.
+#: Learned scores and indexes over texts: no SQL gives these rows.
 ORACLE_SQL = None
 
 
+def _with_text(docs: DataFrame, names: list[str], text: Column) -> DataFrame:
+    """Columns `names` with another text, and its length where the table keeps one."""
+    changed = docs.withColumn("text", text)
+    if "n_chars" in names:
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return changed.select(*[F.col(f"`{name}`") for name in names])
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model).where("predicted = 0")
+    return scored.select(*[F.col(f"`{name}`") for name in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of alike documents the one with the least doc_id.
+
+    Rows of one doc_id are one document; rows without doc_id stay.
+    """
+    found = ngrams.jaccard_components(docs)
+    stays = found.where("component_id = doc_id").select("doc_id").distinct()
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    kept = docs.join(stays, "doc_id").withColumn("_row", one).where("_row = 1")
+    names = [F.col(f"`{name}`") for name in docs.columns]
+    return kept.select(*names).union(docs.where("doc_id is null").select(*names))
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents less the passages that smaller doc_ids hold; untouched texts stay as they are."""
+    cut = automata.dedup(docs)
+    text = F.when(F.col("n_removed") > 0, F.decode("kept", "UTF-8")).otherwise(F.col("text"))
+    return _with_text(cut, docs.columns, text)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, each as often as its source's target asks for."""
-    return mixing.mixed(docs)
+    return _with_text(mixing.mixed(docs), docs.columns, F.col("text"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,6 +60,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard", drop_near_copies),
+    ("substring_dedup", drop_repeated_passages),
     ("mixing", mix_sources),
     ("packing", pack_sequences),
 ]
