@@ -133,7 +133,7 @@ class Block:
             self.docs = np.searchsorted(self.starts, self.edges)
             self.rolling = Rolling(Rolling(values).of(self.starts, self.ends))
         self.counts = np.diff(self.docs)
-        self.owner = np.repeat(np.arange(len(self.counts)), self.counts)
+        self.owner = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)
         self._runs()
 
     def _runs(self) -> None:
@@ -201,6 +201,14 @@ def by_content(seed: np.ndarray, content: np.ndarray, doc_id: np.ndarray) -> tup
     return order, least, new
 
 
+def stretches_of_equals(values: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of equal neighbours."""
+    if not len(values):
+        return []
+    edges = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return list(zip(edges[:-1], edges[1:], strict=True))
+
+
 def _blocks(docs: DataFrame, unit: Unit, buckets: int) -> DataFrame:
     """The documents as rows of (block, documents of about BLOCK bytes, compressed)."""
     schema = "block long, body binary"
@@ -402,7 +410,7 @@ def cut(docs: DataFrame, unit: Unit, index: Index) -> DataFrame:
     )
     own = ["kept", "n_units", "n_removed", "n_spans"]
     schema = docs.drop(*own).withColumn("doc_id", F.col("doc_id").cast("long")).schema
-    for name, kind in zip(own, ("binary", "long", "long", "long"), strict=True):
+    for name, kind in zip(own, (BinaryType(), LongType(), LongType(), LongType()), strict=True):
         schema = schema.add(name, kind)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
