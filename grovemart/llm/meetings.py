@@ -47,8 +47,9 @@ def by_meeting(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         return
     cuts = np.flatnonzero(np.diff(meeting[order]) != 0) + 1
     for at in np.split(order, cuts):
-        if len(at) > 1:
-            yield at[side[at] <= 0], at[side[at] >= 0]
+        left, right = at[side[at] <= 0], at[side[at] >= 0]
+        if len(at) > 1 and len(left) and len(right):
+            yield left, right
 
 
 def code_edges(rows: pa.Table, most: float) -> pa.Table:

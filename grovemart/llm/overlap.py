@@ -33,12 +33,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType
 
 from grovemart.llm.common import written
 from grovemart.session import run_dir
 
 #: Text bytes of a block, and of the corpus per bucket of seeds and per shard of open runs.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 BUCKET = 4 << 20
 #: Different contents of one seed beyond which its runs are told apart by more context.
 CROWD = 512
@@ -305,9 +306,8 @@ def _settle(sent: DataFrame) -> DataFrame:
         keep = np.flatnonzero(kind < 3)
         keep = keep[np.lexsort((kind[keep], block[keep]))]
         b, what, run = block[keep], kind[keep], run[keep].astype(np.uint32)
-        cuts = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1]))) if len(b) else np.zeros(0, int)
         out = {"block": [], "removed": [], "open": [], "crowded": []}
-        for low, high in zip(cuts, [*cuts[1:], len(b)], strict=True):
+        for low, high in stretches_of_equals(b):
             out["block"].append(int(b[low]))
             for value, name in enumerate(("removed", "open", "crowded")):
                 out[name].append(run[low:high][what[low:high] == value].tobytes())
@@ -381,8 +381,7 @@ def _answers(asked: DataFrame, unit: Unit, index: Index) -> DataFrame:
         block, run = rows["block"].to_numpy()[row], rows["run"].to_numpy()[row]
         order = np.argsort(block, kind="stable")
         block, run, stretch = block[order], run[order].astype(np.uint32), stretch[order].astype(np.uint32)
-        cuts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1]))) if len(block) else np.zeros(0, int)
-        spans = list(zip(cuts, [*cuts[1:], len(block)], strict=True))
+        spans = stretches_of_equals(block)
         return pa.table({
             "block": pa.array([int(block[a]) for a, _ in spans], pa.int64()),
             "of": pa.array([run[a:b].tobytes() for a, b in spans], pa.binary()),
@@ -400,7 +399,7 @@ def cut(docs: DataFrame, unit: Unit, index: Index) -> DataFrame:
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(64, total // BUCKET)
-    blocks = _blocks(docs, unit, max(12, total // (8 * BLOCK)))
+    blocks = _blocks(docs, unit, max(12, total // (16 * BLOCK)))
     settled = written(_settle(_sent(blocks, unit, parts)), "settled")
     asked = _open_runs(blocks, settled.select("block", "open", "crowded"), unit, parts)
     answers = written(_answers(asked, unit, index), "answers")
