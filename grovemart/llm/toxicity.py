@@ -9,8 +9,8 @@ Training: sentences of labelled documents carry the document's label, but only s
 toxic document are toxic. The most telling word of each toxic sentence's document
 stands for it (multiple instances); landmarks are taken from those words and from clean ones;
 an SVM is fitted on Nyström features, clean words that it takes for toxic are added, and the
-words are chosen anew. The score of a document is that of its most toxic word, as a
-probability by Platt's method.
+words are chosen anew. The score of a document is the probability that a logistic curve,
+fitted by Platt's method, gives its `TOP` most toxic words for its length.
 
 Scoring: with a fixed set of landmarks the machine is one weight per subsequence (32**4), so
 whole texts are scored by table lookups where they lie; nothing is shuffled.
@@ -18,9 +18,8 @@ whole texts are scored by table lookups where they lie; nothing is shuffled.
 Bounds: at most `TOXIC_DOCS` and `CLEAN_DOCS` labelled documents, and `SENTENCES` of their
 sentences, each up to `SENTENCE_CHARS`, train the model. All documents are scored, whole.
 
-Defined cases: null and empty texts have no word and get the lowest score; documents with several
-labels count with each; without both labels every score is 0.5 less a little (nothing is
-rejected); repeated rows are scored each; an empty table gives an empty one; no other
+Defined cases: null and empty texts have no word and get the score of that; documents with several
+labels count with each; without both labels nothing is rejected; repeated rows are scored each; an empty table gives an empty one; no other
 columns are read.
 """
 
@@ -34,9 +33,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-TOXIC_DOCS, CLEAN_DOCS, SENTENCES, SENTENCE_CHARS = 1000, 1500, 60_000, 1000
-LANDMARKS, ROUNDS, CLEAN_WORDS, COST = 192, 4, 20_000, 200.0
-DECAY, SYMBOLS, EDGE, LENGTH, SPAN = 0.9, 32, 31, 4, 6
+TOXIC_DOCS, CLEAN_DOCS, SENTENCES, SENTENCE_CHARS = 1000, 1500, 40_000, 1000
+LANDMARKS, ROUNDS, CLEAN_WORDS, COST, CHANCE, SURE = 192, 4, 8_000, 1000.0, 1e-4, 2.0
+DECAY, SYMBOLS, EDGE, LENGTH, SPAN, TOP = 0.9, 32, 31, 4, 6, 3
 #: Text bytes scored at a time.
 SLICE = 1 << 20
 
@@ -100,13 +99,13 @@ class Words:
         weight = sum(w * w * np.maximum(sizes - shape[-1], 0) for shape, w in SHAPES)
         self.norm = np.sqrt(np.maximum(weight, 1e-9))
         # Symbols from a place to the next edge: a subsequence must not reach over it.
-        following = np.append(edges[1:], len(self.symbols))
-        self.room = (np.repeat(following, np.diff(np.append(edges, len(self.symbols)))) - np.arange(edges[0] if len(edges) else 0, len(self.symbols))).astype(np.int32)
+        first = np.append(edges, len(self.symbols))
+        self.room = np.repeat(first[1:], np.diff(first)).astype(np.int32) - np.arange(first[0], len(self.symbols), dtype=np.int32)
 
-    def subsequences(self) -> Iterator[tuple[np.ndarray, float, int]]:
+    def subsequences(self, shapes: int = len(SHAPES)) -> Iterator[tuple[np.ndarray, float, int]]:
         """Subsequence numbers by place of the first symbol, their weight and reach, shape by shape."""
         s = self.symbols
-        for (a, b, c), weight in SHAPES:
+        for (a, b, c), weight in SHAPES[:shapes]:
             n = len(s) - c
             if n > 0:
                 yield ((s[:n] * SYMBOLS + s[a : a + n]) * SYMBOLS + s[b : b + n]) * SYMBOLS + s[c : c + n], weight, c
@@ -120,16 +119,16 @@ class Words:
         # What begins at the closing edge belongs to the next word.
         return (total[self.end - 1] - total[self.start]) / self.norm
 
-    def features(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def features(self, rows: np.ndarray, shapes: int = len(SHAPES)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sparse kernel features of some words: (word, subsequence, weight), normalised."""
-        word_of = np.full(len(self.symbols), -1)
+        word_of = np.full(len(self.symbols), -1, np.int32)
         sizes = self.end[rows] - 1 - self.start[rows]
         at = np.repeat(self.start[rows] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
         word_of[at] = np.repeat(np.arange(len(rows)), sizes)
-        last = np.zeros(len(self.symbols), np.int64)
+        last = np.zeros(len(self.symbols), np.int32)
         last[at] = np.repeat(self.end[rows], sizes)
         words, numbers, weights = [], [], []
-        for found, weight, reach in self.subsequences():
+        for found, weight, reach in self.subsequences(shapes):
             n = len(found)
             inside = np.flatnonzero((word_of[:n] >= 0) & (np.arange(n) + reach < last[:n]))
             words.append(word_of[inside])
@@ -141,14 +140,18 @@ class Words:
         return word, np.concatenate(numbers) if numbers else word, weight / norm[word]
 
 
-def kernel(words: Words, rows: np.ndarray, landmarks: list[np.ndarray]) -> np.ndarray:
-    """Kernel values of some words with landmarks given as dense weights of few subsequences."""
+def kernel(words: Words, rows: np.ndarray, landmarks: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Kernel values of some words with landmarks given as weights of few subsequences."""
     word, number, weight = words.features(rows)
     index, table = landmarks
     column = index[number]
-    known = column >= 0
+    known = np.flatnonzero(column >= 0)
+    known = known[np.argsort(word[known], kind="stable")]
     out = np.zeros((len(rows), table.shape[1]))
-    np.add.at(out, word[known], weight[known, None] * table[column[known]])
+    for first in range(0, len(known), 1 << 15):
+        part = known[first : first + (1 << 15)]
+        heads = np.flatnonzero(np.concatenate(([True], word[part][1:] != word[part][:-1])))
+        out[word[part][heads]] += np.add.reduceat(weight[part, None] * table[column[part]], heads, axis=0)
     return out
 
 
@@ -164,13 +167,13 @@ def landmark_table(words: Words, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def support_vector_machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
-    """Weights (the last one the bias) with the least squared hinge loss: Newton's method."""
+    """Weights (the last one the bias) with the least squared hinge loss, y being sign times margin: Newton's method."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-6
     for _ in range(30):
-        wrong = y * (x @ w) < 1
+        wrong = np.sign(y) * (x @ w) < np.abs(y)
         a = x[wrong] * cost[wrong, None]
         new = np.linalg.solve(ridge + a.T @ x[wrong], a.T @ y[wrong])
         if np.allclose(new, w, atol=1e-8):
@@ -179,48 +182,56 @@ def support_vector_machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np
     return w
 
 
-def platt(score: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic curve through the scores, with Platt's softened targets."""
+def logistic(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Weights of a logistic curve (the last one the bias), with Platt's softened targets: Newton's method."""
     n1, n0 = toxic.sum(), (~toxic).sum()
     target = np.where(toxic, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    x = np.column_stack([score, np.ones(len(score))])
-    w = np.zeros(2)
+    x = np.column_stack([x, np.ones(len(x))])
+    w = np.zeros(x.shape[1])
 
     def loss(w: np.ndarray) -> float:
         z = x @ w
-        return float(np.sum(np.logaddexp(0, z) - target * z) + 1e-6 * w @ w)
+        return float(np.sum(np.logaddexp(0, z) - target * z) + 0.05 * w @ w)
 
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-5 * np.eye(2), x.T @ (p - target) + 2e-6 * w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w)), x.T @ (p - target) + 0.1 * w)
         size = 1.0
         while size > 1e-6 and loss(w - size * step) > loss(w):
             size /= 2
         w = w - size * step
         if np.abs(size * step).max() < 1e-9:
             break
-    return float(w[0]), float(w[1])
+    return w
+
+
+def strongest(score: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """Of every text: its TOP highest word scores (-1, a sure clean word, where words lack) and the log of its words."""
+    out = np.full((texts, TOP + 1), -1.0)
+    out[:, TOP] = np.log1p(np.bincount(owner, minlength=texts))
+    some = np.flatnonzero(score > -1)
+    order = some[np.lexsort((-score[some], owner[some]))]
+    texts_of = owner[order]
+    heads = np.flatnonzero(np.concatenate(([True], texts_of[1:] != texts_of[:-1]))) if len(order) else order
+    rank = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order))))
+    top = rank < TOP
+    out[texts_of[top], rank[top]] = np.minimum(score[order[top]], SURE)
+    return out
 
 
 class Model:
-    """One weight per subsequence, a bias, and the logistic curve."""
+    """One weight per subsequence, a bias, and the logistic curve over a text's strongest words."""
 
-    def __init__(self, table: np.ndarray, bias: float, slope: float, shift: float) -> None:
-        self.table, self.bias, self.slope, self.shift = table, bias, slope, shift
+    def __init__(self, table: np.ndarray, bias: float, curve: np.ndarray) -> None:
+        self.table, self.bias, self.curve = table, bias, curve
 
-    def highest(self, texts: list[bytes]) -> np.ndarray:
-        """Score of the most toxic word of every text; -1 (a sure clean word) if there is none."""
-        out = np.full(len(texts), -1.0)
+    def probability(self, texts: list[bytes]) -> np.ndarray:
         words = Words(texts)
-        if len(words.start):
-            np.maximum.at(out, words.owner, words.scores(self.table) + self.bias)
-        return out
-
-    def probability(self, score: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * score + self.shift, -35, 35)))
+        x = strongest(words.scores(self.table) + self.bias, words.owner, len(texts))
+        return 1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -35, 35)))
 
 
-UNTRAINED = (np.zeros(SYMBOLS**LENGTH, np.float32), -1.0, 1.0, 0.0)
+UNTRAINED = (np.zeros(SYMBOLS**LENGTH, np.float32), -1.0, np.array([0.0] * (TOP + 1) + [-1.0]))
 
 
 def fit(sentences: list[tuple[int, bytes, bool]], seed: int = 0) -> Model:
@@ -238,11 +249,12 @@ def fit(sentences: list[tuple[int, bytes, bool]], seed: int = 0) -> Model:
     suspect = np.flatnonzero(toxic & ~np.isin(kind, kind[clean]))
     if not len(suspect) or not len(clean):
         return Model(*UNTRAINED)
+    sure = _only_toxic(kind, doc, suspect, len(np.unique(doc[toxic])) / len(np.unique(doc)))
     score = words.scores(_telling(words, doc, toxic))
     hard = np.zeros(0, np.int64)
     machine = None
     for _ in range(ROUNDS):
-        chosen = _witnesses(score, doc, suspect, machine is not None)
+        chosen = np.union1d(sure, _witnesses(score, doc, suspect, machine is not None))
         spread = rng.choice(clean, min(len(clean), CLEAN_WORDS), replace=False)
         marks = np.concatenate([_frequent(kind, chosen, LANDMARKS * 3 // 4), spread[: LANDMARKS // 4]])
         table = landmark_table(words, marks)
@@ -255,18 +267,23 @@ def fit(sentences: list[tuple[int, bytes, bool]], seed: int = 0) -> Model:
         altered = Words(_altered(words, _frequent(kind, chosen, 100, least=2), rng))
         known = np.concatenate([chosen, spread, hard])
         x = np.vstack([kernel(words, known, table), kernel(altered, np.arange(len(altered.start)), table)]) @ root
-        y = np.concatenate([np.ones(len(chosen)), -np.ones(len(known) - len(chosen)), np.ones(len(altered.start))])
+        # Words that only toxic documents have are asked to stand out further.
+        margin = np.where(np.isin(chosen, sure), SURE, 1.0)
+        y = np.concatenate([margin, -np.ones(len(known) - len(chosen)), np.ones(len(altered.start))])
         sizes = np.array([len(chosen), len(known) - len(chosen), len(altered.start)])
         w = support_vector_machine(x, y, np.repeat(COST / np.maximum(sizes, 1), sizes))
         machine = np.zeros(SYMBOLS**LENGTH, np.float32)
         machine[table[0] >= 0] = table[1] @ (root @ w[:-1])
         score = words.scores(machine) + w[-1]
     n_docs = docs.max() + 1
-    best = np.full(n_docs, -1.0)
-    np.maximum.at(best, doc, score)
     doc_toxic = np.zeros(n_docs, bool)
     np.logical_or.at(doc_toxic, docs, label)
-    return Model(machine, float(w[-1]), *platt(best, doc_toxic))
+    # Documents, and single sentences with a sure word beside as many clean ones.
+    telling = np.unique(words.owner[sure])
+    plain = np.unique(words.owner[clean])
+    pick = np.concatenate([rng.permutation(telling)[:n_docs], rng.permutation(plain)[: min(len(telling), n_docs)]])
+    x = np.vstack([strongest(score, doc, n_docs), strongest(score, words.owner, len(sentences))[pick]])
+    return Model(machine, float(w[-1]), logistic(x, np.concatenate([doc_toxic, np.isin(pick, telling)])))
 
 
 def _kind_numbers(words: Words) -> np.ndarray:
@@ -281,9 +298,8 @@ def _telling(words: Words, doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Unbroken subsequences that toxic documents hold more often than clean ones: standardised differences."""
     total = SYMBOLS**LENGTH
     n = [max(1, len(np.unique(doc[toxic == flag]))) for flag in (False, True)]
-    word, number, weight = words.features(np.arange(len(words.start)))
-    whole = weight * words.norm[word] > DECAY**0.5
-    word, number = word[whole], number[whole]
+    # The first shape is the one without gaps.
+    word, number, _ = words.features(np.arange(len(words.start)), 1)
     count = []
     for flag in (False, True):
         mine = toxic[word] == flag
@@ -293,6 +309,13 @@ def _telling(words: Words, doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return np.where(z > 3, z, np.minimum(z, 0)).astype(np.float32)
 
 
+def _only_toxic(kind: np.ndarray, doc: np.ndarray, suspect: np.ndarray, share: float) -> np.ndarray:
+    """Words in so many documents, all toxic, that chance does not explain it (toxic ones being `share` of all)."""
+    pairs = np.unique(np.column_stack([kind[suspect], doc[suspect]]), axis=0)
+    kinds, counts = np.unique(pairs[:, 0], return_counts=True)
+    return suspect[np.isin(kind[suspect], kinds[share**counts < CHANCE])]
+
+
 def _witnesses(score: np.ndarray, doc: np.ndarray, suspect: np.ndarray, fitted: bool) -> np.ndarray:
     """The most telling word of every toxic document, and all that the machine is sure of."""
     order = suspect[np.lexsort((-score[suspect], doc[suspect]))]
@@ -359,13 +382,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.encode() if t else b"" for t in batch.column("text").to_pylist()]
-            best, first, size = [], 0, 0
+            found, first, size = [], 0, 0
             for i, text in enumerate(texts):
                 size += len(text)
                 if size >= SLICE or i + 1 == len(texts):
-                    best.append(shared.value.highest(texts[first : i + 1]))
+                    found.append(shared.value.probability(texts[first : i + 1]))
                     first, size = i + 1, 0
-            p = shared.value.probability(np.concatenate(best)) if best else np.zeros(0)
+            p = np.concatenate(found) if found else np.zeros(0)
             out = [*batch.columns, pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
