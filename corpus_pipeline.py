@@ -2,31 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from grovemart.llm import automata, mixing, ngrams, packing, toxicity
-from grovemart.llm.common import table, written
+from grovemart.llm.common import put_back, set_aside, table, written
 from grovemart.llm.queries import END_ID, WINDOW, vocabulary
 
 #: Learned scores and indexes over texts: no SQL gives these rows.
 ORACLE_SQL = None
 
 
-def _with_text(docs: DataFrame, names: list[str], text: Column) -> DataFrame:
-    """Columns `names` with another text, and its length where the table keeps one."""
-    changed = docs.withColumn("text", text)
-    if "n_chars" in names:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return changed.select(*[F.col(f"`{name}`") for name in names])
+def _set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame, Column], DataFrame]]:
+    """The documents under doc_id, text, source and neutral names, so that no column can clash with an
+    operator's own, and a function that gives rows their columns back with another text."""
+    rows, names = set_aside(docs)
+    for name in ("doc_id", "text", "source"):
+        rows, names[name] = rows.withColumnRenamed(names[name], name), name
+
+    def restored(out: DataFrame, text: Column) -> DataFrame:
+        changed = out.withColumn("text", text)
+        if "n_chars" in names:
+            kind = docs.schema["n_chars"].dataType
+            changed = changed.withColumn(names["n_chars"], F.length("text").cast(kind))
+        return changed.select(*put_back(names, []))
+
+    return rows, restored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model).where("predicted = 0")
-    return scored.select(*[F.col(f"`{name}`") for name in docs.columns])
+    rows, names = set_aside(docs)
+    rows, names["text"] = rows.withColumnRenamed(names["text"], "text"), "text"
+    return toxicity.score(rows, model).where("predicted = 0").select(*put_back(names, []))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,23 +47,27 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows of one doc_id are one document; rows without doc_id stay.
     """
     found = ngrams.jaccard_components(docs)
-    stays = found.where("component_id = doc_id").select("doc_id").distinct()
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = docs.join(stays, "doc_id").withColumn("_row", one).where("_row = 1")
-    names = [F.col(f"`{name}`") for name in docs.columns]
-    return kept.select(*names).union(docs.where("doc_id is null").select(*names))
+    stays = found.where("component_id = doc_id").select(F.col("doc_id").alias("_id")).distinct()
+    rows, names = set_aside(docs)
+    doc_id = F.col(names["doc_id"])
+    one = F.row_number().over(Window.partitionBy(doc_id).orderBy(names["text"]))
+    # The documents that stay grow with the input: never broadcast.
+    kept = rows.join(stays.hint("merge"), doc_id == F.col("_id")).withColumn("_row", one).where("_row = 1")
+    columns = put_back(names, [])
+    return kept.select(*columns).union(rows.where(doc_id.isNull()).select(*columns))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the passages that smaller doc_ids hold; untouched texts stay as they are."""
-    cut = automata.dedup(docs)
+    rows, restored = _set_aside(docs)
     text = F.when(F.col("n_removed") > 0, F.decode("kept", "UTF-8")).otherwise(F.col("text"))
-    return _with_text(cut, docs.columns, text)
+    return restored(automata.dedup(rows), text)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, each as often as its source's target asks for."""
-    return _with_text(mixing.mixed(docs), docs.columns, F.col("text"))
+    rows, restored = _set_aside(docs)
+    return restored(mixing.mixed(rows), F.col("text"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

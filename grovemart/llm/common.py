@@ -40,8 +40,13 @@ def before(group: list[str], order: list[str], value: str) -> Column:
     return F.coalesce(F.sum(value).over(rows), F.lit(0))
 
 
-def without(df: DataFrame, names: list[str]) -> DataFrame:
-    """`df` less columns of these names in any case: the operator's own take their place."""
-    taken = {name.lower() for name in names}
-    kept = [name for name in df.columns if name.lower() not in taken]
-    return df.select(*[F.col(f"`{name}`") for name in kept])
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with columns named c0, c1 ..., and these by the old names: no name of it can clash."""
+    names = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def put_back(names: dict[str, str], own: list[str]) -> list[Column]:
+    """The columns that were set aside, less those of the operator's own names (in any case)."""
+    taken = {name.lower() for name in own}
+    return [F.col(now).alias(name) for name, now in names.items() if name.lower() not in taken]

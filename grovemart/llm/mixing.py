@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grovemart.llm.common import WORD, before, n_words, without
+from grovemart.llm.common import before, n_words, put_back, set_aside
 
 #: Slices of a source's random order: the first three hex digits of the key.
 SLICE_DIGITS = 3
@@ -111,20 +111,24 @@ def mix(
     `position` is the training time of the first copy, null if nothing is taken.
     `copies` has the times of all copies. The result is sorted by position.
     """
-    return _planned(docs, schedule, repeats, seed).drop("_rank").orderBy(
-        F.col("position").asc_nulls_last(), "doc_id"
-    )
+    rows, names = set_aside(docs)
+    plan = _planned(rows, names, schedule, repeats, seed).orderBy(F.col("position").asc_nulls_last(), names["doc_id"])
+    own = [*PLAN_COLUMNS, "copies"]
+    return plan.select(*put_back(names, own), *own)
 
 
-def _planned(docs: DataFrame, schedule: tuple[Phase, ...], repeats: float, seed: str) -> DataFrame:
+def _planned(
+    rows: DataFrame, names: dict[str, str], schedule: tuple[Phase, ...], repeats: float, seed: str
+) -> DataFrame:
+    """All rows with the plan's columns; `names` tells where doc_id, text and source are."""
+    doc_id, text = F.col(names["doc_id"]).cast("string"), F.col(names["text"])
     sized = (
-        without(docs, [*PLAN_COLUMNS, "copies"])
-        .withColumn("size", n_words(F.col("text")))
-        .withColumn("_source", F.col("source").cast("string"))
+        rows.withColumn("size", n_words(text))
+        .withColumn("_source", F.col(names["source"]).cast("string"))
         .withColumn("_key", F.coalesce(F.concat(F.lit("s"), F.col("_source")), F.lit("")))
-        .withColumn("_random", F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+        .withColumn("_random", F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(doc_id, F.lit("")))))
         .withColumn("_slice", F.substring("_random", 1, SLICE_DIGITS))
-        .withColumn("_print", F.xxhash64("text"))
+        .withColumn("_print", F.xxhash64(text))
     )
     # One row per source and slice: how many words come before it, and what the source gives.
     slices = sized.groupBy("_source", "_key", "_slice").agg(F.sum("size").alias("size"))
@@ -134,7 +138,6 @@ def _planned(docs: DataFrame, schedule: tuple[Phase, ...], repeats: float, seed:
         .select("_key", "_slice", "_offset")
         .join(targets, "_key")
     )
-    start = F.col("_offset") + before(["_key", "_slice"], ["_random", "size", "_print"], "size")
     whole = F.floor(F.col("_words") / F.col("source_size"))
     part = F.col("_words") - F.col("_rounds") * F.col("source_size") - F.col("_start")
     placed = (
@@ -149,12 +152,7 @@ def _planned(docs: DataFrame, schedule: tuple[Phase, ...], repeats: float, seed:
     )
     at = F.col("_start") + F.lit(0.0)
     first = F.when(F.col("_copies") > 0, position(at, F.col("target"), schedule))
-    return placed.withColumn("position", first).select(
-        *[F.col(f"`{name}`") for name in without(docs, [*PLAN_COLUMNS, "copies"]).columns],
-        *PLAN_COLUMNS,
-        F.col("_copies").cast("int").alias("copies"),
-        "_rank", "_start", "_part",
-    )
+    return placed.withColumn("position", first).withColumn("copies", F.col("_copies").cast("int"))
 
 
 def mixed(
@@ -168,13 +166,14 @@ def mixed(
     The columns are those of `docs`. A copy on the border of a target keeps its first words,
     joined by one space.
     """
-    names = docs.columns
-    plan = _planned(docs, schedule, repeats, seed)
-    copies = plan.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    rows, names = set_aside(docs)
+    plan = _planned(rows, names, schedule, repeats, seed).where("copies > 0")
+    copies = plan.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     start = F.col("_start") + F.col("_copy") * F.col("source_size") + F.lit(0.0)
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut = (F.col("_copy") == F.col("copies") - 1) & (F.col("_part") > 0) & (F.col("_part") < F.col("size"))
-    text = F.when(cut, F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), " ")).otherwise(F.col("text"))
-    timed = copies.withColumn("_at", position(start, F.col("target"), schedule)).withColumn("text", text)
-    ordered = timed.orderBy("_at", "doc_id", "_copy")
-    return ordered.select(*[F.col(f"`{name}`") for name in names if name in timed.columns])
+    text = F.col(names["text"])
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    border = (F.col("_copy") == F.col("copies") - 1) & (F.col("_part") > 0) & (F.col("_part") < F.col("size"))
+    kept = F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), " ")
+    cut = copies.withColumn(names["text"], F.when(border, kept).otherwise(text))
+    timed = cut.withColumn("_at", position(start, F.col("target"), schedule))
+    return timed.orderBy("_at", names["doc_id"], "_copy").select(*put_back(names, []))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grovemart.llm.common import before, without
+from grovemart.llm.common import before, put_back, set_aside
 
 #: Virtual partitions, and slices of a shard for the second permutation: powers of two.
 PARTITIONS = 4096
@@ -82,8 +82,8 @@ def shard(df: DataFrame, shards: int, keys: list[str], seed: int = 0) -> DataFra
     `keys` are the columns that identify a row; nothing else decides on its place.
     """
     spark = df.sparkSession
-    rows = without(df, ["shard", "slot", "_part", "_first", "_second", "_rank", "_cuts", "_slice"])
-    place = [F.col(f"`{key}`") for key in keys]
+    rows, names = set_aside(df)
+    place = [F.col(names[key]) for key in keys]
 
     def hashed(step: int):
         return F.xxhash64(F.lit(f"{seed}|{step}"), *place)
@@ -118,5 +118,5 @@ def shard(df: DataFrame, shards: int, keys: list[str], seed: int = 0) -> DataFra
         exchanged.withColumn("_rank", F.row_number().over(again) - 1)
         .join(offsets, ["shard", "_slice"])
         .withColumn("slot", F.col("_offset") + F.col("_rank"))
-        .drop("_slice", "_second", "_rank", "_offset")
+        .select(*put_back(names, ["shard", "slot"]), "shard", "slot")
     )
