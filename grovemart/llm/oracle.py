@@ -53,15 +53,16 @@ OP2 = """
 with d as (
   select doc_id, hex(encode(coalesce(text, ''))) as h from documents
 ), b as (
-  select doc_id, h, unnest(range((length(h) // 2)::bigint)) as i from d
+  select doc_id, unnest(range((length(h) // 2)::bigint)) as i, unnest(regexp_extract_all(h, '..')) as x from d
 ), w as (
-  select doc_id, i, substring(h, 2 * i + 1, 100) as s from b where 2 * i + 100 <= length(h)
+  select b.doc_id, b.i, substring(d.h, 2 * b.i + 1, 100) as s
+  from b join d using (doc_id) where 2 * b.i + 100 <= length(d.h)
 ), k as (
   select s, min(doc_id) as least from w group by s having min(doc_id) < max(doc_id)
 ), f as (
   select w.doc_id, w.i, true as again from w join k using (s) where k.least < w.doc_id
 ), m as (
-  select b.doc_id, b.i, substring(b.h, 2 * b.i + 1, 2) as x,
+  select b.doc_id, b.i, b.x,
          coalesce(max(f.again::int) over (partition by b.doc_id order by b.i rows between 49 preceding and current row), 0) as gone
   from b left join f using (doc_id, i)
 ), r as (
@@ -116,4 +117,68 @@ with v as (
 select query_id, rank, vec_id, score from r where rank <= 10
 """
 
-ORACLE_SQL = {"op1_mixing": OP1, "op2_suffix_dedup": OP2, "op8_top_k": OP8, "op9_substring_dedup": OP9}
+#: Components of the links `e` (u, v) between the rows `n` (node).
+REACH = """
+r as (
+  select node, node as least from n
+  union
+  select e.v, r.least from r join (select u, v from e union select v, u from e) e on e.u = r.node
+), c as (
+  select node, min(least) as component from r group by node
+)
+"""
+
+OP6 = f"""
+with recursive a as (
+  select vec_id, label,
+         case when label is not null and embedding is not null and len(embedding) > 0
+               and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+               and len(list_filter(embedding, lambda x: x <> 0)) > 0
+              then embedding::double[] end as x
+  from embeddings
+), n as (
+  select vec_id as node from a
+), p as (
+  select a.vec_id as u, b.vec_id as v
+  from a join a b on a.label = b.label and a.vec_id < b.vec_id and len(a.x) = len(b.x)
+  where list_dot_product(a.x, b.x) / sqrt(list_dot_product(a.x, a.x) * list_dot_product(b.x, b.x)) >= 0.93
+), e as (
+  select u, v from p
+), {REACH}
+select vec_id, (select count(*) from p where u = vec_id or v = vec_id) as n_links,
+       component as component_id, vec_id = component as kept
+from a join c on c.node = a.vec_id
+"""
+
+OP10 = f"""
+with recursive d as (
+  select doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), n as (
+  select doc_id as node from d
+), s as (
+  select distinct doc_id, array_to_string(w[i + 1 : i + 5], ' ') as t
+  from (select doc_id, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) as i from d)
+), z as (
+  select doc_id, count(*) as size from s group by doc_id
+), p as (
+  select a.doc_id as u, b.doc_id as v, count(*) as shared
+  from s a join s b on a.t = b.t and a.doc_id < b.doc_id group by all
+), e as (
+  select u, v from p join z a on a.doc_id = u join z b on b.doc_id = v
+  where 100 * shared >= 75 * (a.size + b.size - shared)
+), {REACH}
+select d.doc_id, coalesce(z.size, 0) as n_shingles, c.component as component_id
+from d left join z using (doc_id) join c on c.node = d.doc_id
+"""
+
+ORACLE_SQL = {
+    "op1_mixing": OP1,
+    "op2_suffix_dedup": OP2,
+    "op6_near_vectors": OP6,
+    "op8_top_k": OP8,
+    "op9_substring_dedup": OP9,
+    "op10_ngram_jaccard": OP10,
+}
