@@ -1,0 +1,87 @@
+"""Jaccard components against all pairs, and the signature tree for itself."""
+
+import random
+
+import numpy as np
+import pytest
+
+from grovemart.llm import ngrams
+from tests.llm import data
+
+
+def brute(rows, threshold=75):
+    sets = [data.shingles(t) for _, t, _ in rows]
+    classes, groups = {}, data.Groups()
+    for (d, _, _), s in zip(rows, sets, strict=True):
+        if s and d is not None:
+            classes[s] = min(classes.get(s, d), d)
+    kinds = list(classes)
+    for a in range(len(kinds)):
+        groups.root(a)
+        for b in range(a):
+            both = len(kinds[a] & kinds[b])
+            if 100 * both >= threshold * (len(kinds[a]) + len(kinds[b]) - both):
+                groups.link(a, b)
+    least = {}
+    for i, s in enumerate(kinds):
+        root = groups.root(i)
+        least[root] = min(least.get(root, classes[s]), classes[s])
+    where = {s: least[groups.root(i)] for i, s in enumerate(kinds)}
+    return sorted(((d, len(s), where[s] if s and d is not None else d) for (d, _, _), s in zip(rows, sets, strict=True)), key=repr)
+
+
+def near_copies(seed, words=120, groups=12, copies=7):
+    rng, rows = random.Random(seed), []
+    for g in range(groups):
+        base = [f"g{g}w{rng.randrange(400)}" for _ in range(words)]
+        for c in range(copies):
+            text = list(base)
+            for _ in range(rng.randrange(6)):
+                text[rng.randrange(len(text))] = f"new{rng.randrange(10**6)}"
+            rows.append((rng.randrange(10**6), " ".join(text) + " common tail of all the texts" * (c % 2), "s"))
+    return rows
+
+
+def test_odd_rows(spark):
+    assert data.sorted_rows(ngrams.jaccard_components(data.documents(spark))) == brute(data.ODD)
+
+
+@pytest.mark.parametrize("group", [1 << 20, 300])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_copies(spark, monkeypatch, group, seed):
+    monkeypatch.setattr(ngrams, "GROUP", group)
+    monkeypatch.setattr(ngrams, "CODES", 2048 if group > 1000 else 3)
+    rows = near_copies(seed)
+    want = brute(rows)
+    assert 0 < sum(d != c for d, _, c in want) < len(rows) - 12
+    assert data.sorted_rows(ngrams.jaccard_components(data.documents(spark, rows))) == want
+
+
+def test_no_rows(spark):
+    assert ngrams.jaccard_components(data.documents(spark).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [50, 75, 100])
+def test_tree_leaves_no_pair_out(threshold):
+    rng = np.random.default_rng(threshold)
+    sets = []
+    for i in range(150):
+        if i % 3 == 0 or not sets:
+            new = rng.integers(0, 1 << 62, int(rng.integers(1, 3000))).astype(np.uint64)
+        else:
+            old = sets[int(rng.integers(len(sets)))]
+            new = np.concatenate((old[rng.random(len(old)) < 0.95], rng.integers(0, 1 << 62, len(old) // 20).astype(np.uint64)))
+        sets.append(np.unique(new) if len(new) else np.array([1], np.uint64))
+    order = np.arange(len(sets))
+    tree = ngrams.SignatureTree(sets, order)
+    left, right = (ngrams.SignatureTree(sets, part) for part in (order[:70], order[70:]))
+    within = {tuple(sorted(p)) for p in ngrams.linked_pairs(tree, tree, threshold)}
+    across = {tuple(sorted(p)) for p in ngrams.linked_pairs(left, right, threshold)}
+    linked = {(a, b) for a in order for b in range(a + 1, len(sets)) if ngrams.overlap_at_least(sets[a], sets[b], threshold)}
+    assert linked <= within and {(a, b) for a, b in linked if a < 70 <= b} <= across
+    assert len(within) < 150 * 149 / 2 / (1 if threshold < 75 else 4)
+
+
+def test_chance_of_a_miss():
+    bands = ngrams.band_count(0.75)
+    assert (1 - 0.75**ngrams.ROWS) ** bands <= ngrams.MISS

@@ -1,0 +1,103 @@
+"""Packing: every id in one piece, gapless windows, little padding."""
+
+import zlib
+from collections import defaultdict
+from itertools import combinations_with_replacement
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from grovemart.llm import packing
+from grovemart.llm.queries import END_ID, WINDOW, vocabulary
+from tests.llm import data
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(vocabulary()[1])
+
+
+def check(rows, texts, tokenizer, window):
+    """`texts`: (doc_id, text) of all documents, each once."""
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append(r)
+    for doc_id, text in texts:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, END_ID], "<u4")
+        at = 0
+        for r in sorted(pieces[doc_id], key=lambda r: r["start"]):
+            part = ids[at : at + r["length"]]
+            assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(part.tobytes()))
+            at += r["length"]
+        assert at == len(ids)
+    for held in sequences.values():
+        at = 0
+        for r in sorted(held, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= window
+    return len(sequences)
+
+
+def test_odd_rows(spark, tokenizer):
+    rows = [(i, t, s) for i, (_, t, s) in enumerate(data.ODD)]
+    packed = packing.pack(data.documents(spark, rows), vocabulary(), WINDOW, END_ID).collect()
+    used = check(packed, [(d, t) for d, t, _ in rows], tokenizer, WINDOW)
+    assert used == -(-sum(r["length"] for r in packed) // WINDOW)
+
+
+def test_repeated_rows_and_no_rows(spark):
+    docs = data.documents(spark)
+    packed = packing.pack(docs, vocabulary(), WINDOW, END_ID)
+    twice = [r for r in packed.collect() if r["doc_id"] == 18]
+    assert len(twice) == 2 and len({(r["sequence_id"], r["offset"]) for r in twice}) == 2
+    assert packing.pack(docs.limit(0), vocabulary(), WINDOW, END_ID).count() == 0
+
+
+def test_little_padding(spark, tokenizer):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    packed = packing.pack(docs, vocabulary(), WINDOW, END_ID).collect()
+    used = check(packed, [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()], tokenizer, WINDOW)
+    tokens = sum(r["length"] for r in packed)
+    assert 1 - tokens / (used * WINDOW) < 0.005
+
+
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 3), max_size=5), st.integers(0, 40))
+@settings(max_examples=150, deadline=None)
+def test_fill_is_the_fullest(counts, capacity):
+    chosen = packing.fill(dict(counts), capacity)
+    assert all(0 < n <= counts[length] for length, n in chosen.items())
+    total = sum(length * n for length, n in chosen.items())
+    items = [length for length, n in counts.items() for _ in range(n)]
+    best, sums = 0, {0}
+    for item in items:
+        sums |= {s + item for s in sums if s + item <= capacity}
+    best = max(sums)
+    assert total == best
+
+
+@given(st.text(max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_ids_are_those_of_the_tokenizer(text):
+    exact = Tokenizer.from_file(vocabulary()[1]) if not hasattr(test_ids_are_those_of_the_tokenizer, "t") else test_ids_are_those_of_the_tokenizer.t
+    test_ids_are_those_of_the_tokenizer.t = exact
+    assert packing.token_ids(text, vocabulary()) == exact.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["a<|endoftext|>b", " " * 5000, "\n" * 300 + "x", "é" * 3000, "\u3000\xa0\u2028 x", "ab" * 20_000])
+def test_ids_of_odd_texts(tokenizer, text):
+    assert packing.token_ids(text, vocabulary()) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_windows_place_every_piece():
+    lengths = np.array(list(combinations_with_replacement([3, 5, 7], 2))).ravel()
+    at, offset = packing.windows(lengths, 10)
+    filled = defaultdict(set)
+    for window, start, length in zip(at, offset, lengths, strict=True):
+        cells = set(range(start, start + length))
+        assert not cells & filled[window] and max(cells) < 10
+        filled[window] |= cells

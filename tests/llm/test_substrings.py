@@ -1,0 +1,82 @@
+"""Both substring operators against a table of all stretches."""
+
+import random
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from grovemart.llm import automata, overlap, suffixes
+from tests.llm import data
+
+CASES = {"bytes": (suffixes.dedup, data.brute_bytes), "words": (automata.dedup, data.brute_words)}
+
+
+def digest(df):
+    return data.sorted_rows(df.select("doc_id", "n_units", "n_removed", "n_spans", F.sha2("kept", 256)))
+
+
+def random_rows(seed):
+    """Texts of few words, put together from pieces of each other, so that stretches repeat in all ways."""
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 6)):
+            if texts and rng.random() < 0.6:
+                old = rng.choice(texts)
+                at = rng.randrange(max(1, len(old)))
+                parts.append(old[at : at + rng.randint(5, 200)])
+            else:
+                parts.append(" ".join(rng.choice(["an", "the", "of", "stone", "river", "é"]) for _ in range(rng.randint(1, 40))))
+        texts.append(rng.choice([" ", "", "\n"]).join(parts))
+    ids = [rng.randrange(1000) for _ in texts]
+    return [(i, t, "s") for i, t in zip(ids, texts, strict=True)]
+
+
+@pytest.mark.parametrize("kind", CASES)
+@pytest.mark.parametrize("crowd", [512, 1])
+def test_odd_rows(spark, monkeypatch, kind, crowd):
+    monkeypatch.setattr(overlap, "CROWD", crowd)
+    dedup, brute = CASES[kind]
+    assert digest(dedup(data.documents(spark))) == brute(data.ODD)
+
+
+@pytest.mark.parametrize("kind", CASES)
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_rows(spark, monkeypatch, kind, seed):
+    # Blocks of a few documents, so that most repeats lie in different ones.
+    monkeypatch.setattr(overlap, "BLOCK", 500)
+    monkeypatch.setattr(overlap, "CROWD", 3)
+    dedup, brute = CASES[kind]
+    rows = random_rows(seed)
+    assert digest(dedup(data.documents(spark, rows).repartition(4))) == brute(rows)
+
+
+@pytest.mark.parametrize("kind", CASES)
+def test_empty_table_and_other_columns(spark, kind):
+    dedup, _ = CASES[kind]
+    docs = data.documents(spark)
+    empty = dedup(docs.limit(0))
+    assert empty.count() == 0
+    assert empty.columns == [*[c for c in docs.columns if c != "kept"], "kept", "n_units", "n_removed", "n_spans"]
+    row = dedup(docs).where("doc_id = 10").first()
+    assert (row["text"], row["body"], row["block"], bytes(row["kept"])) == ("one two", "body", "block", b"one two")
+
+
+def test_automaton_matches():
+    automaton = automata.Automaton()
+    for words in (b"a b a b c".split(), b"b c d".split(), b"x".split()):
+        automaton.add(words)
+    taken = {tuple(w) for s in ([*"ababc"], [*"bcd"], ["x"]) for n in range(1, 6) for w in data.stretches(s, n)}
+    asked = "a b c d x a b a b a b c".split()
+    best = [max((n for n in range(1, i + 2) if tuple(asked[i + 1 - n : i + 1]) in taken), default=0) for i in range(len(asked))]
+    assert automaton.matches([w.encode() for w in asked]) == best
+
+
+@pytest.mark.parametrize("index", [automata.repeated, suffixes.repeated])
+def test_index_of_no_rows(index):
+    names = ["key", "doc_id", "place", "low", "high"]
+    rows = pa.table({**{n: pa.array([], pa.int64()) for n in names}, "body": pa.array([], pa.binary())})
+    row, stretch = index(rows, automata.WORDS)
+    assert len(row) == len(stretch) == 0
