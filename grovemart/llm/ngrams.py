@@ -291,7 +291,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, threshold: int = 75, seed
     weight = grouped.agg(F.sum("n_shingles")).first()[0] or 0
     texts = docs.select(F.col("doc_id").cast("long").alias("first"), "text")
     # Groups are cut before the texts join, so that only numbers are grouped.
-    placed = meetings(grouped, ["component"], GROUP, F.col("n_shingles")).join(texts, "first")
+    # Candidates grow with the documents, so they are never broadcast.
+    placed = meetings(grouped, ["component"], GROUP, F.col("n_shingles")).hint("merge").join(texts, "first")
     links = written(_joined(placed.select("id", "one", "two", "text", "meeting", "side"), size, threshold, weight // TASK_GROUP), "links")
     joined = components(links)
     named = kinds.join(joined, F.col("id") == F.col("node"), "left").select(

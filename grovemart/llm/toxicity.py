@@ -33,8 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-TOXIC_DOCS, CLEAN_DOCS, SENTENCES, SENTENCE_CHARS = 1000, 1500, 40_000, 1000
-LANDMARKS, ROUNDS, CLEAN_WORDS, COST, CHANCE, SURE = 192, 4, 8_000, 1000.0, 1e-4, 2.0
+TOXIC_DOCS, CLEAN_DOCS, SENTENCES, SENTENCE_CHARS = 1000, 1500, 30_000, 1000
+LANDMARKS, ROUNDS, CLEAN_WORDS, SURE_WORDS, COST, CHANCE, SURE = 192, 4, 5_000, 4_000, 1000.0, 1e-4, 2.0
 DECAY, SYMBOLS, EDGE, LENGTH, SPAN, TOP = 0.9, 32, 31, 4, 6, 3
 #: Text bytes scored at a time.
 SLICE = 1 << 20
@@ -147,9 +147,9 @@ def kernel(words: Words, rows: np.ndarray, landmarks: tuple[np.ndarray, np.ndarr
     column = index[number]
     known = np.flatnonzero(column >= 0)
     known = known[np.argsort(word[known], kind="stable")]
-    out = np.zeros((len(rows), table.shape[1]))
-    for first in range(0, len(known), 1 << 15):
-        part = known[first : first + (1 << 15)]
+    out = np.zeros((len(rows), table.shape[1]), np.float32)
+    for first in range(0, len(known), 1 << 13):
+        part = known[first : first + (1 << 13)]
         heads = np.flatnonzero(np.concatenate(([True], word[part][1:] != word[part][:-1])))
         out[word[part][heads]] += np.add.reduceat(weight[part, None] * table[column[part]], heads, axis=0)
     return out
@@ -168,14 +168,14 @@ def landmark_table(words: Words, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def support_vector_machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """Weights (the last one the bias) with the least squared hinge loss, y being sign times margin: Newton's method."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     w = np.zeros(x.shape[1])
     ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-6
     for _ in range(30):
         wrong = np.sign(y) * (x @ w) < np.abs(y)
-        a = x[wrong] * cost[wrong, None]
-        new = np.linalg.solve(ridge + a.T @ x[wrong], a.T @ y[wrong])
+        a = (x[wrong] * cost[wrong, None]).astype(np.float32)
+        new = np.linalg.solve(ridge + (a.T @ x[wrong]).astype(float), a.T @ y[wrong])
         if np.allclose(new, w, atol=1e-8):
             break
         w = new
@@ -251,10 +251,12 @@ def fit(sentences: list[tuple[int, bytes, bool]], seed: int = 0) -> Model:
         return Model(*UNTRAINED)
     sure = _only_toxic(kind, doc, suspect, len(np.unique(doc[toxic])) / len(np.unique(doc)))
     score = words.scores(_telling(words, doc, toxic))
+    taught = rng.permutation(sure)[:SURE_WORDS]
     hard = np.zeros(0, np.int64)
     machine = None
     for _ in range(ROUNDS):
-        chosen = np.union1d(sure, _witnesses(score, doc, suspect, machine is not None))
+        others = np.setdiff1d(_witnesses(score, doc, suspect, machine is not None), sure)
+        chosen = np.sort(np.concatenate([taught, rng.permutation(others)[:SURE_WORDS]]))
         spread = rng.choice(clean, min(len(clean), CLEAN_WORDS), replace=False)
         marks = np.concatenate([_frequent(kind, chosen, LANDMARKS * 3 // 4), spread[: LANDMARKS // 4]])
         table = landmark_table(words, marks)
@@ -266,7 +268,8 @@ def fit(sentences: list[tuple[int, bytes, bool]], seed: int = 0) -> Model:
         # The insults that are sure, with a character put in: they count as insults, too.
         altered = Words(_altered(words, _frequent(kind, chosen, 100, least=2), rng))
         known = np.concatenate([chosen, spread, hard])
-        x = np.vstack([kernel(words, known, table), kernel(altered, np.arange(len(altered.start)), table)]) @ root
+        root = root.astype(np.float32)
+        x = np.vstack([kernel(words, known, table) @ root, kernel(altered, np.arange(len(altered.start)), table) @ root])
         # Words that only toxic documents have are asked to stand out further.
         margin = np.where(np.isin(chosen, sure), SURE, 1.0)
         y = np.concatenate([margin, -np.ones(len(known) - len(chosen)), np.ones(len(altered.start))])
