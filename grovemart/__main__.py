@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from grovemart.operators import cards
 from grovemart.operators.quality import preview
 from grovemart.plans import jobs
-from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, DIM_SPECIES, FACT_AREA
+from grovemart.schema import DIM_CALENDAR, DIM_SPECIES, FACT_AREA
 from grovemart.session import get_session
-from grovemart.sources.delimited import read_raw
 from grovemart.sources.jdbc import Database
-from grovemart.sources.landing import land
+from grovemart.sources.landing import land_file
+from grovemart.streaming.ingest import ingest_available
 
-JOBS = ["land", "convert", "typed", "star", "all", "preview", "checks", "cards", "export-registry", "export-star"]
+JOBS = ["land", "convert", "stream", "move-done", "typed", "star", "all", "preview", "checks", "cards", "export-registry", "export-star"]
 PASSWORD_VARIABLE = "GROVEMART_DB_PASSWORD"
 
 
@@ -32,20 +32,22 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source", help="land: file to deliver")
     parser.add_argument("--date", type=date.fromisoformat, help="land: delivery date, YYYY-MM-DD")
     parser.add_argument("--rows", type=int, default=5, help="preview: rows per table")
+    parser.add_argument("--keep-runs", type=int, default=jobs.KEEP_RUNS, help="published runs whose tables are kept")
+    parser.add_argument("--partitions", type=int, default=8, help="export: database connections")
     parser.add_argument("--url", help="export: JDBC URL")
     parser.add_argument("--driver", help="export: JDBC driver class")
     parser.add_argument("--user", help=f"export: user; the password is read from {PASSWORD_VARIABLE}")
     return parser.parse_args(arguments)
 
 
-def dashboard(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
+def dashboard(tables: dict[str, DataFrame], cities: DataFrame) -> dict[str, DataFrame]:
+    fact = tables[FACT_AREA]
     return {
         "total": cards.area_total(fact),
         "year": cards.area_by_year(fact, tables[DIM_CALENDAR]).orderBy("ano"),
-        "state": cards.area_by_state(fact, locations).orderBy("sigla_uf"),
-        "top cities": cards.top_cities(fact, locations),
-        "region": cards.area_by_region(fact, locations).orderBy("regiao"),
+        "state": cards.area_by_state(fact, cities).orderBy("sigla_uf"),
+        "top cities": cards.top_cities(fact, cities),
+        "region": cards.area_by_region(fact, cities).orderBy("regiao"),
         "species": cards.area_by_species(fact, tables[DIM_SPECIES]).orderBy("especie_florestal"),
     }
 
@@ -61,26 +63,32 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     dataset = (args.dataset or "").removesuffix(".csv")
     name = args.run or jobs.new_run()
     if args.job == "land":
-        print(land(read_raw(spark, args.source), args.landing, args.date, dataset))
+        print(land_file(spark, args.source, args.landing, args.date, dataset))
     elif args.job == "convert":
         print(json.dumps(jobs.convert(spark, lake, name)))
+    elif args.job == "stream":
+        rejected = ingest_available(spark, lake, f"{lake.root}/checkpoint", name)
+        print(json.dumps({"rejected": [[path, reason] for _, _, path, reason, _ in rejected]}))
+    elif args.job == "move-done":
+        print(json.dumps({"moved": jobs.move_done(spark, lake)}))
     elif args.job == "typed":
-        print(json.dumps({dataset: jobs.load_typed(spark, lake, dataset)}))
+        print(json.dumps({dataset: jobs.load_typed(spark, lake, dataset, name, args.keep_runs)}))
     elif args.job == "star":
-        print(json.dumps(jobs.build_star(spark, lake, dataset, name)))
+        print(json.dumps(jobs.build_star(spark, lake, dataset, name, args.keep_runs)))
     elif args.job == "all":
-        print(json.dumps(jobs.run_all(spark, lake, name)))
+        print(json.dumps(jobs.run_all(spark, lake, name, args.keep_runs)))
     elif args.job == "preview":
-        tables = jobs.read_star(spark, lake, dataset)
+        stages = {"clean": jobs.current(spark, lake, dataset), "typed": jobs.read_typed(spark, lake, dataset)}
+        tables = {**stages, **jobs.read_star(spark, lake, dataset)}
         show({table: preview(df, args.rows) for table, df in tables.items()})
     elif args.job == "checks":
         show(jobs.checks(spark, lake, dataset))
     elif args.job == "cards":
-        show(dashboard(jobs.read_star(spark, lake, dataset)))
+        show(dashboard(jobs.read_star(spark, lake, dataset), jobs.read_one_location(spark, lake, dataset)))
     else:
         database = Database(args.url, args.driver, args.user, os.environ.get(PASSWORD_VARIABLE))
         export = jobs.export_registry if args.job == "export-registry" else jobs.export_star
-        export(spark, lake, dataset, database)
+        export(spark, lake, dataset, database, args.partitions)
 
 
 def main(arguments: list[str] | None = None) -> None:

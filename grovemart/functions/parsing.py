@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from grovemart.schema import DATE_FORMAT
 
 # Whole numbers with an optional fraction, which is cut off. The blanks are the
-# characters a cast trims: ASCII controls, space and DEL.
-INTEGER_PATTERN = r"^[\x00-\x20\x7F]*([+-]?[0-9]+)([.][0-9]*)?[\x00-\x20\x7F]*$"
-BARE_FRACTION_PATTERN = r"^[\x00-\x20\x7F]*[+-]?[.][0-9]*[\x00-\x20\x7F]*$"
+# characters a cast trims: ASCII controls, space and DEL. The end is that of the text: a
+# closing line separator is a character like others.
+INTEGER_PATTERN = r"\A[\x00-\x20\x7F]*([+-]?[0-9]+)([.][0-9]*)?[\x00-\x20\x7F]*\z"
+BARE_FRACTION_PATTERN = r"\A[\x00-\x20\x7F]*[+-]?[.][0-9]*[\x00-\x20\x7F]*\z"
+# The formatter would take a sign and more digits for the year.
+DATE_PATTERN = r"\A[0-9]{2}/[0-9]{2}/[0-9]{4}\z"
 
 
 def parse_int(text: Column) -> Column:
@@ -23,6 +26,6 @@ def parse_int(text: Column) -> Column:
     return F.coalesce(whole, F.when(F.rlike(text, F.lit(BARE_FRACTION_PATTERN)), F.lit(0)))
 
 
-def parse_date(text: Column, pattern: str = DATE_FORMAT) -> Column:
-    """Text to date; NULL unless it matches the pattern exactly."""
-    return F.try_to_date(text, pattern)
+def parse_date(text: Column) -> Column:
+    """Text to date; NULL unless it is two, two and four digits that name a day."""
+    return F.when(F.rlike(text, F.lit(DATE_PATTERN)), F.try_to_date(text, DATE_FORMAT))

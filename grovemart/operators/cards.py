@@ -3,8 +3,10 @@
 Every card first sums the fact per join key. Map-side that leaves one row per key and
 task, so a key holding a third of all facts costs no more than any other, and the join
 sees one row per key instead of the facts. The sums arrive already partitioned by the
-join key. Spark picks the join by the measured sizes; only the calendar, which cannot
-outgrow the days of four-digit years, is ever hinted as broadcast.
+join key. Spark picks the join by the measured sizes; nothing is hinted.
+
+`cities` is the location dimension with unique keys (`star.unique_locations`), which the star
+job writes once: a city with several dimension rows counts once.
 """
 
 from __future__ import annotations
@@ -23,23 +25,6 @@ def area_per(fact: DataFrame, *keys: str) -> DataFrame:
     return fact.groupBy(*keys).agg(_area())
 
 
-def one_row_per_key(dimension: DataFrame, key: str = LOCATION_KEY) -> DataFrame:
-    """The dimension with unique keys: of several rows for a key, the greatest as a whole.
-
-    Taking the maximum of one struct never mixes attributes of two rows.
-    """
-    attributes = [name for name in dimension.columns if name != key]
-    return (
-        dimension.groupBy(key)
-        .agg(F.max(F.struct(*attributes)).alias("chosen"))
-        .select(key, "chosen.*")
-    )
-
-
-def _by_location(fact: DataFrame, locations: DataFrame) -> DataFrame:
-    return area_per(fact, LOCATION_KEY).join(one_row_per_key(locations), LOCATION_KEY)
-
-
 def area_total(fact: DataFrame) -> DataFrame:
     return fact.agg(_area())
 
@@ -49,12 +34,14 @@ def area_by_year(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     return area_per(area_per(fact, "data_base").join(days, "data_base"), "ano")
 
 
-def area_by_state(fact: DataFrame, locations: DataFrame) -> DataFrame:
-    return area_per(_by_location(fact, locations), "sigla_uf", "nome_uf")
+def area_by_state(fact: DataFrame, cities: DataFrame) -> DataFrame:
+    states = cities.select(LOCATION_KEY, "sigla_uf", "nome_uf")
+    return area_per(area_per(fact, LOCATION_KEY).join(states, LOCATION_KEY), "sigla_uf", "nome_uf")
 
 
-def area_by_region(fact: DataFrame, locations: DataFrame) -> DataFrame:
-    return area_per(_by_location(fact, locations), "regiao")
+def area_by_region(fact: DataFrame, cities: DataFrame) -> DataFrame:
+    regions = cities.select(LOCATION_KEY, "regiao")
+    return area_per(area_per(fact, LOCATION_KEY).join(regions, LOCATION_KEY), "regiao")
 
 
 def area_by_species(fact: DataFrame, species: DataFrame) -> DataFrame:
@@ -64,60 +51,48 @@ def area_by_species(fact: DataFrame, species: DataFrame) -> DataFrame:
     return sums.join(known, F.col(SPECIES_KEY).eqNullSafe(F.col("known"))).drop("known")
 
 
-def top_cities(fact: DataFrame, locations: DataFrame, n: int = 10) -> DataFrame:
+def top_cities(fact: DataFrame, cities: DataFrame, n: int = 10) -> DataFrame:
     """The n cities with most area; ties go to the lower code, unknown areas come last.
 
     Only the keys of the dimension decide who is in; names are looked up for the n winners,
-    few enough for Spark to broadcast, so the wide dimension is scanned but not shuffled.
+    few enough for Spark to broadcast, so the names are scanned but not shuffled.
     """
     order = [F.desc_nulls_last("area_ha"), F.col(LOCATION_KEY)]
-    known = locations.select(LOCATION_KEY).distinct()
-    winners = area_per(fact, LOCATION_KEY).join(known, LOCATION_KEY).orderBy(*order).limit(n)
-    attributes = [name for name in locations.columns if name != LOCATION_KEY]
-    return (
-        locations.join(winners, LOCATION_KEY)
-        .groupBy(LOCATION_KEY, "area_ha")
-        .agg(F.max(F.struct(*attributes)).alias("chosen"))
-        .select(LOCATION_KEY, "chosen.municipio", "area_ha")
-        .orderBy(*order)
-        .limit(n)
-    )
+    winners = area_per(fact, LOCATION_KEY).join(cities.select(LOCATION_KEY), LOCATION_KEY).orderBy(*order).limit(n)
+    return cities.join(winners, LOCATION_KEY).select(LOCATION_KEY, "municipio", "area_ha").orderBy(*order).limit(n)
+
+
+LEVELS = ["ano", "regiao", "sigla_uf", LOCATION_KEY, SPECIES_KEY]
 
 
-def area_grouping_sets(fact: DataFrame, calendar: DataFrame, locations: DataFrame) -> DataFrame:
-    """Total, year, region, state, city and species areas from one scan of the fact.
+def _levels(sums: DataFrame, own: list[str], total: bool = False) -> DataFrame:
+    """Areas by each of some columns, in the columns of all levels.
 
-    The facts are summed per day, per city and per species at once; only those sums are
-    joined and rolled up. Each level equals its card. The g_ columns are grouping bits:
-    0 where the column is part of the row's level, so a NULL species is no subtotal.
+    The g_ columns are grouping bits: 0 where the column is part of the row's level, so a NULL
+    species is no subtotal.
     """
-    fact_keys = ["data_base", LOCATION_KEY, SPECIES_KEY]
-    sums = fact.groupingSets([[key] for key in fact_keys], *fact_keys).agg(
-        _area(),
-        F.grouping("data_base").alias("no_day"),
-        F.grouping(LOCATION_KEY).alias("no_city"),
+    sets = [[name] for name in own] + ([[]] if total else [])
+    rolled = sums.groupingSets(sets, *own).agg(
+        _area(), *[F.grouping(name).cast("int").alias(f"g_{name}") for name in own]
     )
-    is_day, is_city = F.col("no_day") == 0, F.col("no_city") == 0
-    # Broadcast, because the city and species sums have no day: shuffled by day they would
-    # all meet in one task.
-    days = F.broadcast(calendar.select("data", "ano"))
-    cities = one_row_per_key(locations).select(
-        F.col(LOCATION_KEY).alias("known_city"), "regiao", "sigla_uf"
-    )
-    joined = (
-        sums.join(days, F.col("data_base") == F.col("data"), "left")
-        .join(cities, F.col(LOCATION_KEY) == F.col("known_city"), "left")
-        .where(~is_day | F.col("data").isNotNull())
-        .where(~is_city | F.col("known_city").isNotNull())
+    values = [F.col(name) if name in own else F.lit(None).cast("string").alias(name) for name in LEVELS]
+    bits = [F.col(f"g_{name}") if name in own else F.lit(1).alias(f"g_{name}") for name in LEVELS]
+    return rolled.select(*values, "area_ha", *bits)
+
+
+def area_grouping_sets(fact: DataFrame, calendar: DataFrame, cities: DataFrame) -> DataFrame:
+    """Total, year, region, state, city and species areas. Each level equals its card.
+
+    The facts are summed per day, per city and per species, two columns each; each of the
+    sums meets its own dimension only, so facts without a day or city never come together.
+    """
+    days = calendar.select(F.col("data").alias("data_base"), "ano")
+    places = cities.select(LOCATION_KEY, "regiao", "sigla_uf")
+    by_day = area_per(fact, "data_base").join(days, "data_base")
+    by_city = area_per(fact, LOCATION_KEY).join(places, LOCATION_KEY)
+    by_species = area_per(fact, SPECIES_KEY)
+    return (
+        _levels(by_day, ["ano"])
+        .unionByName(_levels(by_city, ["regiao", "sigla_uf", LOCATION_KEY]))
+        .unionByName(_levels(by_species, [SPECIES_KEY], total=True))
     )
-    levels = ["ano", "regiao", "sigla_uf", LOCATION_KEY, SPECIES_KEY]
-    origin = ["no_day", "no_city"]
-    rolled = joined.groupingSets(
-        [origin + [level] for level in levels] + [origin], *origin, *levels
-    ).agg(_area(), *[F.grouping(level).cast("int").alias(f"g_{level}") for level in levels])
-    # Year rows come from the day sums, place rows from the city sums, species and total
-    # from the species sums.
-    by_year = F.col("g_ano") == 0
-    by_place = (F.col("g_regiao") == 0) | (F.col("g_sigla_uf") == 0) | (F.col(f"g_{LOCATION_KEY}") == 0)
-    wanted = F.when(by_year, is_day).when(by_place, is_city).otherwise(~is_day & ~is_city)
-    return rolled.where(wanted).drop(*origin)

@@ -13,6 +13,8 @@ from grovemart.schema import (
     FACT_AREA,
     FACT_COLUMNS,
     LOCATION_COLUMNS,
+    LOCATION_KEY,
+    LOCATION_SCHEMA,
     SPECIES_KEY,
 )
 
@@ -22,6 +24,24 @@ def dim_location(registry: DataFrame) -> DataFrame:
     return registry.select(*LOCATION_COLUMNS).distinct()
 
 
+def one_row_per_key(dimension: DataFrame, key: str = LOCATION_KEY) -> DataFrame:
+    """The dimension with unique keys: of several rows for a key, the greatest as a whole.
+
+    Taking the maximum of one struct never mixes attributes of two rows.
+    """
+    attributes = [name for name in dimension.columns if name != key]
+    return (
+        dimension.groupBy(key)
+        .agg(F.max(F.struct(*attributes)).alias("chosen"))
+        .select(key, "chosen.*")
+    )
+
+
+def unique_locations(dimension: DataFrame) -> DataFrame:
+    """The location dimension with unique keys, in the columns that the cards ask for."""
+    return one_row_per_key(dimension).select(*LOCATION_SCHEMA.fieldNames())
+
+
 def date_bounds(registry: DataFrame) -> DataFrame:
     return registry.agg(
         F.min("data_base").alias("data_inicial"), F.max("data_base").alias("data_final")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovemart.schema import RAW_HEADERS
+from grovemart.schema import RAW_ENCODING, RAW_HEADERS, RAW_SEPARATOR
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,9 +47,52 @@ def _date_and_place_columns() -> list[Column]:
     ]
 
 
-def raw_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _edge_date(day: Column) -> Column:
+    """Day text, on every 31st key with a year that only a tolerant formatter takes."""
+    key = F.col("l_orderkey") % 31
+    return F.when(key == 1, "01/01/+99999").when(key == 2, "01/01/-0005").otherwise(day)
+
+
+def _edge_area(area: Column) -> Column:
+    """Area text, on every 31st key a bare fraction or a number before a line separator."""
+    key = F.col("l_orderkey") % 31
+    return (
+        F.when(key == 3, ".5")
+        .when(key == 4, F.concat(F.coalesce(area, F.lit("1")), F.lit("\u0085")))
+        .when(key == 5, F.concat(F.coalesce(area, F.lit("1")), F.lit("\u2028")))
+        .otherwise(area)
+    )
+
+
+def raw_registry(spark: SparkSession, sf_dir: str, edges: bool = False) -> DataFrame:
     """One raw row per line item: thirteen text columns under the raw headers.
 
+    With `edges`, dates and areas that look nearly right are planted, too.
+    """
+    return _registry(spark, sf_dir, edges).drop("l_orderkey")
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry as lines of delimited text under the header line; some with fields too few or too many."""
+    fields = [F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in RAW_HEADERS]
+    key = F.col("l_orderkey") % 37
+    line = (
+        F.when(key == 1, F.concat_ws(RAW_SEPARATOR, *fields[:-2]))
+        .when(key == 2, F.concat_ws(RAW_SEPARATOR, *fields, F.lit("surplus")))
+        .otherwise(F.concat_ws(RAW_SEPARATOR, *fields))
+    )
+    return _registry(spark, sf_dir, False).select(line.alias(RAW_SEPARATOR.join(RAW_HEADERS)))
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Lines as they are, each file with the header line on top."""
+    options = {"header": "true", "encoding": RAW_ENCODING, "sep": "\x01", "quote": "\x00", "escapeQuotes": "false"}
+    lines.write.options(**options).csv(path)
+
+
+def _registry(spark: SparkSession, sf_dir: str, edges: bool) -> DataFrame:
+    """The raw columns with the order key.
+
     Parts are joined to the narrow line items and the wide place columns to the orders,
     so the last and largest shuffle carries the long text on the smaller side only.
     """
@@ -67,8 +110,11 @@ def raw_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_orderkey") % 19 == 0, F.concat(quantity, F.lit(".7")))
         .otherwise(quantity)
     )
+    day, *places = _date_and_place_columns()
+    if edges:
+        day, area = _edge_date(day), _edge_area(area)
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        *_as(_date_and_place_columns() + [species, area])
+        *_as([day, *places, species, area]), "l_orderkey"
     )
 
 
@@ -86,7 +132,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts with renamed cities and with city codes the location dimension does not know."""
+    """Facts with renamed cities, city codes the location dimension does not know, and without day or species."""
     items = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
@@ -102,6 +148,8 @@ def dirty_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("c_name"))
         .alias("municipio"),
         F.col("l_quantity").cast("int").alias("area_ha"),
+        F.when(F.col("l_orderkey") % 13 != 0, F.col("o_orderdate").cast("date")).alias("data_base"),
+        F.when(F.col("l_linenumber") != 6, F.col("o_orderpriority")).alias("especie_florestal"),
     )
 
 

@@ -1,58 +1,96 @@
 """The batch jobs: convert deliveries, load the typed registry, build the star, run all three.
 
-Each job writes a table with one action and takes its row count from that same write.
-Steps replace whole tables or partitions and the manifest is written last, so a run that
-broke off is simply started again.
+No job overwrites what readers see. Each writes a folder of its own run and then a row to a
+log, and readers follow the logs: a broken run, or a bad delivery, leaves everything as it was.
+Deliveries are kept or rejected one by one; rejections are a table with reasons, and the job that
+finds them ends with an error that names them, after all good ones are in.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
+from threading import Lock
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grovemart.functions.paths import delivery_parts
 from grovemart.operators import quality, star
 from grovemart.operators.cleaning import clean, typed
 from grovemart.schema import (
+    CORRUPT_RECORD,
     DIM_LOCATION,
     FACT_AREA,
+    LOCATION_SCHEMA,
+    ONE_LOCATION,
+    RAW_ENCODING,
+    RAW_SEPARATOR,
     STAR_SCHEMAS,
     TYPED_SCHEMA,
 )
-from grovemart.sources.delimited import read_raw, write_stage
-from grovemart.sources.history import SNAPSHOT, read_snapshot, replace_snapshot
+from grovemart.sources import history as kept_rows
+from grovemart.sources.delimited import header_problem, read_raw, write_stage
+from grovemart.sources.files import first_line, folders, move, remove
+from grovemart.sources.history import LOG_SCHEMA, SNAPSHOT
 from grovemart.sources.jdbc import Database, replace_jdbc_table
 from grovemart.sources.landing import (
     MANIFEST_SCHEMA,
     list_files,
     mark_done,
     pending_files,
+    processed_path,
     read_manifest,
+    stray_files,
 )
-from grovemart.sources.tables import create_if_absent, read_table, replace_table
+from grovemart.sources.tables import append_rows, create_if_absent, read_table, replace_table
 
+#: Spark jobs side by side, files looked at side by side, and runs whose folders are kept.
 CONCURRENT_JOBS = 4
-SNAPSHOTS_SCHEMA = T.StructType(
+CONCURRENT_PEEKS = 32
+KEEP_RUNS = 3
+TYPED = "typed"
+STAR = "star"
+PUBLISHED_SCHEMA = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
-        T.StructField(SNAPSHOT, T.DateType()),
-        T.StructField("rows", T.LongType()),
+        T.StructField("what", T.StringType()),
         T.StructField("run", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("published_at", T.TimestampType()),
     ]
 )
-PUBLISHED_SCHEMA = T.StructType(
+REJECTED_SCHEMA = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
+        T.StructField(SNAPSHOT, T.DateType()),
+        T.StructField("delivery", T.StringType()),
+        T.StructField("reason", T.StringType()),
         T.StructField("run", T.StringType()),
-        T.StructField("published_at", T.TimestampType()),
     ]
 )
+#: Reasons that are no fault of a delivery: a newer one of the same day is kept instead.
+OLDER = "a newer delivery of this day is kept"
+
+
+class DeliveryRejected(ValueError):
+    """Deliveries that were not taken in; all others were."""
+
+
+@dataclass(frozen=True)
+class Delivery:
+    """A file or a folder of files that arrived for a dataset and day."""
+
+    dataset: str
+    day: date
+    path: str
+    files: tuple[str, ...]
+    time: datetime
 
 
 @dataclass(frozen=True)
@@ -75,81 +113,201 @@ class Lake:
         """Log of the deliveries kept, so that nobody has to search the history for dates."""
         return f"{self.root}/snapshots"
 
+    @property
+    def rejected(self) -> str:
+        return f"{self.root}/rejected"
+
+    @property
+    def history(self) -> str:
+        """Clean rows of all deliveries: a folder per run, dataset and day."""
+        return f"{self.root}/history"
+
     def pending(self, run: str) -> str:
         return f"{self.root}/pending/run={run}"
 
-    def analytics(self, dataset: str) -> str:
-        """Parquet history: a partition per delivery, the newest being the current table."""
-        return f"{self.root}/analytics/{dataset}"
-
     def stage(self, dataset: str) -> str:
         return f"{self.root}/stage/{dataset}"
 
-    def typed(self, dataset: str) -> str:
-        return f"{self.root}/typed/{dataset}"
+    def runs(self, what: str, dataset: str) -> str:
+        return f"{self.root}/{what}/{dataset}"
+
+    def typed(self, dataset: str, run: str) -> str:
+        return f"{self.runs(TYPED, dataset)}/run={run}"
 
     def star(self, dataset: str, run: str, table: str) -> str:
-        return f"{self.root}/star/{dataset}/run={run}/{table}"
+        return f"{self.runs(STAR, dataset)}/run={run}/{table}"
 
 
-def side_by_side(job: Callable[[Any], Any], items: Iterable[Any]) -> list[Any]:
-    """Run independent Spark jobs at the same time, so that small ones fill the gaps of large ones."""
-    with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:
+def side_by_side(job: Callable[[Any], Any], items: Iterable[Any], threads: int = CONCURRENT_JOBS) -> list[Any]:
+    """Run independent jobs at the same time, so that small ones fill the gaps of large ones."""
+    with ThreadPoolExecutor(threads) as pool:
         return list(pool.map(job, items))
 
 
+def now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
 def new_run() -> str:
-    return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    return now().strftime("%Y%m%dT%H%M%S%f")
+
+
+def snapshots(spark: SparkSession, lake: Lake, dataset: str | None = None) -> DataFrame:
+    """The log of kept deliveries, of one dataset or all."""
+    create_if_absent(spark, lake.snapshots, LOG_SCHEMA)
+    log = read_table(spark, lake.snapshots, LOG_SCHEMA)
+    return log if dataset is None else log.where(F.col("dataset") == dataset)
+
+
+def rejections(spark: SparkSession, lake: Lake) -> DataFrame:
+    create_if_absent(spark, lake.rejected, REJECTED_SCHEMA)
+    return read_table(spark, lake.rejected, REJECTED_SCHEMA)
+
 
+def history(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
+    """The clean rows of all kept deliveries of a dataset, with their days."""
+    return kept_rows.read_history(spark, lake.history, snapshots(spark, lake, dataset))
 
-def snapshots(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
-    """Dates, row counts and runs of the deliveries kept of a dataset."""
-    return read_table(spark, lake.snapshots, SNAPSHOTS_SCHEMA).where(F.col("dataset") == dataset)
+
+def newest(spark: SparkSession, lake: Lake, dataset: str) -> Row:
+    """Log row of the newest delivery kept."""
+    row = kept_rows.kept(snapshots(spark, lake, dataset)).orderBy(F.desc(SNAPSHOT)).first()
+    if row is None:
+        raise LookupError(f"no delivery of {dataset}")
+    return row
 
 
 def current(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
     """The clean rows of the newest delivery, read in place: there is no copy to keep up."""
-    newest = snapshots(spark, lake, dataset).agg(F.max(SNAPSHOT)).first()[0]
-    if newest is None:
-        raise LookupError(f"no delivery of {dataset}")
-    return read_snapshot(spark, lake.analytics(dataset), newest)
+    row = newest(spark, lake, dataset)
+    return kept_rows.read_snapshot(spark, lake.history, row["run"], dataset, row[SNAPSHOT])
+
 
+def current_ragged(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
+    """Rows of the newest delivery with too few or too many fields, as they were."""
+    row = newest(spark, lake, dataset)
+    rows = kept_rows.read_run(spark, lake.history, row["run"])
+    mine = rows.where((F.col("dataset") == dataset) & (F.col(SNAPSHOT) == row[SNAPSHOT]))
+    return quality.ragged_rows(mine).select(CORRUPT_RECORD)
 
-def take_in(spark: SparkSession, lake: Lake, run: str) -> dict[str, int]:
-    """Read all pending deliveries; returns the current row count of each dataset touched.
 
-    The pending list is written down first, so that exactly the files in it are marked as
-    done later even if more arrive meanwhile. A delivery with any pending file is read as
-    a whole, by its own header, and replaces its own day of the history. The stage copy
-    holds the newest delivery.
+def _arrived(spark: SparkSession, lake: Lake, run: str) -> list[Delivery]:
+    """Deliveries with a pending file, each with all its files; the pending list is written down first.
+
+    So exactly the files in it are marked as done later, even if more arrive meanwhile.
     """
-    replace_table(
-        pending_files(list_files(spark, lake.landing), read_manifest(spark, lake.manifest)),
-        lake.pending(run),
-    )
+    files = list_files(spark, lake.landing)
+    replace_table(pending_files(files, read_manifest(spark, lake.manifest)), lake.pending(run))
     pending = read_table(spark, lake.pending(run), MANIFEST_SCHEMA)
-    # One row per dataset and day, however many files a delivery has.
-    deliveries = list(
-        pending.groupBy("dataset", SNAPSHOT)
-        .agg(F.max("delivery").alias("path"))
-        .orderBy("dataset", SNAPSHOT)
+    whole = files.join(pending.select("delivery").distinct(), "delivery").groupBy("dataset", SNAPSHOT, "delivery")
+    rows = whole.agg(F.sort_array(F.collect_list("path")).alias("files"), F.max("modificationTime").alias("time"))
+    return [
+        Delivery(r["dataset"], r[SNAPSHOT], r["delivery"], tuple(r["files"]), r["time"])
+        for r in rows.orderBy("dataset", SNAPSHOT, "delivery").toLocalIterator()
+    ]
+
+
+def _newest_of_each_day(deliveries: list[Delivery], log: DataFrame) -> tuple[list[Delivery], list[tuple[Delivery, str]]]:
+    """The newest delivery of each dataset and day, those kept before counted in; the others are rejected."""
+    known = {(r["dataset"], r[SNAPSHOT]): r for r in kept_rows.kept(log).toLocalIterator()}
+    by_day: dict[tuple, list[Delivery]] = defaultdict(list)
+    for delivery in deliveries:
+        by_day[delivery.dataset, delivery.day].append(delivery)
+    taken, rejected = [], []
+    for key, same_day in by_day.items():
+        best = max(same_day, key=lambda d: (d.time, d.path))
+        before = known.get(key)
+        older = before is not None and before["delivery"] != best.path and before["delivered_at"] > best.time
+        if not older:
+            taken.append(best)
+        rejected += [(d, OLDER) for d in same_day if older or d is not best]
+    return taken, rejected
+
+
+def _by_header(spark: SparkSession, deliveries: list[Delivery]) -> tuple[dict[tuple, list[Delivery]], list[tuple[Delivery, str]]]:
+    """Deliveries that can be read together, by their header; those whose header is wrong are rejected."""
+    files = [file for delivery in deliveries for file in delivery.files]
+    lines = side_by_side(lambda file: first_line(spark, file, RAW_ENCODING), files, CONCURRENT_PEEKS)
+    header_of = dict(zip(files, lines, strict=True))
+    groups: dict[tuple, list[Delivery]] = defaultdict(list)
+    rejected = []
+    for delivery in deliveries:
+        # A part without any line has no rows either.
+        found = {header_of[file] for file in delivery.files} - {None}
+        headers = {tuple(name.strip('"') for name in line.split(RAW_SEPARATOR)) for line in found}
+        problems = [p for p in (header_problem(list(h)) for h in sorted(headers)) if p]
+        if not headers:
+            rejected.append((delivery, "no header"))
+        elif problems:
+            rejected.append((delivery, problems[0]))
+        elif len(headers) > 1:
+            rejected.append((delivery, "its files have different headers"))
+        else:
+            groups[headers.pop()].append(delivery)
+    return dict(groups), rejected
+
+
+def _keep(spark: SparkSession, lake: Lake, run: str, header: tuple, deliveries: list[Delivery]) -> list[tuple]:
+    """Write all rows of deliveries with one header in one job; returns their log rows."""
+    files = [file for delivery in deliveries for file in delivery.files if file]
+    raw = read_raw(spark, files, keep_corrupt=True, header=list(header), with_path=True)
+    # The path arrives URL-encoded, a plus sign as it is.
+    path = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
+    parts = delivery_parts(path)
+    rows = clean(raw).withColumns({name: parts[name] for name in ("dataset", SNAPSHOT)}).drop("file_path")
+    kept_rows.write_run(rows, lake.history, run)
+    counted = {
+        (r["dataset"], r[SNAPSHOT]): r
+        for r in kept_rows.read_run(spark, lake.history, run)
+        .groupBy("dataset", SNAPSHOT)
+        .agg(F.count(F.lit(1)).alias("rows"), F.count(CORRUPT_RECORD).alias("ragged"))
         .toLocalIterator()
-    )
+    }
+    done = []
+    for d in deliveries:
+        count = counted.get((d.dataset, d.day))
+        size = (count["rows"], count["ragged"]) if count else (0, 0)
+        done.append((d.dataset, d.day, *size, run, d.path, d.time, now()))
+    return done
 
-    def keep(delivery: Row) -> tuple:
-        dataset, day, path = delivery
-        rows = replace_snapshot(clean(read_raw(spark, path)), lake.analytics(dataset), day)
-        return dataset, day, rows, run
 
-    def stage(dataset: str) -> int:
-        return write_stage(current(spark, lake, dataset), lake.stage(dataset))
+def take_in(spark: SparkSession, lake: Lake, run: str) -> tuple[dict[str, int], list[tuple]]:
+    """Read all pending deliveries; returns the row count of each dataset touched, and the rejections.
 
-    kept = side_by_side(keep, deliveries)
-    if kept:
-        log = spark.createDataFrame(kept, SNAPSHOTS_SCHEMA).coalesce(1)
-        log.write.mode("append").parquet(lake.snapshots)
-    datasets = sorted({dataset for dataset, *_ in kept})
-    return dict(zip(datasets, side_by_side(stage, datasets), strict=True))
+    Deliveries with the same header are read and written by one job, whatever their number. Of
+    several deliveries of a day the newest by time is kept, in whatever run they come. Files are
+    marked as done when their delivery is kept or rejected. The stage copy holds the newest
+    delivery.
+    """
+    arrived = _arrived(spark, lake, run)
+    log = snapshots(spark, lake)
+    taken, older = _newest_of_each_day(arrived, log)
+    groups, wrong = _by_header(spark, taken)
+
+    one_writer = Lock()
+
+    def keep(numbered: tuple[int, tuple]) -> list[tuple]:
+        number, (header, deliveries) = numbered
+        rows = _keep(spark, lake, f"{run}-{number}", header, deliveries)
+        with one_writer:
+            append_rows(spark, rows, LOG_SCHEMA, lake.snapshots)
+        return rows
+
+    kept = [row for rows in side_by_side(keep, enumerate(groups.items())) for row in rows]
+    strays = [
+        (r["dataset"] or None, r[SNAPSHOT], r["path"], "suffix or path off the contract", run)
+        for r in stray_files(list_files(spark, lake.landing), read_manifest(spark, lake.manifest)).toLocalIterator()
+    ]
+    rejected = [(d.dataset, d.day, d.path, reason, run) for d, reason in [*older, *wrong]] + strays
+    if rejected:
+        append_rows(spark, rejected, REJECTED_SCHEMA, lake.rejected)
+        stray = spark.createDataFrame([(row[2],) for row in strays], "path string")
+        mark_done(list_files(spark, lake.landing).join(stray, "path").select(*MANIFEST_SCHEMA.fieldNames()), lake.manifest)
+    if arrived:
+        finish(spark, lake, run)
+    datasets = sorted({row[0] for row in kept})
+    counts = side_by_side(lambda name: write_stage(current(spark, lake, name), lake.stage(name)), datasets)
+    return dict(zip(datasets, counts, strict=True)), rejected
 
 
 def finish(spark: SparkSession, lake: Lake, run: str) -> None:
@@ -157,56 +315,118 @@ def finish(spark: SparkSession, lake: Lake, run: str) -> None:
     mark_done(read_table(spark, lake.pending(run), MANIFEST_SCHEMA), lake.manifest)
 
 
+def move_done(spark: SparkSession, lake: Lake) -> int:
+    """Move kept deliveries out of the downloaded state, so that later listings are short; their number."""
+    files = list_files(spark, lake.landing)
+    waiting = pending_files(files, read_manifest(spark, lake.manifest)).select("delivery").distinct()
+    done = kept_rows.kept(snapshots(spark, lake)).select("delivery").join(waiting, "delivery", "left_anti")
+    there = files.where(F.col("state") == "downloaded").select("delivery").distinct().join(done, "delivery")
+    paths = [row[0] for row in there.toLocalIterator()]
+
+    def step(path: str) -> None:
+        remove(spark, processed_path(path))
+        move(spark, path, processed_path(path))
+
+    side_by_side(step, paths, CONCURRENT_PEEKS)
+    return len(paths)
+
+
+def _tell(rejected: list[tuple]) -> None:
+    faults = [f"{path}: {reason}" for _, _, path, reason, _ in rejected if reason != OLDER]
+    if faults:
+        raise DeliveryRejected("; ".join(faults))
+
+
 def convert(spark: SparkSession, lake: Lake, run: str) -> dict[str, int]:
-    """Take in all pending deliveries and mark them as done."""
-    counts = take_in(spark, lake, run)
-    if counts:
-        finish(spark, lake, run)
+    """Take in all pending deliveries; raises if any was rejected, after the others were kept."""
+    counts, rejected = take_in(spark, lake, run)
+    _tell(rejected)
     return counts
 
 
-def load_typed(spark: SparkSession, lake: Lake, dataset: str) -> int:
-    """Newest delivery to typed registry."""
-    return replace_table(typed(current(spark, lake, dataset)), lake.typed(dataset))
+def _publish(spark: SparkSession, lake: Lake, dataset: str, what: str, run: str, source: str, keep_runs: int) -> None:
+    """Make a run's tables the ones that are read; older runs go, but for the last `keep_runs`."""
+    create_if_absent(spark, lake.published, PUBLISHED_SCHEMA)
+    append_rows(spark, [(dataset, what, run, source, now())], PUBLISHED_SCHEMA, lake.published)
+    names = folders(spark, lake.runs(what, dataset))
+    last = {f"run={r['run']}" for r in _published(spark, lake, dataset, what).orderBy(F.desc("published_at")).limit(keep_runs).toLocalIterator()}
+    published = {f"run={r['run']}" for r in _published(spark, lake, dataset, what).toLocalIterator()}
+    for name in names:
+        if name in published - last:
+            remove(spark, f"{lake.runs(what, dataset)}/{name}")
+
 
+def _published(spark: SparkSession, lake: Lake, dataset: str, what: str) -> DataFrame:
+    create_if_absent(spark, lake.published, PUBLISHED_SCHEMA)
+    return read_table(spark, lake.published, PUBLISHED_SCHEMA).where(
+        (F.col("dataset") == dataset) & (F.col("what") == what)
+    )
 
-def build_star(spark: SparkSession, lake: Lake, dataset: str, run: str) -> dict[str, int]:
-    """Typed registry to the four star tables, in a folder of their own, published together.
 
-    Readers follow the last published run, so they never see tables of two runs.
+def _last_published(spark: SparkSession, lake: Lake, dataset: str, what: str) -> Row | None:
+    return _published(spark, lake, dataset, what).orderBy(F.desc("published_at"), F.desc("run")).first()
+
+
+def load_typed(spark: SparkSession, lake: Lake, dataset: str, run: str | None = None, keep_runs: int = KEEP_RUNS) -> int:
+    """Newest delivery to typed registry, in a folder of the run, then published."""
+    run = run or new_run()
+    source = newest(spark, lake, dataset)["run"]
+    rows = replace_table(typed(current(spark, lake, dataset)), lake.typed(dataset, run))
+    _publish(spark, lake, dataset, TYPED, run, source, keep_runs)
+    return rows
+
+
+def read_typed(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
+    """The typed registry of the last published run."""
+    row = _last_published(spark, lake, dataset, TYPED)
+    if row is None:
+        raise LookupError(f"no typed registry of {dataset}")
+    return read_table(spark, lake.typed(dataset, row["run"]), TYPED_SCHEMA)
+
+
+def build_star(spark: SparkSession, lake: Lake, dataset: str, run: str, keep_runs: int = KEEP_RUNS) -> dict[str, int]:
+    """Typed registry to the star tables, in a folder of their own, published together.
+
+    Readers follow the last published run, so they never see tables of two runs. Beside the
+    location dimension goes its narrow form of one row per key, which the cards read.
     """
-    registry = read_table(spark, lake.typed(dataset), TYPED_SCHEMA)
+    registry = read_typed(spark, lake, dataset)
+    source = _last_published(spark, lake, dataset, TYPED)["source"]
     tables = star.star(registry)
 
     def write(name: str) -> int:
         return replace_table(tables[name], lake.star(dataset, run, name))
 
     counts = dict(zip(tables, side_by_side(write, tables), strict=True))
-    create_if_absent(spark, lake.published, PUBLISHED_SCHEMA)
-    row = [(dataset, run, datetime.now(timezone.utc))]
-    spark.createDataFrame(row, PUBLISHED_SCHEMA).write.mode("append").parquet(lake.published)
+    locations = read_table(spark, lake.star(dataset, run, DIM_LOCATION), STAR_SCHEMAS[DIM_LOCATION])
+    replace_table(star.unique_locations(locations), lake.star(dataset, run, ONE_LOCATION))
+    _publish(spark, lake, dataset, STAR, run, source, keep_runs)
     return counts
 
 
 def read_star(spark: SparkSession, lake: Lake, dataset: str) -> dict[str, DataFrame]:
     """The star tables of the last published run."""
-    newest = (
-        read_table(spark, lake.published, PUBLISHED_SCHEMA)
-        .where(F.col("dataset") == dataset)
-        .agg(F.max_by("run", F.struct("published_at", "run")).alias("run"))
-        .first()["run"]
-    )
-    if newest is None:
+    row = _last_published(spark, lake, dataset, STAR)
+    if row is None:
         raise LookupError(f"no star published for {dataset}")
     return {
-        name: read_table(spark, lake.star(dataset, newest, name), schema)
+        name: read_table(spark, lake.star(dataset, row["run"], name), schema)
         for name, schema in STAR_SCHEMAS.items()
     }
 
 
+def read_one_location(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
+    """The location dimension with unique keys, of the last published run."""
+    row = _last_published(spark, lake, dataset, STAR)
+    if row is None:
+        raise LookupError(f"no star published for {dataset}")
+    return read_table(spark, lake.star(dataset, row["run"], ONE_LOCATION), LOCATION_SCHEMA)
+
+
 def checks(spark: SparkSession, lake: Lake, dataset: str) -> dict[str, DataFrame]:
-    """What to look at after a load: row counts, values that did not parse, keys that do not fit."""
-    registry = read_table(spark, lake.typed(dataset), TYPED_SCHEMA)
+    """What to look at after a load: row counts, values that did not parse, keys that do not fit,
+    ragged rows and rejected deliveries."""
+    registry = read_typed(spark, lake, dataset)
     tables = read_star(spark, lake, dataset)
     fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
     stages = {"clean": current(spark, lake, dataset), "typed": registry, **tables}
@@ -215,33 +435,51 @@ def checks(spark: SparkSession, lake: Lake, dataset: str) -> dict[str, DataFrame
         "null_profile": quality.null_profile(registry),
         "duplicate_keys": quality.duplicate_keys(locations),
         "orphan_keys": quality.orphan_keys(fact, locations),
+        "deliveries": kept_rows.kept(snapshots(spark, lake, dataset)).select(SNAPSHOT, "rows", "ragged", "delivery"),
+        "ragged_rows": current_ragged(spark, lake, dataset),
+        "rejected": rejections(spark, lake),
     }
 
 
-def export_registry(spark: SparkSession, lake: Lake, dataset: str, database: Database) -> None:
+def export_registry(spark: SparkSession, lake: Lake, dataset: str, database: Database, num_partitions: int) -> None:
     """The typed registry as a database table named after the dataset."""
-    replace_jdbc_table(read_table(spark, lake.typed(dataset), TYPED_SCHEMA), database, dataset)
+    replace_jdbc_table(read_typed(spark, lake, dataset), database, dataset, num_partitions)
 
 
-def export_star(spark: SparkSession, lake: Lake, dataset: str, database: Database) -> None:
+def export_star(spark: SparkSession, lake: Lake, dataset: str, database: Database, num_partitions: int) -> None:
     """The published star tables as database tables."""
     for name, df in read_star(spark, lake, dataset).items():
-        replace_jdbc_table(df, database, name)
+        replace_jdbc_table(df, database, name, num_partitions)
+
 
+def _outdated(spark: SparkSession, lake: Lake) -> list[str]:
+    """Datasets whose published star is not made from their newest delivery."""
+    days = kept_rows.kept(snapshots(spark, lake)).groupBy("dataset").agg(F.max_by("run", SNAPSHOT).alias("run"))
+    out = []
+    for row in days.orderBy("dataset").toLocalIterator():
+        star_row = _last_published(spark, lake, row["dataset"], STAR)
+        if star_row is None or star_row["source"] != row["run"]:
+            out.append(row["dataset"])
+    return out
 
-def run_all(spark: SparkSession, lake: Lake, run: str | None = None) -> dict[str, dict[str, int]]:
-    """Convert, load and build, in that order; row counts per dataset that had a delivery.
 
-    Without a pending delivery nothing is written to any of the tables.
+def run_all(
+    spark: SparkSession, lake: Lake, run: str | None = None, keep_runs: int = KEEP_RUNS
+) -> dict[str, dict[str, int]]:
+    """Convert, load and build, in that order; row counts per dataset whose newest delivery changed.
+
+    Without a new delivery nothing is written to any of the tables. What an earlier run did
+    not get to is done now.
     """
     run = run or new_run()
+    counts, rejected = take_in(spark, lake, run)
     report = {}
-    for dataset, rows in take_in(spark, lake, run).items():
+    for dataset in _outdated(spark, lake):
+        rows = counts.get(dataset)
         report[dataset] = {
-            "clean": rows,
-            "typed": load_typed(spark, lake, dataset),
-            **build_star(spark, lake, dataset, run),
+            "clean": newest(spark, lake, dataset)["rows"] if rows is None else rows,
+            "typed": load_typed(spark, lake, dataset, run, keep_runs),
+            **build_star(spark, lake, dataset, run, keep_runs),
         }
-    if report:
-        finish(spark, lake, run)
+    _tell(rejected)
     return report

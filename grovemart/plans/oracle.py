@@ -18,10 +18,18 @@ _DATE_AND_PLACE = """
     c_name || ' - ' || n_name as municipio_geografico
 """
 
+# Text to date and to int, as the code's rules say: whole text, ASCII blanks around numbers.
+_DATE = """case when regexp_full_match(data_base, '[0-9]{2}/[0-9]{2}/[0-9]{4}')
+    then cast(try_strptime(data_base, '%d/%m/%Y') as date) end"""
+_BLANK = r"[\x00-\x20\x7F]*"
+_INT = f"""case when regexp_full_match(area_ha, '{_BLANK}[+-]?[0-9]+([.][0-9]*)?{_BLANK}')
+         then try_cast(regexp_extract(area_ha, '[+-]?[0-9]+') as int)
+         when regexp_full_match(area_ha, '{_BLANK}[+-]?[.][0-9]*{_BLANK}') then 0 end"""
+
 # renamed: raw rows under their clean names. clean: missing area filled. registry: typed.
 _REGISTRY = f"""
-renamed as (
-    select {_DATE_AND_PLACE},
+keyed as (
+    select l_orderkey, {_DATE_AND_PLACE},
         case when l_partkey % 29 <> 0 then p_type end as especie_florestal,
         case when l_orderkey % 17 = 0 then null
              when l_orderkey % 23 = 0 then '-'
@@ -34,16 +42,26 @@ renamed as (
     join region on n_regionkey = r_regionkey
     join part on l_partkey = p_partkey
 ),
+renamed as (select * exclude (l_orderkey) from keyed),
 clean as (select * replace (coalesce(area_ha, '0') as area_ha) from renamed),
 registry as (
-    select * replace (
-        cast(try_strptime(data_base, '%d/%m/%Y') as date) as data_base,
-        try_cast(nullif(regexp_extract(area_ha, '^\\s*([+-]?[0-9]+)([.][0-9]*)?\\s*$', 1), '') as int)
-            as area_ha)
-    from clean
+    select * replace ({_DATE} as data_base, {_INT} as area_ha) from clean
 )
 """
 
+# The registry with texts that look nearly like dates and numbers.
+_EDGES = f"""
+{_REGISTRY},
+edge_raw as (
+    select * exclude (l_orderkey) replace (
+        case l_orderkey % 31 when 1 then '01/01/+99999' when 2 then '01/01/-0005' else data_base end as data_base,
+        case l_orderkey % 31 when 3 then '.5' when 4 then coalesce(area_ha, '1') || chr(133)
+             when 5 then coalesce(area_ha, '1') || chr(8232) else coalesce(area_ha, '0') end as area_ha)
+    from keyed
+),
+edges as (select * replace ({_DATE} as data_base, {_INT} as area_ha) from edge_raw)
+"""
+
 _ORDERS = f"""
 clean_orders as (
     select {_DATE_AND_PLACE},
@@ -81,7 +99,9 @@ dirty as (
              else cast(c_custkey as varchar) end as codigo_municipio,
         case when c_custkey % 50 = 0 and l_linenumber = 7 then c_name || ' (old)'
              else c_name end as municipio,
-        cast(l_quantity as int) as area_ha
+        cast(l_quantity as int) as area_ha,
+        case when l_orderkey % 13 <> 0 then cast(o_orderdate as date) end as data_base,
+        case when l_linenumber <> 6 then o_orderpriority end as especie_florestal
     from lineitem
     join orders on l_orderkey = o_orderkey
     join customer on o_custkey = c_custkey
@@ -93,19 +113,36 @@ dirty_dim as (
 
 _AREA = "cast(sum(area_ha) as bigint) as area_ha"
 
-_GROUPING_SETS = f"""
-with {_STAR}
-select ano, regiao, sigla_uf, f.codigo_municipio, f.especie_florestal, {_AREA},
-    cast(grouping(ano) as int) as g_ano, cast(grouping(regiao) as int) as g_regiao, cast(grouping(sigla_uf) as int) as g_sigla_uf,
-    cast(grouping(f.codigo_municipio) as int) as g_codigo_municipio,
-    cast(grouping(f.especie_florestal) as int) as g_especie_florestal
-from fat_area f
-join dim_tempo on data_base = data
-join dim_localizacao l on f.codigo_municipio = l.codigo_municipio
-join dim_especie e on f.especie_florestal is not distinct from e.especie_florestal
-group by grouping sets (
-    (), (ano), (regiao), (sigla_uf), (f.codigo_municipio), (f.especie_florestal))
+
+
+def _level(facts: str, join: str, name: str | None) -> str:
+    """Areas by one column, in the columns of all levels."""
+    names = ["ano", "regiao", "sigla_uf", "codigo_municipio", "especie_florestal"]
+    values = ", ".join(f"{n if n == name else 'cast(null as varchar)'} as {n}" for n in names)
+    bits = ", ".join(f"cast({int(n != name)} as int) as g_{n}" for n in names)
+    by = f" group by {name}" if name else ""
+    return f"select {values}, {_AREA}, {bits} from {facts} {join}{by}"
+
+
+def _levels(facts: str) -> str:
+    """Every level by itself, as its card: unknown days and cities leave their own levels only."""
+    day, city = "join dim_tempo on data_base = data", "join cities using (codigo_municipio)"
+    joins = {"ano": day, "regiao": city, "sigla_uf": city, "codigo_municipio": city, "especie_florestal": "", None: ""}
+    return " union all ".join(_level(facts, join, name) for name, join in joins.items())
+
+
+_CITIES = "cities as (select distinct codigo_municipio, regiao, sigla_uf from dim_localizacao)"
+_GROUPING_SETS = f"with {_STAR}, {_CITIES} {_levels('fat_area')}"
+
+_KEPT = """
+    select {name} as dataset, snapshot_date, count(*) as registros,
+        min(cast(strptime(data_base, '%d/%m/%Y') as date)) as data_inicial,
+        max(cast(strptime(data_base, '%d/%m/%Y') as date)) as data_final,
+        cast(sum(cast(area_ha as int)) as bigint) as area_ha{more}
+    from clean_orders {where} group by snapshot_date
 """
+_FIRST = "where snapshot_date = (select min(snapshot_date) from clean_orders)"
+_LAST = "where snapshot_date = (select max(snapshot_date) from clean_orders)"
 
 _RAW_HEADERS = ", ".join(f'{name} as "{header}"' for header, name in COLUMN_NAMES.items())
 
@@ -113,6 +150,8 @@ ORACLE_SQL: dict[str, str] = {
     "raw_registry": f"with {_REGISTRY} select {_RAW_HEADERS} from renamed",
     "clean_registry": f"with {_REGISTRY} select * from clean",
     "typed_registry": f"with {_REGISTRY} select * from registry",
+    "typed_edge_rows": f"with {_EDGES} select * from edges",
+    "calendar_edge_rows": f"with {_STAR} select * from dim_tempo",
     "fill_type_mismatch": f"with {_REGISTRY} select * from renamed",
     "location_dim": f"with {_STAR} select * from dim_localizacao",
     "species_dim": f"with {_STAR} select * from dim_especie",
@@ -190,6 +229,38 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "stream_ingest": f"with {_ORDERS} select * from clean_orders",
     "delivered_star_cards": _GROUPING_SETS,
+    "area_levels_dirty": f"""
+        with {_STAR}, {_CITIES}, {_DIRTY},
+        facts as (select * exclude (municipio) from dirty)
+        {_levels('facts')}
+    """,
+    "stream_redelivery": f"""
+        with {_ORDERS}
+        {_KEPT.format(name="'registry'", more="", where="")}
+        union all {_KEPT.format(name="'plain'", more="", where=_FIRST)}
+    """,
+    "redelivery_rejected": f"""
+        with {_ORDERS}
+        {_KEPT.format(
+            name="'registry'", where="",
+            more=", cast(snapshot_date = (select max(snapshot_date) from clean_orders) as bigint) as rejeitadas")}
+        union all {_KEPT.format(name="'second'", more=", cast(0 as bigint) as rejeitadas", where=_LAST)}
+    """,
+    "ragged_profile": f"""
+        with {_REGISTRY},
+        lines as (
+            select * replace (
+                case when l_orderkey % 37 <> 1 then especie_florestal end as especie_florestal,
+                case when l_orderkey % 37 = 1 then '0' else coalesce(area_ha, '0') end as area_ha)
+            from keyed
+        )
+        select 'registros' as medida, count(*) as valor from lines
+        union all select 'datas', count({_DATE}) from lines
+        union all select 'areas', count({_INT}) from lines
+        union all select 'especies', count(especie_florestal) from lines
+        union all select 'irregulares', count(*) from lines where l_orderkey % 37 in (1, 2)
+        union all select 'irregulares no registro', count(*) from lines where l_orderkey % 37 in (1, 2)
+    """,
     "stage_counts": f"""
         with {_STAR}
         select 'clean' as etapa, count(*) as registros from clean

@@ -14,16 +14,15 @@ from grovemart.plans.workspace import DATASET, Workspace
 from grovemart.schema import (
     CLEAN_SCHEMA,
     DIM_CALENDAR,
-    DIM_LOCATION,
     FACT_AREA,
     TYPED_SCHEMA,
 )
 from grovemart.session import run_dir
 from grovemart.sources.delimited import read_raw, read_stage, write_raw, write_stage
-from grovemart.sources.history import SNAPSHOT, latest_snapshot, read_history
+from grovemart.sources.history import SNAPSHOT
 from grovemart.sources.landing import MANIFEST_SCHEMA
 from grovemart.sources.tables import read_table, replace_table
-from grovemart.streaming.ingest import ingest_available, stream_deliveries
+from grovemart.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +39,16 @@ def typed_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.typed(clean_registry(spark, sf_dir))
 
 
+def typed_edge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that look nearly like dates and numbers."""
+    return cleaning.typed(cleaning.clean(binding.raw_registry(spark, sf_dir, edges=True)))
+
+
+def calendar_edge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar does not stretch to years that are none."""
+    return star.dim_calendar(typed_edge_rows(spark, sf_dir))
+
+
 def fill_type_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A numeric fill skips a text column: the missing areas are still missing."""
     renamed = cleaning.rename_columns(binding.raw_registry(spark, sf_dir))
@@ -83,12 +92,12 @@ def area_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def area_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark, sf_dir)
-    return cards.area_by_state(space.fact(), space.locations())
+    return cards.area_by_state(space.fact(), space.cities())
 
 
 def area_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark, sf_dir)
-    return cards.area_by_region(space.fact(), space.locations())
+    return cards.area_by_region(space.fact(), space.cities())
 
 
 def area_by_species(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,12 +107,19 @@ def area_by_species(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark, sf_dir)
-    return cards.top_cities(space.fact(), space.locations())
+    return cards.top_cities(space.fact(), space.cities())
 
 
 def area_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark, sf_dir)
-    return cards.area_grouping_sets(space.fact(), space.calendar(), space.locations())
+    return cards.area_grouping_sets(space.fact(), space.calendar(), space.cities())
+
+
+def area_levels_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All levels of facts of which some have no day, no species or a city nobody knows."""
+    space = Workspace(spark, sf_dir)
+    facts, _ = space.dirty_star()
+    return cards.area_grouping_sets(facts, space.calendar(), space.cities())
 
 
 # Sources and sinks
@@ -175,8 +191,11 @@ def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Workspace(spark, sf_dir).yearly_lake()
-    history = cleaning.typed(read_history(spark, lake.analytics(DATASET)))
-    return history.groupBy(SNAPSHOT).agg(
+    return _by_snapshot(jobs.history(spark, lake, DATASET))
+
+
+def _by_snapshot(history: DataFrame) -> DataFrame:
+    return cleaning.typed(history).groupBy(SNAPSHOT).agg(
         F.count(F.lit(1)).alias("registros"),
         F.min("data_base").alias("data_inicial"),
         F.max("data_base").alias("data_final"),
@@ -186,24 +205,56 @@ def history_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def newest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Workspace(spark, sf_dir).yearly_lake()
-    history = read_history(spark, lake.analytics(DATASET))
-    return latest_snapshot(history, jobs.snapshots(spark, lake, DATASET))
+    day = jobs.newest(spark, lake, DATASET)[SNAPSHOT]
+    return jobs.current(spark, lake, DATASET).withColumn(SNAPSHOT, F.lit(day))
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All landed years through the file stream; a second run finds nothing new."""
-    landing, root = Workspace(spark, sf_dir).landed_years(), run_dir(spark, "stream")
+    lake = jobs.Lake(Workspace(spark, sf_dir).landed_years(), run_dir(spark, "stream"))
     for _ in range(2):
-        deliveries = stream_deliveries(spark, landing, DATASET)
-        ingest_available(deliveries, f"{root}/history", f"{root}/checkpoint").awaitTermination()
-    return read_history(spark, f"{root}/history")
+        ingest_available(spark, lake, f"{lake.root}/checkpoint")
+    return jobs.history(spark, lake, DATASET)
+
+
+def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream kept after a folder and a plain file came again: their last contents."""
+    lake = Workspace(spark, sf_dir).streamed_lake()
+    of = [
+        _by_snapshot(jobs.history(spark, lake, name)).withColumn("dataset", F.lit(name)) for name in (DATASET, "plain")
+    ]
+    return of[0].unionByName(of[1])
+
+
+def redelivery_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bad delivery of a day that was kept before: the old rows stay, others come in, a rejection says why."""
+    lake = Workspace(spark, sf_dir).rejecting_lake()
+    of = [
+        _by_snapshot(jobs.history(spark, lake, name)).withColumn("dataset", F.lit(name)) for name in (DATASET, "second")
+    ]
+    rejected = jobs.rejections(spark, lake).groupBy("dataset", SNAPSHOT).agg(F.count(F.lit(1)).alias("n"))
+    known = of[0].unionByName(of[1]).join(rejected, ["dataset", SNAPSHOT], "left")
+    return known.withColumn("rejeitadas", F.coalesce("n", F.lit(0)).cast("long")).drop("n")
+
+
+def ragged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with too few or too many fields: counted, padded or cut, not dropped."""
+    lake = Workspace(spark, sf_dir).ragged_lake()
+    profile = quality.null_profile(cleaning.typed(jobs.current(spark, lake, DATASET)))
+    ragged = jobs.current_ragged(spark, lake, DATASET).select(F.lit("irregulares").alias("medida"))
+    counted = ragged.groupBy("medida").count().withColumnRenamed("count", "valor")
+    logged = jobs.snapshots(spark, lake, DATASET).select(F.lit("irregulares no registro").alias("medida"), F.col("ragged").alias("valor"))
+    names = profile.columns
+    melted = profile.unpivot([], names, "medida", "valor")
+    return melted.unionByName(counted).unionByName(logged)
 
 
 def delivered_star_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From one landed CSV delivery through all jobs to the cards."""
     lake = Workspace(spark, sf_dir).delivered_lake()
     tables = jobs.read_star(spark, lake, DATASET)
-    return cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], tables[DIM_LOCATION])
+    cities = jobs.read_one_location(spark, lake, DATASET)
+    return cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], cities)
 
 
 # Checks
@@ -214,7 +265,7 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.count_report(
         {
             "clean": jobs.current(spark, lake, DATASET),
-            "typed": read_table(spark, lake.typed(DATASET), TYPED_SCHEMA),
+            "typed": jobs.read_typed(spark, lake, DATASET),
             **jobs.read_star(spark, lake, DATASET),
         }
     )
@@ -242,7 +293,7 @@ def area_despite_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area per city and chosen name: renamed cities are not counted twice."""
     facts, locations = Workspace(spark, sf_dir).dirty_star()
     sums = cards.area_per(facts, "codigo_municipio")
-    return sums.join(cards.one_row_per_key(locations), "codigo_municipio")
+    return sums.join(star.one_row_per_key(locations), "codigo_municipio")
 
 
 QUERIES: dict[str, Query] = {
@@ -250,6 +301,8 @@ QUERIES: dict[str, Query] = {
     "raw_registry": raw_registry,
     "clean_registry": clean_registry,
     "typed_registry": typed_registry,
+    "typed_edge_rows": typed_edge_rows,
+    "calendar_edge_rows": calendar_edge_rows,
     "fill_type_mismatch": fill_type_mismatch,
     "location_dim": location_dim,
     "species_dim": species_dim,
@@ -262,6 +315,7 @@ QUERIES: dict[str, Query] = {
     "area_by_species": area_by_species,
     "top_cities": top_cities,
     "area_grouping_sets": area_grouping_sets,
+    "area_levels_dirty": area_levels_dirty,
     "csv_raw_roundtrip": csv_raw_roundtrip,
     "csv_stage_roundtrip": csv_stage_roundtrip,
     "parquet_roundtrip": parquet_roundtrip,
@@ -271,6 +325,9 @@ QUERIES: dict[str, Query] = {
     "history_by_snapshot": history_by_snapshot,
     "latest_snapshot": newest_snapshot,
     "stream_ingest": stream_ingest,
+    "stream_redelivery": stream_redelivery,
+    "redelivery_rejected": redelivery_rejected,
+    "ragged_profile": ragged_profile,
     "delivered_star_cards": delivered_star_cards,
     "stage_counts": stage_counts,
     "typed_null_profile": typed_null_profile,

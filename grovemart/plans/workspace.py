@@ -16,13 +16,25 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grovemart.functions.paths import delivery_path
 from grovemart.operators import star
 from grovemart.operators.cleaning import clean, typed
 from grovemart.plans import binding, jobs
-from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, DIM_SPECIES, STAR_SCHEMAS, TYPED_SCHEMA
+from grovemart.schema import (
+    DIM_CALENDAR,
+    DIM_LOCATION,
+    DIM_SPECIES,
+    LOCATION_SCHEMA,
+    ONE_LOCATION,
+    RAW_HEADERS,
+    STAR_SCHEMAS,
+    TYPED_SCHEMA,
+)
 from grovemart.session import run_dir
-from grovemart.sources.landing import land
+from grovemart.sources.delimited import RAW_OPTIONS, write_raw
+from grovemart.sources.landing import land, land_file
 from grovemart.sources.tables import list_paths, read_table, replace_table
+from grovemart.streaming.ingest import ingest_available
 
 SOURCES = ["region", "nation", "customer", "part", "orders", "lineitem"]
 DATASET = "registry"
@@ -50,6 +62,14 @@ class Workspace:
     def locations(self) -> DataFrame:
         return self._dimension(DIM_LOCATION, star.dim_location)
 
+    def cities(self) -> DataFrame:
+        """The location dimension with unique keys."""
+
+        def make(path: str) -> None:
+            replace_table(star.unique_locations(self.locations()), path)
+
+        return read_table(self.spark, self._once(ONE_LOCATION, make), LOCATION_SCHEMA)
+
     def calendar(self) -> DataFrame:
         return self._dimension(DIM_CALENDAR, star.dim_calendar)
 
@@ -92,6 +112,66 @@ class Workspace:
 
         return jobs.Lake(landing, self._once("lake", make))
 
+    def rejecting_lake(self) -> jobs.Lake:
+        """All years kept; then the last one again with parts of different headers, and another dataset."""
+
+        def lake(path: str) -> jobs.Lake:
+            return jobs.Lake(f"{path}/landing", f"{path}/tables")
+
+        def make(path: str) -> None:
+            own = lake(path)
+            orders = self._yearly_orders()
+            years = [row[0] for row in orders.select("delivery_year").distinct().orderBy("delivery_year").toLocalIterator()]
+            jobs.side_by_side(lambda year: _land_year(orders, year, own.landing), years)
+            jobs.convert(self.spark, own, "good")
+            day = date(years[-1], 12, 31)
+            last = orders.where(F.col("delivery_year") == years[-1]).drop("delivery_year")
+            turned = last.select(*[F.col(f"`{name}`") for name in reversed(last.columns)])
+            _land_year(orders, years[-1], own.landing)
+            turned.write.mode("append").options(**RAW_OPTIONS).csv(delivery_path(own.landing, day, DATASET))
+            land(last, own.landing, day, "second")
+            try:
+                jobs.convert(self.spark, own, "mixed")
+            except jobs.DeliveryRejected:
+                return
+            raise AssertionError("a delivery of two headers was taken in")
+
+        return lake(self._once("rejecting", make))
+
+    def ragged_lake(self) -> jobs.Lake:
+        """The whole registry as one delivery of which some lines are ragged."""
+
+        def lake(path: str) -> jobs.Lake:
+            return jobs.Lake(f"{path}/landing", f"{path}/tables")
+
+        def make(path: str) -> None:
+            target = delivery_path(lake(path).landing, date(2022, 8, 16), DATASET)
+            binding.write_lines(binding.raw_lines(self.spark, self.sf_dir), target)
+            jobs.convert(self.spark, lake(path), "ragged")
+
+        return lake(self._once("ragged", make))
+
+    def streamed_lake(self) -> jobs.Lake:
+        """All years by the stream; then the last year, a folder, came again, and so did a plain file."""
+
+        def lake(path: str) -> jobs.Lake:
+            return jobs.Lake(f"{path}/landing", f"{path}/tables")
+
+        def make(path: str) -> None:
+            own, checkpoint = lake(path), f"{path}/checkpoint"
+            orders = self._yearly_orders()
+            years = [row[0] for row in orders.select("delivery_year").distinct().orderBy("delivery_year").toLocalIterator()]
+            wrong = orders.withColumn(RAW_HEADERS[-1], F.lit("1"))
+            jobs.side_by_side(lambda year: _land_year(orders, year, own.landing), years[:-1])
+            _land_year(wrong, years[-1], own.landing)
+            _land_plain(self.spark, wrong, years[0], own.landing, f"{path}/first")
+            ingest_available(self.spark, own, checkpoint, "first")
+            _land_year(orders, years[-1], own.landing)
+            _land_plain(self.spark, orders, years[0], own.landing, f"{path}/second")
+            ingest_available(self.spark, own, checkpoint, "second")
+
+        return lake(self._once("streamed", make))
+
     def delivered_lake(self) -> jobs.Lake:
         """The whole registry as one delivery, taken through all jobs."""
 
@@ -141,5 +221,12 @@ class Workspace:
         return True
 
 
+def _land_plain(spark: SparkSession, orders: DataFrame, year: int, landing: str, folder: str) -> None:
+    """A year as one plain file of another dataset, under the same name each time."""
+    write_raw(orders.where(F.col("delivery_year") == year).coalesce(1), folder)
+    part = list_paths(spark, folder, "*.csv").first()["path"]
+    land_file(spark, part, landing, date(year, 12, 31), "plain")
+
+
 def _land_year(orders: DataFrame, year: int, landing: str) -> None:
     land(orders.where(F.col("delivery_year") == year), landing, date(year, 12, 31), DATASET)

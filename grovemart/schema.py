@@ -30,7 +30,7 @@ STAGE_SEPARATOR = ","
 DATE_FORMAT = "dd/MM/yyyy"
 MISSING_AREA = "0"
 
-# Star schema.
+# Fixed values of the data contract: columns of the star schema.
 LOCATION_KEY = "codigo_municipio"
 LOCATION_COLUMNS = [
     "regiao",
@@ -57,9 +57,12 @@ DIM_LOCATION = "dim_localizacao"
 DIM_CALENDAR = "dim_tempo"
 DIM_SPECIES = "dim_especie"
 FACT_AREA = "fat_area"
+# Not part of the star: the location dimension with unique keys and the columns the cards ask for.
+ONE_LOCATION = "localizacao_unica"
 
 # Landing area: year=YYYY/month=MM/day=DD/<state>/<dataset>.csv
 STATE_DOWNLOADED = "downloaded"
+STATE_PROCESSED = "processed"
 FILE_SUFFIX = ".csv"
 
 CORRUPT_RECORD = "_corrupt_record"
@@ -83,6 +86,7 @@ TYPED_SCHEMA = T.StructType(
 CALENDAR_SCHEMA = T.StructType(
     [T.StructField("data", T.DateType())] + strings(list(CALENDAR_FORMATS)).fields
 )
+LOCATION_SCHEMA = strings([LOCATION_KEY, "regiao", "nome_uf", "sigla_uf", "municipio"])
 STAR_SCHEMAS = {
     DIM_LOCATION: strings(LOCATION_COLUMNS),
     DIM_CALENDAR: CALENDAR_SCHEMA,

@@ -15,6 +15,7 @@ from grovemart.schema import (
     STAGE_SEPARATOR,
     strings,
 )
+from grovemart.sources.files import literal
 
 RAW_OPTIONS = {"sep": RAW_SEPARATOR, "header": "true", "encoding": RAW_ENCODING}
 # Doubled quotes, so that other CSV readers understand the file.
@@ -24,41 +25,63 @@ KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "
 
 
 class HeaderMismatch(ValueError):
-    """The file lacks columns of the data contract (or was read with the wrong charset)."""
+    """The file's columns are not those of the data contract (or were read with the wrong charset)."""
+
+
+def header_problem(header: list[str]) -> str | None:
+    """What is wrong with a header; the order of its columns is free."""
+    missing = [name for name in RAW_HEADERS if name not in header]
+    further = [name for name in header if name not in RAW_HEADERS]
+    if missing:
+        return f"missing columns {missing} in header {header}"
+    if further or len(header) != len(RAW_HEADERS):
+        return f"columns {further or header} beyond the contract in header {header}"
+    return None
 
 
 def raw_schema(spark: SparkSession, paths: str | list[str]) -> T.StructType:
     """All-string schema in the order of the files' header, after checking that header."""
     header = spark.read.options(**RAW_OPTIONS).csv(paths).columns
-    missing = [name for name in RAW_HEADERS if name not in header]
-    if missing:
-        raise HeaderMismatch(f"missing columns {missing} in header {header}")
+    problem = header_problem(header)
+    if problem:
+        raise HeaderMismatch(problem)
     return strings(header)
 
 
+def as_paths(paths: str | list[str]) -> str | list[str]:
+    """Paths as they are written: a bracket in a file name is no pattern."""
+    return literal(paths) if isinstance(paths, str) else [literal(path) for path in paths]
+
+
 def read_raw(
-    spark: SparkSession, paths: str | list[str], keep_corrupt: bool = False
+    spark: SparkSession,
+    paths: str | list[str],
+    keep_corrupt: bool = False,
+    header: list[str] | None = None,
+    with_path: bool = False,
 ) -> DataFrame:
     """Raw deliveries as strings, in contract order whatever the order in the file.
 
     `enforceSchema=false` makes Spark compare every file's own header with the schema,
     so a file whose columns differ fails instead of being mapped by position. Lines are
     never joined, so large files are split. Ragged rows are padded or cut; with
-    `keep_corrupt` their text is kept beside them.
+    `keep_corrupt` their text is kept beside them. A `header` that is known is not looked up;
+    `with_path` adds each row's file as `file_path`.
     """
-    schema = raw_schema(spark, paths)
+    paths = as_paths(paths)
+    schema = raw_schema(spark, paths) if header is None else strings(header)
     columns = list(RAW_HEADERS)
     if keep_corrupt:
         schema = schema.add(CORRUPT_RECORD, T.StringType())
         columns.append(CORRUPT_RECORD)
-    return (
+    rows = (
         spark.read.schema(schema)
         .options(**RAW_OPTIONS)
         .option("enforceSchema", "false")
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
         .csv(paths)
-        .select(*[f"`{name}`" for name in columns])
     )
+    return rows.select(*[f"`{name}`" for name in columns], *(["_metadata.file_path"] if with_path else []))
 
 
 def write_raw(df: DataFrame, path: str) -> None:

@@ -1,4 +1,8 @@
-"""History of cleaned deliveries: one Parquet partition per delivery date."""
+"""History of cleaned deliveries: every run writes its own folder, a log says which rows count.
+
+Nothing is overwritten. A delivery becomes visible by its row in the log, after its rows are
+there; what a broken run has written is never looked at.
+"""
 
 from __future__ import annotations
 
@@ -7,39 +11,59 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from grovemart.schema import CLEAN_SCHEMA
-from grovemart.sources.tables import list_paths, read_table, replace_table
+from grovemart.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, CORRUPT_RECORD, strings
+from grovemart.sources.tables import read_table
 
 SNAPSHOT = "snapshot_date"
-HISTORY_SCHEMA = T.StructType(CLEAN_SCHEMA.fields + [T.StructField(SNAPSHOT, T.DateType())])
+KEYS = T.StructType([T.StructField("dataset", T.StringType()), T.StructField(SNAPSHOT, T.DateType())])
+RUN_SCHEMA = T.StructType(CLEAN_SCHEMA.fields + strings([CORRUPT_RECORD]).fields + KEYS.fields)
+#: A kept delivery: its rows, how many of them were ragged, its path and time, its run.
+LOG_SCHEMA = T.StructType(
+    KEYS.fields
+    + [
+        T.StructField("rows", T.LongType()),
+        T.StructField("ragged", T.LongType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("delivery", T.StringType()),
+        T.StructField("delivered_at", T.TimestampType()),
+        T.StructField("kept_at", T.TimestampType()),
+    ]
+)
+
 
+def run_path(root: str, run: str) -> str:
+    return f"{root}/run={run}"
 
-def snapshot_path(path: str, day: date) -> str:
-    return f"{path}/{SNAPSHOT}={day.isoformat()}"
 
+def write_run(df: DataFrame, root: str, run: str) -> None:
+    """Rows of any number of deliveries (RUN_SCHEMA), a folder for each."""
+    df.write.mode("overwrite").partitionBy(*KEYS.fieldNames()).parquet(run_path(root, run))
 
-def replace_snapshot(df: DataFrame, path: str, day: date) -> int:
-    """Replace the partition of one day, also by no rows at all; other days stay as they are."""
-    return replace_table(df, snapshot_path(path, day))
 
+def read_run(spark: SparkSession, root: str, run: str) -> DataFrame:
+    return read_table(spark, run_path(root, run), RUN_SCHEMA)
 
-def read_snapshot(spark: SparkSession, path: str, day: date) -> DataFrame:
-    """The clean rows of one day; only that day's folder is listed."""
-    return read_table(spark, snapshot_path(path, day), CLEAN_SCHEMA)
 
+def kept(log: DataFrame) -> DataFrame:
+    """The last log row of each dataset and day."""
+    last = Window.partitionBy("dataset", SNAPSHOT).orderBy(F.desc("kept_at"), F.desc("run"))
+    return log.withColumn("_last", F.row_number().over(last)).where("_last = 1").drop("_last")
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(HISTORY_SCHEMA).parquet(path)
 
+def read_snapshot(spark: SparkSession, root: str, run: str, dataset: str, day: date) -> DataFrame:
+    """The clean rows of one delivery; only its folder is read."""
+    rows = read_run(spark, root, run).where((F.col("dataset") == dataset) & (F.col(SNAPSHOT) == day))
+    return rows.select(*CLEAN_COLUMNS)
 
-def snapshot_dates(spark: SparkSession, path: str) -> DataFrame:
-    """Dates in a history without a log, from its file names: a row per file, none per record."""
-    text = F.regexp_extract("path", rf"/{SNAPSHOT}=([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})/", 1)
-    files = list_paths(spark, path, "*.parquet")
-    return files.select(text.try_cast("date").alias(SNAPSHOT)).where(f"{SNAPSHOT} is not null").distinct()
 
+def read_history(spark: SparkSession, root: str, log: DataFrame) -> DataFrame:
+    """The clean rows of all kept deliveries of a log, with their days.
 
-def latest_snapshot(history: DataFrame, dates: DataFrame) -> DataFrame:
-    """Rows of the newest of some dates. The date is a subquery, so only its files are read."""
-    return history.where(F.col(SNAPSHOT) == dates.agg(F.max(SNAPSHOT)).scalar())
+    Which runs hold them is a join with the log, so only their folders are read.
+    """
+    named = T.StructType(RUN_SCHEMA.fields + [T.StructField("run", T.StringType())])
+    rows = spark.read.schema(named).option("basePath", root).parquet(root)
+    keys = ["dataset", SNAPSHOT, "run"]
+    return rows.join(kept(log).select(*keys), keys).select(*CLEAN_COLUMNS, SNAPSHOT)

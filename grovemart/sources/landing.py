@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grovemart.functions.paths import delivery_parts, delivery_path
-from grovemart.schema import FILE_SUFFIX, STATE_DOWNLOADED
+from grovemart.schema import STATE_DOWNLOADED, STATE_PROCESSED
 from grovemart.sources.delimited import write_raw
+from grovemart.sources.files import copy
 from grovemart.sources.tables import create_if_absent, list_paths, read_table
 
 FILE_IDENTITY = ["path", "modificationTime", "length"]
@@ -28,15 +29,22 @@ MANIFEST_SCHEMA = T.StructType(
 
 
 def land(raw: DataFrame, root: str, delivered_on: date, dataset: str) -> str:
-    """Put a delivery where a download of that day puts it; the same day again replaces it."""
+    """Put rows as a delivery where a download of that day puts it; the same day again replaces it."""
     path = delivery_path(root, delivered_on, dataset)
     write_raw(raw, path)
     return path
 
 
+def land_file(spark: SparkSession, source: str, root: str, delivered_on: date, dataset: str) -> str:
+    """Put a file or folder there byte by byte: what was delivered is what is kept."""
+    path = delivery_path(root, delivered_on, dataset)
+    copy(spark, source, path)
+    return path
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every delivered file with what its path says about it."""
-    listing = list_paths(spark, root, f"*{FILE_SUFFIX}")
+    """Every file of the landing area with what its path says about it."""
+    listing = list_paths(spark, root)
     return listing.withColumns(delivery_parts(F.col("path"))).select(*MANIFEST_SCHEMA.fieldNames())
 
 
@@ -50,10 +58,27 @@ def pending_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
     downloaded = files.where(
         (F.col("state") == STATE_DOWNLOADED) & F.col("snapshot_date").isNotNull()
     )
-    return downloaded.join(manifest.select(*FILE_IDENTITY), FILE_IDENTITY, "left_anti").select(
+    return _not_done(downloaded, manifest)
+
+
+def stray_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Files that no job would ever read: another suffix, or a path off the contract. Not yet reported ones."""
+    known = F.col("state").isin(STATE_DOWNLOADED, STATE_PROCESSED) & F.col("snapshot_date").isNotNull()
+    processed = F.col("path").contains(f"/{STATE_PROCESSED}/")
+    return _not_done(files.where(~F.coalesce(known, F.lit(False)) & ~processed), manifest)
+
+
+def _not_done(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    return files.join(manifest.select(*FILE_IDENTITY), FILE_IDENTITY, "left_anti").select(
         *MANIFEST_SCHEMA.fieldNames()
     )
 
 
 def mark_done(files: DataFrame, manifest_path: str) -> None:
     files.write.mode("append").parquet(manifest_path)
+
+
+def processed_path(path: str) -> str:
+    """Where a done delivery moves to: the same place under the processed state."""
+    head, found, tail = path.rpartition(f"/{STATE_DOWNLOADED}/")
+    return f"{head}/{STATE_PROCESSED}/{tail}" if found else path

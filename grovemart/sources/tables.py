@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grovemart.sources.files import literal
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A Parquet table; with a schema, Spark opens no footer to plan the read."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(literal(path))
 
 
 def replace_table(df: DataFrame, path: str) -> int:
@@ -24,6 +26,11 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> No
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
+def append_rows(spark: SparkSession, rows: list, schema: T.StructType, path: str) -> None:
+    """A few rows to a log: one file."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
 def list_paths(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
     """Files below some folders with path, time and size; contents are not read.
 

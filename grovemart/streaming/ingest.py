@@ -1,60 +1,51 @@
-"""Each landed file into the history exactly once, by a file stream with a checkpoint."""
+"""Landed files into the history as they come: a file stream that starts the batch conversion.
+
+The stream tells that something arrived; what is taken in are whole deliveries, by the same listing,
+log and manifest as in the batch job. So a delivery that comes again replaces its day, a file
+corrected under its old name is seen, and the star can be built from what the stream kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from grovemart.operators.cleaning import clean
-from grovemart.schema import FILE_SUFFIX, RAW_HEADERS, RAW_SCHEMA, STATE_DOWNLOADED
-from grovemart.sources.delimited import RAW_OPTIONS
-from grovemart.sources.history import SNAPSHOT
-
-DELIVERY_DATE = T.StructType(
-    [T.StructField(name, T.IntegerType()) for name in ("year", "month", "day")]
-)
+from grovemart.plans import jobs
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
-def stream_deliveries(
-    spark: SparkSession,
-    root: str,
-    dataset: str,
-    schema: T.StructType = RAW_SCHEMA,
-    max_files: int = 10_000,
-    archive: str | None = None,
-) -> DataFrame:
-    """Cleaned rows of every downloaded file of a dataset, with the delivery date.
 
-    `schema` names the raw columns in file order; every file's header must agree with it.
-    With `archive`, a file moves there once a later batch has been committed.
-    """
-    raw = (
-        spark.readStream.schema(T.StructType(schema.fields + DELIVERY_DATE.fields))
-        .options(**RAW_OPTIONS)
-        .option("enforceSchema", "false")
-        .option("basePath", root)
+def arrivals(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
+    """A stream of the paths of files that arrive below a folder; contents are not read."""
+    return (
+        spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
+        .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
+        .load(root)
+        .select("path")
     )
-    if archive is not None:
-        raw = raw.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    rows = raw.csv(f"{root}/year=*/month=*/day=*/{STATE_DOWNLOADED}/{dataset}{FILE_SUFFIX}")
-    columns = [f"`{name}`" for name in RAW_HEADERS]
-    return clean(rows.select(*columns, F.make_date("year", "month", "day").alias(SNAPSHOT)))
 
 
-def ingest_available(deliveries: DataFrame, history_path: str, checkpoint: str) -> StreamingQuery:
-    """Ingest what has landed since the last run, then stop.
+def ingest_available(spark: SparkSession, lake: jobs.Lake, checkpoint: str, run: str | None = None) -> list[tuple]:
+    """Take in what has landed since the last time, then stop; returns the rejections.
 
-    The history is the stream's own: Spark reads it by the stream's commit log, so files a
-    batch job puts there would not be seen.
+    A last conversion finds files that a stream of new names does not see.
     """
-    return (
-        deliveries.writeStream.format("parquet")
-        .partitionBy(SNAPSHOT)
-        .option("path", history_path)
+    run = run or jobs.new_run()
+    rejected: list[tuple] = []
+
+    def take(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            rejected.extend(jobs.take_in(spark, lake, f"{run}-{number}")[1])
+
+    query: StreamingQuery = (
+        arrivals(spark, lake.landing)
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    rejected.extend(jobs.take_in(spark, lake, f"{run}-last")[1])
+    return rejected

@@ -48,9 +48,15 @@ def test_columns_are_found_by_name(spark, tmp_path):
     assert rows_of(read_raw(spark, turned)) == rows_of(read_raw(spark, _file(tmp_path, [LINE])))
 
 
-def test_extra_columns_are_left_out(spark, tmp_path):
+def test_extra_columns_are_refused_by_name(spark, tmp_path):
     path = _file(tmp_path, [LINE + ";more"], [*RAW_HEADERS, "Extra"])
-    assert read_raw(spark, path).columns == RAW_HEADERS
+    with pytest.raises(HeaderMismatch, match="Extra"):
+        read_raw(spark, path)
+
+
+def test_a_name_is_no_pattern(spark, tmp_path):
+    path = _file(tmp_path, [LINE], name="a[1]{b},c*.csv")
+    assert read_raw(spark, path).count() == 1
 
 
 def test_files_with_different_headers_are_not_mixed(spark, tmp_path):

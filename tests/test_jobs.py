@@ -1,4 +1,6 @@
+import os
 from datetime import date
+from pathlib import Path
 
 import pytest
 
@@ -6,11 +8,10 @@ from grovemart.__main__ import main
 from grovemart.functions.paths import delivery_path
 from grovemart.operators import cards
 from grovemart.plans import jobs
-from grovemart.schema import CLEAN_COLUMNS, DIM_CALENDAR, DIM_LOCATION, FACT_AREA, RAW_HEADERS, TYPED_SCHEMA
+from grovemart.schema import DIM_CALENDAR, FACT_AREA, RAW_HEADERS
 from grovemart.sources.delimited import RAW_OPTIONS, read_stage, write_raw
-from grovemart.sources.history import latest_snapshot, read_history
 from grovemart.sources.landing import land
-from grovemart.sources.tables import read_table
+from grovemart.streaming.ingest import ingest_available
 from tests.helpers import raw_frame, raw_row, rows_of
 
 DAY1, DAY2 = date(2020, 1, 5), date(2020, 2, 5)
@@ -26,10 +27,10 @@ def lake(tmp_path):
 
 def _state(spark, lake, dataset="areas"):
     return {
-        "history": rows_of(read_history(spark, lake.analytics(dataset))),
+        "history": rows_of(jobs.history(spark, lake, dataset)),
         "stage": rows_of(read_stage(spark, lake.stage(dataset))),
         "current": rows_of(jobs.current(spark, lake, dataset)),
-        "typed": rows_of(read_table(spark, lake.typed(dataset), TYPED_SCHEMA)),
+        "typed": rows_of(jobs.read_typed(spark, lake, dataset)),
         **{name: rows_of(df) for name, df in jobs.read_star(spark, lake, dataset).items()},
     }
 
@@ -81,7 +82,7 @@ def test_a_day_delivered_again_is_replaced(spark, lake):
     jobs.run_all(spark, lake)
     land(raw_frame(spark, ROWS2), lake.landing, DAY2, "areas")
     assert jobs.run_all(spark, lake)["areas"]["clean"] == 3
-    days = {row["snapshot_date"]: row["count"] for row in read_history(spark, lake.analytics("areas")).groupBy("snapshot_date").count().collect()}
+    days = {row["snapshot_date"]: row["count"] for row in jobs.history(spark, lake, "areas").groupBy("snapshot_date").count().collect()}
     assert days == {DAY1: 2, DAY2: 3}
 
 
@@ -90,18 +91,151 @@ def test_deliveries_with_their_own_column_order(spark, lake):
     turned = raw_frame(spark, ROWS1).select(*[f"`{name}`" for name in reversed(RAW_HEADERS)])
     turned.write.options(**RAW_OPTIONS).csv(delivery_path(lake.landing, DAY2, "areas"))
     jobs.convert(spark, lake, "r1")
-    history = read_history(spark, lake.analytics("areas"))
+    history = jobs.history(spark, lake, "areas")
     one, two = (rows_of(history.where(history.snapshot_date == d).drop("snapshot_date")) for d in (DAY1, DAY2))
     assert one == two
 
 
-def test_two_deliveries_of_one_day_the_last_path_wins(spark, lake):
-    write_raw(raw_frame(spark, ROWS1), f"{lake.landing}/year=2020/month=1/day=5/downloaded/areas.csv")
-    land(raw_frame(spark, ROWS2), lake.landing, DAY1, "areas")
-    assert jobs.convert(spark, lake, "r1") == {"areas": 2}
+def _put(lake, name, lines, day="year=2020/month=01/day=05", at=None):
+    path = Path(lake.landing) / day / "downloaded" / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes("\n".join(lines).encode("iso-8859-1"))
+    if at is not None:
+        os.utime(path, (at, at))
+    return path
+
+
+def _lines(rows, header=RAW_HEADERS):
+    return [";".join(header)] + [";".join("" if v is None else v for v in raw_row(*row)) for row in rows]
+
+
+@pytest.mark.parametrize("in_one_run", [True, False])
+def test_two_deliveries_of_one_day_the_newest_is_kept(spark, lake, in_one_run):
+    _put(lake, "areas.csv", _lines(ROWS2), at=2_000_000_000)
+    if not in_one_run:
+        assert jobs.convert(spark, lake, "r0") == {"areas": 3}
+    _put(lake, "areas.csv", _lines(ROWS1), day="year=2020/month=1/day=5", at=1_900_000_000)
+    assert jobs.convert(spark, lake, "r1") == ({"areas": 3} if in_one_run else {})
+    assert jobs.current(spark, lake, "areas").count() == 3
+    (rejected,) = jobs.rejections(spark, lake).collect()
+    assert rejected["reason"] == jobs.OLDER and "month=1/day=5" in rejected["delivery"]
     assert jobs.convert(spark, lake, "r2") == {}
 
 
+def test_a_bad_redelivery_leaves_everything_as_it_was(spark, lake):
+    land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
+    jobs.run_all(spark, lake)
+    before = _state(spark, lake)
+    land(raw_frame(spark, ROWS2), lake.landing, DAY1, "areas")
+    turned = raw_frame(spark, ROWS2).select(*[f"`{name}`" for name in reversed(RAW_HEADERS)])
+    turned.write.mode("append").options(**RAW_OPTIONS).csv(delivery_path(lake.landing, DAY1, "areas"))
+    with pytest.raises(jobs.DeliveryRejected, match="different headers"):
+        jobs.run_all(spark, lake)
+    assert jobs.load_typed(spark, lake, "areas") == 2
+    assert _state(spark, lake) == before
+    assert jobs.run_all(spark, lake) == {}
+    land(raw_frame(spark, ROWS2), lake.landing, DAY1, "areas")
+    assert jobs.run_all(spark, lake)["areas"]["clean"] == 3
+
+
+def test_bad_files_do_not_block_the_good_ones(spark, lake):
+    _put(lake, "bad.csv", ["a;b", "1;2"])
+    _put(lake, "more.csv", _lines(ROWS1, [*RAW_HEADERS, "Extra"]))
+    _put(lake, "areas.CSV", _lines(ROWS1))
+    _put(lake, "areas[1] {x}, a+b.csv", _lines(ROWS1))
+    land(raw_frame(spark, ROWS2), lake.landing, DAY1, "areas")
+    with pytest.raises(jobs.DeliveryRejected) as told:
+        jobs.run_all(spark, lake)
+    for name in ("bad.csv", "more.csv", "areas.CSV", "Extra"):
+        assert name in str(told.value)
+    assert jobs.rejections(spark, lake).count() == 3
+    assert jobs.current(spark, lake, "areas").count() == 3
+    assert jobs.read_star(spark, lake, "areas[1] {x}, a+b")[FACT_AREA].count() == 2
+    assert jobs.read_typed(spark, lake, "areas[1] {x}, a+b").count() == 2
+    assert jobs.run_all(spark, lake) == {}
+    assert jobs.rejections(spark, lake).count() == 3
+
+
+def test_ragged_rows_are_counted_and_shown(spark, lake):
+    lines = _lines(ROWS2)
+    _put(lake, "areas.csv", [lines[0], lines[1].rsplit(";", 2)[0], lines[2] + ";surplus", lines[3]])
+    jobs.run_all(spark, lake)
+    found = jobs.checks(spark, lake, "areas")
+    assert [(r["rows"], r["ragged"]) for r in found["deliveries"].collect()] == [(3, 2)]
+    shown = [r[0] for r in found["ragged_rows"].collect()]
+    assert len(shown) == 2 and any("surplus" in line for line in shown)
+
+
+def test_many_small_deliveries_start_few_jobs(spark, lake):
+    """Deliveries of one header are read by one job, however many they are."""
+
+    def started(count, first):
+        for i in range(count):
+            _put(lake, f"d{first + i}.csv", _lines(ROWS1))
+        group = f"jobs-{count}-{first}"
+        spark.sparkContext.setJobGroup(group, "")
+        files = jobs._arrived(spark, lake, group)
+        groups, _ = jobs._by_header(spark, files)
+        assert len(groups) == 1 and sum(map(len, groups.values())) == count
+        for header, deliveries in groups.items():
+            rows = jobs._keep(spark, lake, group, header, deliveries)
+        jobs.finish(spark, lake, group)
+        assert sum(row[2] for row in rows) == 2 * count
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few, many = started(2, 0), started(40, 100)
+    # Reading a short list back takes a job per partition of it, few as they are.
+    assert many < few + 8
+
+
+def test_done_deliveries_move(spark, lake):
+    land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
+    _put(lake, "bad.csv", ["a;b"])
+    with pytest.raises(jobs.DeliveryRejected):
+        jobs.convert(spark, lake, "r1")
+    land(raw_frame(spark, ROWS2), lake.landing, DAY2, "areas")
+    assert jobs.move_done(spark, lake) == 1
+    there = {str(p.relative_to(lake.landing)) for p in Path(lake.landing).rglob("*.csv") if not p.name.startswith("part")}
+    day = "year=2020/month=01/day=05"
+    assert there == {f"{day}/processed/areas.csv", f"{day}/downloaded/bad.csv", "year=2020/month=02/day=05/downloaded/areas.csv"}
+    assert jobs.convert(spark, lake, "r2") == {"areas": 3}
+    assert jobs.move_done(spark, lake) == 1 and jobs.convert(spark, lake, "r3") == {}
+
+
+def test_old_runs_go_and_the_published_one_stays(spark, lake):
+    for i in range(4):
+        land(raw_frame(spark, ROWS2[: i % 3 + 1]), lake.landing, DAY1, "areas")
+        jobs.run_all(spark, lake, f"r{i}", keep_runs=2)
+    for what in (jobs.TYPED, jobs.STAR):
+        assert sorted(p.name for p in Path(lake.runs(what, "areas")).iterdir()) == ["run=r2", "run=r3"]
+    assert jobs.read_star(spark, lake, "areas")[FACT_AREA].count() == jobs.read_typed(spark, lake, "areas").count() == 1
+
+
+def test_the_stream_keeps_what_the_batch_keeps(spark, lake, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
+    _put(lake, "plain.csv", _lines(ROWS1))
+    assert ingest_available(spark, lake, checkpoint, "s1") == []
+    assert ingest_available(spark, lake, checkpoint, "s2") == []
+    assert jobs.history(spark, lake, "areas").count() == jobs.history(spark, lake, "plain").count() == 2
+    land(raw_frame(spark, ROWS2), lake.landing, DAY1, "areas")
+    _put(lake, "plain.csv", _lines(ROWS2))
+    _put(lake, "bad.csv", ["a;b"])
+    assert [r[0] for r in ingest_available(spark, lake, checkpoint, "s3")] == ["bad"]
+    batch = jobs.Lake(lake.landing, str(tmp_path / "batch"))
+    with pytest.raises(jobs.DeliveryRejected):
+        jobs.convert(spark, batch, "b")
+    for name in ("areas", "plain"):
+        assert rows_of(jobs.history(spark, lake, name)) == rows_of(jobs.history(spark, batch, name))
+    assert jobs.run_all(spark, lake)["areas"]["fat_area"] == 3
+
+
+def test_nothing_there_is_told(spark, lake):
+    for job in (jobs.load_typed, jobs.current, jobs.checks, jobs.read_typed):
+        with pytest.raises(LookupError):
+            job(spark, lake, "areas")
+
+
 def test_datasets_are_kept_apart(spark, lake):
     land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
     land(raw_frame(spark, ROWS2), lake.landing, DAY1, "more_downloaded")
@@ -160,24 +294,24 @@ def test_the_log_of_deliveries(spark, lake):
     jobs.convert(spark, lake, "r1")
     land(raw_frame(spark, []), lake.landing, DAY1, "areas")
     jobs.convert(spark, lake, "r2")
-    log = jobs.snapshots(spark, lake, "areas")
-    assert rows_of(log) == [("areas", DAY1, 0, "r2"), ("areas", DAY1, 2, "r1"), ("areas", DAY2, 3, "r1")]
-    history = read_history(spark, lake.analytics("areas"))
-    assert rows_of(latest_snapshot(history, log).select(*CLEAN_COLUMNS)) == rows_of(jobs.current(spark, lake, "areas"))
+    log = jobs.snapshots(spark, lake, "areas").select("dataset", "snapshot_date", "rows", "run")
+    assert rows_of(log) == [("areas", DAY1, 0, "r2-0"), ("areas", DAY1, 2, "r1-0"), ("areas", DAY2, 3, "r1-0")]
+    history = jobs.history(spark, lake, "areas")
     assert history.where(history.snapshot_date == DAY1).count() == 0
+    assert history.where(history.snapshot_date == DAY2).count() == jobs.current(spark, lake, "areas").count() == 3
 
 
 def test_every_card_adds_up_to_the_total(spark, lake):
     land(raw_frame(spark, ROWS2), lake.landing, DAY1, "areas")
     jobs.run_all(spark, lake)
     tables = jobs.read_star(spark, lake, "areas")
-    fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
+    fact, cities = tables[FACT_AREA], jobs.read_one_location(spark, lake, "areas")
     total = cards.area_total(fact).first()[0]
     for card in (
         cards.area_by_year(fact, tables[DIM_CALENDAR]),
-        cards.area_by_state(fact, locations),
-        cards.area_by_region(fact, locations),
-        cards.top_cities(fact, locations),
+        cards.area_by_state(fact, cities),
+        cards.area_by_region(fact, cities),
+        cards.top_cities(fact, cities),
     ):
         assert sum(row["area_ha"] for row in card.collect()) == total
 
@@ -201,9 +335,10 @@ def test_exports_go_to_tables_named_as_here(spark, lake, monkeypatch):
     land(raw_frame(spark, ROWS2), lake.landing, DAY1, "areas")
     jobs.run_all(spark, lake)
     sent = {}
-    monkeypatch.setattr(jobs, "replace_jdbc_table", lambda df, database, name: sent.update({name: df.columns}))
-    jobs.export_registry(spark, lake, "areas", None)
-    jobs.export_star(spark, lake, "areas", None)
+    monkeypatch.setattr(jobs, "replace_jdbc_table", lambda df, database, name, partitions: sent.update({name: partitions}))
+    jobs.export_registry(spark, lake, "areas", None, 12)
+    jobs.export_star(spark, lake, "areas", None, 12)
+    assert set(sent.values()) == {12}
     assert set(sent) == {"areas", "dim_localizacao", "dim_tempo", "dim_especie", "fat_area"}
 
 

@@ -1,21 +1,21 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 
 from grovemart.functions.paths import delivery_path
-from grovemart.operators.cleaning import clean
 from grovemart.sources.delimited import write_stage
-from grovemart.sources.history import latest_snapshot, read_history, replace_snapshot, snapshot_dates
 from grovemart.sources.landing import (
     land,
+    land_file,
     list_files,
     mark_done,
     pending_files,
     read_manifest,
+    stray_files,
 )
 from grovemart.sources.tables import replace_table
-from grovemart.streaming.ingest import ingest_available, stream_deliveries
-from tests.helpers import raw_frame, rows_of
+from tests.helpers import raw_frame
 
 DAY1, DAY2 = date(2020, 1, 5), date(2020, 11, 30)
 ROWS1 = [("01/02/2013", "3", "Pinus", "10"), ("03/02/2013", "1", None, None)]
@@ -32,10 +32,6 @@ def _pending(spark, root, manifest):
     return pending_files(list_files(spark, root), read_manifest(spark, manifest))
 
 
-def _latest(spark, path):
-    return latest_snapshot(read_history(spark, path), snapshot_dates(spark, path))
-
-
 def _days(df):
     return sorted({(row["dataset"], row["snapshot_date"]) for row in df.collect()})
 
@@ -103,62 +99,37 @@ def test_path_contract(spark, root, tmp_path, path, expected):
     assert found == ([expected] if expected else [])
 
 
-def test_a_day_is_replaced_and_other_days_stay(spark, tmp_path):
-    path = str(tmp_path / "history")
-    one, two = clean(raw_frame(spark, ROWS1)), clean(raw_frame(spark, ROWS2))
-    replace_snapshot(one, path, DAY1)
-    replace_snapshot(one, path, DAY2)
-    replace_snapshot(two, path, DAY2)
-    history = read_history(spark, path)
-    assert history.groupBy("snapshot_date").count().count() == 2
-    assert rows_of(_latest(spark, path).drop("snapshot_date")) == rows_of(two)
-    assert rows_of(history.where(history.snapshot_date == DAY1).drop("snapshot_date")) == rows_of(one)
-
-
-def test_an_empty_delivery_is_a_snapshot(spark, tmp_path):
-    path = str(tmp_path / "history")
-    replace_snapshot(clean(raw_frame(spark, ROWS1)), path, DAY1)
-    replace_snapshot(clean(raw_frame(spark, [])), path, DAY2)
-    assert snapshot_dates(spark, path).count() == 2
-    assert _latest(spark, path).count() == 0
-
-
-def test_only_the_newest_snapshot_is_read(spark, tmp_path):
-    path = str(tmp_path / "history")
-    replace_snapshot(clean(raw_frame(spark, ROWS1)), path, DAY1)
-    replace_snapshot(clean(raw_frame(spark, ROWS2)), path, DAY2)
-    plan = _latest(spark, path)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+def test_landed_bytes_are_the_delivered_ones(spark, root, tmp_path):
+    """A file is landed as it is, whatever is in it; the same day again replaces it."""
+    source = tmp_path / "new.csv"
+    for data in (b"\xe1;\"x\r\n\x00;surplus;;;\n", b"other"):
+        source.write_bytes(data)
+        path = land_file(spark, str(source), root, DAY1, "areas[1] x")
+        assert Path(path).read_bytes() == data
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes(b"1")
+    (folder / "b.csv").write_bytes(b"2")
+    path = Path(land_file(spark, str(folder), root, DAY2, "areas"))
+    assert sorted((f.name, f.read_bytes()) for f in path.iterdir() if not f.name.startswith(".")) == [("a.csv", b"1"), ("b.csv", b"2")]
 
 
-def _ingest(spark, root, tmp_path, **options):
-    deliveries = stream_deliveries(spark, root, "areas", **options)
-    query = ingest_available(deliveries, str(tmp_path / "streamed"), str(tmp_path / "checkpoint"))
-    query.awaitTermination()
-    return read_history(spark, str(tmp_path / "streamed"))
-
-
-def test_stream_takes_each_file_once(spark, root, tmp_path):
-    land(raw_frame(spark, ROWS1), root, DAY1, "areas")
-    land(raw_frame(spark, ROWS2), root, DAY2, "other")
-    assert _ingest(spark, root, tmp_path).count() == 2
-    assert _ingest(spark, root, tmp_path).count() == 2
-    land(raw_frame(spark, ROWS2), root, DAY2, "areas")
-    streamed = _ingest(spark, root, tmp_path, max_files=1)
-    batch = str(tmp_path / "batch")
-    replace_snapshot(clean(raw_frame(spark, ROWS1)), batch, DAY1)
-    replace_snapshot(clean(raw_frame(spark, ROWS2)), batch, DAY2)
-    assert rows_of(streamed) == rows_of(read_history(spark, batch))
-    assert rows_of(_latest(spark, str(tmp_path / "streamed"))) == rows_of(_latest(spark, batch))
-
-
-def test_stream_archives_files_of_earlier_batches(spark, root, tmp_path):
-    archive = str(tmp_path / "archive")
-    for day, rows in [(DAY1, ROWS1), (DAY2, ROWS2), (date(2020, 12, 1), ROWS2)]:
-        land(raw_frame(spark, rows), root, day, "areas")
-        streamed = _ingest(spark, root, tmp_path, archive=archive)
-    assert streamed.count() == 8
-    assert list((tmp_path / "archive").rglob("*.csv"))
+def test_stray_files(spark, root, tmp_path):
+    manifest = str(tmp_path / "manifest")
+    names = {
+        "year=2020/month=01/day=05/downloaded/areas.CSV": True,
+        "year=2020/month=01/day=05/downloaded/areas.csv.gz": True,
+        "year=2020/month=13/day=05/downloaded/areas.csv": True,
+        "loose.csv": True,
+        "year=2020/month=01/day=05/downloaded/areas.csv": False,
+        "year=2020/month=01/day=05/processed/areas.csv": False,
+    }
+    for name in names:
+        file = tmp_path / "landing" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text("x")
+    found = {row["path"].split("/landing/")[1] for row in stray_files(list_files(spark, root), read_manifest(spark, manifest)).collect()}
+    assert found == {name for name, stray in names.items() if stray}
 
 
 def test_row_counts_of_empty_writes(spark, tmp_path):

@@ -31,6 +31,11 @@ AREAS = {
     "1 2": None,
     "\t8\n": 8,
     "１２": None,
+    "12\u0085": None,
+    "12\u2028": None,
+    "12\n": 12,
+    "12.5\u0085": None,
+    ".5\u2029": None,
     None: None,
 }
 
@@ -39,6 +44,13 @@ DATES = {
     "29/02/2016": "2016-02-29",
     "1/2/2013": None,
     "2013-02-01": None,
+    "01/01/+99999": None,
+    "01/01/-0005": None,
+    "01/01/12013": None,
+    "01/01/0005": "0005-01-01",
+    "01/02/2013\n": None,
+    " 01/02/2013": None,
+    "０1/02/2013": None,
     "31/02/2013": None,
     "29/02/2013": None,
     "": None,

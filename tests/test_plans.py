@@ -9,7 +9,7 @@ from grovemart.operators.cleaning import clean, typed
 from grovemart.plans import binding
 from grovemart.plans.queries import QUERIES
 from grovemart.plans.workspace import Workspace
-from grovemart.schema import DIM_CALENDAR, DIM_LOCATION, DIM_SPECIES, FACT_AREA
+from grovemart.schema import DIM_CALENDAR, DIM_SPECIES, FACT_AREA, ONE_LOCATION
 from grovemart.sources.delimited import read_raw, write_raw
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -20,7 +20,7 @@ UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPyt
 def tables(spark):
     space = Workspace(spark, SF_DIR)
     return {
-        DIM_LOCATION: space.locations(),
+        ONE_LOCATION: space.cities(),
         DIM_CALENDAR: space.calendar(),
         DIM_SPECIES: space.species(),
         FACT_AREA: space.fact(),
@@ -54,7 +54,7 @@ def test_no_cross_join_and_no_python(spark, name):
 
 
 def test_cards_read_only_their_fact_columns(tables):
-    fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
+    fact, locations = tables[FACT_AREA], tables[ONE_LOCATION]
     expected = [
         (cards.area_total(fact), ["area_ha"]),
         (cards.area_by_year(fact, tables[DIM_CALENDAR]), ["area_ha", "data_base"]),
@@ -65,18 +65,26 @@ def test_cards_read_only_their_fact_columns(tables):
         assert read_columns(plan_of(card), "area_ha") == [columns]
 
 
-def test_grouping_sets_scan_the_fact_once(tables):
-    sets = cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], tables[DIM_LOCATION])
-    assert len(read_columns(plan_of(sets), "area_ha")) == 1
+def test_all_levels_read_a_key_and_the_area_at_a_time(tables):
+    sets = cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], tables[ONE_LOCATION])
+    keys = ["codigo_municipio", "data_base", "especie_florestal"]
+    assert sorted(read_columns(plan_of(sets), "area_ha")) == sorted(sorted(["area_ha", key]) for key in keys)
+
+
+def test_location_cards_only_hash(tables, no_broadcast):
+    """The row of each city is chosen once, when the star is built: no sort of wide rows per card."""
+    for card in (cards.area_by_state, cards.area_by_region, cards.top_cities):
+        plan = plan_of(card(tables[FACT_AREA], tables[ONE_LOCATION]))
+        assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
 
 
 def test_top_cities_never_sorts_everything(tables):
-    assert "TakeOrderedAndProject" in plan_of(cards.top_cities(tables[FACT_AREA], tables[DIM_LOCATION]))
+    assert "TakeOrderedAndProject" in plan_of(cards.top_cities(tables[FACT_AREA], tables[ONE_LOCATION]))
 
 
 def test_facts_are_summed_before_they_are_shuffled(tables, no_broadcast):
     """Between the scan of the fact and its first exchange stands a partial sum."""
-    fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
+    fact, locations = tables[FACT_AREA], tables[ONE_LOCATION]
     for df in (
         cards.area_by_state(fact, locations),
         cards.area_by_year(fact, tables[DIM_CALENDAR]),
@@ -92,14 +100,15 @@ def test_facts_are_summed_before_they_are_shuffled(tables, no_broadcast):
 
 
 def test_sums_and_dimension_meet_without_another_shuffle(tables, no_broadcast):
-    plan = plan_of(cards.area_by_state(tables[FACT_AREA], tables[DIM_LOCATION]))
+    plan = plan_of(cards.area_by_state(tables[FACT_AREA], tables[ONE_LOCATION]))
     assert plan.count("Exchange hashpartitioning(codigo_municipio") == 2
     assert plan.count("Exchange") == 3
 
 
-def test_null_days_are_never_shuffled_by_day(tables, no_broadcast):
-    sets = cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], tables[DIM_LOCATION])
-    assert not re.search(r"Exchange hashpartitioning\(data_base#\d+, \d+\)", plan_of(sets))
+def test_nothing_is_hinted(tables):
+    sets = cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], tables[ONE_LOCATION])
+    assert "ResolvedHint" not in sets._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in sets._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_dimensions_are_distinct_in_two_steps(spark):
@@ -110,7 +119,7 @@ def test_dimensions_are_distinct_in_two_steps(spark):
 def test_top_cities_broadcasts_the_winners_and_not_the_dimension(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "512")
     try:
-        plan = plan_of(cards.top_cities(tables[FACT_AREA], tables[DIM_LOCATION]))
+        plan = plan_of(cards.top_cities(tables[FACT_AREA], tables[ONE_LOCATION]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     lines = [line.strip(" :+-") for line in plan.splitlines()]

@@ -58,15 +58,15 @@ def test_fact_keeps_every_row(tables):
 
 
 def test_cards(tables):
-    fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
+    fact, cities = tables[FACT_AREA], star.unique_locations(tables[DIM_LOCATION])
     assert rows_of(cards.area_total(fact)) == [(33,)]
     assert rows_of(cards.area_by_year(fact, tables[DIM_CALENDAR])) == [("2013", 27), ("2014", 6)]
-    assert rows_of(cards.area_by_state(fact, locations)) == [("PA", "Pará", 32), ("PR", "Paraná", 1)]
-    assert rows_of(cards.area_by_region(fact, locations)) == [("Norte", 32), ("Sul", 1)]
+    assert rows_of(cards.area_by_state(fact, cities)) == [("PA", "Pará", 32), ("PR", "Paraná", 1)]
+    assert rows_of(cards.area_by_region(fact, cities)) == [("Norte", 32), ("Sul", 1)]
     assert rows_of(cards.area_by_species(fact, tables[DIM_SPECIES])) == sorted(
         [(None, 8), ("", 5), ("Pinus", 20)], key=repr
     )
-    assert [tuple(row) for row in cards.top_cities(fact, locations, 2).collect()] == [
+    assert [tuple(row) for row in cards.top_cities(fact, cities, 2).collect()] == [
         ("1", "Ananindeua", 20),
         ("2", "Marituba", 12),
     ]
@@ -74,7 +74,7 @@ def test_cards(tables):
 
 def test_top_cities_ties_go_to_the_lower_code(spark):
     registry = typed_frame(spark, [(date(2013, 1, 1), c, "Pinus", a) for c, a in [("3", 5), ("2", 5), ("1", None)]])
-    top = cards.top_cities(star.fact_area(registry), star.dim_location(registry))
+    top = cards.top_cities(star.fact_area(registry), star.unique_locations(star.dim_location(registry)))
     assert [row["codigo_municipio"] for row in top.collect()] == ["2", "3", "1"]
 
 
@@ -88,9 +88,10 @@ def test_a_renamed_city_is_not_counted_twice(spark):
     renamed = registry.limit(1).replace({"Ananindeua": "Ananindeua (old)"}, subset=["municipio"])
     locations = star.dim_location(registry.unionByName(renamed))
     fact = star.fact_area(registry)
+    cities = star.unique_locations(locations)
     assert rows_of(quality.duplicate_keys(locations)) == [("1", 2)]
-    assert rows_of(cards.area_by_region(fact, locations)) == [("Norte", 32), ("Sul", 1)]
-    assert cards.top_cities(fact, locations, 1).first()["municipio"] == "Ananindeua (old)"
+    assert rows_of(cards.area_by_region(fact, cities)) == [("Norte", 32), ("Sul", 1)]
+    assert cards.top_cities(fact, cities, 1).first()["municipio"] == "Ananindeua (old)"
 
 
 def test_orphans(spark, tables):
@@ -146,10 +147,10 @@ def test_grouping_sets_equal_a_plain_count(spark, seed):
         for _ in range(300)
     ]
     tables = star.star(typed_frame(spark, rows))
-    fact, calendar, locations = (tables[t] for t in (FACT_AREA, DIM_CALENDAR, DIM_LOCATION))
+    fact, calendar, cities = tables[FACT_AREA], tables[DIM_CALENDAR], star.unique_locations(tables[DIM_LOCATION])
     levels = ["ano", "regiao", "sigla_uf", "codigo_municipio", "especie_florestal"]
     found = {}
-    for row in cards.area_grouping_sets(fact, calendar, locations).collect():
+    for row in cards.area_grouping_sets(fact, calendar, cities).collect():
         level = next((name for name in levels if row[f"g_{name}"] == 0), "total")
         key = (level, None if level == "total" else row[level])
         assert key not in found
@@ -162,8 +163,8 @@ def test_grouping_sets_equal_a_plain_count(spark, seed):
 
     separate = {("total", None): cards.area_total(fact).first()[0]}
     separate |= card(cards.area_by_year(fact, calendar), "ano")
-    separate |= card(cards.area_by_region(fact, locations), "regiao")
-    separate |= card(cards.area_by_state(fact, locations), "sigla_uf")
+    separate |= card(cards.area_by_region(fact, cities), "regiao")
+    separate |= card(cards.area_by_state(fact, cities), "sigla_uf")
     separate |= card(cards.area_by_species(fact, tables[DIM_SPECIES]), "especie_florestal")
     separate |= {k: v for k, v in found.items() if k[0] == "codigo_municipio"}
     assert separate == found
