@@ -32,6 +32,7 @@ from grovemart.schema import (
     RAW_ENCODING,
     RAW_SEPARATOR,
     STAR_SCHEMAS,
+    STATE_DOWNLOADED,
     TYPED_SCHEMA,
 )
 from grovemart.sources import history as kept_rows
@@ -320,7 +321,7 @@ def move_done(spark: SparkSession, lake: Lake) -> int:
     files = list_files(spark, lake.landing)
     waiting = pending_files(files, read_manifest(spark, lake.manifest)).select("delivery").distinct()
     done = kept_rows.kept(snapshots(spark, lake)).select("delivery").join(waiting, "delivery", "left_anti")
-    there = files.where(F.col("state") == "downloaded").select("delivery").distinct().join(done, "delivery")
+    there = files.where(F.col("state") == STATE_DOWNLOADED).select("delivery").distinct().join(done, "delivery")
     paths = [row[0] for row in there.toLocalIterator()]
 
     def step(path: str) -> None:
