@@ -1,9 +1,10 @@
 """N-gram Jaccard join by signature trees.
 
 A document is the set of its word shingles. Equal sets are one class. Which classes may be
-alike is found by min-hash bands and one bit of every min-hash: classes that agree in a band and
-whose bits allow the threshold are in one candidate group. A pair at the threshold is
-missed with a chance below `MISS` (and less the more alike it is); nothing is capped.
+alike is found by min-hash bands and one well-mixed bit of every min-hash: classes that agree in a
+band and whose bits allow the threshold are in one candidate group. A pair at the threshold is
+missed with a chance below `MISS` by the bands and below `MISS` by the bits, so below twice `MISS`
+in all (and less the more alike it is), for min-hashes taken as independent; nothing is capped.
 
 Candidate groups, disjoint and small but for groups of many copies, are joined exactly:
 a signature tree over the sets, its nodes holding the OR of their token bitmaps and the range
@@ -33,8 +34,8 @@ from grovemart.llm.components import components
 from grovemart.llm.meetings import by_meeting, code_edges, dealt, meetings
 from grovemart.llm.overlap import SPACE, Rolling, _byte_values, mixed
 
-#: Min-hashes of a band; chance to miss a pair at the threshold; standard errors the bits allow.
-ROWS, MISS, ERRORS = 3, 1e-9, 4.5
+#: Min-hashes of a band; chance to miss a pair at the threshold, of the bands and of the bits each.
+ROWS, MISS = 3, 1e-9
 #: Codes of a block, shingles of a block, codes and shingles that a task takes, text bytes hashed at a time.
 CODES, GROUP, TASK_CODES, TASK_GROUP, SLICE = 2048, 1 << 20, 65_536, 1 << 22, 1 << 20
 #: Bits of a token bitmap, members of a leaf, children of a node.
@@ -82,6 +83,17 @@ def band_count(threshold: float) -> int:
     return math.ceil(math.log(MISS) / math.log(1 - threshold**ROWS))
 
 
+def most_differing(bits: int, threshold: float) -> int:
+    """Least number of differing bits that a pair at the threshold exceeds with a chance below MISS."""
+    differ = (1 - threshold) / 2
+    chance = [math.comb(bits, n) * differ**n * (1 - differ) ** (bits - n) for n in range(bits + 1)]
+    most, above = bits, 0.0
+    while most and above + chance[most] < MISS:
+        above += chance[most]
+        most -= 1
+    return most
+
+
 def min_hashes(hashes: np.ndarray, starts: np.ndarray, count: int, seed: int) -> np.ndarray:
     """(set, function): the least value of each hash function over each set, which must not be empty."""
     rng = np.random.default_rng(seed)
@@ -94,6 +106,15 @@ def min_hashes(hashes: np.ndarray, starts: np.ndarray, count: int, seed: int) ->
     return out
 
 
+def min_hash_bits(least: np.ndarray) -> np.ndarray:
+    """A bit of every min-hash, packed by set.
+
+    Mixed with the number of its function: the lowest bit of t * factor + shift is the token's own.
+    """
+    number = np.arange(1, least.shape[1] + 1, dtype=np.uint64) << np.uint64(32)
+    return np.packbits((mixed(least | number) & np.uint64(1)).astype(bool), axis=1)
+
+
 def sliced(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about SLICE bytes."""
     first, size = 0, 0
@@ -120,7 +141,7 @@ def _sketches(docs: DataFrame, size: int, bands: int, seed: int) -> DataFrame:
                 codes: list = [None] * len(count)
                 if len(some):
                     least = min_hashes(hashes, np.append(starts[:-1][some], len(hashes)), bands * ROWS, seed)
-                    packed = np.packbits((least & 1).astype(bool), axis=1)
+                    packed = min_hash_bits(least)
                     banded = least.reshape(len(some), bands, ROWS).astype(np.uint64)
                     key = np.arange(1, bands + 1, dtype=np.uint64)[None, :]
                     for r in range(ROWS):
@@ -275,9 +296,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, threshold: int = 75, seed
         .withColumn("id", F.monotonically_increasing_id()),
         "kinds",
     )
-    bits = bands * ROWS
-    differ = (1 - threshold / 100) / 2
-    most = bits * differ + ERRORS * math.sqrt(bits * differ * (1 - differ))
+    most = most_differing(bands * ROWS, threshold / 100)
     met = meetings(kinds.select("id", F.explode("keys").alias("key")), ["key"], CODES)
     coded = written(met.join(kinds.select("id", "code"), "id").select("id", "code", "meeting", "side"), "meetings")
     edges = dealt(coded, coded.count() // TASK_CODES).groupBy("task").applyInArrow(

@@ -85,3 +85,29 @@ def test_tree_leaves_no_pair_out(threshold):
 def test_chance_of_a_miss():
     bands = ngrams.band_count(0.75)
     assert (1 - 0.75**ngrams.ROWS) ** bands <= ngrams.MISS
+
+
+@pytest.mark.parametrize("both, one", [(3, 1), (6, 2), (9, 3)])
+def test_short_pairs_at_the_threshold(both, one):
+    rng = np.random.default_rng(both)
+    pairs = rng.integers(0, 1 << 64, (2000, both + one), dtype=np.uint64)
+    bands = ngrams.band_count(0.75)
+    most = ngrams.most_differing(bands * ngrams.ROWS, 0.75)
+    codes = []
+    for sets in (pairs[:, :both], pairs):
+        starts = np.arange(len(sets) + 1) * sets.shape[1]
+        codes.append(ngrams.min_hash_bits(ngrams.min_hashes(sets.ravel(), starts, bands * ngrams.ROWS, 0)))
+    assert (np.bitwise_count(codes[0] ^ codes[1]).sum(axis=1) <= most).all()
+
+
+def test_cut_off_of_the_bits():
+    assert ngrams.most_differing(114, 0.75) == 39
+    assert ngrams.most_differing(114, 1.0) == 0
+
+
+def test_short_texts_with_a_word_more(spark):
+    rng, rows = random.Random(5), []
+    for g in range(400):
+        text = [f"g{g}w{rng.randrange(10**6)}" for _ in range(7)]
+        rows += [(2 * g, " ".join(text), "s"), (2 * g + 1, " ".join([*text, "more"]), "s")]
+    assert data.sorted_rows(ngrams.jaccard_components(data.documents(spark, rows))) == brute(rows)
