@@ -52,8 +52,28 @@ def by_meeting(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield left, right
 
 
+def _grouped(near: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows and of columns: the number of the first row they are joined to through near pairs, or -1."""
+    back = np.ascontiguousarray(near.T)
+    of_row, of_column = np.full(len(near), -1), np.full(len(back), -1)
+    for start in starts.tolist():
+        if of_row[start] >= 0:
+            continue
+        rows = np.array([start])
+        while len(rows):
+            of_row[rows] = start
+            columns = np.flatnonzero(near[rows].any(axis=0) & (of_column < 0))
+            of_column[columns] = start
+            rows = np.flatnonzero(back[columns].any(axis=0) & (of_row < 0))
+    return of_row, of_column
+
+
 def code_edges(rows: pa.Table, most: float) -> pa.Table:
-    """Edges (u, v) of every row to the first of its meeting whose `code` differs in `most` bits at most."""
+    """Edges (u, v) that join, in every meeting, all rows whose `code`s differ in `most` bits at most.
+
+    Near is not transitive: every near pair counts, and each row gets an edge to the least id of those
+    it is joined to.
+    """
     joined = rows["code"].to_pylist()
     width = -(-max(map(len, joined), default=1) // 8) * 8
     words = np.frombuffer(b"".join(c.ljust(width, b"\0") for c in joined), np.uint64).reshape(len(joined), -1)
@@ -64,10 +84,18 @@ def code_edges(rows: pa.Table, most: float) -> pa.Table:
         for w in range(words.shape[1]):
             differ += np.bitwise_count(words[left, w][:, None] ^ words[right, w][None, :])
         near = differ <= most
-        for mine, others, table in ((left, right, near), (right, left, near.T)):
-            some = np.flatnonzero(table.any(axis=1))
-            u.append(ids[mine[some]])
-            v.append(ids[others[table[some].argmax(axis=1)]])
+        # Within a block every row is near itself.
+        within = len(left) == len(right) and bool((left == right).all())
+        starts = np.flatnonzero(near.sum(axis=1) > within)
+        if not len(starts):
+            continue
+        group = np.concatenate(_grouped(near, starts))
+        some = np.flatnonzero(group >= 0)
+        who, group = ids[np.concatenate([left, right])[some]], group[some]
+        least = np.full(len(left), np.iinfo(np.int64).max)
+        np.minimum.at(least, group, who)
+        u.append(who)
+        v.append(least[group])
     u, v = np.concatenate(u), np.concatenate(v)
-    pairs = np.unique(np.column_stack([np.maximum(u, v), np.minimum(u, v)])[u != v], axis=0)
+    pairs = np.unique(np.column_stack([u, v])[u != v], axis=0)
     return pa.table({"u": pa.array(pairs[:, 0], pa.int64()), "v": pa.array(pairs[:, 1], pa.int64())})
