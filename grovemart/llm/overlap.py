@@ -14,7 +14,10 @@ so it is enough to bring runs together by seed:
    of one document only. Within a block the same is done before anything is sent, so a
    passage in a third of all documents is sent once per block;
 3. the content of runs that share a seed but not all their text goes to a shard of such
-   runs, where an index over texts, not hashes, tells which stretches are repeated;
+   runs, where an index over texts, not hashes, tells which stretches are repeated. A seed with
+   more than `CROWD` contents sends no text: its stretches are settled one by one by two hashes,
+   seed and stretch, first within a block and then in the shard of the stretch, so that a passage of any
+   number of documents is a row per block;
 4. answers go back to the blocks, which are cut.
 
 Defined cases: null text is empty; a document without doc_id is kept whole and is no
@@ -41,8 +44,10 @@ from grovemart.session import run_dir
 #: Text bytes of a block, and of the corpus per bucket of seeds and per shard of open runs.
 BLOCK = 1 << 20
 BUCKET = 4 << 20
-#: Different contents of one seed beyond which its runs are told apart by more context.
+#: Different contents of one seed beyond which its stretches are settled one by one.
 CROWD = 512
+#: A stretch of a crowded seed as it is sent.
+SINGLE = np.dtype([("seed", "u8"), ("content", "u8"), ("doc_id", "i8"), ("run", "u4"), ("stretch", "u4")])
 
 BASE = 0x9E3779B97F4A7C15
 SPACE = np.zeros(256, bool)
@@ -170,6 +175,19 @@ class Block:
         later = self.doc_id[order] > least
         return order[later], np.sort(order[~later])
 
+    def singles(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Stretches of `runs` to be removed for an equal one in this block, and those to be sent."""
+        count = self.count[runs]
+        out = np.empty(count.sum(), SINGLE)
+        run = np.repeat(runs, count)
+        stretch = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+        start = self.first[run] + stretch
+        out["seed"], out["doc_id"], out["run"], out["stretch"] = self.seed[run], self.doc_id[run], run, stretch
+        out["content"] = self.rolling.of(start, start + self.unit.length)
+        order, least, _ = by_content(out["seed"], out["content"], out["doc_id"])
+        later = out["doc_id"][order] > least
+        return out[order[later]], out[order[~later]]
+
     def slices(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Byte ranges of unit ranges [first, last)."""
         if self.starts is None:
@@ -256,7 +274,7 @@ def opened(body: bytes) -> pa.Table:
     return pa.ipc.open_stream(body).read_all()
 
 
-def _numbers(rows: pa.Table, name: str, kind: str) -> np.ndarray:
+def _numbers(rows: pa.Table, name: str, kind: str | np.dtype) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in rows[name].to_pylist() if x), kind)
 
 
@@ -317,50 +335,35 @@ def _settle(sent: DataFrame) -> DataFrame:
 
 
 def _open_runs(blocks: DataFrame, settled: DataFrame, unit: Unit, shards: int) -> DataFrame:
-    """The texts of open runs, dealt by seed.
+    """The texts of open runs, dealt by seed, and the stretches of crowded seeds, dealt by content.
 
-    A crowded seed takes more context into its key: of its stretches, those that begin far
-    enough before the seed by what stands left of it, the others by what stands right.
-    `low` and `high` bound the stretches a row asks for.
+    Stretches are packed, a row per block and shard with `run` -1.
     """
-    schema = "shard long, key long, doc_id long, block long, run long, place long, low long, high long, body binary"
+    schema = "shard long, key long, doc_id long, block long, run long, place long, body binary"
     names = [part.split()[0] for part in schema.split(", ")]
-    half = (unit.length - unit.seed + 1) // 2
 
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return pa.table({n: pa.array([], pa.binary() if n == "body" else pa.int64()) for n in names})
+        columns = dict.fromkeys(names[:-1], np.zeros(0, np.int64))
+        body: list[bytes] = []
         runs, crowd = (_numbers(right, n, "u4").astype(np.int64) for n in ("open", "crowded"))
-        columns: dict[str, list] = {n: [] for n in names}
-        if len(runs) + len(crowd):
+        if left.num_rows and len(runs) + len(crowd):
             block = Block(opened(left["body"][0].as_py()), unit)
-
-            def add(run: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
-                columns["shard"].append((key % np.uint64(shards)).astype(np.int64))
-                columns["key"].append(key.view(np.int64))
-                columns["doc_id"].append(block.doc_id[run])
-                columns["block"].append(np.full(len(run), left["block"][0].as_py()))
-                columns["run"].append(run)
-                columns["place"].append(block.place[run])
-                columns["low"].append(low)
-                columns["high"].append(high)
-                columns["body"].extend(block.contents(run))
-
-            add(runs, block.seed[runs], np.zeros(len(runs), np.int64), block.count[runs])
-            if len(crowd):
-                # Stretch i of a run has place - i units before its seed.
-                first, place, count = block.first[crowd], block.place[crowd], block.count[crowd]
-                at = first + place
-                far = np.clip(place - half + 1, 0, count)  # stretches [0, far) reach half units left
-                pick = far > 0
-                key = mixed(block.rolling.of(at[pick] - half, at[pick] + unit.seed))
-                add(crowd[pick], key, np.zeros(pick.sum(), np.int64), far[pick])
-                pick = far < count
-                reach = at[pick] + unit.length - half + 1
-                key = mixed(block.rolling.of(at[pick], reach) + np.uint64(1))
-                add(crowd[pick], key, far[pick], count[pick])
-        flat = {n: np.concatenate(c) if c else np.zeros(0, np.int64) for n, c in columns.items() if n != "body"}
-        return pa.table({**{n: pa.array(flat[n], pa.int64()) for n in names[:-1]}, "body": pa.array(columns["body"], pa.binary())})
+            _, singles = block.singles(crowd)
+            shard = (singles["content"] % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            spans = stretches_of_equals(shard[order])
+            none = np.zeros(len(spans), np.int64)
+            key = block.seed[runs]
+            columns = {
+                "shard": np.concatenate([(key % np.uint64(shards)).astype(np.int64), shard[order[[a for a, _ in spans]]]]),
+                "key": np.concatenate([key.view(np.int64), none]),
+                "doc_id": np.concatenate([block.doc_id[runs], none]),
+                "block": np.full(len(runs) + len(spans), left["block"][0].as_py()),
+                "run": np.concatenate([runs, none - 1]),
+                "place": np.concatenate([block.place[runs], none]),
+            }
+            body = block.contents(runs) + [singles[order[a:b]].tobytes() for a, b in spans]
+        return pa.table({**{n: pa.array(c, pa.int64()) for n, c in columns.items()}, "body": pa.array(body, pa.binary())})
 
     return blocks.groupBy("block").cogroup(settled.groupBy("block")).applyInArrow(ask, schema)
 
@@ -373,12 +376,17 @@ def _answers(asked: DataFrame, unit: Unit, index: Index) -> DataFrame:
     """Per shard and block: the single stretches to be removed."""
 
     def answer(rows: pa.Table) -> pa.Table:
+        packed = rows.filter(pc.less(rows["run"], 0))
+        rows = rows.filter(pc.greater_equal(rows["run"], 0))
         rows = rows.sort_by([("key", "ascending"), ("doc_id", "ascending")]).combine_chunks()
         row, stretch = index(rows, unit)
-        low, high = rows["low"].to_numpy(), rows["high"].to_numpy()
-        wanted = (stretch >= low[row]) & (stretch < high[row])
-        row, stretch = row[wanted], stretch[wanted]
-        block, run = rows["block"].to_numpy()[row], rows["run"].to_numpy()[row]
+        singles = _numbers(packed, "body", SINGLE)
+        sizes = [len(x) // SINGLE.itemsize for x in packed["body"].to_pylist()]
+        order, least, _ = by_content(singles["seed"], singles["content"], singles["doc_id"])
+        later = order[singles["doc_id"][order] > least]
+        block = np.concatenate([rows["block"].to_numpy()[row], np.repeat(packed["block"].to_numpy(), sizes)[later]])
+        run = np.concatenate([rows["run"].to_numpy()[row], singles["run"][later]])
+        stretch = np.concatenate([stretch, singles["stretch"][later]])
         order = np.argsort(block, kind="stable")
         block, run, stretch = block[order], run[order].astype(np.uint32), stretch[order].astype(np.uint32)
         spans = stretches_of_equals(block)
@@ -404,8 +412,8 @@ def cut(docs: DataFrame, unit: Unit, index: Index) -> DataFrame:
     asked = _open_runs(blocks, settled.select("block", "open", "crowded"), unit, parts)
     answers = written(_answers(asked, unit, index), "answers")
     none = F.lit(None).cast("binary")
-    events = settled.select("block", "removed", none.alias("of"), none.alias("stretch")).union(
-        answers.select("block", none, "of", "stretch")
+    events = settled.select("block", "removed", "crowded", none.alias("of"), none.alias("stretch")).union(
+        answers.select("block", none, none, "of", "stretch")
     )
     own = ["kept", "n_units", "n_removed", "n_spans"]
     schema = docs.drop(*own).withColumn("doc_id", F.col("doc_id").cast("long")).schema
@@ -417,7 +425,10 @@ def cut(docs: DataFrame, unit: Unit, index: Index) -> DataFrame:
         block = Block(rows, unit)
         local, _ = block.settled()
         runs = np.concatenate((local, _numbers(right, "removed", "u4").astype(np.int64)))
-        gone = block.covered(runs, _numbers(right, "of", "u4").astype(np.int64), _numbers(right, "stretch", "u4").astype(np.int64))
+        alike, _ = block.singles(_numbers(right, "crowded", "u4").astype(np.int64))
+        of = np.concatenate((alike["run"], _numbers(right, "of", "u4"))).astype(np.int64)
+        stretch = np.concatenate((alike["stretch"], _numbers(right, "stretch", "u4"))).astype(np.int64)
+        gone = block.covered(runs, of, stretch)
         kept, removed, spans = [], [], []
         for low, high in zip(block.docs[:-1].tolist(), block.docs[1:].tolist(), strict=True):
             own_gone = gone[low:high]

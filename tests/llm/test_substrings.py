@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -80,3 +81,24 @@ def test_index_of_no_rows(index):
     rows = pa.table({**{n: pa.array([], pa.int64()) for n in names}, "body": pa.array([], pa.binary())})
     row, stretch = index(rows, automata.WORDS)
     assert len(row) == len(stretch) == 0
+
+
+@pytest.mark.parametrize("kind", CASES)
+def test_passage_of_many_documents(spark, monkeypatch, kind):
+    """A passage after different texts: no key and no stretch takes a row of every document to one task."""
+    monkeypatch.setattr(overlap, "CROWD", 8)
+    monkeypatch.setattr(overlap, "BLOCK", 2000)
+    dedup, brute = CASES[kind]
+    unit = suffixes.BYTES if kind == "bytes" else automata.WORDS
+    rng = random.Random(7)
+    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(40))
+    rows = [(i, " ".join([*(f"d{rng.randrange(10**6)}" for _ in range(20)), passage]), "s") for i in range(120)]
+    docs = data.documents(spark, rows).repartition(2)
+    assert digest(dedup(docs)) == brute(rows)
+    blocks = overlap._blocks(docs.select("doc_id", "text"), unit, 4)
+    settled = overlap._settle(overlap._sent(blocks, unit, 4)).select("block", "open", "crowded")
+    asked = overlap._open_runs(blocks, settled, unit, 4).collect()
+    keys = [r["key"] for r in asked if r["run"] >= 0]
+    singles = [s for r in asked if r["run"] < 0 for s in np.frombuffer(r["body"], overlap.SINGLE)[["seed", "content"]].tolist()]
+    assert max(map(keys.count, set(keys)), default=0) <= 8
+    assert singles and max(map(singles.count, set(singles))) <= len({r["block"] for r in asked}) < 40
