@@ -44,15 +44,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of alike documents the one with the least doc_id.
 
-    Rows of one doc_id are one document; rows without doc_id stay.
+    Rows of one doc_id and text are one document, other texts of a doc_id are documents of their
+    own; rows without doc_id stay.
     """
-    found = ngrams.jaccard_components(docs)
-    stays = found.where("component_id = doc_id").select(F.col("doc_id").alias("_id")).distinct()
+    stays = ngrams.first_rows(docs).toDF("_id", "_key")
     rows, names = set_aside(docs)
-    doc_id = F.col(names["doc_id"])
-    one = F.row_number().over(Window.partitionBy(doc_id).orderBy(names["text"]))
+    doc_id, key = F.col(names["doc_id"]), F.xxhash64(names["text"])
+    one = F.row_number().over(Window.partitionBy("_id", "_key").orderBy(names["text"]))
     # The documents that stay grow with the input: never broadcast.
-    kept = rows.join(stays.hint("merge"), doc_id == F.col("_id")).withColumn("_row", one).where("_row = 1")
+    same = (doc_id == F.col("_id")) & (key == F.col("_key"))
+    kept = rows.join(stays.hint("merge"), same).withColumn("_row", one).where("_row = 1")
     columns = put_back(names, [])
     return kept.select(*columns).union(rows.where(doc_id.isNull()).select(*columns))
 

@@ -126,8 +126,8 @@ def sliced(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 
 def _sketches(docs: DataFrame, size: int, bands: int, seed: int) -> DataFrame:
-    """doc_id, n_shingles, two digests, band keys and min-hash bits of every document."""
-    names = ["doc_id", "n_shingles", "one", "two", "keys", "code"]
+    """doc_id, hash of the text, n_shingles, two digests, band keys and min-hash bits of every document."""
+    names = ["doc_id", "text_key", "n_shingles", "one", "two", "keys", "code"]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,14 +151,15 @@ def _sketches(docs: DataFrame, size: int, bands: int, seed: int) -> DataFrame:
                         keys[row], codes[row] = key[i], packed[i].tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(low, high - low), pa.array(count, pa.int64()), pa.array(one), pa.array(two),
+                        batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low),
+                        pa.array(count, pa.int64()), pa.array(one), pa.array(two),
                         pa.array(keys, pa.list_(pa.int64())), pa.array(codes, pa.binary()),
                     ],
                     names=names,
                 )
 
-    schema = "doc_id long, n_shingles long, one long, two long, keys array<bigint>, code binary"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sketch, schema)
+    schema = "doc_id long, text_key long, n_shingles long, one long, two long, keys array<bigint>, code binary"
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key")).mapInArrow(sketch, schema)
 
 
 class SignatureTree:
@@ -284,8 +285,8 @@ def _joined(members: DataFrame, size: int, threshold: int, tasks: int) -> DataFr
     return dealt(members, tasks).groupBy("task").applyInArrow(join, "u long, v long")
 
 
-def jaccard_components(docs: DataFrame, size: int = 5, threshold: int = 75, seed: int = 0) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id reachable by links) of every document."""
+def _classed(docs: DataFrame, size: int, threshold: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Documents with the number of their component and its component_id, and those that link with nothing."""
     bands = band_count(threshold / 100)
     sketched = written(_sketches(docs, size, bands, seed), "sketches")
     kinds = written(
@@ -318,9 +319,22 @@ def jaccard_components(docs: DataFrame, size: int = 5, threshold: int = 75, seed
         "n_shingles", "one", "two", "first", F.coalesce("component", "id").alias("component")
     )
     names = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_kind = named.join(names, "component").select("n_shingles", "one", "two", "component_id")
+    of_kind = named.join(names, "component").select("n_shingles", "one", "two", "component", "component_id")
     classed = sketched.where("n_shingles > 0 and doc_id is not null").join(of_kind, ["n_shingles", "one", "two"])
-    rest = sketched.where("n_shingles = 0 or doc_id is null")
+    return classed, sketched.where("n_shingles = 0 or doc_id is null")
+
+
+def jaccard_components(docs: DataFrame, size: int = 5, threshold: int = 75, seed: int = 0) -> DataFrame:
+    """doc_id, n_shingles, component_id (least doc_id reachable by links) of every document."""
+    classed, rest = _classed(docs, size, threshold, seed)
     return classed.select("doc_id", "n_shingles", "component_id").union(
         rest.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     )
+
+
+def first_rows(docs: DataFrame, size: int = 5, threshold: int = 75, seed: int = 0) -> DataFrame:
+    """doc_id and text_key (xxhash64 of the text) of one document a component, that of the least doc_id,
+    and of all that link with nothing; none of rows without doc_id."""
+    classed, rest = _classed(docs, size, threshold, seed)
+    first = classed.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("row")).select("row.*")
+    return first.union(rest.where("doc_id is not null").select("doc_id", "text_key").distinct())

@@ -66,3 +66,13 @@ def test_chain(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+
+
+def test_other_texts_of_a_doc_id_stay(spark):
+    kept = rows_of(STAGES["ngram_jaccard"](spark, data.documents(spark), SF_DIR))
+    assert [d for d, t, _ in kept if t == data.BODY[6]] == [-5]
+    assert [d for d, t, _ in kept if t == data.BODY[7]] == [20]
+    assert [d for d, t, _ in kept if t == data.BODY[5]] == [18]
+    rows = [(1, "", "a"), (1, data.BODY[0], "a"), (2, data.BODY[1], "a"), (2, data.BODY[2], "a"), (2, data.BODY[2], "a")]
+    kept = rows_of(STAGES["ngram_jaccard"](spark, data.documents(spark, rows), SF_DIR))
+    assert sorted(kept) == sorted(set(rows))
