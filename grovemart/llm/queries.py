@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovemart.llm import automata, mixing, nearvectors, ngrams, packing, search, sharding, suffixes, toxicity, urls
+from grovemart.llm import (
+    alignment,
+    automata,
+    matching,
+    mixing,
+    nearvectors,
+    ngrams,
+    packing,
+    search,
+    sharding,
+    suffixes,
+    toxicity,
+    urls,
+    variants,
+)
 from grovemart.llm.common import n_bytes, table
 
 WINDOW = 2048
@@ -13,6 +27,8 @@ END_ID = 1
 SHARDS = 40
 TOP = 10
 COSINE = 0.93
+SHORT_WINDOW = 1024
+SHORT_END_ID = 2
 
 
 def vocabulary() -> tuple[str, str, str]:
@@ -26,6 +42,13 @@ def vocabulary() -> tuple[str, str, str]:
     )
 
 
+def piece_model() -> str:
+    """The public vocabulary of pieces."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", *mixing.PLAN_COLUMNS)
@@ -88,6 +111,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.pack(table(spark, sf_dir, "documents"), vocabulary(), SHORT_WINDOW, SHORT_END_ID)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), piece_model())
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -99,4 +134,7 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_token_alignment": op13_token_alignment,
 }

@@ -13,7 +13,7 @@ TABLES = ["documents", "embeddings", "pages", "labels"]
 
 def test_registered():
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
-    assert [f"op{n}" for n in range(1, 11)] == sorted((q.split("_")[0] for q in QUERIES), key=lambda q: int(q[2:]))
+    assert [f"op{n}" for n in range(1, 14)] == sorted((q.split("_")[0] for q in QUERIES), key=lambda q: int(q[2:]))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
