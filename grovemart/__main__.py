@@ -30,6 +30,9 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--dataset", help="file name of the delivery, with or without .csv")
     parser.add_argument("--run", help="name of this run; default: the time")
     parser.add_argument("--source", help="land: file to deliver")
+    parser.add_argument("--move", action="store_true", help="land: move the source, by a rename where that is possible")
+    parser.add_argument("--window", type=int, help="days before the newest kept one that are still looked at; default: all")
+    parser.add_argument("--move-done", action="store_true", help="all: move kept deliveries to the processed state at the end")
     parser.add_argument("--date", type=date.fromisoformat, help="land: delivery date, YYYY-MM-DD")
     parser.add_argument("--rows", type=int, default=5, help="preview: rows per table")
     parser.add_argument("--keep-runs", type=int, default=jobs.KEEP_RUNS, help="published runs whose tables are kept")
@@ -59,11 +62,11 @@ def show(tables: dict[str, DataFrame]) -> None:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    lake = jobs.Lake(args.landing, args.root)
+    lake = jobs.Lake(args.landing, args.root, args.window)
     dataset = (args.dataset or "").removesuffix(".csv")
     name = args.run or jobs.new_run()
     if args.job == "land":
-        print(land_file(spark, args.source, args.landing, args.date, dataset))
+        print(land_file(spark, args.source, args.landing, args.date, dataset, args.move))
     elif args.job == "convert":
         print(json.dumps(jobs.convert(spark, lake, name)))
     elif args.job == "stream":
@@ -76,7 +79,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "star":
         print(json.dumps(jobs.build_star(spark, lake, dataset, name, args.keep_runs)))
     elif args.job == "all":
-        print(json.dumps(jobs.run_all(spark, lake, name, args.keep_runs)))
+        print(json.dumps(jobs.run_all(spark, lake, name, args.keep_runs, args.move_done)))
     elif args.job == "preview":
         stages = {"clean": jobs.current(spark, lake, dataset), "typed": jobs.read_typed(spark, lake, dataset)}
         tables = {**stages, **jobs.read_star(spark, lake, dataset)}

@@ -15,6 +15,11 @@ DELIVERY_PATTERN = (
 )
 
 
+def decoded_path(path: Column) -> Column:
+    """A file's path as it is written; `_metadata` has it URL-encoded, but for plus signs."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def delivery_parts(path: Column) -> dict[str, Column]:
     """Delivery folder, date, state and dataset of a file path; '' or NULL when off-contract."""
 

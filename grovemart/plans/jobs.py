@@ -1,7 +1,10 @@
 """The batch jobs: convert deliveries, load the typed registry, build the star, run all three.
 
-No job overwrites what readers see. Each writes a folder of its own run and then a row to a
-log, and readers follow the logs: a broken run, or a bad delivery, leaves everything as it was.
+No job overwrites what readers see. Each writes folders of its own run and then one commit to the
+log, and readers follow the log: a broken run, or a bad delivery, leaves everything as it was. Any
+number of jobs may run at the same time. A commit that finds others before it looks at what they
+did: where they took the same files or days, or published the same tables, the job does its work
+again on what is left, else it goes behind them.
 Deliveries are kept or rejected one by one; rejections are a table with reasons, and the job that
 finds them ends with an error that names them, after all good ones are in.
 """
@@ -12,15 +15,15 @@ from collections import defaultdict
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
-from threading import Lock
+from datetime import date, datetime, timedelta, timezone
+from itertools import count
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grovemart.functions.paths import delivery_parts
+from grovemart.functions.paths import decoded_path, delivery_parts
 from grovemart.operators import quality, star
 from grovemart.operators.cleaning import clean, typed
 from grovemart.schema import (
@@ -36,20 +39,21 @@ from grovemart.schema import (
     TYPED_SCHEMA,
 )
 from grovemart.sources import history as kept_rows
-from grovemart.sources.delimited import header_problem, read_raw, write_stage
+from grovemart.sources.commits import EVERY, Log
+from grovemart.sources.delimited import first_lines, header_problem, read_raw, write_stage
 from grovemart.sources.files import first_line, folders, move, remove
 from grovemart.sources.history import LOG_SCHEMA, SNAPSHOT
 from grovemart.sources.jdbc import Database, replace_jdbc_table
 from grovemart.sources.landing import (
+    FILE_IDENTITY,
     MANIFEST_SCHEMA,
+    last_of_each_path,
     list_files,
-    mark_done,
     pending_files,
     processed_path,
-    read_manifest,
     stray_files,
 )
-from grovemart.sources.tables import append_rows, create_if_absent, read_table, replace_table
+from grovemart.sources.tables import read_table, replace_table
 
 #: Spark jobs side by side, files looked at side by side, and runs whose folders are kept.
 CONCURRENT_JOBS = 4
@@ -75,6 +79,11 @@ REJECTED_SCHEMA = T.StructType(
         T.StructField("run", T.StringType()),
     ]
 )
+#: The tables of the log.
+MANIFEST, SNAPSHOTS, REJECTED, PUBLISHED = "manifest", "snapshots", "rejected", "published"
+LOG = {MANIFEST: MANIFEST_SCHEMA, SNAPSHOTS: LOG_SCHEMA, REJECTED: REJECTED_SCHEMA, PUBLISHED: PUBLISHED_SCHEMA}
+#: Files of a run's listing that are not done; strays are those that no job would read.
+UNSEEN_SCHEMA = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField("stray", T.BooleanType())])
 #: Reasons that are no fault of a delivery: a newer one of the same day is kept instead.
 OLDER = "a newer delivery of this day is kept"
 
@@ -96,27 +105,17 @@ class Delivery:
 
 @dataclass(frozen=True)
 class Lake:
-    """Folders of one installation. `landing` is where downloads arrive."""
+    """Folders of one installation. `landing` is where downloads arrive; with `window`, only days up to so many
+    before the newest one kept are looked at there. The log has a checkpoint every so many commits."""
 
     landing: str
     root: str
+    window: int | None = None
+    log_every: int = EVERY
 
     @property
-    def manifest(self) -> str:
-        return f"{self.root}/manifest"
-
-    @property
-    def published(self) -> str:
-        return f"{self.root}/published"
-
-    @property
-    def snapshots(self) -> str:
-        """Log of the deliveries kept, so that nobody has to search the history for dates."""
-        return f"{self.root}/snapshots"
-
-    @property
-    def rejected(self) -> str:
-        return f"{self.root}/rejected"
+    def log(self) -> str:
+        return f"{self.root}/log"
 
     @property
     def history(self) -> str:
@@ -153,16 +152,19 @@ def new_run() -> str:
     return now().strftime("%Y%m%dT%H%M%S%f")
 
 
+def log(spark: SparkSession, lake: Lake) -> Log:
+    """What counts in the lake: files done, deliveries kept and rejected, runs published."""
+    return Log(spark, lake.log, LOG, {MANIFEST: last_of_each_path}, lake.log_every)
+
+
 def snapshots(spark: SparkSession, lake: Lake, dataset: str | None = None) -> DataFrame:
     """The log of kept deliveries, of one dataset or all."""
-    create_if_absent(spark, lake.snapshots, LOG_SCHEMA)
-    log = read_table(spark, lake.snapshots, LOG_SCHEMA)
-    return log if dataset is None else log.where(F.col("dataset") == dataset)
+    rows = log(spark, lake).rows(SNAPSHOTS)
+    return rows if dataset is None else rows.where(F.col("dataset") == dataset)
 
 
 def rejections(spark: SparkSession, lake: Lake) -> DataFrame:
-    create_if_absent(spark, lake.rejected, REJECTED_SCHEMA)
-    return read_table(spark, lake.rejected, REJECTED_SCHEMA)
+    return log(spark, lake).rows(REJECTED)
 
 
 def history(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
@@ -192,14 +194,34 @@ def current_ragged(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
     return quality.ragged_rows(mine).select(CORRUPT_RECORD)
 
 
-def _arrived(spark: SparkSession, lake: Lake, run: str) -> list[Delivery]:
-    """Deliveries with a pending file, each with all its files; the pending list is written down first.
+def read_pending(spark: SparkSession, lake: Lake, run: str) -> DataFrame:
+    """The files that were pending when a run looked."""
+    return read_table(spark, lake.pending(run), UNSEEN_SCHEMA).where("not stray").drop("stray")
+
+
+def landed(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The files of the landing area that are not processed, of the days that are looked at."""
+    since = None
+    if lake.window is not None:
+        newest_day = snapshots(spark, lake).agg(F.max(SNAPSHOT)).first()[0]
+        since = newest_day and newest_day - timedelta(days=lake.window)
+    return list_files(spark, lake.landing, since)
+
 
-    So exactly the files in it are marked as done later, even if more arrive meanwhile.
+def _unseen(spark: SparkSession, lake: Lake, run: str, version: int) -> tuple[DataFrame, int]:
+    """The listing of the landing area, and the number of its files that are not done.
+
+    Those are written down first, so exactly they are marked as done later, even if more arrive meanwhile.
     """
-    files = list_files(spark, lake.landing)
-    replace_table(pending_files(files, read_manifest(spark, lake.manifest)), lake.pending(run))
-    pending = read_table(spark, lake.pending(run), MANIFEST_SCHEMA)
+    files = landed(spark, lake)
+    manifest = log(spark, lake).rows(MANIFEST, upto=version)
+    pending = pending_files(files, manifest).withColumn("stray", F.lit(False))
+    strays = stray_files(files, manifest).withColumn("stray", F.lit(True))
+    return files, replace_table(pending.union(strays), lake.pending(run))
+
+
+def _arrived(files: DataFrame, pending: DataFrame) -> list[Delivery]:
+    """Deliveries with a pending file, each with all its files."""
     whole = files.join(pending.select("delivery").distinct(), "delivery").groupBy("dataset", SNAPSHOT, "delivery")
     rows = whole.agg(F.sort_array(F.collect_list("path")).alias("files"), F.max("modificationTime").alias("time"))
     return [
@@ -225,17 +247,31 @@ def _newest_of_each_day(deliveries: list[Delivery], log: DataFrame) -> tuple[lis
     return taken, rejected
 
 
+def _headers(spark: SparkSession, deliveries: list[Delivery]) -> dict[str, set[tuple[str, ...]]]:
+    """Header lines of each delivery that has any, found by a scan of the files' beginnings.
+
+    The driver opens one file for every different header.
+    """
+    files = [file for delivery in deliveries for file in delivery.files]
+    lines = first_lines(spark, files).withColumn("delivery", delivery_parts(F.col("path"))["delivery"])
+    found = lines.groupBy("delivery", "line").agg(F.min("path").alias("path")).collect() if files else []
+    sample = {row["line"]: row["path"] for row in found}
+    texts = side_by_side(lambda path: first_line(spark, path, RAW_ENCODING), sample.values(), CONCURRENT_PEEKS)
+    text_of = dict(zip(sample, texts, strict=True))
+    headers: dict[str, set[tuple[str, ...]]] = defaultdict(set)
+    for row in found:
+        headers[row["delivery"]].add(tuple(name.strip('"') for name in text_of[row["line"]].split(RAW_SEPARATOR)))
+    return headers
+
+
 def _by_header(spark: SparkSession, deliveries: list[Delivery]) -> tuple[dict[tuple, list[Delivery]], list[tuple[Delivery, str]]]:
     """Deliveries that can be read together, by their header; those whose header is wrong are rejected."""
-    files = [file for delivery in deliveries for file in delivery.files]
-    lines = side_by_side(lambda file: first_line(spark, file, RAW_ENCODING), files, CONCURRENT_PEEKS)
-    header_of = dict(zip(files, lines, strict=True))
+    headers_of = _headers(spark, deliveries)
     groups: dict[tuple, list[Delivery]] = defaultdict(list)
     rejected = []
     for delivery in deliveries:
         # A part without any line has no rows either.
-        found = {header_of[file] for file in delivery.files} - {None}
-        headers = {tuple(name.strip('"') for name in line.split(RAW_SEPARATOR)) for line in found}
+        headers = headers_of.get(delivery.path, set())
         problems = [p for p in (header_problem(list(h)) for h in sorted(headers)) if p]
         if not headers:
             rejected.append((delivery, "no header"))
@@ -244,7 +280,7 @@ def _by_header(spark: SparkSession, deliveries: list[Delivery]) -> tuple[dict[tu
         elif len(headers) > 1:
             rejected.append((delivery, "its files have different headers"))
         else:
-            groups[headers.pop()].append(delivery)
+            groups[next(iter(headers))].append(delivery)
     return dict(groups), rejected
 
 
@@ -252,9 +288,7 @@ def _keep(spark: SparkSession, lake: Lake, run: str, header: tuple, deliveries:
     """Write all rows of deliveries with one header in one job; returns their log rows."""
     files = [file for delivery in deliveries for file in delivery.files if file]
     raw = read_raw(spark, files, keep_corrupt=True, header=list(header), with_path=True)
-    # The path arrives URL-encoded, a plus sign as it is.
-    path = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
-    parts = delivery_parts(path)
+    parts = delivery_parts(decoded_path(F.col("file_path")))
     rows = clean(raw).withColumns({name: parts[name] for name in ("dataset", SNAPSHOT)}).drop("file_path")
     kept_rows.write_run(rows, lake.history, run)
     counted = {
@@ -277,49 +311,96 @@ def take_in(spark: SparkSession, lake: Lake, run: str) -> tuple[dict[str, int],
 
     Deliveries with the same header are read and written by one job, whatever their number. Of
     several deliveries of a day the newest by time is kept, in whatever run they come. Files are
-    marked as done when their delivery is kept or rejected. The stage copy holds the newest
-    delivery.
+    marked as done by the commit that keeps or rejects their delivery. The stage copy holds the newest
+    delivery. Files that another job takes in meanwhile are left to it.
     """
-    arrived = _arrived(spark, lake, run)
-    log = snapshots(spark, lake)
-    taken, older = _newest_of_each_day(arrived, log)
-    groups, wrong = _by_header(spark, taken)
+    for attempt in count():
+        done = _attempt(spark, lake, f"{run}-{attempt}" if attempt else run)
+        if done is not None:
+            break
+    kept, rejected = done
+    datasets = sorted({row[0] for row in kept})
+    counts = side_by_side(lambda name: _write_stage(spark, lake, name), datasets)
+    return dict(zip(datasets, counts, strict=True)), rejected
 
-    one_writer = Lock()
+
+def _attempt(spark: SparkSession, lake: Lake, run: str) -> tuple[list[tuple], list[tuple]] | None:
+    """Log rows of the deliveries kept and rejected; None if another job was faster with one of them."""
+    book = log(spark, lake)
+    version = book.version()
+    files, number = _unseen(spark, lake, run, version)
+    if not number:
+        return [], []
+    unseen = read_table(spark, lake.pending(run), UNSEEN_SCHEMA)
+    arrived = _arrived(files, unseen.where("not stray"))
+    taken, older = _newest_of_each_day(arrived, book.rows(SNAPSHOTS, upto=version))
+    groups, wrong = _by_header(spark, taken)
 
     def keep(numbered: tuple[int, tuple]) -> list[tuple]:
         number, (header, deliveries) = numbered
-        rows = _keep(spark, lake, f"{run}-{number}", header, deliveries)
-        with one_writer:
-            append_rows(spark, rows, LOG_SCHEMA, lake.snapshots)
-        return rows
+        return _keep(spark, lake, f"{run}-{number}", header, deliveries)
 
     kept = [row for rows in side_by_side(keep, enumerate(groups.items())) for row in rows]
     strays = [
         (r["dataset"] or None, r[SNAPSHOT], r["path"], "suffix or path off the contract", run)
-        for r in stray_files(list_files(spark, lake.landing), read_manifest(spark, lake.manifest)).toLocalIterator()
+        for r in unseen.where("stray").toLocalIterator()
     ]
     rejected = [(d.dataset, d.day, d.path, reason, run) for d, reason in [*older, *wrong]] + strays
-    if rejected:
-        append_rows(spark, rejected, REJECTED_SCHEMA, lake.rejected)
-        stray = spark.createDataFrame([(row[2],) for row in strays], "path string")
-        mark_done(list_files(spark, lake.landing).join(stray, "path").select(*MANIFEST_SCHEMA.fieldNames()), lake.manifest)
-    if arrived:
-        finish(spark, lake, run)
-    datasets = sorted({row[0] for row in kept})
-    counts = side_by_side(lambda name: write_stage(current(spark, lake, name), lake.stage(name)), datasets)
-    return dict(zip(datasets, counts, strict=True)), rejected
+    rows = {SNAPSHOTS: (kept, LOG_SCHEMA), REJECTED: (rejected, REJECTED_SCHEMA)}
+    staged = {name: spark.createDataFrame(r, schema).coalesce(1) for name, (r, schema) in rows.items() if r}
+    if _committed(book, {MANIFEST: unseen.drop("stray"), **staged}, version, _same_files_or_days(unseen, kept)):
+        return kept, rejected
+    for number in range(len(groups)):
+        remove(spark, kept_rows.run_path(lake.history, f"{run}-{number}"))
+    return None
+
+
+def _committed(book: Log, rows: dict[str, DataFrame], version: int, clash: Callable[[Log, int, int], bool]) -> bool:
+    """Commit rows made from the state at `version`; False if a commit since then clashes with them."""
+    staged = book.stage(rows)
+    while not book.commit(staged, version):
+        last = book.version()
+        if clash(book, version, last):
+            return False
+        version = last
+    return True
+
+
+def _same_files_or_days(unseen: DataFrame, kept: list[tuple]) -> Callable[[Log, int, int], bool]:
+    days = {(row[0], row[1]) for row in kept}
 
+    def clash(book: Log, after: int, upto: int) -> bool:
+        theirs = book.rows(MANIFEST, after, upto).select(*FILE_IDENTITY)
+        if not theirs.join(unseen, FILE_IDENTITY, "left_semi").isEmpty():
+            return True
+        kept_since = book.rows(SNAPSHOTS, after, upto).select("dataset", SNAPSHOT).distinct()
+        return any(tuple(row) in days for row in kept_since.toLocalIterator())
 
-def finish(spark: SparkSession, lake: Lake, run: str) -> None:
-    """Mark the files a run has read as done."""
-    mark_done(read_table(spark, lake.pending(run), MANIFEST_SCHEMA), lake.manifest)
+    return clash
+
+
+def _write_stage(spark: SparkSession, lake: Lake, dataset: str) -> int:
+    """The newest delivery as the stage copy, which changes in one rename; its row count."""
+    while True:
+        run = newest(spark, lake, dataset)["run"]
+        hidden = f"{lake.root}/stage/_{dataset}-{new_run()}"
+        rows = write_stage(current(spark, lake, dataset), hidden)
+        remove(spark, lake.stage(dataset))
+        move(spark, hidden, lake.stage(dataset))
+        if newest(spark, lake, dataset)["run"] == run:
+            return rows
+
+
+def nothing_pending(spark: SparkSession, lake: Lake) -> bool:
+    """Whether a conversion would find nothing to do."""
+    files, manifest = landed(spark, lake), log(spark, lake).rows(MANIFEST)
+    return pending_files(files, manifest).union(stray_files(files, manifest)).isEmpty()
 
 
 def move_done(spark: SparkSession, lake: Lake) -> int:
     """Move kept deliveries out of the downloaded state, so that later listings are short; their number."""
-    files = list_files(spark, lake.landing)
-    waiting = pending_files(files, read_manifest(spark, lake.manifest)).select("delivery").distinct()
+    files = landed(spark, lake)
+    waiting = pending_files(files, log(spark, lake).rows(MANIFEST)).select("delivery").distinct()
     done = kept_rows.kept(snapshots(spark, lake)).select("delivery").join(waiting, "delivery", "left_anti")
     there = files.where(F.col("state") == STATE_DOWNLOADED).select("delivery").distinct().join(done, "delivery")
     paths = [row[0] for row in there.toLocalIterator()]
@@ -345,36 +426,45 @@ def convert(spark: SparkSession, lake: Lake, run: str) -> dict[str, int]:
     return counts
 
 
-def _publish(spark: SparkSession, lake: Lake, dataset: str, what: str, run: str, source: str, keep_runs: int) -> None:
-    """Make a run's tables the ones that are read; older runs go, but for the last `keep_runs`."""
-    create_if_absent(spark, lake.published, PUBLISHED_SCHEMA)
-    append_rows(spark, [(dataset, what, run, source, now())], PUBLISHED_SCHEMA, lake.published)
+def _publish(spark: SparkSession, lake: Lake, dataset: str, what: str, run: str, source: str, keep_runs: int, version: int) -> bool:
+    """Make a run's tables the ones that are read; older runs go, but for the last `keep_runs`.
+
+    False if others were published since `version`: they may come from a newer delivery.
+    """
+
+    def clash(book: Log, after: int, upto: int) -> bool:
+        same = (F.col("dataset") == dataset) & (F.col("what") == what)
+        return not book.rows(PUBLISHED, after, upto).where(same).isEmpty()
+
+    row = spark.createDataFrame([(dataset, what, run, source, now())], PUBLISHED_SCHEMA)
+    if not _committed(log(spark, lake), {PUBLISHED: row}, version, clash):
+        return False
     names = folders(spark, lake.runs(what, dataset))
-    last = {f"run={r['run']}" for r in _published(spark, lake, dataset, what).orderBy(F.desc("published_at")).limit(keep_runs).toLocalIterator()}
-    published = {f"run={r['run']}" for r in _published(spark, lake, dataset, what).toLocalIterator()}
+    ordered = [f"run={r['run']}" for r in _published(spark, lake, dataset, what).orderBy(F.desc("commit")).toLocalIterator()]
     for name in names:
-        if name in published - last:
+        if name in ordered[keep_runs:] and name not in ordered[:keep_runs]:
             remove(spark, f"{lake.runs(what, dataset)}/{name}")
+    return True
 
 
 def _published(spark: SparkSession, lake: Lake, dataset: str, what: str) -> DataFrame:
-    create_if_absent(spark, lake.published, PUBLISHED_SCHEMA)
-    return read_table(spark, lake.published, PUBLISHED_SCHEMA).where(
-        (F.col("dataset") == dataset) & (F.col("what") == what)
-    )
+    rows = log(spark, lake).rows(PUBLISHED)
+    return rows.where((F.col("dataset") == dataset) & (F.col("what") == what))
 
 
 def _last_published(spark: SparkSession, lake: Lake, dataset: str, what: str) -> Row | None:
-    return _published(spark, lake, dataset, what).orderBy(F.desc("published_at"), F.desc("run")).first()
+    return _published(spark, lake, dataset, what).orderBy(F.desc("commit")).first()
 
 
 def load_typed(spark: SparkSession, lake: Lake, dataset: str, run: str | None = None, keep_runs: int = KEEP_RUNS) -> int:
     """Newest delivery to typed registry, in a folder of the run, then published."""
     run = run or new_run()
-    source = newest(spark, lake, dataset)["run"]
-    rows = replace_table(typed(current(spark, lake, dataset)), lake.typed(dataset, run))
-    _publish(spark, lake, dataset, TYPED, run, source, keep_runs)
-    return rows
+    while True:
+        version = log(spark, lake).version()
+        source = newest(spark, lake, dataset)["run"]
+        rows = replace_table(typed(current(spark, lake, dataset)), lake.typed(dataset, run))
+        if _publish(spark, lake, dataset, TYPED, run, source, keep_runs, version):
+            return rows
 
 
 def read_typed(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
@@ -391,18 +481,20 @@ def build_star(spark: SparkSession, lake: Lake, dataset: str, run: str, keep_run
     Readers follow the last published run, so they never see tables of two runs. Beside the
     location dimension goes its narrow form of one row per key, which the cards read.
     """
-    registry = read_typed(spark, lake, dataset)
-    source = _last_published(spark, lake, dataset, TYPED)["source"]
-    tables = star.star(registry)
+    while True:
+        version = log(spark, lake).version()
+        registry = read_typed(spark, lake, dataset)
+        source = _last_published(spark, lake, dataset, TYPED)["source"]
+        tables = star.star(registry)
 
-    def write(name: str) -> int:
-        return replace_table(tables[name], lake.star(dataset, run, name))
+        def write(name: str, tables: dict[str, DataFrame] = tables) -> int:
+            return replace_table(tables[name], lake.star(dataset, run, name))
 
-    counts = dict(zip(tables, side_by_side(write, tables), strict=True))
-    locations = read_table(spark, lake.star(dataset, run, DIM_LOCATION), STAR_SCHEMAS[DIM_LOCATION])
-    replace_table(star.unique_locations(locations), lake.star(dataset, run, ONE_LOCATION))
-    _publish(spark, lake, dataset, STAR, run, source, keep_runs)
-    return counts
+        counts = dict(zip(tables, side_by_side(write, tables), strict=True))
+        locations = read_table(spark, lake.star(dataset, run, DIM_LOCATION), STAR_SCHEMAS[DIM_LOCATION])
+        replace_table(star.unique_locations(locations), lake.star(dataset, run, ONE_LOCATION))
+        if _publish(spark, lake, dataset, STAR, run, source, keep_runs, version):
+            return counts
 
 
 def read_star(spark: SparkSession, lake: Lake, dataset: str) -> dict[str, DataFrame]:
@@ -465,12 +557,12 @@ def _outdated(spark: SparkSession, lake: Lake) -> list[str]:
 
 
 def run_all(
-    spark: SparkSession, lake: Lake, run: str | None = None, keep_runs: int = KEEP_RUNS
+    spark: SparkSession, lake: Lake, run: str | None = None, keep_runs: int = KEEP_RUNS, moves_done: bool = False
 ) -> dict[str, dict[str, int]]:
     """Convert, load and build, in that order; row counts per dataset whose newest delivery changed.
 
     Without a new delivery nothing is written to any of the tables. What an earlier run did
-    not get to is done now.
+    not get to is done now. With `moves_done` kept deliveries end in the processed state.
     """
     run = run or new_run()
     counts, rejected = take_in(spark, lake, run)
@@ -482,5 +574,7 @@ def run_all(
             "typed": load_typed(spark, lake, dataset, run, keep_runs),
             **build_star(spark, lake, dataset, run, keep_runs),
         }
+    if moves_done:
+        move_done(spark, lake)
     _tell(rejected)
     return report

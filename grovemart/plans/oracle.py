@@ -141,6 +141,7 @@ _KEPT = """
         cast(sum(cast(area_ha as int)) as bigint) as area_ha{more}
     from clean_orders {where} group by snapshot_date
 """
+_ONE_ROW = ", cast(1 as bigint) as linhas"
 _FIRST = "where snapshot_date = (select min(snapshot_date) from clean_orders)"
 _LAST = "where snapshot_date = (select max(snapshot_date) from clean_orders)"
 
@@ -222,6 +223,28 @@ ORACLE_SQL: dict[str, str] = {
             cast(sum(cast(area_ha as int)) as bigint) as area_ha
         from clean_orders group by snapshot_date
     """,
+    "delivery_headers": f"""
+        with {_ORDERS}, days as (select distinct snapshot_date from clean_orders)
+        select 'registry' as dataset, snapshot_date,
+            case when snapshot_date = (select max(snapshot_date) from days) then 2 else 1 end::bigint as cabecalhos
+        from days
+        union all select 'second', max(snapshot_date), 1 from days
+    """,
+    "open_files": f"""
+        with {_ORDERS}, days as (select distinct snapshot_date from clean_orders)
+        select 'todos' as vista, 'registry' as dataset, unnest([min(snapshot_date), max(snapshot_date)]) as snapshot_date,
+            'downloaded' as state
+        from days
+        union all select 'janela', 'registry', max(snapshot_date), 'downloaded' from days
+    """,
+    "compacted_history": f"""
+        with {_ORDERS}
+        select * exclude (dataset) from ({_KEPT.format(name="''", more=_ONE_ROW, where="")})
+    """,
+    "contended_history": f"""
+        with {_ORDERS}
+        select * exclude (dataset) from ({_KEPT.format(name="''", more=_ONE_ROW, where="")})
+    """,
     "latest_snapshot": f"""
         with {_ORDERS}
         select * from clean_orders

@@ -18,9 +18,8 @@ from grovemart.schema import (
     TYPED_SCHEMA,
 )
 from grovemart.session import run_dir
-from grovemart.sources.delimited import read_raw, read_stage, write_raw, write_stage
+from grovemart.sources.delimited import first_lines, read_raw, read_stage, write_raw, write_stage
 from grovemart.sources.history import SNAPSHOT
-from grovemart.sources.landing import MANIFEST_SCHEMA
 from grovemart.sources.tables import read_table, replace_table
 from grovemart.streaming.ingest import ingest_available
 
@@ -181,7 +180,7 @@ def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries pending when all had landed, after converting them, and after one came again."""
     lake = Workspace(spark, sf_dir).yearly_lake()
     moments = [
-        read_table(spark, lake.pending(run), MANIFEST_SCHEMA)
+        jobs.read_pending(spark, lake, run)
         .select(F.lit(run).alias("momento"), "dataset", SNAPSHOT, "state")
         .distinct()
         for run in ("landed", "converted", "delivered_again")
@@ -218,7 +217,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the stream kept after a folder and a plain file came again: their last contents."""
+    """What the stream kept after a year of each of two datasets came again: their last contents."""
     lake = Workspace(spark, sf_dir).streamed_lake()
     of = [
         _by_snapshot(jobs.history(spark, lake, name)).withColumn("dataset", F.lit(name)) for name in (DATASET, "plain")
@@ -237,6 +236,39 @@ def redelivery_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.withColumn("rejeitadas", F.coalesce("n", F.lit(0)).cast("long")).drop("n")
 
 
+def delivery_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many different headers the files of each delivery have, from the scan of their first lines."""
+    files = jobs.landed(spark, Workspace(spark, sf_dir).rejecting_lake()).select("path", "dataset", SNAPSHOT)
+    lines = first_lines(spark, [row["path"] for row in files.toLocalIterator()])
+    return files.join(lines, "path").groupBy("dataset", SNAPSHOT).agg(F.count_distinct("line").alias("cabecalhos"))
+
+
+def open_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is listed of a landing area whose kept deliveries were moved: all of it, and the newest days."""
+    space = Workspace(spark, sf_dir)
+    looks = {"todos": space.moved_lake(), "janela": space.moved_lake(window=400)}
+    seen = [
+        jobs.landed(spark, lake).select(F.lit(name).alias("vista"), "dataset", SNAPSHOT, "state").distinct()
+        for name, lake in looks.items()
+    ]
+    return seen[0].unionByName(seen[1])
+
+
+def _with_log_rows(spark: SparkSession, lake: jobs.Lake) -> DataFrame:
+    logged = jobs.snapshots(spark, lake, DATASET).groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("linhas"))
+    return _by_snapshot(jobs.history(spark, lake, DATASET)).join(logged, SNAPSHOT, "left")
+
+
+def compacted_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History by a log of a commit a year, with checkpoints; how many rows of the log speak of a day."""
+    return _with_log_rows(spark, Workspace(spark, sf_dir).moved_lake())
+
+
+def contended_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History after three jobs took the same files at once: every day is kept by one of them."""
+    return _with_log_rows(spark, Workspace(spark, sf_dir).contended_lake())
+
+
 def ragged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with too few or too many fields: counted, padded or cut, not dropped."""
     lake = Workspace(spark, sf_dir).ragged_lake()
@@ -327,6 +359,10 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_redelivery": stream_redelivery,
     "redelivery_rejected": redelivery_rejected,
+    "delivery_headers": delivery_headers,
+    "open_files": open_files,
+    "compacted_history": compacted_history,
+    "contended_history": contended_history,
     "ragged_profile": ragged_profile,
     "delivered_star_cards": delivered_star_cards,
     "stage_counts": stage_counts,

@@ -112,6 +112,40 @@ class Workspace:
 
         return jobs.Lake(landing, self._once("lake", make))
 
+    def moved_lake(self, window: int | None = None) -> jobs.Lake:
+        """Every year taken in by a run of its own and moved to the processed state; then the first and the last
+        one delivered again. The log has a checkpoint every two commits."""
+
+        def lake(path: str) -> jobs.Lake:
+            return jobs.Lake(f"{path}/landing", f"{path}/tables", window, log_every=2)
+
+        def make(path: str) -> None:
+            own, orders = lake(path), self._yearly_orders()
+            years = [row[0] for row in orders.select("delivery_year").distinct().orderBy("delivery_year").toLocalIterator()]
+            for year in years:
+                _land_year(orders, year, own.landing)
+                jobs.convert(self.spark, own, f"y{year}")
+            jobs.move_done(self.spark, own)
+            for year in (years[0], years[-1]):
+                _land_year(orders, year, own.landing)
+
+        return lake(self._once("moved", make))
+
+    def contended_lake(self) -> jobs.Lake:
+        """All years, taken in by two conversions and a stream at the same time."""
+        landing = self.landed_years()
+
+        def make(path: str) -> None:
+            lake = jobs.Lake(landing, path)
+            work = [
+                lambda: jobs.convert(self.spark, lake, "one"),
+                lambda: jobs.convert(self.spark, lake, "two"),
+                lambda: ingest_available(self.spark, lake, f"{path}/checkpoint", "stream"),
+            ]
+            jobs.side_by_side(lambda job: job(), work)
+
+        return jobs.Lake(landing, self._once("contended", make))
+
     def rejecting_lake(self) -> jobs.Lake:
         """All years kept; then the last one again with parts of different headers, and another dataset."""
 
@@ -152,7 +186,7 @@ class Workspace:
         return lake(self._once("ragged", make))
 
     def streamed_lake(self) -> jobs.Lake:
-        """All years by the stream; then the last year, a folder, came again, and so did a plain file."""
+        """All years by the stream; then the last year came again, and so did the first one of another dataset."""
 
         def lake(path: str) -> jobs.Lake:
             return jobs.Lake(f"{path}/landing", f"{path}/tables")
@@ -164,10 +198,10 @@ class Workspace:
             wrong = orders.withColumn(RAW_HEADERS[-1], F.lit("1"))
             jobs.side_by_side(lambda year: _land_year(orders, year, own.landing), years[:-1])
             _land_year(wrong, years[-1], own.landing)
-            _land_plain(self.spark, wrong, years[0], own.landing, f"{path}/first")
+            _bring_year(self.spark, wrong, years[0], own.landing, f"{path}/first")
             ingest_available(self.spark, own, checkpoint, "first")
             _land_year(orders, years[-1], own.landing)
-            _land_plain(self.spark, orders, years[0], own.landing, f"{path}/second")
+            _bring_year(self.spark, orders, years[0], own.landing, f"{path}/second")
             ingest_available(self.spark, own, checkpoint, "second")
 
         return lake(self._once("streamed", make))
@@ -221,11 +255,10 @@ class Workspace:
         return True
 
 
-def _land_plain(spark: SparkSession, orders: DataFrame, year: int, landing: str, folder: str) -> None:
-    """A year as one plain file of another dataset, under the same name each time."""
-    write_raw(orders.where(F.col("delivery_year") == year).coalesce(1), folder)
-    part = list_paths(spark, folder, "*.csv").first()["path"]
-    land_file(spark, part, landing, date(year, 12, 31), "plain")
+def _bring_year(spark: SparkSession, orders: DataFrame, year: int, landing: str, folder: str) -> None:
+    """A year of another dataset, written elsewhere and moved to the landing area."""
+    write_raw(orders.where(F.col("delivery_year") == year), folder)
+    land_file(spark, folder, landing, date(year, 12, 31), "plain", move=True)
 
 
 def _land_year(orders: DataFrame, year: int, landing: str) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grovemart.functions.paths import decoded_path
 from grovemart.schema import (
     CLEAN_SCHEMA,
     CORRUPT_RECORD,
@@ -48,6 +49,21 @@ def raw_schema(spark: SparkSession, paths: str | list[str]) -> T.StructType:
     return strings(header)
 
 
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """`path` and `line`, a checksum of the first line, of all text files with any line.
+
+    Found by the tasks that read the files' beginnings; rows of a beginning are numbered in the order of
+    the file. A checksum is a number, so that tasks keep one row a file and sort nothing.
+    """
+    rows = spark.read.text(as_paths(paths)).where("_metadata.file_block_start = 0")
+    numbered = rows.select(
+        decoded_path(F.col("_metadata.file_path")).alias("path"),
+        F.xxhash64("value").alias("line"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    return numbered.groupBy("path").agg(F.min_by("line", "at").alias("line"))
+
+
 def as_paths(paths: str | list[str]) -> str | list[str]:
     """Paths as they are written: a bracket in a file name is no pattern."""
     return literal(paths) if isinstance(paths, str) else [literal(path) for path in paths]

@@ -1,7 +1,7 @@
 """History of cleaned deliveries: every run writes its own folder, a log says which rows count.
 
 Nothing is overwritten. A delivery becomes visible by its row in the log, after its rows are
-there; what a broken run has written is never looked at.
+there; what a broken run has written is never looked at. Of several rows for a day the last commit counts.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def read_run(spark: SparkSession, root: str, run: str) -> DataFrame:
 
 def kept(log: DataFrame) -> DataFrame:
     """The last log row of each dataset and day."""
-    last = Window.partitionBy("dataset", SNAPSHOT).orderBy(F.desc("kept_at"), F.desc("run"))
+    last = Window.partitionBy("dataset", SNAPSHOT).orderBy(F.desc("commit"), F.desc("run"))
     return log.withColumn("_last", F.row_number().over(last)).where("_last = 1").drop("_last")
 
 

@@ -1,7 +1,7 @@
 """Landed files into the history as they come: a file stream that starts the batch conversion.
 
 The stream tells that something arrived; what is taken in are whole deliveries, by the same listing,
-log and manifest as in the batch job. So a delivery that comes again replaces its day, a file
+log as in the batch job. So a delivery that comes again replaces its day, a file
 corrected under its old name is seen, and the star can be built from what the stream kept.
 """
 
@@ -47,5 +47,6 @@ def ingest_available(spark: SparkSession, lake: jobs.Lake, checkpoint: str, run:
         .start()
     )
     query.awaitTermination()
-    rejected.extend(jobs.take_in(spark, lake, f"{run}-last")[1])
+    if not jobs.nothing_pending(spark, lake):
+        rejected.extend(jobs.take_in(spark, lake, f"{run}-last")[1])
     return rejected

@@ -174,13 +174,9 @@ def test_many_small_deliveries_start_few_jobs(spark, lake):
             _put(lake, f"d{first + i}.csv", _lines(ROWS1))
         group = f"jobs-{count}-{first}"
         spark.sparkContext.setJobGroup(group, "")
-        files = jobs._arrived(spark, lake, group)
-        groups, _ = jobs._by_header(spark, files)
-        assert len(groups) == 1 and sum(map(len, groups.values())) == count
-        for header, deliveries in groups.items():
-            rows = jobs._keep(spark, lake, group, header, deliveries)
-        jobs.finish(spark, lake, group)
-        assert sum(row[2] for row in rows) == 2 * count
+        kept, rejected = jobs._attempt(spark, lake, group)
+        assert len({row[4] for row in kept}) == 1 and len(kept) == count and rejected == []
+        assert sum(row[2] for row in kept) == 2 * count
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
     few, many = started(2, 0), started(40, 100)
@@ -267,13 +263,13 @@ def test_a_broken_run_is_started_again(spark, lake, monkeypatch):
 
 def test_files_landing_during_a_run_are_pending_in_the_next(spark, lake, monkeypatch):
     land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
-    finish = jobs.finish
+    keep = jobs._keep
 
     def late(*args):
         land(raw_frame(spark, ROWS2), lake.landing, DAY2, "areas")
-        finish(*args)
+        return keep(*args)
 
-    monkeypatch.setattr(jobs, "finish", late)
+    monkeypatch.setattr(jobs, "_keep", late)
     jobs.run_all(spark, lake)
     monkeypatch.undo()
     assert jobs.run_all(spark, lake)["areas"]["clean"] == 3

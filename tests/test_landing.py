@@ -5,13 +5,14 @@ import pytest
 
 from grovemart.functions.paths import delivery_path
 from grovemart.sources.delimited import write_stage
+from grovemart.sources.commits import Log
 from grovemart.sources.landing import (
+    MANIFEST_SCHEMA,
     land,
     land_file,
     list_files,
-    mark_done,
+    open_folders,
     pending_files,
-    read_manifest,
     stray_files,
 )
 from grovemart.sources.tables import replace_table
@@ -28,6 +29,15 @@ def root(tmp_path):
     return str(tmp_path / "landing")
 
 
+def read_manifest(spark, path):
+    return Log(spark, path, {"manifest": MANIFEST_SCHEMA}, {}).rows("manifest")
+
+
+def mark_done(files, path):
+    log = Log(files.sparkSession, path, {"manifest": MANIFEST_SCHEMA}, {})
+    assert log.commit(log.stage({"manifest": files}), log.version())
+
+
 def _pending(spark, root, manifest):
     return pending_files(list_files(spark, root), read_manifest(spark, manifest))
 
@@ -140,3 +150,40 @@ def test_row_counts_of_empty_writes(spark, tmp_path):
         assert replace_table(df, path) == 0
         assert write_stage(df, path) == 0
     assert replace_table(spark.range(5), path) == write_stage(spark.range(5), path) == 5
+
+
+def test_processed_files_are_never_listed(spark, root, tmp_path, monkeypatch):
+    """The work is the same whatever was delivered before: only open folders are listed."""
+    from grovemart.sources import landing as module
+
+    looked, real = [], module.entries
+    monkeypatch.setattr(module, "entries", lambda spark, path: looked.append(path) or real(spark, path))
+    land(raw_frame(spark, ROWS1), root, DAY1, "areas")
+    assert len(open_folders(spark, root)[0]) == 1
+    before = len(looked)
+    for k in range(30):
+        file = tmp_path / f"landing/year=2020/month=01/day=05/processed/d{k}.csv/part.csv"
+        file.parent.mkdir(parents=True)
+        file.write_text("x")
+    looked.clear()
+    files = list_files(spark, root)
+    assert len(looked) == before and not [path for path in looked if "/processed" in path]
+    assert {r["dataset"] for r in files.collect()} == {"areas"}
+    assert not [f for f in files.inputFiles() if "/processed/" in f]
+
+
+def test_days_before_a_mark_are_not_looked_at(spark, root):
+    days = [date(2019, 12, 31), date(2020, 1, 5), date(2020, 1, 20), date(2021, 3, 1)]
+    for day in days:
+        land(raw_frame(spark, ROWS1), root, day, "areas")
+    for since in [*days, date(2020, 1, 6), date(1999, 1, 1), date(2030, 1, 1)]:
+        for base in (root, f"{root}/year=2020", f"{root}/year=2020/month=01"):
+            found = {r["snapshot_date"] for r in list_files(spark, base, since).collect()}
+            inside = {d for d in days if base == root or (d.year == 2020 and (base.endswith("2020") or d.month == 1))}
+            assert found == {d for d in inside if d >= since}
+
+
+def test_listing_a_state_folder_itself(spark, root):
+    land(raw_frame(spark, ROWS1), root, DAY1, "areas")
+    base = f"{root}/year=2020/month=01/day=05"
+    assert _days(list_files(spark, base)) == _days(list_files(spark, f"{base}/downloaded/")) == [("areas", DAY1)]
