@@ -182,12 +182,13 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = PRODUCTION_RULES, order: i
     least = threshold(scores.where("ruled is not null").select("ruled", "score"))
     free = scores.where("ruled is null").select(F.coalesce("url", F.lit("")).alias("_url"), F.col("url").isNull().alias("_none"), "score")
     method = F.when(F.col("score") >= least, "allow").otherwise("block")
-    return (
-        ruled.withColumn("_url", F.when(F.col("_rule").isNull(), F.coalesce("url", F.lit(""))))
-        .withColumn("_none", F.col("url").isNull())
-        .join(free, ["_url", "_none"], "left")
-        .select(
-            "page_id", "host", "path", F.col("_rule.rule").alias("rule"),
-            F.coalesce(F.col("_rule.verdict"), method).alias("verdict"), "score",
-        )
+    own = ["page_id", "host", "path"]
+    # Pages that a rule decides need no score, and there is no key they could share.
+    by_rule = ruled.where("_rule is not null").select(
+        *own, F.col("_rule.rule").alias("rule"), F.col("_rule.verdict").alias("verdict"), F.lit(None).cast("double").alias("score")
+    )
+    asked = ruled.where("_rule is null").withColumns({"_url": F.coalesce("url", F.lit("")), "_none": F.col("url").isNull()})
+    by_method = asked.join(free, ["_url", "_none"], "left").select(
+        *own, F.lit(None).cast("string").alias("rule"), method.alias("verdict"), "score"
     )
+    return by_rule.union(by_method)

@@ -103,3 +103,17 @@ def test_threshold_between_the_classes(spark):
     )
     assert -1 < urls.threshold(scores) <= 1
     assert urls.threshold(scores.where("ruled = 'allow'")) == 0
+
+
+def test_pages_of_a_rule_share_no_key(spark):
+    """Only pages without a rule are joined with scores, however many others there are."""
+    pages = spark.createDataFrame(
+        [(k, "https://www.x.org/a") for k in range(400)] + [(1000, "https://a.net/b"), (1001, "https://b.com/de/x"), (1002, None)] * 2,
+        "page_id long, url string",
+    )
+    judged = urls.judge(pages)
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union")
+    rows = judged.collect()
+    assert len(rows) == 406 and sum(r["rule"] == "org/" for r in rows) == 400
+    assert {r["verdict"] for r in rows if r["page_id"] == 1001} == {"block"}
