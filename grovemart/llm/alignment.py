@@ -75,7 +75,8 @@ class Vocabularies:
         self.b = sentencepiece.SentencePieceProcessor(model_file=model)
         self.size_a = self.exact.get_vocab_size()
         spelled = {rank: token for token, rank in known.items()}
-        self.bytes_a = [spelled.get(i, b"") for i in range(self.size_a)]
+        self.bytes_a = np.empty(self.size_a, object)
+        self.bytes_a[:] = [spelled.get(i, b"") for i in range(self.size_a)]
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.length_a = np.array(list(map(len, self.bytes_a)))
         self.length_b = np.array(list(map(len, self.bytes_b)))
@@ -88,21 +89,21 @@ class Vocabularies:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def ids_a(self, text: str) -> list[int]:
+    def ids_a(self, text: str) -> np.ndarray:
         try:
-            return self.fast.encode_ordinary(text)
+            return np.array(self.fast.encode_ordinary(text), np.int64)
         except BaseException as error:  # the library's own panic is no Exception
             if isinstance(error, KeyboardInterrupt | SystemExit):
                 raise
-            return self.exact.encode(text, add_special_tokens=False).ids
+            return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.int64)
 
     def encoded(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of blank + text by A and of text by B, which adds the blank; None if either spells other bytes."""
         a, b = self.ids_a(" " + text), self.b.encode(text, num_threads=1)
         whole = b" " + text.encode()
-        if b"".join([self.bytes_a[i] for i in a]) != whole or b"".join([self.bytes_b[i] for i in b]) != whole:
+        if b"".join(self.bytes_a[a].tolist()) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
             return None
-        return np.array(a, np.int64), np.array(b, np.int64)
+        return a, np.array(b, np.int64)
 
 
 def slices(text: str, size: int = SLICE) -> Iterator[str]:
@@ -190,8 +191,11 @@ def take_in(vocabularies: Vocabularies, encoded: list[tuple[Document, np.ndarray
     words[np.arange(len(ids_b)) + (cut_a + 1)[group_b]] = v.words[2 * (v.size_a + ids_b) + ends_group_b]
 
     # Every end once; the tokens that hold the byte before it are linked.
-    ends = np.sort(np.concatenate((ends_a, ends_b[~ends_group_b])), kind="stable")
-    link_a, link_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    order = np.argsort(np.concatenate((ends_a, ends_b[~ends_group_b])), kind="stable")
+    of_a = order < len(ends_a)
+    of_b = ~of_a
+    of_b[of_a] = ends_group_a
+    link_a, link_b = np.cumsum(of_a) - of_a, np.cumsum(of_b) - of_b
     which = np.searchsorted(docs_a, link_a, side="right")
     keys = ids_a[link_a] * len(v.length_b) + ids_b[link_b]
     packed, times = np.unique(which * (v.size_a * len(v.length_b)) + keys, return_counts=True)
