@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from grovemart.llm.common import written
 from grovemart.llm.components import components
 from grovemart.llm.meetings import by_meeting, code_edges, dealt, meetings
-from grovemart.llm.overlap import SPACE, Rolling, _byte_values, mixed
+from grovemart.llm.overlap import SPACE, Rolling, byte_values, mixed, word_values
 
 #: Min-hashes of a band; chance to miss a pair at the threshold, of the bands and of the bits each.
 ROWS, MISS = 3, 1e-9
@@ -57,7 +57,7 @@ def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]
     first[inner], last[inner - 1] = word[inner], word[inner - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     docs = np.searchsorted(starts, edges)
-    words = Rolling(Rolling(_byte_values()[raw]).of(starts, ends))
+    words = Rolling(word_values(raw.tobytes(), byte_values()[raw], starts, ends))
     counts = np.diff(docs)
     # A text of fewer words has one shingle of them all.
     shingles = np.where(counts >= size, counts - size + 1, (counts > 0).astype(np.int64))
@@ -292,8 +292,8 @@ def _classed(docs: DataFrame, size: int, threshold: int, seed: int) -> tuple[Dat
     kinds = written(
         sketched.where("n_shingles > 0 and doc_id is not null")
         .groupBy("n_shingles", "one", "two")
-        .agg(F.min_by(F.struct("keys", "code"), "doc_id").alias("sketch"), F.min("doc_id").alias("first"))
-        .select("n_shingles", "one", "two", "first", "sketch.*")
+        .agg(F.min_by(F.struct("keys", "code"), "doc_id").alias("sketch"), F.min(F.struct("doc_id", "text_key")).alias("row"))
+        .select("n_shingles", "one", "two", F.col("row.doc_id").alias("first"), "row.text_key", "sketch.*")
         .withColumn("id", F.monotonically_increasing_id()),
         "kinds",
     )
@@ -305,15 +305,18 @@ def _classed(docs: DataFrame, size: int, threshold: int, seed: int) -> tuple[Dat
     )
     candidates = components(edges)
     grouped = written(
-        kinds.join(candidates, F.col("id") == F.col("node")).select("id", "component", "first", "one", "two", "n_shingles"),
+        kinds.join(candidates, F.col("id") == F.col("node")).select("id", "component", "first", "text_key", "one", "two", "n_shingles"),
         "candidates",
     )
-    weight = grouped.agg(F.sum("n_shingles")).first()[0] or 0
-    texts = docs.select(F.col("doc_id").cast("long").alias("first"), "text")
-    # Groups are cut before the texts join, so that only numbers are grouped.
-    # Candidates grow with the documents, so they are never broadcast.
-    placed = meetings(grouped, ["component"], GROUP, F.col("n_shingles")).hint("merge").join(texts, "first")
-    links = written(_joined(placed.select("id", "one", "two", "text", "meeting", "side"), size, threshold, weight // TASK_GROUP), "links")
+    # Groups are cut before the texts join, so that only numbers are grouped. Tasks are as many as what is sent asks for.
+    placed = written(meetings(grouped, ["component"], GROUP, F.col("n_shingles")).drop("component"), "placed")
+    weight = placed.agg(F.sum("n_shingles")).first()[0] or 0
+    # One text a candidate, whatever rows share its doc_id. Candidates grow with the documents, so they are never broadcast.
+    row = ["first", "text_key"]
+    texts = docs.select(F.col("doc_id").cast("long").alias("first"), F.xxhash64("text").alias("text_key"), "text")
+    asked = texts.join(grouped.select(*row).hint("merge"), row, "left_semi").dropDuplicates(row)
+    with_text = placed.hint("merge").join(asked, row)
+    links = written(_joined(with_text.select("id", "one", "two", "text", "meeting", "side"), size, threshold, weight // TASK_GROUP), "links")
     joined = components(links)
     named = kinds.join(joined, F.col("id") == F.col("node"), "left").select(
         "n_shingles", "one", "two", "first", F.coalesce("component", "id").alias("component")

@@ -26,10 +26,10 @@ reference; equal doc_ids are no smaller than each other; columns of any name are
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType
 
-from grovemart.llm.common import written
+from grovemart.llm.common import once, written
 from grovemart.session import run_dir
 
 #: Text bytes of a block, and of the corpus per bucket of seeds and per shard of open runs.
@@ -50,6 +50,8 @@ CROWD = 512
 SINGLE = np.dtype([("seed", "u8"), ("content", "u8"), ("doc_id", "i8"), ("run", "u4"), ("stretch", "u4")])
 
 BASE = 0x9E3779B97F4A7C15
+#: Bytes of a word up to which a sum of powers is its hash.
+SHORT_WORD = 48
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -70,12 +72,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@cache
-def _byte_values() -> np.ndarray:
-    return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+def byte_values() -> np.ndarray:
+    return once("byte_values", lambda: mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE)))
 
 
-@cache
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse, modulo 2**64, for i up to n."""
     out = []
@@ -91,7 +91,7 @@ class Rolling:
 
     def __init__(self, values: np.ndarray) -> None:
         size = 1 << max(10, (len(values)).bit_length())
-        power, self.inverse = _powers(size)
+        power, self.inverse = once(("powers", size), lambda: _powers(size))
         self.sums = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(values * power[: len(values)], out=self.sums[1:])
 
@@ -99,6 +99,16 @@ class Rolling:
         return mixed((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64))
 
 
+def word_values(data: bytes, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word. Sums of powers modulo 2**64 are equal for texts of a certain doubled pattern
+    from some thousand bytes on, so words above `SHORT_WORD` bytes are hashed as a whole."""
+    out = Rolling(values).of(starts, ends)
+    long = np.flatnonzero(ends - starts > SHORT_WORD)
+    for i, start, end in zip(long.tolist(), starts[long].tolist(), ends[long].tolist(), strict=True):
+        out[i] = int.from_bytes(hashlib.blake2b(data[start:end], digest_size=8).digest(), "little")
+    return out
+
+
 def first_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the first smallest of each `width` neighbours."""
     best, place, have = values, np.arange(len(values), dtype=np.int32), 1
@@ -123,7 +133,7 @@ class Block:
         self.edges = np.concatenate(([0], np.cumsum(sizes)))
         self.ids, self.unit = rows["doc_id"].to_pylist(), unit
         raw = np.frombuffer(self.data, np.uint8)
-        values = _byte_values()[raw]
+        values = byte_values()[raw]
         if unit.kind == "bytes":
             self.starts = self.ends = None
             self.docs, self.rolling = self.edges, Rolling(values)
@@ -137,7 +147,7 @@ class Block:
             last[inner - 1] = word[inner - 1]
             self.starts, self.ends = np.flatnonzero(first), np.flatnonzero(last) + 1
             self.docs = np.searchsorted(self.starts, self.edges)
-            self.rolling = Rolling(Rolling(values).of(self.starts, self.ends))
+            self.rolling = Rolling(word_values(self.data, values, self.starts, self.ends))
         self.counts = np.diff(self.docs)
         self.owner = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)
         self._runs()

@@ -25,10 +25,12 @@ columns are read.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
@@ -380,16 +382,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept])
     schema = StructType([*rows.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 4 MB whatever the data
+    # 4 MB whatever the data; its class travels with it.
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pickle.loads(shared.value)
         for batch in batches:
             texts = [t.encode() if t else b"" for t in batch.column("text").to_pylist()]
             found, first, size = [], 0, 0
             for i, text in enumerate(texts):
                 size += len(text)
                 if size >= SLICE or i + 1 == len(texts):
-                    found.append(shared.value.probability(texts[first : i + 1]))
+                    found.append(model.probability(texts[first : i + 1]))
                     first, size = i + 1, 0
             p = np.concatenate(found) if found else np.zeros(0)
             out = [*batch.columns, pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))]

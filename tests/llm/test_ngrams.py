@@ -111,3 +111,28 @@ def test_short_texts_with_a_word_more(spark):
         text = [f"g{g}w{rng.randrange(10**6)}" for _ in range(7)]
         rows += [(2 * g, " ".join(text), "s"), (2 * g + 1, " ".join([*text, "more"]), "s")]
     assert data.sorted_rows(ngrams.jaccard_components(data.documents(spark, rows))) == brute(rows)
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_long_words_of_equal_sums(spark, size):
+    from tests.llm.test_substrings import doubled
+
+    one, other = doubled(size)
+    common = "one two three four five six"
+    rows = [(1, one, "s"), (2, other, "s"), (3, f"{common} {one} {common}", "s"), (4, f"{common} {other} {common}", "s"), (5, one, "s")]
+    found = {r["doc_id"]: r["component_id"] for r in ngrams.jaccard_components(data.documents(spark, rows)).collect()}
+    assert found == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_texts_of_one_doc_id_join_once(spark, monkeypatch):
+    """Every alike text is sent once, however many of them share a doc_id and however often its row is there."""
+    sent = []
+    joined = ngrams._joined
+    monkeypatch.setattr(ngrams, "_joined", lambda placed, *args: sent.append(placed.count()) or joined(placed, *args))
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words, f"end{k}"]) for k in range(100)]
+    for copies in (1, 5):
+        rows = [(7, t, "s") for t in texts] * copies
+        found = ngrams.jaccard_components(data.documents(spark, rows)).collect()
+        assert len(found) == 100 * copies and {r["component_id"] for r in found} == {7}
+    assert sent == [100, 100]

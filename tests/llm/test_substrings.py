@@ -102,3 +102,24 @@ def test_passage_of_many_documents(spark, monkeypatch, kind):
     singles = [s for r in asked if r["run"] < 0 for s in np.frombuffer(r["body"], overlap.SINGLE)[["seed", "content"]].tolist()]
     assert max(map(keys.count, set(keys)), default=0) <= 8
     assert singles and max(map(singles.count, set(singles))) <= len({r["block"] for r in asked}) < 40
+
+
+def doubled(size):
+    """A text and its complement whose sums of powers modulo 2**64 are equal."""
+    text = "a"
+    while len(text) < size:
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text, text.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("size", [64, 1024, 4096])
+def test_long_words_of_equal_sums(spark, size):
+    """Two words are alike only if all their letters are."""
+    one, other = doubled(size)
+    common = "one two three four five six"
+    rows = [(1, f"{common} {one} {common}", "s"), (2, f"{common} {other} {common}", "s"), (3, one, "s"), (4, other, "s")]
+    rows += [(5, f"{common} {one} {common}", "s")]
+    assert digest(automata.dedup(data.documents(spark, rows))) == data.brute_words(rows)
+    data_, starts = (one + other).encode(), np.array([0, size])
+    values = overlap.byte_values()[np.frombuffer(data_, np.uint8)]
+    assert len(set(overlap.word_values(data_, values, starts, starts + size).tolist())) == 2
