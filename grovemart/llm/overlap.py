@@ -44,6 +44,9 @@ from grovemart.session import run_dir
 #: Text bytes of a block, and of the corpus per bucket of seeds and per shard of open runs.
 BLOCK = 1 << 20
 BUCKET = 4 << 20
+#: Buckets of blocks at most: Spark refuses more than 100,000. A task takes its bucket block by block, so larger
+#: buckets need no more memory; 100 TB in 65,536 of them are 1.5 GB each, a third of that as stored.
+BUCKETS = 1 << 16
 #: Different contents of one seed beyond which its stretches are settled one by one.
 CROWD = 512
 #: A stretch of a crowded seed as it is sent.
@@ -277,7 +280,10 @@ def _blocks(docs: DataFrame, unit: Unit, buckets: int) -> DataFrame:
     rows = docs.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(blocks, schema)
     writer = rows.write.bucketBy(buckets, "block").format("parquet").option("compression", "uncompressed")
     writer.option("path", run_dir(docs.sparkSession, "blocks")).saveAsTable(name)
-    return docs.sparkSession.table(name)
+    table = docs.sparkSession.table(name)
+    # What was read knows its files and buckets; nobody else needs the name.
+    docs.sparkSession.sql(f"drop table {name}")
+    return table
 
 
 def opened(body: bytes) -> pa.Table:
@@ -417,7 +423,7 @@ def cut(docs: DataFrame, unit: Unit, index: Index) -> DataFrame:
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(64, total // BUCKET)
-    blocks = _blocks(docs, unit, max(12, total // (16 * BLOCK)))
+    blocks = _blocks(docs, unit, min(BUCKETS, max(12, total // (16 * BLOCK))))
     settled = written(_settle(_sent(blocks, unit, parts)), "settled")
     asked = _open_runs(blocks, settled.select("block", "open", "crowded"), unit, parts)
     answers = written(_answers(asked, unit, index), "answers")

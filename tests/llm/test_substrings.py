@@ -123,3 +123,17 @@ def test_long_words_of_equal_sums(spark, size):
     data_, starts = (one + other).encode(), np.array([0, size])
     values = overlap.byte_values()[np.frombuffer(data_, np.uint8)]
     assert len(set(overlap.word_values(data_, values, starts, starts + size).tolist())) == 2
+
+
+@pytest.mark.parametrize("kind", CASES)
+def test_no_ceiling_and_no_table_left(spark, monkeypatch, kind):
+    """Buckets do not grow beyond what Spark takes, and the catalog is as it was."""
+    monkeypatch.setattr(overlap, "BLOCK", 200)
+    monkeypatch.setattr(overlap, "BUCKETS", 13)
+    before = [t.name for t in spark.catalog.listTables()]
+    dedup, brute = CASES[kind]
+    cut = dedup(data.documents(spark))
+    assert [t.name for t in spark.catalog.listTables()] == before
+    assert digest(cut) == brute(data.ODD)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "of 13" in plan
