@@ -5,20 +5,21 @@ from __future__ import annotations
 import argparse
 import json
 import os
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from grovemart.operators import cards
 from grovemart.operators.quality import preview
 from grovemart.plans import jobs
+from grovemart.plans.retention import MIN_AGE, sweep
 from grovemart.schema import DIM_CALENDAR, DIM_SPECIES, FACT_AREA
 from grovemart.session import get_session
 from grovemart.sources.jdbc import Database
 from grovemart.sources.landing import land_file
 from grovemart.streaming.ingest import ingest_available
 
-JOBS = ["land", "convert", "stream", "move-done", "typed", "star", "all", "preview", "checks", "cards", "export-registry", "export-star"]
+JOBS = ["land", "convert", "stream", "move-done", "sweep", "typed", "star", "all", "preview", "checks", "cards", "export-registry", "export-star"]
 PASSWORD_VARIABLE = "GROVEMART_DB_PASSWORD"
 
 
@@ -34,6 +35,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--window", type=int, help="days before the newest kept one that are still looked at; default: all")
     parser.add_argument("--move-done", action="store_true", help="all: move kept deliveries to the processed state at the end")
     parser.add_argument("--date", type=date.fromisoformat, help="land: delivery date, YYYY-MM-DD")
+    parser.add_argument("--min-age", type=int, default=MIN_AGE.days, help="sweep: days that unreachable folders are kept")
     parser.add_argument("--rows", type=int, default=5, help="preview: rows per table")
     parser.add_argument("--keep-runs", type=int, default=jobs.KEEP_RUNS, help="published runs whose tables are kept")
     parser.add_argument("--partitions", type=int, default=8, help="export: database connections")
@@ -74,6 +76,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print(json.dumps({"rejected": [[path, reason] for _, _, path, reason, _ in rejected]}))
     elif args.job == "move-done":
         print(json.dumps({"moved": jobs.move_done(spark, lake)}))
+    elif args.job == "sweep":
+        print(json.dumps(sweep(spark, lake, timedelta(days=args.min_age))))
     elif args.job == "typed":
         print(json.dumps({dataset: jobs.load_typed(spark, lake, dataset, name, args.keep_runs)}))
     elif args.job == "star":

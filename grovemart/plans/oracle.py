@@ -245,6 +245,10 @@ ORACLE_SQL: dict[str, str] = {
         with {_ORDERS}
         select * exclude (dataset) from ({_KEPT.format(name="''", more=_ONE_ROW, where="")})
     """,
+    "swept_history": f"""
+        with {_ORDERS}
+        select * exclude (dataset) from ({_KEPT.format(name="''", more=", cast(1 as bigint) as pastas", where="")})
+    """,
     "latest_snapshot": f"""
         with {_ORDERS}
         select * from clean_orders

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovemart.operators import cards, cleaning, quality, star
-from grovemart.plans import binding, jobs
+from grovemart.plans import binding, jobs, retention
 from grovemart.plans.workspace import DATASET, Workspace
 from grovemart.schema import (
     CLEAN_SCHEMA,
@@ -269,6 +269,13 @@ def contended_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_log_rows(spark, Workspace(spark, sf_dir).contended_lake())
 
 
+def swept_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History after a sweep: replaced days are gone from disk, and every kept one has one folder."""
+    lake = Workspace(spark, sf_dir).swept_lake()
+    folders = retention.history_folders(spark, lake).groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("pastas"))
+    return _by_snapshot(jobs.history(spark, lake, DATASET)).join(folders, SNAPSHOT, "full")
+
+
 def ragged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with too few or too many fields: counted, padded or cut, not dropped."""
     lake = Workspace(spark, sf_dir).ragged_lake()
@@ -363,6 +370,7 @@ QUERIES: dict[str, Query] = {
     "open_files": open_files,
     "compacted_history": compacted_history,
     "contended_history": contended_history,
+    "swept_history": swept_history,
     "ragged_profile": ragged_profile,
     "delivered_star_cards": delivered_star_cards,
     "stage_counts": stage_counts,

@@ -10,7 +10,7 @@ sizes are part of its key.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from grovemart.functions.paths import delivery_path
 from grovemart.operators import star
 from grovemart.operators.cleaning import clean, typed
-from grovemart.plans import binding, jobs
+from grovemart.plans import binding, jobs, retention
 from grovemart.schema import (
     DIM_CALENDAR,
     DIM_LOCATION,
@@ -131,6 +131,24 @@ class Workspace:
 
         return lake(self._once("moved", make))
 
+    def swept_lake(self) -> jobs.Lake:
+        """The lake of moved years, its first and last year taken in once more; then nothing unreachable is left."""
+
+        def lake(path: str) -> jobs.Lake:
+            return jobs.Lake(f"{path}/landing", f"{path}/tables")
+
+        def make(path: str) -> None:
+            own, orders = lake(path), self._yearly_orders()
+            years = [row[0] for row in orders.select("delivery_year").distinct().orderBy("delivery_year").toLocalIterator()]
+            jobs.side_by_side(lambda year: _land_year(orders, year, own.landing), years)
+            jobs.convert(self.spark, own, "first")
+            for year in (years[0], years[-1]):
+                _land_year(orders, year, own.landing)
+            jobs.convert(self.spark, own, "second")
+            retention.sweep(self.spark, own, timedelta(0))
+
+        return lake(self._once("swept", make))
+
     def contended_lake(self) -> jobs.Lake:
         """All years, taken in by two conversions and a stream at the same time."""
         landing = self.landed_years()

@@ -52,3 +52,8 @@ def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing else ever writes there."""
     app = spark.conf.get("spark.app.id")
     return f"{shared_dir(spark)}/grovemart/{app}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def runs_folder(spark: SparkSession) -> str:
+    """Where the intermediate tables of all sessions lie, a folder for each."""
+    return f"{shared_dir(spark)}/grovemart"

@@ -119,5 +119,5 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(CLEAN_SCHEMA)
         .options(**STAGE_OPTIONS)
         .option("enforceSchema", "false")
-        .csv(path)
+        .csv(as_paths(path))
     )

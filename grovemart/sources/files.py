@@ -87,15 +87,16 @@ class Entry(NamedTuple):
     length: int
 
 
-def entries(spark: SparkSession, path: str) -> list[Entry]:
-    """What is in a folder, by name, but for names that Spark's listings skip; nothing if it is not there."""
+def entries(spark: SparkSession, path: str, hidden: bool = False) -> list[Entry]:
+    """What is in a folder, by name, or the `hidden` part of it, whose names Spark's listings skip; nothing if it
+    is not there."""
     system, where = _located(spark, path)
     if not system.exists(where):
         return []
     found = []
     for status in system.listStatus(where):
         at = status.getPath()
-        if not at.getName().startswith(("_", ".")):
+        if at.getName().startswith(("_", ".")) == hidden:
             found.append(
                 Entry(at.toString(), at.getName(), status.isDirectory(), status.getModificationTime(), status.getLen())
             )
