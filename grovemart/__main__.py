@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from grovemart.operators import cards
 from grovemart.operators.quality import preview
-from grovemart.plans import jobs
+from grovemart.plans import increments, jobs
 from grovemart.plans.retention import MIN_AGE, sweep
 from grovemart.schema import DIM_CALENDAR, DIM_SPECIES, FACT_AREA
 from grovemart.session import get_session
@@ -19,7 +19,7 @@ from grovemart.sources.jdbc import Database
 from grovemart.sources.landing import land_file
 from grovemart.streaming.ingest import ingest_available
 
-JOBS = ["land", "convert", "stream", "move-done", "sweep", "typed", "star", "all", "preview", "checks", "cards", "export-registry", "export-star"]
+JOBS = ["land", "convert", "stream", "move-done", "sweep", "typed", "star", "increment", "all", "preview", "checks", "cards", "export-registry", "export-star"]
 PASSWORD_VARIABLE = "GROVEMART_DB_PASSWORD"
 
 
@@ -36,6 +36,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--move-done", action="store_true", help="all: move kept deliveries to the processed state at the end")
     parser.add_argument("--date", type=date.fromisoformat, help="land: delivery date, YYYY-MM-DD")
     parser.add_argument("--min-age", type=int, default=MIN_AGE.days, help="sweep: days that unreachable folders are kept")
+    parser.add_argument("--unit", default="month", choices=["day", "month", "quarter", "year"], help="increment: period of a folder")
     parser.add_argument("--rows", type=int, default=5, help="preview: rows per table")
     parser.add_argument("--keep-runs", type=int, default=jobs.KEEP_RUNS, help="published runs whose tables are kept")
     parser.add_argument("--partitions", type=int, default=8, help="export: database connections")
@@ -82,6 +83,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print(json.dumps({dataset: jobs.load_typed(spark, lake, dataset, name, args.keep_runs)}))
     elif args.job == "star":
         print(json.dumps(jobs.build_star(spark, lake, dataset, name, args.keep_runs)))
+    elif args.job == "increment":
+        print(json.dumps(increments.update(spark, lake, dataset, name, args.unit, args.keep_runs)))
     elif args.job == "all":
         print(json.dumps(jobs.run_all(spark, lake, name, args.keep_runs, args.move_done)))
     elif args.job == "preview":

@@ -157,3 +157,15 @@ def dirty_locations(facts: DataFrame) -> DataFrame:
     """City codes and names, without the codes that stand for unknown cities."""
     known = ~F.col("codigo_municipio").startswith("X")
     return facts.where(known).select("codigo_municipio", "municipio").distinct()
+
+
+def changed(raw: DataFrame) -> DataFrame:
+    """The registry as a later delivery has it: rows of 1995 gone, areas of 1996 and city names of 1997 changed."""
+    year = F.col("`Ano_PEVS`")
+    gone = (year == "1995") & (F.col("`Região`") == "ASIA")
+    return raw.where(~gone).withColumns(
+        {
+            "Área (ha)": F.when(year == "1996", "1").otherwise(F.col("`Área (ha)`")),
+            "Município": F.when(year == "1997", F.concat("Município", F.lit(" (novo)"))).otherwise(F.col("Município")),
+        }
+    )

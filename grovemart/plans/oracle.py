@@ -145,6 +145,16 @@ _ONE_ROW = ", cast(1 as bigint) as linhas"
 _FIRST = "where snapshot_date = (select min(snapshot_date) from clean_orders)"
 _LAST = "where snapshot_date = (select max(snapshot_date) from clean_orders)"
 
+# The later delivery: rows of 1995 gone, areas of 1996 and city names of 1997 changed.
+_RENAMED = "renamed as (select * exclude (l_orderkey) from keyed)"
+_CHANGED = """renamed as (
+    select * exclude (l_orderkey) replace (
+        case when ano_data_base = '1996' then '1' else area_ha end as area_ha,
+        case when ano_data_base = '1997' then municipio || ' (novo)' else municipio end as municipio)
+    from keyed where not (ano_data_base = '1995' and regiao = 'ASIA')
+)"""
+_CHANGED_STAR = _STAR.replace(_RENAMED, _CHANGED)
+
 _RAW_HEADERS = ", ".join(f'{name} as "{header}"' for header, name in COLUMN_NAMES.items())
 
 ORACLE_SQL: dict[str, str] = {
@@ -288,6 +298,18 @@ ORACLE_SQL: dict[str, str] = {
         union all select 'irregulares', count(*) from lines where l_orderkey % 37 in (1, 2)
         union all select 'irregulares no registro', count(*) from lines where l_orderkey % 37 in (1, 2)
     """,
+    "incremental_star_cards": f"with {_CHANGED_STAR}, {_CITIES} {_levels('fat_area')}",
+    "incremental_registry": f"with {_CHANGED_STAR} select * from registry",
+    "incremental_locations": f"with {_CHANGED_STAR} select * from dim_localizacao",
+    "incremental_periods": f"""
+        with {_REGISTRY}
+        select strftime(date_trunc('month', data_base), '%Y-%m-%d') as periodo,
+            case when bool_or((ano_data_base = '1995' and regiao = 'ASIA') or ano_data_base = '1997'
+                              or (ano_data_base = '1996' and area_ha is distinct from 1))
+                then 'second' else 'first' end as corrida,
+            count(*) filter (where not (ano_data_base = '1995' and regiao = 'ASIA')) as registros
+        from registry group by 1
+    """,
     "stage_counts": f"""
         with {_STAR}
         select 'clean' as etapa, count(*) as registros from clean

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovemart.operators import cards, cleaning, quality, star
-from grovemart.plans import binding, jobs, retention
+from grovemart.plans import binding, increments, jobs, retention
 from grovemart.plans.workspace import DATASET, Workspace
 from grovemart.schema import (
     CLEAN_SCHEMA,
     DIM_CALENDAR,
+    DIM_LOCATION,
     FACT_AREA,
+    ONE_LOCATION,
     TYPED_SCHEMA,
 )
 from grovemart.session import run_dir
@@ -296,6 +298,26 @@ def delivered_star_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], cities)
 
 
+def incremental_star_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All levels of a star that was brought from one delivery to the next by what changed."""
+    tables = increments.read_star(spark, Workspace(spark, sf_dir).incremented_lake(), DATASET)
+    return cards.area_grouping_sets(tables[FACT_AREA], tables[DIM_CALENDAR], tables[ONE_LOCATION])
+
+
+def incremental_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return increments.read_typed(spark, Workspace(spark, sf_dir).incremented_lake(), DATASET)
+
+
+def incremental_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return increments.read_star(spark, Workspace(spark, sf_dir).incremented_lake(), DATASET)[DIM_LOCATION]
+
+
+def incremental_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which run wrote the rows of each month: the second one those that differ, and no others."""
+    lake = Workspace(spark, sf_dir).incremented_lake()
+    return increments.periods(spark, lake, DATASET, "second").select(increments.PERIOD, F.col("run").alias("corrida"), F.col("rows").alias("registros"))
+
+
 # Checks
 
 
@@ -373,6 +395,10 @@ QUERIES: dict[str, Query] = {
     "swept_history": swept_history,
     "ragged_profile": ragged_profile,
     "delivered_star_cards": delivered_star_cards,
+    "incremental_star_cards": incremental_star_cards,
+    "incremental_registry": incremental_registry,
+    "incremental_locations": incremental_locations,
+    "incremental_periods": incremental_periods,
     "stage_counts": stage_counts,
     "typed_null_profile": typed_null_profile,
     "preview": preview,

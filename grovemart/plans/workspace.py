@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from grovemart.functions.paths import delivery_path
 from grovemart.operators import star
 from grovemart.operators.cleaning import clean, typed
-from grovemart.plans import binding, jobs, retention
+from grovemart.plans import binding, increments, jobs, retention
 from grovemart.schema import (
     DIM_CALENDAR,
     DIM_LOCATION,
@@ -224,6 +224,21 @@ class Workspace:
 
         return lake(self._once("streamed", make))
 
+    def incremented_lake(self) -> jobs.Lake:
+        """The whole registry, then once more with changes in three of its years; both times by increments."""
+
+        def lake(path: str) -> jobs.Lake:
+            return jobs.Lake(f"{path}/landing", f"{path}/tables")
+
+        def make(path: str) -> None:
+            raw = binding.raw_registry(self.spark, self.sf_dir)
+            for run, rows, day in (("first", raw, date(2022, 8, 16)), ("second", binding.changed(raw), date(2022, 8, 17))):
+                land(rows, lake(path).landing, day, DATASET)
+                jobs.convert(self.spark, lake(path), run)
+                increments.update(self.spark, lake(path), DATASET, run)
+
+        return lake(self._once("incremented", make))
+
     def delivered_lake(self) -> jobs.Lake:
         """The whole registry as one delivery, taken through all jobs."""
 

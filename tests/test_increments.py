@@ -1,0 +1,112 @@
+"""Increments give what a full build gives, and leave alone what did not change."""
+
+import random
+from datetime import date, timedelta
+from pathlib import Path
+
+import pytest
+
+from grovemart.operators import star
+from grovemart.operators.cleaning import typed
+from grovemart.plans import increments, jobs
+from grovemart.schema import ONE_LOCATION
+from grovemart.sources.landing import land
+from tests.helpers import raw_frame, rows_of
+
+DATASET = "areas [1]"
+
+
+@pytest.fixture
+def lake(tmp_path):
+    (tmp_path / "landing").mkdir()
+    return jobs.Lake(str(tmp_path / "landing"), str(tmp_path / "tables"))
+
+
+def _deliver(spark, lake, rows, number, **how):
+    land(raw_frame(spark, rows), lake.landing, date(2020, 1, 1) + timedelta(days=number), DATASET)
+    jobs.convert(spark, lake, f"c{number}")
+    return increments.update(spark, lake, DATASET, f"i{number}", **how)
+
+
+def _same_as_full(spark, lake):
+    registry = typed(jobs.current(spark, lake, DATASET))
+    full = star.star(registry)
+    found = increments.read_star(spark, lake, DATASET)
+    assert rows_of(increments.read_typed(spark, lake, DATASET)) == rows_of(registry)
+    assert {name: rows_of(found[name]) for name in full} == {name: rows_of(df) for name, df in full.items()}
+    assert rows_of(found[ONE_LOCATION]) == rows_of(star.unique_locations(full["dim_localizacao"]))
+
+
+def _files(lake):
+    root = Path(lake.root) / "increment"
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+
+
+ROWS = [
+    ("01/02/2013", "3", "Pinus", "10"), ("03/02/2013", "1", None, None), ("03/05/2013", "2", "Açaí", "-"),
+    ("03/05/2013", "2", "Açaí", "-"), ("bad", "1", "Pinus", "4"), (None, "3", "Only here", "5"), ("31/12/2014", "2", "Pinus", "7"),
+]
+
+
+def test_only_changed_periods_are_written(spark, lake):
+    assert _deliver(spark, lake, ROWS, 1) == {"periods": 4, "written": 4}
+    _same_as_full(spark, lake)
+    before = _files(lake)
+    # Another order of the rows, one area changed, a day further on.
+    later = [*reversed(ROWS[:-1]), ("31/12/2014", "2", "Pinus", "8"), ("02/01/2015", "1", "Pinus", "1")]
+    assert _deliver(spark, lake, later, 2) == {"periods": 5, "written": 2}
+    _same_as_full(spark, lake)
+    after = _files(lake)
+    assert {k: v for k, v in after.items() if k in before} == before
+    new = {k for k in after.keys() - before.keys() if "/periodo=" in k}
+    assert {k.split("/periodo=")[1][:10] for k in new} == {"2014-12-01", "2015-01-01"}
+
+
+def test_members_and_periods_go_with_their_last_row(spark, lake):
+    _deliver(spark, lake, ROWS, 1)
+    assert _deliver(spark, lake, [r for r in ROWS if r[0] is not None and r[1] != "3"], 2)["written"] == 2
+    _same_as_full(spark, lake)
+    found = increments.read_star(spark, lake, DATASET)
+    assert ("Only here",) not in rows_of(found["dim_especie"])
+    # One of two equal rows is a change, too; then nothing is left; then all is back.
+    for number, rows in enumerate(([ROWS[2]], [], ROWS), 3):
+        _deliver(spark, lake, rows, number)
+        _same_as_full(spark, lake)
+    assert _deliver(spark, lake, ROWS, 6)["written"] == 0
+    _same_as_full(spark, lake)
+
+
+@pytest.mark.parametrize("unit", ["day", "year"])
+def test_random_changes(spark, lake, unit):
+    draw = random.Random(3)
+    rows = [(f"{draw.randint(1, 28):02}/0{draw.randint(1, 4)}/201{draw.randint(3, 4)}", str(draw.randint(1, 3)), draw.choice(["A", "B", None]), str(draw.randint(0, 3))) for _ in range(40)]
+    for number in range(1, 4):
+        _deliver(spark, lake, rows, number, unit=unit, keep_runs=2)
+        _same_as_full(spark, lake)
+        draw.shuffle(rows)
+        rows = rows[:-5] + [(d, c, draw.choice(["A", "C"]), a) for d, c, _, a in rows[:4]]
+
+
+def test_old_runs_go_but_for_what_is_read(spark, lake):
+    for number in range(1, 5):
+        rows = [ROWS[0], ("31/12/2014", "2", "Pinus", str(number))]
+        _deliver(spark, lake, rows, number, keep_runs=2)
+    root = Path(lake.root) / "increment" / DATASET
+    held = {str(p.relative_to(root / "typed")) for p in (root / "typed").glob("run=*/periodo=*")}
+    assert held == {"run=i1/periodo=2013-02-01", "run=i3/periodo=2014-12-01", "run=i4/periodo=2014-12-01"}
+    assert sorted(p.name for p in (root / "periods").iterdir()) == ["run=i3", "run=i4"]
+    _same_as_full(spark, lake)
+
+
+def test_only_the_folders_of_a_run_are_read(spark, lake):
+    _deliver(spark, lake, ROWS, 1)
+    _deliver(spark, lake, ROWS[:1], 2)
+    found = increments.read_typed(spark, lake, DATASET)
+    assert {f.split("/typed/")[1].split("/part")[0] for f in found.inputFiles()} == {"run=i2/periodo=2013-02-01"}
+    assert rows_of(found) == rows_of(typed(jobs.current(spark, lake, DATASET)))
+
+
+def test_without_a_delivery(spark, lake):
+    for job in (increments.update, increments.read_typed, increments.read_star):
+        with pytest.raises(LookupError):
+            job(spark, lake, DATASET)
