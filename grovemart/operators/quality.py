@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grovemart.schema import CORRUPT_RECORD, LOCATION_KEY, SPECIES_KEY
@@ -42,14 +42,18 @@ def orphan_keys(fact: DataFrame, dimension: DataFrame, key: str = LOCATION_KEY)
     return sums.join(known, key, "left").where(F.col("known").isNull()).drop("known")
 
 
+#: What of the null profile is counted beside the rows.
+NULL_METRICS = {"datas": "data_base", "areas": "area_ha", "especies": SPECIES_KEY}
+
+
+def null_metrics() -> dict[str, Column]:
+    """The null profile as counts that a write can observe."""
+    return {name: F.count(column) for name, column in NULL_METRICS.items()}
+
+
 def null_profile(registry: DataFrame) -> DataFrame:
     """How many rows have a date, an area and a species after typing."""
-    return registry.agg(
-        F.count(F.lit(1)).alias("registros"),
-        F.count("data_base").alias("datas"),
-        F.count("area_ha").alias("areas"),
-        F.count(SPECIES_KEY).alias("especies"),
-    )
+    return registry.agg(F.count(F.lit(1)).alias("registros"), *[c.alias(n) for n, c in null_metrics().items()])
 
 
 def ragged_rows(raw: DataFrame) -> DataFrame:

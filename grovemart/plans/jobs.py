@@ -43,7 +43,7 @@ from grovemart.sources.commits import EVERY, Log
 from grovemart.sources.delimited import first_lines, header_problem, read_raw, write_stage
 from grovemart.sources.files import first_line, folders, move, remove
 from grovemart.sources.history import LOG_SCHEMA, SNAPSHOT
-from grovemart.sources.jdbc import Database, replace_jdbc_table
+from grovemart.sources.jdbc import Database, export_table
 from grovemart.sources.landing import (
     FILE_IDENTITY,
     MANIFEST_SCHEMA,
@@ -53,7 +53,7 @@ from grovemart.sources.landing import (
     processed_path,
     stray_files,
 )
-from grovemart.sources.tables import read_table, replace_table
+from grovemart.sources.tables import read_table, replace_table, write_observed
 
 #: Spark jobs side by side, files looked at side by side, and runs whose folders are kept.
 CONCURRENT_JOBS = 4
@@ -79,9 +79,26 @@ REJECTED_SCHEMA = T.StructType(
         T.StructField("run", T.StringType()),
     ]
 )
+#: What a published run's writes have counted: of a table, a metric and its value.
+METRICS_SCHEMA = T.StructType(
+    [
+        T.StructField("dataset", T.StringType()),
+        T.StructField("what", T.StringType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("table", T.StringType()),
+        T.StructField("metric", T.StringType()),
+        T.StructField("value", T.LongType()),
+    ]
+)
 #: The tables of the log.
-MANIFEST, SNAPSHOTS, REJECTED, PUBLISHED = "manifest", "snapshots", "rejected", "published"
-LOG = {MANIFEST: MANIFEST_SCHEMA, SNAPSHOTS: LOG_SCHEMA, REJECTED: REJECTED_SCHEMA, PUBLISHED: PUBLISHED_SCHEMA}
+MANIFEST, SNAPSHOTS, REJECTED, PUBLISHED, METRICS = "manifest", "snapshots", "rejected", "published", "metrics"
+LOG = {
+    MANIFEST: MANIFEST_SCHEMA,
+    SNAPSHOTS: LOG_SCHEMA,
+    REJECTED: REJECTED_SCHEMA,
+    PUBLISHED: PUBLISHED_SCHEMA,
+    METRICS: METRICS_SCHEMA,
+}
 #: Files of a run's listing that are not done; strays are those that no job would read.
 UNSEEN_SCHEMA = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField("stray", T.BooleanType())])
 #: Reasons that are no fault of a delivery: a newer one of the same day is kept instead.
@@ -426,10 +443,20 @@ def convert(spark: SparkSession, lake: Lake, run: str) -> dict[str, int]:
     return counts
 
 
-def _publish(spark: SparkSession, lake: Lake, dataset: str, what: str, run: str, source: str, keep_runs: int, version: int) -> bool:
+def _publish(
+    spark: SparkSession,
+    lake: Lake,
+    dataset: str,
+    what: str,
+    run: str,
+    source: str,
+    keep_runs: int,
+    version: int,
+    seen: dict[str, dict[str, int]] | None = None,
+) -> bool:
     """Make a run's tables the ones that are read; older runs go, but for the last `keep_runs`.
 
-    False if others were published since `version`: they may come from a newer delivery.
+    What the writes have `seen` of each table is logged with it. False if others were published since `version`: they may come from a newer delivery.
     """
 
     def clash(book: Log, after: int, upto: int) -> bool:
@@ -437,7 +464,11 @@ def _publish(spark: SparkSession, lake: Lake, dataset: str, what: str, run: str,
         return not book.rows(PUBLISHED, after, upto).where(same).isEmpty()
 
     row = spark.createDataFrame([(dataset, what, run, source, now())], PUBLISHED_SCHEMA)
-    if not _committed(log(spark, lake), {PUBLISHED: row}, version, clash):
+    rows = {PUBLISHED: row}
+    if seen:
+        values = [(dataset, what, run, table, metric, n) for table, found in seen.items() for metric, n in found.items()]
+        rows[METRICS] = spark.createDataFrame(values, METRICS_SCHEMA).coalesce(1)
+    if not _committed(log(spark, lake), rows, version, clash):
         return False
     names = folders(spark, lake.runs(what, dataset))
     ordered = [f"run={r['run']}" for r in _published(spark, lake, dataset, what).orderBy(F.desc("commit")).toLocalIterator()]
@@ -462,9 +493,10 @@ def load_typed(spark: SparkSession, lake: Lake, dataset: str, run: str | None =
     while True:
         version = log(spark, lake).version()
         source = newest(spark, lake, dataset)["run"]
-        rows = replace_table(typed(current(spark, lake, dataset)), lake.typed(dataset, run))
-        if _publish(spark, lake, dataset, TYPED, run, source, keep_runs, version):
-            return rows
+        registry = typed(current(spark, lake, dataset))
+        seen = write_observed(registry, lake.typed(dataset, run), quality.null_metrics())
+        if _publish(spark, lake, dataset, TYPED, run, source, keep_runs, version, {TYPED: seen}):
+            return seen["rows"]
 
 
 def read_typed(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
@@ -487,14 +519,14 @@ def build_star(spark: SparkSession, lake: Lake, dataset: str, run: str, keep_run
         source = _last_published(spark, lake, dataset, TYPED)["source"]
         tables = star.star(registry)
 
-        def write(name: str, tables: dict[str, DataFrame] = tables) -> int:
-            return replace_table(tables[name], lake.star(dataset, run, name))
+        def write(name: str, tables: dict[str, DataFrame] = tables) -> dict[str, int]:
+            return write_observed(tables[name], lake.star(dataset, run, name), {})
 
-        counts = dict(zip(tables, side_by_side(write, tables), strict=True))
+        seen = dict(zip(tables, side_by_side(write, tables), strict=True))
         locations = read_table(spark, lake.star(dataset, run, DIM_LOCATION), STAR_SCHEMAS[DIM_LOCATION])
-        replace_table(star.unique_locations(locations), lake.star(dataset, run, ONE_LOCATION))
-        if _publish(spark, lake, dataset, STAR, run, source, keep_runs, version):
-            return counts
+        seen[ONE_LOCATION] = write_observed(star.unique_locations(locations), lake.star(dataset, run, ONE_LOCATION), {})
+        if _publish(spark, lake, dataset, STAR, run, source, keep_runs, version, seen):
+            return {name: seen[name]["rows"] for name in tables}
 
 
 def read_star(spark: SparkSession, lake: Lake, dataset: str) -> dict[str, DataFrame]:
@@ -516,33 +548,64 @@ def read_one_location(spark: SparkSession, lake: Lake, dataset: str) -> DataFram
     return read_table(spark, lake.star(dataset, row["run"], ONE_LOCATION), LOCATION_SCHEMA)
 
 
+def metrics(spark: SparkSession, lake: Lake, dataset: str) -> dict[tuple[str, str], int]:
+    """What the writes of the published typed table and star have counted, by table and metric."""
+    rows = log(spark, lake).rows(METRICS).where(F.col("dataset") == dataset)
+    runs = {what: _last_published(spark, lake, dataset, what) for what in (TYPED, STAR)}
+    if None in runs.values():
+        raise LookupError(f"no typed registry and star of {dataset}")
+    return {(r["table"], r["metric"]): r["value"] for r in rows.toLocalIterator() if runs[r["what"]]["run"] == r["run"]}
+
+
+def recorded_counts(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
+    """One row per stage with its row count, as the writes have counted them: no table is read."""
+    seen = metrics(spark, lake, dataset)
+    counts = {"clean": newest(spark, lake, dataset)["rows"], **{name: seen[name, "rows"] for name in (TYPED, *STAR_SCHEMAS)}}
+    return spark.createDataFrame(list(counts.items()), "etapa string, registros long")
+
+
+def recorded_null_profile(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
+    """How many rows have a date, an area and a species, as the write has counted them."""
+    seen = metrics(spark, lake, dataset)
+    names = {"registros": "rows", **{name: name for name in quality.NULL_METRICS}}
+    schema = ", ".join(f"{name} long" for name in names)
+    return spark.createDataFrame([tuple(seen[TYPED, metric] for metric in names.values())], schema)
+
+
 def checks(spark: SparkSession, lake: Lake, dataset: str) -> dict[str, DataFrame]:
     """What to look at after a load: row counts, values that did not parse, keys that do not fit,
-    ragged rows and rejected deliveries."""
-    registry = read_typed(spark, lake, dataset)
+    ragged rows and rejected deliveries.
+
+    Counts come from the log. Keys are looked for only where the counts leave room for such: as many rows as
+    unique keys are no duplicates, and a delivery without ragged rows is not read. So a table is read once at most.
+    """
+    seen = metrics(spark, lake, dataset)
     tables = read_star(spark, lake, dataset)
     fact, locations = tables[FACT_AREA], tables[DIM_LOCATION]
-    stages = {"clean": current(spark, lake, dataset), "typed": registry, **tables}
+    unique = read_one_location(spark, lake, dataset)
+    no_duplicates = seen[DIM_LOCATION, "rows"] == seen[ONE_LOCATION, "rows"]
+    no_ragged = newest(spark, lake, dataset)["ragged"] == 0
+    duplicates, ragged = quality.duplicate_keys(locations), current_ragged(spark, lake, dataset)
     return {
-        "counts": quality.count_report(stages),
-        "null_profile": quality.null_profile(registry),
-        "duplicate_keys": quality.duplicate_keys(locations),
-        "orphan_keys": quality.orphan_keys(fact, locations),
+        "counts": recorded_counts(spark, lake, dataset),
+        "null_profile": recorded_null_profile(spark, lake, dataset),
+        "duplicate_keys": spark.createDataFrame([], duplicates.schema) if no_duplicates else duplicates,
+        "orphan_keys": quality.orphan_keys(fact, unique),
         "deliveries": kept_rows.kept(snapshots(spark, lake, dataset)).select(SNAPSHOT, "rows", "ragged", "delivery"),
-        "ragged_rows": current_ragged(spark, lake, dataset),
+        "ragged_rows": spark.createDataFrame([], ragged.schema) if no_ragged else ragged,
         "rejected": rejections(spark, lake),
     }
 
 
 def export_registry(spark: SparkSession, lake: Lake, dataset: str, database: Database, num_partitions: int) -> None:
     """The typed registry as a database table named after the dataset."""
-    replace_jdbc_table(read_typed(spark, lake, dataset), database, dataset, num_partitions)
+    export_table(read_typed(spark, lake, dataset), database, dataset, num_partitions)
 
 
 def export_star(spark: SparkSession, lake: Lake, dataset: str, database: Database, num_partitions: int) -> None:
     """The published star tables as database tables."""
     for name, df in read_star(spark, lake, dataset).items():
-        replace_jdbc_table(df, database, name, num_partitions)
+        export_table(df, database, name, num_partitions)
 
 
 def _outdated(spark: SparkSession, lake: Lake) -> list[str]:

@@ -155,6 +155,15 @@ _CHANGED = """renamed as (
 )"""
 _CHANGED_STAR = _STAR.replace(_RENAMED, _CHANGED)
 
+_COUNTS = """
+        select 'clean' as etapa, count(*) as registros from clean
+        union all select 'typed', count(*) from registry
+        union all select 'dim_localizacao', count(*) from dim_localizacao
+        union all select 'dim_tempo', count(*) from dim_tempo
+        union all select 'dim_especie', count(*) from dim_especie
+        union all select 'fat_area', count(*) from fat_area
+"""
+
 _RAW_HEADERS = ", ".join(f'{name} as "{header}"' for header, name in COLUMN_NAMES.items())
 
 ORACLE_SQL: dict[str, str] = {
@@ -310,14 +319,13 @@ ORACLE_SQL: dict[str, str] = {
             count(*) filter (where not (ano_data_base = '1995' and regiao = 'ASIA')) as registros
         from registry group by 1
     """,
-    "stage_counts": f"""
-        with {_STAR}
-        select 'clean' as etapa, count(*) as registros from clean
-        union all select 'typed', count(*) from registry
-        union all select 'dim_localizacao', count(*) from dim_localizacao
-        union all select 'dim_tempo', count(*) from dim_tempo
-        union all select 'dim_especie', count(*) from dim_especie
-        union all select 'fat_area', count(*) from fat_area
+    "stage_counts": f"with {_STAR} {_COUNTS}",
+    "recorded_checks": f"""
+        with {_STAR} {_COUNTS}
+        union all select 'registros', count(*) from registry
+        union all select 'datas', count(data_base) from registry
+        union all select 'areas', count(area_ha) from registry
+        union all select 'especies', count(especie_florestal) from registry
     """,
     "typed_null_profile": f"""
         with {_REGISTRY}

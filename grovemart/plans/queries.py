@@ -332,6 +332,14 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def recorded_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and null profile as the writes have seen them, without reading a table."""
+    lake = Workspace(spark, sf_dir).delivered_lake()
+    counts = jobs.recorded_counts(spark, lake, DATASET)
+    profile = jobs.recorded_null_profile(spark, lake, DATASET)
+    return counts.union(profile.unpivot([], profile.columns, "etapa", "registros"))
+
+
 def typed_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.null_profile(Workspace(spark, sf_dir).typed_registry())
 
@@ -400,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "incremental_locations": incremental_locations,
     "incremental_periods": incremental_periods,
     "stage_counts": stage_counts,
+    "recorded_checks": recorded_checks,
     "typed_null_profile": typed_null_profile,
     "preview": preview,
     "location_key_duplicates": location_key_duplicates,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,18 +17,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def replace_table(df: DataFrame, path: str) -> int:
     """Write `df` over `path` and return its row count, observed during that one write."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
-
+    return write_observed(df, path, {})["rows"]
 
-def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
-
-def append_rows(spark: SparkSession, rows: list, schema: T.StructType, path: str) -> None:
-    """A few rows to a log: one file."""
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+def write_observed(df: DataFrame, path: str, metrics: dict[str, Column]) -> dict[str, int]:
+    """Write `df` over `path`; its row count, as `rows`, and other sums over its rows, all seen in that one write."""
+    seen = Observation()
+    wanted = {"rows": F.count(F.lit(1)), **metrics}
+    df.observe(seen, *[one.alias(name) for name, one in wanted.items()]).write.mode("overwrite").parquet(path)
+    return {name: seen.get[name] for name in wanted}
 
 
 def list_paths(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Options only: nothing here opens a database."""
+"""Options and statements only: nothing here opens a database."""
 
 from datetime import date
 
@@ -86,3 +86,144 @@ def test_replace(keep, truncate):
     told = frame.write.told
     assert told["mode"] == "overwrite" and told["dbtable"] == "t" and told["saved"]
     assert told["truncate"] == truncate and told["numPartitions"] == "3"
+
+
+VALUES = [(k, v) for k, v in zip(range(60), [None, "a", "a", "a", "b", "m", "z", "", "a"] * 7)] + [(None, "a"), (None, None), (-5, "a")]
+
+
+@pytest.mark.parametrize(
+    "predicates",
+    [
+        jdbc.range_predicates("v", ["'b'", "'n'"]),
+        jdbc.range_predicates("v", []),
+        jdbc.hash_predicates('"k"', 4),
+        jdbc.split_predicates("v", ["'b'", "'n'"], ["'a'", "'z'"], '"k"', 3),
+        jdbc.split_predicates("v", [], [], '"k"', 2),
+    ],
+)
+def test_every_row_meets_one_condition(spark, predicates):
+    rows = spark.createDataFrame(VALUES, "k long, v string")
+    met = [sorted(map(repr, rows.where(p.replace('"', "`")).collect())) for p in predicates]
+    assert sorted(sum(met, [])) == sorted(map(repr, rows.collect()))
+
+
+def test_a_heavy_value_and_nulls_are_cut(spark):
+    rows = spark.range(3000).selectExpr("id as k", "case when id % 3 = 0 then null when id % 3 = 1 then 'a' else cast(id as string) end as v")
+    parts = jdbc.split_predicates("v", ["'5'"], ["'a'"], '"k"', 5)
+    sizes = [rows.where(p.replace('"', "`")).count() for p in parts]
+    # The value and the NULLs, a third of the rows each, are five parts of 200 each.
+    assert sum(sizes) == 3000 and sum(s == 200 for s in sizes) == 10
+
+
+def test_reading_by_conditions():
+    class Reader:
+        def jdbc(self, url, table, predicates, properties):
+            return url, table, predicates, properties
+
+    class Session:
+        read = Reader()
+
+    url, table, predicates, properties = jdbc.read_by_predicates(Session(), DATABASE, "t", jdbc.hash_predicates('"k"', 2))
+    assert (url, table, len(predicates)) == ("jdbc:x://host/db", "t", 3) and "url" not in properties
+
+
+class Connection:
+    """Stands in for a database: keeps the statements it is given."""
+
+    def __init__(self, rows, tables=("t",), fails_at=None):
+        self.rows, self.tables, self.fails_at, self.done = rows, set(tables), fails_at, []
+
+    def setAutoCommit(self, on):
+        self.done.append(f"auto commit {on}")
+
+    def createStatement(self):
+        return self
+
+    def getMetaData(self):
+        return self
+
+    def getTables(self, catalog, schema, name, kinds):
+        self.found = iter([name in self.tables or "_" in name])
+        return self
+
+    def execute(self, sql):
+        if self.fails_at and sql.startswith(self.fails_at):
+            raise RuntimeError("lost")
+        self.done.append(sql)
+
+    def executeQuery(self, sql):
+        self.done.append(sql)
+        self.found = iter([True])
+        return self
+
+    def next(self):
+        return next(self.found)
+
+    def getLong(self, column):
+        return self.rows
+
+    def commit(self):
+        self.done.append("commit")
+
+    def rollback(self):
+        self.done.append("rollback")
+
+    def close(self):
+        self.done.append("close")
+
+
+class Written:
+    """A frame whose write is kept and whose rows are counted by the observation."""
+
+    sparkSession = None
+
+    def __init__(self, rows):
+        self.rows, self.write = rows, Recorder()
+
+    def observe(self, seen, *metrics):
+        return self
+
+
+def _export(monkeypatch, spark, written, connection, **how):
+    class Seen:
+        get = {"rows": written}
+
+    monkeypatch.setattr(jdbc, "Observation", Seen)
+    frame = Written(written)
+    return frame.write.told, lambda: jdbc.export_table(frame, DATABASE, "t", 3, opened=lambda *_: connection, **how)
+
+
+@pytest.mark.parametrize(("keep", "there"), [(True, True), (False, True), (True, False)])
+def test_an_export_takes_the_place_in_one_transaction(spark, monkeypatch, keep, there):
+    connection = Connection(5, ["t"] if there else [])
+    told, run = _export(monkeypatch, spark, 5, connection, keep_definition=keep)
+    assert run() == 5
+    staging = told["dbtable"]
+    assert staging.startswith("t_") and told["mode"] == "errorifexists" and told["numPartitions"] == "3"
+    if keep and there:
+        swap = ["delete from t", f"insert into t select * from {staging}", f"drop table {staging}"]
+    else:
+        swap = [*(["drop table t"] if there else []), f"alter table {staging} rename to t"]
+    assert connection.done == [f"select count(*) from {staging}", "auto commit False", *swap, "commit", "close"]
+
+
+def test_too_few_or_too_many_rows_leave_the_table(spark, monkeypatch):
+    for found in (4, 6):
+        connection = Connection(found)
+        told, run = _export(monkeypatch, spark, 5, connection)
+        with pytest.raises(jdbc.IncompleteExport):
+            run()
+        assert connection.done[1:] == ["auto commit False", f"drop table {told['dbtable']}", "commit", "close"]
+
+
+def test_a_broken_swap_is_rolled_back(spark, monkeypatch):
+    connection = Connection(5, fails_at="insert")
+    told, run = _export(monkeypatch, spark, 5, connection)
+    with pytest.raises(RuntimeError, match="lost"):
+        run()
+    assert connection.done[1:4] == ["auto commit False", "delete from t", "rollback"]
+    assert connection.done[-3:] == [f"drop table {told['dbtable']}", "commit", "close"]
+
+
+def test_swap_in_a_schema():
+    assert jdbc.swap_statements("s.t", "s.t_1", False, True) == ["alter table s.t_1 rename to t"]

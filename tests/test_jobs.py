@@ -331,7 +331,7 @@ def test_exports_go_to_tables_named_as_here(spark, lake, monkeypatch):
     land(raw_frame(spark, ROWS2), lake.landing, DAY1, "areas")
     jobs.run_all(spark, lake)
     sent = {}
-    monkeypatch.setattr(jobs, "replace_jdbc_table", lambda df, database, name, partitions: sent.update({name: partitions}))
+    monkeypatch.setattr(jobs, "export_table", lambda df, database, name, partitions: sent.update({name: partitions}))
     jobs.export_registry(spark, lake, "areas", None, 12)
     jobs.export_star(spark, lake, "areas", None, 12)
     assert set(sent.values()) == {12}
@@ -345,3 +345,30 @@ def test_checks(spark, lake):
     assert found["counts"].count() == 6
     assert rows_of(found["null_profile"]) == [(3, 3, 2, 3)]
     assert found["duplicate_keys"].count() == found["orphan_keys"].count() == 0
+
+
+def test_checks_read_no_table_twice(spark, lake):
+    """Counts and null profile come from the log; what the counts rule out is not looked for."""
+    from grovemart.operators import quality
+
+    lines = _lines([*ROWS2, ("01/02/2014", "3", None, "1"), ("x", "3", "A", "y")])
+    _put(lake, "areas.csv", [*lines, lines[1] + ";surplus"])
+    jobs.run_all(spark, lake)
+    found = jobs.checks(spark, lake, "areas")
+    tables, registry = jobs.read_star(spark, lake, "areas"), jobs.read_typed(spark, lake, "areas")
+    stages = {"clean": jobs.current(spark, lake, "areas"), "typed": registry, **tables}
+    assert rows_of(found["counts"]) == rows_of(quality.count_report(stages))
+    assert rows_of(found["null_profile"]) == rows_of(quality.null_profile(registry))
+    assert rows_of(found["orphan_keys"]) == rows_of(quality.orphan_keys(tables[FACT_AREA], tables["dim_localizacao"]))
+    assert rows_of(found["duplicate_keys"]) == [] and found["ragged_rows"].count() == 4
+    read = [f.split("/tables/")[1].split("/part-")[0] for df in found.values() for f in df.inputFiles() if "/log/" not in f]
+    assert len(read) == len(set(read)) and not [f for f in read if f.startswith("typed")]
+
+
+def test_duplicates_are_looked_for_where_there_are_some(spark, lake):
+    lines = _lines(ROWS2[:1])
+    other = lines[1].split(";")
+    other[9] = "Renamed"
+    _put(lake, "areas.csv", [*lines, ";".join(other)])
+    jobs.run_all(spark, lake)
+    assert rows_of(jobs.checks(spark, lake, "areas")["duplicate_keys"]) == [("3", 2)]
