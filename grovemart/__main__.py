@@ -33,6 +33,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source", help="land: file to deliver")
     parser.add_argument("--move", action="store_true", help="land: move the source, by a rename where that is possible")
     parser.add_argument("--window", type=int, help="days before the newest kept one that are still looked at; default: all")
+    parser.add_argument("--extra-columns", action="store_true", help="keep deliveries with columns beyond the contract, and these")
     parser.add_argument("--move-done", action="store_true", help="all: move kept deliveries to the processed state at the end")
     parser.add_argument("--date", type=date.fromisoformat, help="land: delivery date, YYYY-MM-DD")
     parser.add_argument("--min-age", type=int, default=MIN_AGE.days, help="sweep: days that unreachable folders are kept")
@@ -65,7 +66,7 @@ def show(tables: dict[str, DataFrame]) -> None:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    lake = jobs.Lake(args.landing, args.root, args.window)
+    lake = jobs.Lake(args.landing, args.root, args.window, extra_columns=args.extra_columns)
     dataset = (args.dataset or "").removesuffix(".csv")
     name = args.run or jobs.new_run()
     if args.job == "land":

@@ -169,3 +169,10 @@ def changed(raw: DataFrame) -> DataFrame:
             "Município": F.when(year == "1997", F.concat("Município", F.lit(" (novo)"))).otherwise(F.col("Município")),
         }
     )
+
+
+def extended(raw: DataFrame) -> DataFrame:
+    """The registry with a source and a note of each row, which the contract does not know."""
+    source = F.concat(F.lit("f"), F.substring("Código Município Completo", -1, 1)).alias("Fonte")
+    columns = [F.col(f"`{name}`") for name in raw.columns]
+    return raw.select(*columns[:5], source, *columns[5:], F.col("`Espécie florestal`").alias("Observação; `nova`"))

@@ -33,14 +33,13 @@ from grovemart.schema import (
     LOCATION_SCHEMA,
     ONE_LOCATION,
     RAW_ENCODING,
-    RAW_SEPARATOR,
     STAR_SCHEMAS,
     STATE_DOWNLOADED,
     TYPED_SCHEMA,
 )
 from grovemart.sources import history as kept_rows
 from grovemart.sources.commits import EVERY, Log
-from grovemart.sources.delimited import first_lines, header_problem, read_raw, write_stage
+from grovemart.sources.delimited import first_lines, header_names, header_problem, read_raw, write_stage
 from grovemart.sources.files import first_line, folders, move, remove
 from grovemart.sources.history import LOG_SCHEMA, SNAPSHOT
 from grovemart.sources.jdbc import Database, export_table
@@ -123,12 +122,14 @@ class Delivery:
 @dataclass(frozen=True)
 class Lake:
     """Folders of one installation. `landing` is where downloads arrive; with `window`, only days up to so many
-    before the newest one kept are looked at there. The log has a checkpoint every so many commits."""
+    before the newest one kept are looked at there. The log has a checkpoint every so many commits. Deliveries with columns beyond the
+    contract are rejected, or, with `extra_columns`, kept with them."""
 
     landing: str
     root: str
     window: int | None = None
     log_every: int = EVERY
+    extra_columns: bool = False
 
     @property
     def log(self) -> str:
@@ -184,9 +185,9 @@ def rejections(spark: SparkSession, lake: Lake) -> DataFrame:
     return log(spark, lake).rows(REJECTED)
 
 
-def history(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
-    """The clean rows of all kept deliveries of a dataset, with their days."""
-    return kept_rows.read_history(spark, lake.history, snapshots(spark, lake, dataset))
+def history(spark: SparkSession, lake: Lake, dataset: str, extra: bool = False) -> DataFrame:
+    """The clean rows of all kept deliveries of a dataset, with their days, and `extra`, the columns beyond the contract."""
+    return kept_rows.read_history(spark, lake.history, snapshots(spark, lake, dataset), extra)
 
 
 def newest(spark: SparkSession, lake: Lake, dataset: str) -> Row:
@@ -197,10 +198,10 @@ def newest(spark: SparkSession, lake: Lake, dataset: str) -> Row:
     return row
 
 
-def current(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
+def current(spark: SparkSession, lake: Lake, dataset: str, extra: bool = False) -> DataFrame:
     """The clean rows of the newest delivery, read in place: there is no copy to keep up."""
     row = newest(spark, lake, dataset)
-    return kept_rows.read_snapshot(spark, lake.history, row["run"], dataset, row[SNAPSHOT])
+    return kept_rows.read_snapshot(spark, lake.history, row["run"], dataset, row[SNAPSHOT], extra)
 
 
 def current_ragged(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
@@ -277,11 +278,13 @@ def _headers(spark: SparkSession, deliveries: list[Delivery]) -> dict[str, set[t
     text_of = dict(zip(sample, texts, strict=True))
     headers: dict[str, set[tuple[str, ...]]] = defaultdict(set)
     for row in found:
-        headers[row["delivery"]].add(tuple(name.strip('"') for name in text_of[row["line"]].split(RAW_SEPARATOR)))
+        headers[row["delivery"]].add(tuple(header_names(text_of[row["line"]])))
     return headers
 
 
-def _by_header(spark: SparkSession, deliveries: list[Delivery]) -> tuple[dict[tuple, list[Delivery]], list[tuple[Delivery, str]]]:
+def _by_header(
+    spark: SparkSession, deliveries: list[Delivery], further_allowed: bool = False
+) -> tuple[dict[tuple, list[Delivery]], list[tuple[Delivery, str]]]:
     """Deliveries that can be read together, by their header; those whose header is wrong are rejected."""
     headers_of = _headers(spark, deliveries)
     groups: dict[tuple, list[Delivery]] = defaultdict(list)
@@ -289,7 +292,7 @@ def _by_header(spark: SparkSession, deliveries: list[Delivery]) -> tuple[dict[tu
     for delivery in deliveries:
         # A part without any line has no rows either.
         headers = headers_of.get(delivery.path, set())
-        problems = [p for p in (header_problem(list(h)) for h in sorted(headers)) if p]
+        problems = [p for p in (header_problem(list(h), further_allowed) for h in sorted(headers)) if p]
         if not headers:
             rejected.append((delivery, "no header"))
         elif problems:
@@ -304,7 +307,7 @@ def _by_header(spark: SparkSession, deliveries: list[Delivery]) -> tuple[dict[tu
 def _keep(spark: SparkSession, lake: Lake, run: str, header: tuple, deliveries: list[Delivery]) -> list[tuple]:
     """Write all rows of deliveries with one header in one job; returns their log rows."""
     files = [file for delivery in deliveries for file in delivery.files if file]
-    raw = read_raw(spark, files, keep_corrupt=True, header=list(header), with_path=True)
+    raw = read_raw(spark, files, keep_corrupt=True, header=list(header), with_path=True, with_extra=True)
     parts = delivery_parts(decoded_path(F.col("file_path")))
     rows = clean(raw).withColumns({name: parts[name] for name in ("dataset", SNAPSHOT)}).drop("file_path")
     kept_rows.write_run(rows, lake.history, run)
@@ -351,7 +354,7 @@ def _attempt(spark: SparkSession, lake: Lake, run: str) -> tuple[list[tuple], li
     unseen = read_table(spark, lake.pending(run), UNSEEN_SCHEMA)
     arrived = _arrived(files, unseen.where("not stray"))
     taken, older = _newest_of_each_day(arrived, book.rows(SNAPSHOTS, upto=version))
-    groups, wrong = _by_header(spark, taken)
+    groups, wrong = _by_header(spark, taken, lake.extra_columns)
 
     def keep(numbered: tuple[int, tuple]) -> list[tuple]:
         number, (header, deliveries) = numbered

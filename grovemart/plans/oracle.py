@@ -319,6 +319,12 @@ ORACLE_SQL: dict[str, str] = {
             count(*) filter (where not (ano_data_base = '1995' and regiao = 'ASIA')) as registros
         from registry group by 1
     """,
+    "extra_columns": f"""
+        with {_REGISTRY}
+        select 'f' || right(codigo_municipio, 1) as fonte, count(*) as registros,
+            count(especie_florestal) as observacoes, {_AREA}
+        from registry group by 1
+    """,
     "stage_counts": f"with {_STAR} {_COUNTS}",
     "recorded_checks": f"""
         with {_STAR} {_COUNTS}

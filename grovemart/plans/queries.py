@@ -290,6 +290,17 @@ def ragged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return melted.unionByName(counted).unionByName(logged)
 
 
+def extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery with columns beyond the contract: they are kept beside the others and can be grouped by."""
+    lake = Workspace(spark, sf_dir).extended_lake()
+    rows = cleaning.typed(jobs.current(spark, lake, DATASET, extra=True))
+    return rows.groupBy(F.col("extra")["Fonte"].alias("fonte")).agg(
+        F.count(F.lit(1)).alias("registros"),
+        F.count(F.col("extra")["Observação; `nova`"]).alias("observacoes"),
+        F.sum("area_ha").alias("area_ha"),
+    )
+
+
 def delivered_star_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From one landed CSV delivery through all jobs to the cards."""
     lake = Workspace(spark, sf_dir).delivered_lake()
@@ -402,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "contended_history": contended_history,
     "swept_history": swept_history,
     "ragged_profile": ragged_profile,
+    "extra_columns": extra_columns,
     "delivered_star_cards": delivered_star_cards,
     "incremental_star_cards": incremental_star_cards,
     "incremental_registry": incremental_registry,

@@ -203,6 +203,20 @@ class Workspace:
 
         return lake(self._once("ragged", make))
 
+    def extended_lake(self) -> jobs.Lake:
+        """The whole registry with two columns beyond the contract, in the midst of the others."""
+
+        def lake(path: str) -> jobs.Lake:
+            return jobs.Lake(f"{path}/landing", f"{path}/tables", extra_columns=True)
+
+        def make(path: str) -> None:
+            target = delivery_path(lake(path).landing, date(2022, 8, 16), DATASET)
+            raw = binding.extended(binding.raw_registry(self.spark, self.sf_dir))
+            raw.write.options(**RAW_OPTIONS).csv(target)
+            jobs.run_all(self.spark, lake(path))
+
+        return lake(self._once("extended", make))
+
     def streamed_lake(self) -> jobs.Lake:
         """All years by the stream; then the last year came again, and so did the first one of another dataset."""
 

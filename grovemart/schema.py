@@ -66,6 +66,9 @@ STATE_PROCESSED = "processed"
 FILE_SUFFIX = ".csv"
 
 CORRUPT_RECORD = "_corrupt_record"
+# Columns beyond the contract, by their header names.
+EXTRA = "extra"
+EXTRA_TYPE = T.MapType(T.StringType(), T.StringType())
 
 
 def strings(names: list[str]) -> T.StructType:

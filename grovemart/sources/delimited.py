@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +12,8 @@ from grovemart.functions.paths import decoded_path
 from grovemart.schema import (
     CLEAN_SCHEMA,
     CORRUPT_RECORD,
+    EXTRA,
+    EXTRA_TYPE,
     RAW_ENCODING,
     RAW_HEADERS,
     RAW_SEPARATOR,
@@ -29,13 +33,20 @@ class HeaderMismatch(ValueError):
     """The file's columns are not those of the data contract (or were read with the wrong charset)."""
 
 
-def header_problem(header: list[str]) -> str | None:
-    """What is wrong with a header; the order of its columns is free."""
+def header_names(line: str) -> list[str]:
+    """The column names of a header line, read as Spark reads it."""
+    return next(csv.reader([line], delimiter=RAW_SEPARATOR, quotechar='"', escapechar="\\", doublequote=False), [])
+
+
+def header_problem(header: list[str], further_allowed: bool = False) -> str | None:
+    """What is wrong with a header; the order of its columns is free, and there may be further ones if that is allowed."""
     missing = [name for name in RAW_HEADERS if name not in header]
     further = [name for name in header if name not in RAW_HEADERS]
     if missing:
         return f"missing columns {missing} in header {header}"
-    if further or len(header) != len(RAW_HEADERS):
+    if len({name.lower() for name in header}) < len(header):
+        return f"columns that come twice in header {header}"
+    if further and not further_allowed:
         return f"columns {further or header} beyond the contract in header {header}"
     return None
 
@@ -75,6 +86,7 @@ def read_raw(
     keep_corrupt: bool = False,
     header: list[str] | None = None,
     with_path: bool = False,
+    with_extra: bool = False,
 ) -> DataFrame:
     """Raw deliveries as strings, in contract order whatever the order in the file.
 
@@ -82,7 +94,8 @@ def read_raw(
     so a file whose columns differ fails instead of being mapped by position. Lines are
     never joined, so large files are split. Ragged rows are padded or cut; with
     `keep_corrupt` their text is kept beside them. A `header` that is known is not looked up;
-    `with_path` adds each row's file as `file_path`.
+    `with_path` adds each row's file as `file_path`,
+    `with_extra` a map of the columns beyond the contract.
     """
     paths = as_paths(paths)
     schema = raw_schema(spark, paths) if header is None else strings(header)
@@ -97,7 +110,18 @@ def read_raw(
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
         .csv(paths)
     )
-    return rows.select(*[f"`{name}`" for name in columns], *(["_metadata.file_path"] if with_path else []))
+    added = ["_metadata.file_path"] if with_path else []
+    if with_extra:
+        added.append(_extra([name for name in schema.names if name not in columns]).alias(EXTRA))
+    return rows.select(*[f"`{name}`" for name in columns], *added)
+
+
+def _extra(names: list[str]) -> Column:
+    """A map of columns by their names; NULL where there are none."""
+    if not names:
+        return F.lit(None).cast(EXTRA_TYPE)
+    quoted = [name.replace("`", "``") for name in names]
+    return F.create_map(*[one for name, q in zip(names, quoted, strict=True) for one in (F.lit(name), F.col(f"`{q}`"))])
 
 
 def write_raw(df: DataFrame, path: str) -> None:

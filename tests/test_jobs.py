@@ -372,3 +372,22 @@ def test_duplicates_are_looked_for_where_there_are_some(spark, lake):
     _put(lake, "areas.csv", [*lines, ";".join(other)])
     jobs.run_all(spark, lake)
     assert rows_of(jobs.checks(spark, lake, "areas")["duplicate_keys"]) == [("3", 2)]
+
+
+def test_columns_beyond_the_contract_are_kept_where_asked_for(spark, lake):
+    """Deliveries with and without such columns lie in one history; the star is that of the contract's columns."""
+    wide = jobs.Lake(lake.landing, lake.root, extra_columns=True)
+    lines = _lines([r for r in ROWS2 if r[1] != "3"], ["Nota", *RAW_HEADERS, "Extra `x`"])
+    _put(lake, "areas.csv", [lines[0], *(f"n{k};{line};{'' if k else 'e'}" for k, line in enumerate(lines[1:]))])
+    land(raw_frame(spark, ROWS1), lake.landing, DAY2, "areas")
+    with pytest.raises(jobs.DeliveryRejected, match="beyond the contract"):
+        jobs.run_all(spark, lake)
+    _put(lake, "areas.csv", [lines[0], *(f"n{k};{line};{'' if k else 'e'}" for k, line in enumerate(lines[1:]))], at=2_000_000_000)
+    assert jobs.convert(spark, wide, "wide") == {"areas": 2}
+    extra = {r["data_base"]: r["extra"] for r in jobs.history(spark, wide, "areas", extra=True).where("snapshot_date = '2020-01-05'").collect()}
+    assert extra == {"03/02/2014": {"Nota": "n0", "Extra `x`": "e"}, "04/02/2014": {"Nota": "n1", "Extra `x`": None}}
+    assert [r["extra"] for r in jobs.current(spark, wide, "areas", extra=True).collect()] == [None, None]
+    assert "extra" not in jobs.history(spark, wide, "areas").columns
+    _put(lake, "more.csv", _lines(ROWS1, [*RAW_HEADERS, "Twice", "twice"]))
+    with pytest.raises(jobs.DeliveryRejected, match="come twice"):
+        jobs.run_all(spark, wide)
