@@ -44,6 +44,7 @@ from grovemart.session import run_dir
 #: Text bytes of a block, and of the corpus per bucket of seeds and per shard of open runs.
 BLOCK = 1 << 20
 BUCKET = 4 << 20
+SHARDS_OF_BUCKET = 4
 #: Buckets of blocks at most: Spark refuses more than 100,000. A task takes its bucket block by block, so larger
 #: buckets need no more memory; 100 TB in 65,536 of them are 1.5 GB each, a third of that as stored.
 BUCKETS = 1 << 16
@@ -93,8 +94,11 @@ class Rolling:
     """Hashes of any slices of a sequence of 64-bit values."""
 
     def __init__(self, values: np.ndarray) -> None:
-        size = 1 << max(10, (len(values)).bit_length())
-        power, self.inverse = once(("powers", size), lambda: _powers(size))
+        # One pair of rows a process, the longest asked for: shorter ones are its beginnings.
+        kept = once("powers", dict)
+        if len(kept.get("rows", ((),))[0]) <= len(values):
+            kept["rows"] = _powers(max(BLOCK + (BLOCK >> 3), len(values)))
+        power, self.inverse = kept["rows"]
         self.sums = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(values * power[: len(values)], out=self.sums[1:])
 
@@ -425,7 +429,8 @@ def cut(docs: DataFrame, unit: Unit, index: Index) -> DataFrame:
     parts = max(64, total // BUCKET)
     blocks = _blocks(docs, unit, min(BUCKETS, max(12, total // (16 * BLOCK))))
     settled = written(_settle(_sent(blocks, unit, parts)), "settled")
-    asked = _open_runs(blocks, settled.select("block", "open", "crowded"), unit, parts)
+    # An index holds a shard's open runs in memory, some hundred bytes a unit: shards are smaller than buckets.
+    asked = _open_runs(blocks, settled.select("block", "open", "crowded"), unit, parts * SHARDS_OF_BUCKET)
     answers = written(_answers(asked, unit, index), "answers")
     none = F.lit(None).cast("binary")
     events = settled.select("block", "removed", "crowded", none.alias("of"), none.alias("stretch")).union(
