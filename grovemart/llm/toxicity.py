@@ -15,8 +15,9 @@ fitted by Platt's method, gives its `TOP` most toxic words for its length.
 Scoring: with a fixed set of landmarks the machine is one weight per subsequence (32**4), so
 whole texts are scored by table lookups where they lie; nothing is shuffled.
 
-Bounds: at most `TOXIC_DOCS` and `CLEAN_DOCS` labelled documents, and `SENTENCES` of their
-sentences, each up to `SENTENCE_CHARS`, train the model. All documents are scored, whole.
+Bounds: at most `TOXIC_DOCS` and `CLEAN_DOCS` labelled documents, and `TOXIC_SENTENCES` and `CLEAN_SENTENCES` of their
+sentences, train the model; longer ones than `SENTENCE_CHARS` count as several. Each document gives one, then each a second
+one, and so on, in an order by hash, so that long texts push no others out. All documents are scored, whole.
 
 Defined cases: null and empty texts have no word and get the score of that; documents with several
 labels count with each; without both labels nothing is rejected; repeated rows are scored each; an empty table gives an empty one; no other
@@ -34,8 +35,9 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.window import Window
 
-TOXIC_DOCS, CLEAN_DOCS, SENTENCES, SENTENCE_CHARS = 1000, 1500, 30_000, 1000
+TOXIC_DOCS, CLEAN_DOCS, TOXIC_SENTENCES, CLEAN_SENTENCES, SENTENCE_CHARS = 500, 2500, 13_000, 27_000, 1000
 LANDMARKS, ROUNDS, CLEAN_WORDS, SURE_WORDS, COST, CHANCE, SURE = 192, 4, 5_000, 4_000, 1000.0, 1e-4, 2.0
 DECAY, SYMBOLS, EDGE, LENGTH, SPAN, TOP = 0.9, 32, 31, 4, 6, 3
 #: Text bytes scored at a time.
@@ -72,7 +74,13 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     Letters standing alone, one after another, are one word.
     """
     data = b"".join(b" " + text + b" " for text in texts)
-    symbols = SYMBOL[np.frombuffer(data, np.uint8)]
+    raw = np.frombuffer(data, np.uint8)
+    symbols = SYMBOL[raw]
+    # A mark of exclamation stands for a letter inside a word only.
+    bang = raw == ord("!")
+    if bang.any():
+        after = np.minimum.accumulate(np.where(bang, len(raw), np.arange(len(raw)))[::-1])[::-1]
+        symbols[bang & np.isin(symbols[np.minimum(after, len(raw) - 1)], (0, EDGE))] = 0
     owner = np.repeat(np.arange(len(texts)), [len(text) + 2 for text in texts])
     symbols, owner = symbols[symbols > 0], owner[symbols > 0]
     edge = symbols == EDGE
@@ -360,17 +368,21 @@ def labelled_sentences(docs: DataFrame, labels: DataFrame) -> list[tuple[int, by
     ]
     # At most TOXIC_DOCS + CLEAN_DOCS rows of three numbers.
     chosen = F.broadcast(sample[0].union(sample[1]))
-    split = F.explode(F.split(F.coalesce("text", F.lit("")), r"[.!?\n]+"))
-    rows = (
-        docs.select("doc_id", "text")
-        .join(chosen, F.col("doc_id") == F.col("_id"))
-        .select("_order", "_id", "_toxic", split.alias("_sentence"))
-        .withColumn("_sentence", F.substring("_sentence", 1, SENTENCE_CHARS))
-        .where(F.length("_sentence") > 1)
-        .orderBy(F.xxhash64("_order"), "_id")
-        .limit(SENTENCES)
-    )
-    return [(r["_id"], r["_sentence"].encode(), r["_toxic"] == 1) for r in rows.collect()]
+    split = F.split(F.coalesce("text", F.lit("")), r"[.!?\n]+")
+    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
+    sentences = rows.select("_order", "_id", "_toxic", F.explode(split).alias("_whole")).where(F.length("_whole") > 1)
+    starts = F.sequence(F.lit(0), F.floor((F.length("_whole") - 1) / SENTENCE_CHARS).cast("int"))
+    cut = F.transform(starts, lambda i: F.substring(F.col("_whole"), i * SENTENCE_CHARS + 1, F.lit(SENTENCE_CHARS)))
+    pieces = sentences.select("_order", "_id", "_toxic", F.explode(cut).alias("_sentence")).where(F.length("_sentence") > 1)
+    turn = F.row_number().over(Window.partitionBy("_id", "_toxic").orderBy(F.xxhash64("_sentence"), "_sentence"))
+    turns = pieces.withColumn("_turn", turn)
+    some = [
+        turns.where(F.col("_toxic") == flag).orderBy("_turn", F.xxhash64("_order"), "_id").limit(most)
+        for flag, most in ((1, TOXIC_SENTENCES), (0, CLEAN_SENTENCES))
+    ]
+    found = some[0].union(some[1]).collect()
+    found.sort(key=lambda r: (r["_order"], r["_id"], r["_toxic"], r["_turn"]))
+    return [(r["_id"], r["_sentence"].encode(), r["_toxic"] == 1) for r in found]
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
