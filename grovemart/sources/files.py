@@ -103,6 +103,14 @@ def entries(spark: SparkSession, path: str, hidden: bool = False) -> list[Entry]
     return sorted(found)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if it is not there."""
+    system, where = _located(spark, path)
+    if not system.exists(where):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(where)]
+
+
 def same_system(spark: SparkSession, one: str, other: str) -> bool:
     """Whether two paths lie on one file system, so that a rename moves from one to the other."""
     (a, _), (b, _) = _located(spark, one), _located(spark, other)

@@ -168,10 +168,10 @@ def test_an_older_typed_table_is_not_published_over_a_newer(spark, lake, monkeyp
     """A load that began before a delivery ends after the load of that delivery: the newer one stays."""
     land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
     jobs.convert(spark, lake, "r1")
-    whole, done = jobs.replace_table, []
+    whole, done = jobs.write_observed, []
 
-    def slow(df, path):
-        rows = whole(df, path)
+    def slow(df, path, metrics):
+        rows = whole(df, path, metrics)
         if "run=slow" in path and not done:
             done.append(True)
             land(raw_frame(spark, ROWS2), lake.landing, DAY2, "areas")
@@ -179,7 +179,7 @@ def test_an_older_typed_table_is_not_published_over_a_newer(spark, lake, monkeyp
             jobs.load_typed(spark, lake, "areas", "fast")
         return rows
 
-    monkeypatch.setattr(jobs, "replace_table", slow)
+    monkeypatch.setattr(jobs, "write_observed", slow)
     assert jobs.load_typed(spark, lake, "areas", "slow") == 3
     assert jobs.read_typed(spark, lake, "areas").count() == 3
     published = jobs._published(spark, lake, "areas", jobs.TYPED).orderBy("commit").select("run", "source")

@@ -244,14 +244,14 @@ def test_a_broken_run_is_started_again(spark, lake, monkeypatch):
     jobs.run_all(spark, lake)
     before = _state(spark, lake)
     land(raw_frame(spark, ROWS2), lake.landing, DAY2, "areas")
-    whole = jobs.replace_table
+    whole = jobs.write_observed
 
-    def fails_at_fact(df, path):
+    def fails_at_fact(df, path, metrics):
         if path.endswith(FACT_AREA):
             raise RuntimeError("lost")
-        return whole(df, path)
+        return whole(df, path, metrics)
 
-    monkeypatch.setattr(jobs, "replace_table", fails_at_fact)
+    monkeypatch.setattr(jobs, "write_observed", fails_at_fact)
     with pytest.raises(RuntimeError):
         jobs.run_all(spark, lake)
     published = {name: rows_of(df) for name, df in jobs.read_star(spark, lake, "areas").items()}
