@@ -177,5 +177,6 @@ def pack(docs: DataFrame, vocabulary: tuple[str, str, str], window: int = 1024,
             columns = [*(batch[name] for name in PIECE_NAMES), pa.array(first + at), pa.array(offset + nth * length)]
             yield pa.RecordBatch.from_arrays(columns, names=[*PIECE_NAMES, "sequence_id", "offset"])
 
-    ranked = cut.join(numbers.select("part", "length", "before"), ["part", "length"])
+    # The numbers grow with the tasks, so they are never broadcast.
+    ranked = cut.join(numbers.select("part", "length", "before").hint("merge"), ["part", "length"])
     return ranked.select(*PIECE_NAMES, "nth", "before").mapInArrow(place, PIECE_SCHEMA + ", sequence_id long, offset long")
