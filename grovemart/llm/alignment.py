@@ -43,9 +43,9 @@ from pyspark.sql import functions as F
 
 from grovemart.llm.common import once, written
 
-#: Code points of a slice, and of the slices that are aligned together.
+#: Code points of a slice, and of the slices that are aligned together: few enough for their arrays to stay in the cache.
 SLICE = 1 << 18
-TOGETHER = 1 << 20
+TOGETHER = 1 << 17
 #: Pairs whose counts go to every task.
 COMMON = 1 << 18
 
@@ -256,7 +256,7 @@ def aligned(docs: DataFrame, ranks: tuple[str, str, str], model: str, slice_size
                 held.append((doc_id, document))
                 if whole:
                     waiting += mine
-                if len(held) >= 1024 or sum(len(k) for k, _ in document.pairs) > TOGETHER:
+                if len(held) >= 1024 or sum(len(k) for k, _ in document.pairs) > SLICE:
                     yield settled()
                     size = 0
         if held:
