@@ -1,16 +1,17 @@
 """Near-duplicate vectors by randomised-rotation binary codes.
 
 A unit vector o is rotated at random and kept as its signs x, with the correction <x, o>. For any
-other unit vector q, <x, q> / <x, o> is an unbiased estimate of <o, q>, and its error is
-bounded with high confidence by the correction alone; only pairs whose bound reaches the
-threshold are computed from the vectors themselves, in double precision.
+other unit vector q, <x, q> and the correction bound <o, q> from above, as the angles of o and of q
+to x differ by no more than that between o and q; only pairs whose bound reaches the
+threshold are computed from the vectors themselves, in double precision. The bound is certain.
 
 1. Equal vectors of a label become one, with a count.
 2. Signs of several rotations are cut into bands; vectors of a label that agree in a band
    meet, as codes only. Code pairs whose differing bits allow the threshold join candidate
    groups. The bits of a band grow with the logarithm of the largest label, the bands so that a pair
-   at the threshold meets in none of them with a chance below `MISS`.
-3. Groups, disjoint by now, are compared with estimates and, where needed, exactly. Crowded bands and
+   at the threshold meets in none of them with a chance below `MISS`; it differs in too many
+   bits with a chance below `MISS`.
+3. Groups, disjoint by now, are compared by the bounds and, where needed, exactly. Crowded bands and
    large groups are cut into blocks that meet two by two; of links only counts and
    one edge a vector leave a block.
 
@@ -33,8 +34,8 @@ from grovemart.llm.components import components
 from grovemart.llm.meetings import by_meeting, code_edges, dealt, meetings
 from grovemart.llm.search import usable
 
-#: Chance to miss a pair at the threshold in all bands, and standard errors a bound allows.
-MISS, ERRORS = 1e-5, 4.5
+#: Chance to miss a pair at the threshold, of the bands and of the bits each: in 10^9 such pairs none is missed.
+MISS = 1e-12
 #: Bits of a band at least, and members of a bucket on average above that.
 BAND_BITS, BUCKET = 8, 64
 #: Vectors of a block, and codes or vectors that a task takes together.
@@ -47,10 +48,13 @@ def rotations(dim: int, count: int, seed: int) -> np.ndarray:
     return np.hstack([np.linalg.qr(rng.standard_normal((dim, dim)))[0] for _ in range(count)])
 
 
-def _units(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def _scaled(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors times powers of two, which round nothing, so that large or small components neither overflow nor vanish."""
     rows = np.array(vectors.to_pylist(), float)
-    # Scaled first, so that very large or small components neither overflow nor vanish.
-    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
+
+
+def _units(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows**2).sum(axis=1, keepdims=True))
 
 
@@ -65,6 +69,20 @@ def bands(threshold: float, largest: int) -> tuple[int, int]:
     return bits, math.ceil(math.log(MISS) / math.log(1 - agree**bits))
 
 
+def most_differing(bits: int, threshold: float) -> int:
+    """Least number of differing bits that a pair at the threshold exceeds with a chance below MISS."""
+    differ = math.acos(threshold) / math.pi
+    most, above = bits, 0.0
+    while most:
+        ways = math.lgamma(bits + 1) - math.lgamma(most + 1) - math.lgamma(bits - most + 1)
+        chance = math.exp(ways + most * math.log(differ) + (bits - most) * math.log(1 - differ))
+        if above + chance >= MISS:
+            break
+        above += chance
+        most -= 1
+    return most
+
+
 def _links(members: DataFrame, threshold: float, seed: int) -> DataFrame:
     """Per block pair: id, links (counting equal vectors) and the least linked id."""
 
@@ -73,23 +91,23 @@ def _links(members: DataFrame, threshold: float, seed: int) -> DataFrame:
         out_id, out_links, out_least = [], [], []
         for left, right in by_meeting(rows):
             within = len(left) == len(right) and (left == right).all()
-            q, o = _units(rows["vector"].take(pa.array(left))), _units(rows["vector"].take(pa.array(right)))
+            q, o = _scaled(rows["vector"].take(pa.array(left))), _scaled(rows["vector"].take(pa.array(right)))
             dim = q.shape[1]
             rotation = rotations(dim, 1, seed)
-            turned = o @ rotation
+            turned = _units(o) @ rotation
             code = np.where(turned >= 0, 1.0, -1.0) / math.sqrt(dim)
-            correction = np.sum(code * turned, axis=1)
-            estimate = (q @ rotation) @ code.T / correction
-            spread = np.sqrt(np.maximum(1 - correction**2, 0)) / correction / math.sqrt(max(1, dim - 1))
-            # 1e-9 for rounding: in one or two dimensions the code is the vector.
-            unsure = estimate + ERRORS * spread + 1e-9 >= threshold
-            a, b = np.nonzero(unsure)
+            # No code is further from q than o is and the threshold allows; 1e-7 for rounding, near 0 degrees most of all.
+            angle = np.arccos(np.minimum(np.sum(code * turned, axis=1), 1)) + math.acos(threshold) + 1e-7
+            least_product = np.cos(np.minimum(angle, math.pi)) - 1e-9
+            a, b = np.nonzero((_units(q) @ rotation) @ code.T >= least_product)
             if within:
                 a, b = a[a < b], b[a < b]
             linked = np.zeros(len(a), bool)
             for first in range(0, len(a), 1 << 16):
                 part = slice(first, first + (1 << 16))
-                linked[part] = np.einsum("ij,ij->i", q[a[part]], o[b[part]]) >= threshold
+                x, y = q[a[part]], o[b[part]]
+                squares = np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y)
+                linked[part] = np.einsum("ij,ij->i", x, y) / np.sqrt(squares) >= threshold
             a, b = left[a[linked]], right[b[linked]]
             both, other = np.concatenate([a, b]), np.concatenate([b, a])
             if not len(both):
@@ -139,9 +157,10 @@ def near_duplicates(vectors: DataFrame, threshold: float, seed: int = 0) -> Data
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
                 turn = rotations(int(dim), -(-bits * n_bands // int(dim)), seed + 1)
-                signs = _signs(_units(batch.column("vector").take(pa.array(at))), turn)[:, : bits * n_bands]
+                signs = _signs(_units(_scaled(batch.column("vector").take(pa.array(at)))), turn)[:, : bits * n_bands]
                 packed = np.packbits(signs, axis=1)
-                numbers = signs.reshape(len(at), n_bands, bits) @ weight
+                # A band's bits lie far apart: those of one rotation depend on each other.
+                numbers = np.einsum("ijk,j->ik", signs.reshape(len(at), bits, n_bands), weight)
                 for i, row in enumerate(at):
                     codes[row], keys[row] = packed[i].tobytes(), numbers[i].tolist()
             yield pa.RecordBatch.from_arrays(
@@ -152,8 +171,7 @@ def near_duplicates(vectors: DataFrame, threshold: float, seed: int = 0) -> Data
     to_code = kinds.select("id", F.xxhash64("label").alias("label_hash"), "dim", "vector")
     coded = written(to_code.mapInArrow(encode, "id long, label long, dim int, code binary, keys array<bigint>"), "codes")
     banded = coded.select("id", "label", "dim", "code", F.posexplode("keys").alias("band", "key"))
-    angle = bits * n_bands * math.acos(threshold) / math.pi
-    most = angle + ERRORS * math.sqrt(angle * (1 - angle / (bits * n_bands)))
+    most = most_differing(bits * n_bands, threshold)
     met = written(meetings(banded, ["label", "dim", "band", "key"], BLOCK).select("id", "code", "meeting", "side"), "meetings")
     tasks = dealt(met, met.count() // TASK).groupBy("task")
     groups = components(tasks.applyInArrow(lambda rows: code_edges(rows, most), "u long, v long"))

@@ -69,6 +69,30 @@ def test_no_vectors(spark):
     assert sorted_rows(one) == [(1, 0, 1, True), (2, 0, 2, True)]
 
 
+@pytest.mark.parametrize("scale", [1.0, 3.0, 2.0**100, 2.0**-100])
+def test_pairs_at_the_threshold_are_linked(spark, scale):
+    # The squares add up to 100²: the cosine to the axis of the 93 is 93 / 100 and nothing less.
+    whole = [[5, 0, 19, 2, 0, 93, 31], [35, 1, 5, 93, 10], [93, 1, 31, 0, 18, 7, 4], [5, 6, 1, 3, 93, 32, 16]]
+    rows = []
+    for at, v in enumerate(whole):
+        assert sum(x * x for x in v) == 10_000
+        rows += [(10 * at, at, [float(x == 93) for x in v]), (10 * at + 1, at, [scale * x for x in v])]
+    found = nearvectors.near_duplicates(vectors(spark, rows), 0.93)
+    assert [r["n_links"] for r in found.collect()] == [1] * len(rows)
+
+
+def test_no_pair_is_missed_by_chance():
+    agree = 1 - np.arccos(0.93) / np.pi
+    for largest in (1, 1000, 10**6, 10**9):
+        bits, count = nearvectors.bands(0.93, largest)
+        assert (1 - agree**bits) ** count <= 1e-12
+        # Chernoff: 2^-kl(most / n, chance that a bit differs) bounds the chance of more bits than that.
+        n, differ = bits * count, 1 - agree
+        share = (nearvectors.most_differing(n, 0.93) + 1) / n
+        kl = share * np.log(share / differ) + (1 - share) * np.log((1 - share) / agree)
+        assert np.exp(-n * kl) <= 1e-9
+
+
 def test_recall_on_the_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r["vec_id"], r["label"], r["embedding"]) for r in table.collect()]
