@@ -391,3 +391,40 @@ def test_columns_beyond_the_contract_are_kept_where_asked_for(spark, lake):
     _put(lake, "more.csv", _lines(ROWS1, [*RAW_HEADERS, "Twice", "twice"]))
     with pytest.raises(jobs.DeliveryRejected, match="come twice"):
         jobs.run_all(spark, wide)
+
+
+def test_compressed_deliveries_and_stage(spark, lake):
+    """Compressed parts are taken in as others are, the stage copy is compressed, and wrong headers are still found."""
+    packed = jobs.Lake(lake.landing, lake.root, compression="gzip")
+    land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas", "gzip")
+    land(raw_frame(spark, ROWS2), lake.landing, DAY2, "areas", "gzip")
+    jobs.run_all(spark, packed, "r1")
+    state = _state(spark, packed)
+    assert len(state["history"]) == 5 and state["stage"] == state["current"]
+    written = [p for root in (lake.landing, f"{lake.root}/stage") for p in Path(root).rglob("part*")]
+    assert written and all(p.name.endswith(".csv.gz") for p in written)
+    wrong = raw_frame(spark, ROWS1).withColumnRenamed("Ano", "Other")
+    wrong.write.options(**RAW_OPTIONS, compression="gzip").csv(delivery_path(lake.landing, date(2020, 3, 5), "areas"))
+    with pytest.raises(jobs.DeliveryRejected, match="missing columns .'Ano'."):
+        jobs.convert(spark, packed, "r2")
+    assert _state(spark, packed) == state
+
+
+@pytest.mark.parametrize("alone", [0, 32])
+def test_rows_of_deliveries_are_told_apart(spark, lake, monkeypatch, alone):
+    monkeypatch.setattr(jobs, "READ_ALONE", alone)
+    for name, day, rows in (("a +%[1] é", DAY1, ROWS1), ("areas", DAY1, ROWS2), ("areas", DAY2, ROWS1[:1])):
+        land(raw_frame(spark, rows), lake.landing, day, name)
+    jobs.convert(spark, lake, "r1")
+    kept = jobs.snapshots(spark, lake).select("dataset", "snapshot_date", "rows")
+    assert rows_of(kept) == [("a +%[1] é", DAY1, 2), ("areas", DAY1, 3), ("areas", DAY2, 1)]
+    assert len(rows_of(jobs.history(spark, lake, "a +%[1] é"))) == 2
+
+
+def test_one_delivery_is_read_without_its_paths(spark, lake):
+    land(raw_frame(spark, ROWS1), lake.landing, DAY1, "areas")
+    path = delivery_path(lake.landing, DAY1, "areas")
+    files = tuple(str(p) for p in Path(path).glob("part*"))
+    rows = jobs._delivered_rows(spark, tuple(RAW_HEADERS), [jobs.Delivery("areas", DAY1, path, files, jobs.now())])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract" not in plan and "file_path" not in plan

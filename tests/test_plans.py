@@ -1,6 +1,7 @@
 """The plans Spark makes: what is read, what is shuffled, and what must never show up."""
 
 import re
+from pathlib import Path
 
 import pytest
 
@@ -134,3 +135,25 @@ def test_conversion_and_typing_never_shuffle(spark, tmp_path):
     plan = plan_of(typed(clean(read_raw(spark, path))))
     assert "Exchange" not in plan and "Sort" not in plan
     assert "WholeStageCodegen" in plan or "*(1) Project" in plan
+
+
+def test_increments_join_the_registry_once_and_compress_its_text(spark, monkeypatch):
+    joined = []
+    made = binding.raw_registry
+    monkeypatch.setattr(binding, "raw_registry", lambda *args: joined.append(1) or made(*args))
+    lake = Workspace(spark, SF_DIR).incremented_lake()
+    assert len(joined) <= 1
+    text = [p for p in [*Path(lake.landing).rglob("part*"), *Path(f"{lake.root}/stage").rglob("part*")]]
+    assert text and all(p.name.endswith(".csv.gz") for p in text)
+
+
+def test_partitioned_writes_do_not_sort(spark):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        spark.conf.set(name, "0")
+        Workspace(spark, SF_DIR)
+        assert spark.conf.get(name) == "32"
+    finally:
+        spark.conf.set(name, before)
