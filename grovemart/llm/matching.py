@@ -150,14 +150,14 @@ def pack(docs: DataFrame, vocabulary: tuple[str, str, str], window: int = 1024,
     """
     cut = written(pieces(docs, vocabulary, window, end_id), "whole_pieces")
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # A row for each task and length, at most.
-    numbers = written(
+    # A row for each task and length, at most: counted again from the pieces for the join, as a table of its own
+    # would be a file a task for a few numbers.
+    numbers = (
         cut.groupBy("part", "length")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))),
-        "lengths",
+        .select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     )
-    counts = {r["length"]: r["n"] for r in numbers.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     segments = np.array(plan(counts, window)[0], np.int64).reshape(-1, 5)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,5 +178,5 @@ def pack(docs: DataFrame, vocabulary: tuple[str, str, str], window: int = 1024,
             yield pa.RecordBatch.from_arrays(columns, names=[*PIECE_NAMES, "sequence_id", "offset"])
 
     # The numbers grow with the tasks, so they are never broadcast.
-    ranked = cut.join(numbers.select("part", "length", "before").hint("merge"), ["part", "length"])
+    ranked = cut.join(numbers.hint("merge"), ["part", "length"])
     return ranked.select(*PIECE_NAMES, "nth", "before").mapInArrow(place, PIECE_SCHEMA + ", sequence_id long, offset long")

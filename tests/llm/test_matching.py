@@ -2,6 +2,7 @@
 
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 
 from grovemart.llm import matching
 from grovemart.llm.queries import SHORT_END_ID, SHORT_WINDOW, vocabulary
+from grovemart.session import runs_folder
 from tests.llm import data
 
 
@@ -140,6 +142,18 @@ def test_equal_rows_are_no_group(spark):
     assert sorted(r["count"] for r in rows)[1:] == [each] * (10_000 // each)
 
 
+def test_only_pieces_are_written(spark):
+    """A file for each task that cuts, and none for the numbers: on a local disk each file starts three processes."""
+
+    def files():
+        return set(Path(runs_folder(spark)).glob("**/part-*.parquet"))
+
+    docs, there = data.documents(spark).repartition(3), files()
+    assert packed(docs).count() > len(data.ODD)
+    assert {p.parent.name.rpartition("-")[0] for p in files() - there} == {"whole_pieces"}
+    assert len(files() - there) <= 3
+
+
 def test_few_sequences(spark, tokenizer):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = packed(docs.repartition(6)).collect()
